@@ -25,3 +25,26 @@ def read_table(spark: SparkSession, path: str, *, save_format: str = "parquet",
     if provenance:
         df = df.withColumn(INPUT_FILE, F.col("_metadata.file_path"))
     return df
+
+
+# Marker and summary files written at job commit.
+COMMIT_FILES = ("_SUCCESS", "_metadata", "_common_metadata")
+
+
+def commit_files(spark: SparkSession, path: str) -> dict[str, int]:
+    """Sizes of the commit marker and Parquet summary files present under ``path``.
+
+    Spark's file index hides names starting with ``_``, so this asks the
+    Hadoop file system of the session directly (a few ``exists`` calls on the
+    driver; works for any Hadoop-supported URI).
+    """
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(conf)
+    found = {}
+    for name in COMMIT_FILES:
+        p = jvm.org.apache.hadoop.fs.Path(root, name)
+        if fs.exists(p):
+            found[name] = int(fs.getFileStatus(p).getLen())
+    return found

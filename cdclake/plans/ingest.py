@@ -61,11 +61,18 @@ class SchemaGroup:
     rows: int
     struct: T.StructType | None
     schema_text: str | None = None
+    exact_hashes: list[int] | None = None  # set when the fast key was ambiguous
 
     @property
     def enveloped(self) -> bool:
         return self.kind in (KIND_DECLARED, KIND_ENVELOPED_NO_SCHEMA)
 
+    def condition(self):
+        cond = F.col("gid").isin(self.gids)
+        if self.exact_hashes is not None:
+            cond = cond & F.xxhash64(schema_text("value")).isin(self.exact_hashes)
+        return cond
+
 
 @dataclass
 class GroupResult:
@@ -88,14 +95,46 @@ class BatchResult:
         return sum(g.rows for g in self.groups if g.kind != KIND_MALFORMED)
 
 
+# How a standard enveloped event starts, and what ends its schema.
+ENVELOPE_HEAD = '{"schema":{'
+PAYLOAD_KEY = ',"payload":'
+
+
 def key_events(events: DataFrame) -> DataFrame:
-    """Add ``kind`` and ``gid`` (64-bit hash of destination, schema text and kind)."""
-    s = schema_text("value")
-    kind = event_kind("value", s)
-    return (events.select("destination", "key", "value", s.alias("__schema"))
-            .withColumn("kind", kind)
-            .withColumn("gid", F.xxhash64("destination", "__schema", "kind"))
-            .drop("__schema"))
+    """Add ``kind`` and ``gid`` (64-bit hash of destination, schema text and kind).
+
+    Standard events (``{"schema":{...},"payload":...}``, the JSON converter's
+    output) are keyed by hashing their raw text before ``,"payload":`` without
+    parsing it; :func:`discover_groups` checks once per group that this text
+    is exactly the schema. Other events are keyed by their parsed schema text.
+    """
+    v = F.col("value")
+    fast = v.startswith(ENVELOPE_HEAD)
+    key_text = F.when(fast, F.substring_index(v, PAYLOAD_KEY, 1)).otherwise(schema_text("value"))
+    kind = F.when(fast, F.lit(KIND_DECLARED)).otherwise(event_kind("value"))
+    return (events.select("destination", "key", "value", key_text.alias("__key_text"), kind.alias("kind"))
+            .withColumn("gid", F.xxhash64("destination", "__key_text", "kind"))
+            .drop("__key_text"))
+
+
+def _prefix_is_schema(sample: str) -> bool:
+    """True when the text between the head and the first ``,"payload":`` is one whole JSON value."""
+    head = sample.split(PAYLOAD_KEY, 1)[0][len('{"schema":'):]
+    try:
+        json.loads(head)
+        return True
+    except ValueError:
+        return False
+
+
+def _exact_subgroups(keyed: DataFrame, gid: int, max_groups: int) -> list[tuple[int, int, str]]:
+    sub = (keyed.filter(F.col("gid") == gid)
+           .groupBy(F.xxhash64(schema_text("value")).alias("h"))
+           .agg(F.count(F.lit(1)).alias("rows"), F.any_value("value").alias("sample"))
+           .limit(max_groups + 1).collect())
+    if len(sub) > max_groups:
+        raise ValueError(f"more than {max_groups} schema versions behind one key")
+    return [(r["h"], r["rows"], r["sample"]) for r in sub]
 
 
 def discover_groups(keyed: DataFrame, max_groups: int) -> list[SchemaGroup]:
@@ -112,29 +151,37 @@ def discover_groups(keyed: DataFrame, max_groups: int) -> list[SchemaGroup]:
         raise ValueError(f"batch has more than {max_groups} (destination, schema) groups; raise max_groups or "
                          "shorten the trigger")
     merged: "OrderedDict[tuple, SchemaGroup]" = OrderedDict()
-    for r in sorted(found, key=lambda r: (r["destination"] or "", r["gid"])):
-        if r["destination"] is None:
-            raise ValueError("destination cannot be null")
-        kind = r["kind"]
-        text = struct = None
+
+    def add(dest, kind, gid, rows, sample, exact):
+        text = struct = canon = None
         if kind == KIND_DECLARED:
-            text = json.dumps(json.loads(r["sample"])["schema"], separators=(",", ":"))
+            text = json.dumps(json.loads(sample)["schema"], separators=(",", ":"))
             struct = connect_schema_to_struct(text)
             canon = canonical_schema(text)
+        k = (dest, kind, canon, exact is not None)
+        if k in merged and exact is None:
+            merged[k].gids.append(gid)
+            merged[k].rows += rows
+        elif exact is not None:
+            merged[(dest, kind, canon, gid, exact)] = SchemaGroup(dest, kind, [gid], rows, struct, text, [exact])
         else:
-            canon = None
-        k = (r["destination"], kind, canon)
-        if k in merged:
-            merged[k].gids.append(r["gid"])
-            merged[k].rows += r["rows"]
+            merged[k] = SchemaGroup(dest, kind, [gid], rows, struct, text)
+
+    for r in sorted(found, key=lambda r: (r["destination"] or "", r["gid"])):
+        if r["destination"] is None:
+            raise ValueError("destination cannot be null")
+        sample = r["sample"]
+        if r["kind"] == KIND_DECLARED and sample.startswith(ENVELOPE_HEAD) and not _prefix_is_schema(sample):
+            for h, rows, sub_sample in _exact_subgroups(keyed, r["gid"], max_groups):
+                add(r["destination"], r["kind"], r["gid"], rows, sub_sample, h)
         else:
-            merged[k] = SchemaGroup(r["destination"], kind, [r["gid"]], r["rows"], struct, text)
+            add(r["destination"], r["kind"], r["gid"], r["rows"], sample, None)
     return list(merged.values())
 
 
 def decode_group(keyed: DataFrame, group: SchemaGroup, cfg: CdcConfig, batch_time_ms: int) -> DataFrame:
     """Typed, enriched rows of one group."""
-    rows = keyed.filter(F.col("gid").isin(group.gids))
+    rows = keyed.filter(group.condition())
     failfast = cfg.on_malformed == "fail"
     if group.kind == KIND_DECLARED:
         df = decode_payload(rows, group.struct, failfast=failfast)
@@ -219,7 +266,7 @@ def ingest_batch(events: DataFrame, cfg: CdcConfig, batch_id: int | None = None,
                     if cfg.on_malformed == "fail":
                         raise ValueError(f"{g.rows} malformed events for destination {dest!r}")
                     path = f"{cfg.base_path.rstrip('/')}/{QUARANTINE_DIR}/{dest}"
-                    bad = keyed.filter(F.col("gid").isin(g.gids)).select(
+                    bad = keyed.filter(g.condition()).select(
                         "destination", "key", "value", F.lit(batch_time_ms).cast("bigint").alias("batch_time_ms"))
                     n = write_group(bad, path, cfg.with_(save_format="json", rows_per_file=None))
                     out.append(GroupResult(dest, path, n, 0, "", g.kind))

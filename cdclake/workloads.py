@@ -528,7 +528,7 @@ def q_compact_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("l_orderkey") * 8 + F.col("l_linenumber")
     ev = encode_events(li, "testc.inventory.lineitem", op=op_rule(k), lsn=k)
     base = scratch_path(spark, "compact")
-    res = ingest_batch(ev, CdcConfig(base_path=base, partition=True, rows_per_file=500), batch_id=0,
+    res = ingest_batch(ev, CdcConfig(base_path=base, partition=True, rows_per_file=5000), batch_id=0,
                        batch_time_ms=BATCH_TIME_MS)
     out = compact_partition(spark, res.groups[0].path, files=2)
     if out.files_after > 2:

@@ -35,7 +35,7 @@ from ..functions.columns import partition_date_text, target_path_text
 from ..functions.schema import SOURCE_TS_MS, canonical_schema, connect_schema_to_struct
 from ..operators.decode import decode_payload, infer_payload_schema
 from ..operators.envelope import (KIND_DECLARED, KIND_ENVELOPED_NO_SCHEMA, KIND_MALFORMED, KIND_PLAIN,
-                                  drop_tombstones, event_kind, include_tables, schema_text)
+                                  drop_tombstones, event_kind, include_tables, malformed_flag, schema_text)
 from ..operators.transform import add_source_ts, cast_deleted, snapshot_as_insert, unwrap
 
 # Serialise writes per target path across threads and concurrent batches.
@@ -100,18 +100,22 @@ ENVELOPE_HEAD = '{"schema":{'
 PAYLOAD_KEY = ',"payload":'
 
 
-def key_events(events: DataFrame) -> DataFrame:
+def key_events(events: DataFrame, check_malformed: bool = False) -> DataFrame:
     """Add ``kind`` and ``gid`` (64-bit hash of destination, schema text and kind).
 
     Standard events (``{"schema":{...},"payload":...}``, the JSON converter's
     output) are keyed by hashing their raw text before ``,"payload":`` without
     parsing it; :func:`discover_groups` checks once per group that this text
     is exactly the schema. Other events are keyed by their parsed schema text.
+    ``check_malformed`` validates every event as a whole JSON object first
+    (one full parse per row), so broken events get their own kind.
     """
     v = F.col("value")
     fast = v.startswith(ENVELOPE_HEAD)
     key_text = F.when(fast, F.substring_index(v, PAYLOAD_KEY, 1)).otherwise(schema_text("value"))
     kind = F.when(fast, F.lit(KIND_DECLARED)).otherwise(event_kind("value"))
+    if check_malformed:
+        kind = F.when(malformed_flag("value"), F.lit(KIND_MALFORMED)).otherwise(kind)
     return (events.select("destination", "key", "value", key_text.alias("__key_text"), kind.alias("kind"))
             .withColumn("gid", F.xxhash64("destination", "__key_text", "kind"))
             .drop("__key_text"))
@@ -155,7 +159,10 @@ def discover_groups(keyed: DataFrame, max_groups: int) -> list[SchemaGroup]:
     def add(dest, kind, gid, rows, sample, exact):
         text = struct = canon = None
         if kind == KIND_DECLARED:
-            text = json.dumps(json.loads(sample)["schema"], separators=(",", ":"))
+            try:
+                text = json.dumps(json.loads(sample)["schema"], separators=(",", ":"))
+            except ValueError as e:
+                raise ValueError(f"malformed change event for destination {dest!r}: {e}") from e
             struct = connect_schema_to_struct(text)
             canon = canonical_schema(text)
         k = (dest, kind, canon, exact is not None)
@@ -251,7 +258,7 @@ def ingest_batch(events: DataFrame, cfg: CdcConfig, batch_id: int | None = None,
     ev = drop_tombstones(events)
     if cfg.include_tables is not None:
         ev = include_tables(ev, cfg.include_tables)
-    keyed = key_events(ev).sortWithinPartitions("gid").persist()
+    keyed = key_events(ev, check_malformed=cfg.on_malformed == "quarantine").sortWithinPartitions("gid").persist()
     result = BatchResult(batch_id, batch_time_ms)
     try:
         groups = discover_groups(keyed, cfg.max_groups)
@@ -300,7 +307,7 @@ def decode_events(events: DataFrame, cfg: CdcConfig | None = None, batch_time_ms
     ev = drop_tombstones(events)
     if cfg.include_tables is not None:
         ev = include_tables(ev, cfg.include_tables)
-    keyed = key_events(ev)
+    keyed = key_events(ev, check_malformed=cfg.on_malformed == "quarantine")
     out = []
     for g in discover_groups(keyed, cfg.max_groups):
         if g.kind == KIND_MALFORMED:

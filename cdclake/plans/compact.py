@@ -27,7 +27,8 @@ def _fingerprint(df: DataFrame) -> tuple[int, int]:
 
 
 def _file_count(spark: SparkSession, path: str, save_format: str) -> int:
-    return spark.read.format(save_format).load(path).select(F.col("_metadata.file_path")).distinct().count()
+    # File listing only (driver-side index), no scan.
+    return len(spark.read.format(save_format).load(path).inputFiles())
 
 
 def compact_partition(spark: SparkSession, path: str, *, save_format: str = "parquet", files: int | None = None,

@@ -4,8 +4,8 @@ version, decode each group with its own schema and append it to the table path.
 Plan of one batch::
 
     events ─ drop_tombstones ─ include_tables ─ key (gid = hash(destination, schema text, kind))
-           ─ sortWithinPartitions(gid) ─ persist                       (no shuffle)
-           ─ groupBy(destination, gid).agg(count, any_value(value))    (partial agg; one row per group)
+           ─ sortWithinPartitions(gid, destination) ─ persist           (no shuffle)
+           ─ groupBy(gid, destination).agg(count, any_value(value))    (partial agg; one row per group)
            ─ per group: filter(gid) ─ from_json(T) ─ enrich ─ observe(count) ─ write
 
 ``from_json`` needs a constant schema, so a loop over the distinct schema
@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..config import CdcConfig
+from ..config import CdcConfig, shared_dir
 from ..functions.columns import partition_date_text, target_path_text
 from ..functions.schema import SOURCE_TS_MS, canonical_schema, connect_schema_to_struct
 from ..operators.decode import decode_payload, infer_payload_schema
@@ -148,7 +148,9 @@ def discover_groups(keyed: DataFrame, max_groups: int) -> list[SchemaGroup]:
     group per partition. Groups whose schemas compile to the same Spark type
     are merged (they differ only in names, versions or optional flags).
     """
-    agg = (keyed.groupBy("destination", "gid")
+    # Grouped in the cache's sort order (gid, destination): the partial
+    # aggregate then needs no sort of its own, even with a string sample.
+    agg = (keyed.groupBy("gid", "destination")
            .agg(F.count(F.lit(1)).alias("rows"), F.first("kind").alias("kind"), F.any_value("value").alias("sample")))
     found = agg.limit(max_groups + 1).collect()
     if len(found) > max_groups:
@@ -258,7 +260,7 @@ def ingest_batch(events: DataFrame, cfg: CdcConfig, batch_id: int | None = None,
     ev = drop_tombstones(events)
     if cfg.include_tables is not None:
         ev = include_tables(ev, cfg.include_tables)
-    keyed = key_events(ev, check_malformed=cfg.on_malformed == "quarantine").sortWithinPartitions("gid").persist()
+    keyed = key_events(ev, check_malformed=cfg.on_malformed == "quarantine").sortWithinPartitions("gid", "destination").persist()
     result = BatchResult(batch_id, batch_time_ms)
     try:
         groups = discover_groups(keyed, cfg.max_groups)
@@ -298,18 +300,27 @@ def ingest_batch(events: DataFrame, cfg: CdcConfig, batch_id: int | None = None,
     return result
 
 
-def decode_events(events: DataFrame, cfg: CdcConfig | None = None, batch_time_ms: int = 0) -> list[tuple[SchemaGroup, DataFrame]]:
+def decode_events(events: DataFrame, cfg: CdcConfig | None = None, batch_time_ms: int = 0,
+                  materialize: bool = True) -> list[tuple[SchemaGroup, DataFrame]]:
     """Decode a frame of events without writing: one typed frame per schema group.
 
-    Discovery runs one aggregation job; each returned frame is lazy.
+    Discovery runs one aggregation job. With more than one group and
+    ``materialize``, the keyed events are checkpointed once (reliably, to the
+    session's checkpoint folder, sorted by group) so that the group frames do
+    not each recompute the whole input; lineage is cut there, which also
+    keeps executor loss cheap. Each returned frame is lazy.
     """
     cfg = cfg or CdcConfig(base_path="")
     ev = drop_tombstones(events)
     if cfg.include_tables is not None:
         ev = include_tables(ev, cfg.include_tables)
     keyed = key_events(ev, check_malformed=cfg.on_malformed == "quarantine")
+    groups = discover_groups(keyed, cfg.max_groups)
+    if materialize and len(groups) > 1:
+        shared_dir(keyed.sparkSession)
+        keyed = keyed.sortWithinPartitions("gid", "destination").checkpoint(eager=True)
     out = []
-    for g in discover_groups(keyed, cfg.max_groups):
+    for g in groups:
         if g.kind == KIND_MALFORMED:
             if cfg.on_malformed == "fail":
                 raise ValueError(f"{g.rows} malformed events for destination {g.destination!r}")

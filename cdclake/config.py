@@ -108,6 +108,7 @@ class CdcConfig:
     max_groups: int = 2000
     parallel_writes: int = 4
     ingest_log: bool = True
+    min_partitions: int | None = None  # default: the session's default parallelism
     trigger: TriggerPolicy = field(default_factory=TriggerPolicy)
 
     def with_(self, **kw: Any) -> "CdcConfig":
@@ -144,6 +145,17 @@ class CdcConfig:
         )
 
 
+def default_parallelism(spark: SparkSession) -> int:
+    """Task slots to spread a batch over (``spark.default.parallelism`` if set)."""
+    v = spark.conf.get("spark.default.parallelism", None)
+    if v:
+        return int(v)
+    try:
+        return int(spark.sparkContext.defaultParallelism)
+    except Exception:  # noqa: BLE001 - no SparkContext (remote session)
+        return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared scratch folder: the session's ``spark.checkpoint.dir``.
 
@@ -177,6 +189,7 @@ __all__ = [
     "TriggerPolicy",
     "TRIGGER_POLICY_NAMES",
     "config_subset",
+    "default_parallelism",
     "select_trigger_policy",
     "shared_dir",
     "scratch_path",

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..config import CdcConfig, shared_dir
+from ..config import CdcConfig, default_parallelism, shared_dir
 from ..functions.columns import partition_date_text, target_path_text
 from ..functions.schema import SOURCE_TS_MS, canonical_schema, connect_schema_to_struct
 from ..operators.decode import decode_payload, infer_payload_schema
@@ -121,6 +121,20 @@ def key_events(events: DataFrame, check_malformed: bool = False) -> DataFrame:
             .drop("__key_text"))
 
 
+def spread(events: DataFrame, min_partitions: int | None) -> DataFrame:
+    """Round-robin a batch that arrives in fewer partitions than task slots.
+
+    Decoding is CPU-bound; a Kafka topic with few partitions or a few large
+    files would otherwise decode on a handful of cores. Round-robin keeps
+    every partition the same size whatever the table mix (no hot keys) and
+    is deterministic on retry. Wide inputs are left as they are.
+    """
+    n = min_partitions or default_parallelism(events.sparkSession)
+    if events.rdd.getNumPartitions() < n:
+        return events.repartition(n)
+    return events
+
+
 def _prefix_is_schema(sample: str) -> bool:
     """True when the text between the head and the first ``,"payload":`` is one whole JSON value."""
     head = sample.split(PAYLOAD_KEY, 1)[0][len('{"schema":'):]
@@ -188,9 +202,10 @@ def discover_groups(keyed: DataFrame, max_groups: int) -> list[SchemaGroup]:
     return list(merged.values())
 
 
-def decode_group(keyed: DataFrame, group: SchemaGroup, cfg: CdcConfig, batch_time_ms: int) -> DataFrame:
-    """Typed, enriched rows of one group."""
-    rows = keyed.filter(group.condition())
+def decode_group(keyed: DataFrame, group: SchemaGroup, cfg: CdcConfig, batch_time_ms: int,
+                 only_group: bool = False) -> DataFrame:
+    """Typed, enriched rows of one group (``only_group``: the frame holds nothing else)."""
+    rows = keyed if only_group else keyed.filter(group.condition())
     failfast = cfg.on_malformed == "fail"
     if group.kind == KIND_DECLARED:
         df = decode_payload(rows, group.struct, failfast=failfast)
@@ -260,7 +275,9 @@ def ingest_batch(events: DataFrame, cfg: CdcConfig, batch_id: int | None = None,
     ev = drop_tombstones(events)
     if cfg.include_tables is not None:
         ev = include_tables(ev, cfg.include_tables)
-    keyed = key_events(ev, check_malformed=cfg.on_malformed == "quarantine").sortWithinPartitions("gid", "destination").persist()
+    ev = spread(ev, cfg.min_partitions)
+    keyed = (key_events(ev, check_malformed=cfg.on_malformed == "quarantine")
+             .sortWithinPartitions("gid", "destination").persist())
     result = BatchResult(batch_id, batch_time_ms)
     try:
         groups = discover_groups(keyed, cfg.max_groups)
@@ -314,7 +331,7 @@ def decode_events(events: DataFrame, cfg: CdcConfig | None = None, batch_time_ms
     ev = drop_tombstones(events)
     if cfg.include_tables is not None:
         ev = include_tables(ev, cfg.include_tables)
-    keyed = key_events(ev, check_malformed=cfg.on_malformed == "quarantine")
+    keyed = key_events(spread(ev, cfg.min_partitions), check_malformed=cfg.on_malformed == "quarantine")
     groups = discover_groups(keyed, cfg.max_groups)
     if materialize and len(groups) > 1:
         shared_dir(keyed.sparkSession)
@@ -325,7 +342,7 @@ def decode_events(events: DataFrame, cfg: CdcConfig | None = None, batch_time_ms
             if cfg.on_malformed == "fail":
                 raise ValueError(f"{g.rows} malformed events for destination {g.destination!r}")
             continue
-        out.append((g, decode_group(keyed, g, cfg, batch_time_ms)))
+        out.append((g, decode_group(keyed, g, cfg, batch_time_ms, only_group=len(groups) == 1)))
     return out
 
 

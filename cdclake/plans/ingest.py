@@ -242,9 +242,15 @@ def write_group(df: DataFrame, path: str, cfg: CdcConfig, expected_rows: int | N
     obs = Observation(f"rows_{uuid.uuid4().hex}")
     out = df.observe(obs, F.count(F.lit(1)).alias("rows"))
     if cfg.rows_per_file and expected_rows:
-        # Fewer, fuller files: no more tasks than files of ``rows_per_file`` rows.
+        # Files of ``rows_per_file`` rows: merge partitions without a shuffle when
+        # there are more tasks than files; when there are fewer, deal the rows
+        # round-robin into exactly that many tasks so every file is full.
         n = max(1, math.ceil(expected_rows / cfg.rows_per_file))
-        out = out.coalesce(n)
+        p = out.rdd.getNumPartitions()
+        if n < p:
+            out = out.coalesce(n)
+        elif n > p:
+            out = out.repartition(n)
     writer = out.write.mode(cfg.save_mode).format(cfg.save_format).options(**dict(cfg.write_options))
     if cfg.rows_per_file:
         writer = writer.option("maxRecordsPerFile", str(cfg.rows_per_file))

@@ -48,9 +48,10 @@ def main() -> None:
     write_events(li_events.unionByName(orders_events(spark, sf_dir)), src)
     n_events = spark.read.json(src, schema="destination string").count()
 
-    # Untimed warm-up on the smallest scale: JIT and class loading of the decode and write paths.
+    # Untimed warm-up on a small scale: JIT and class loading of the decode and write paths.
     warm = scratch_path(spark, "bench_warm")
-    write_events(orders_events(spark, "/root/testdata/sf0.001"), warm)
+    warm_dir = "/root/testdata/sf0.01" if os.path.exists("/root/testdata/sf0.01") else sf_dir
+    write_events(orders_events(spark, warm_dir), warm)
     ingest_batch(read_events(spark, warm), CdcConfig(base_path=scratch_path(spark, "bench_warm_lake")), batch_id=0)
 
     timings: dict[str, float] = {}

@@ -82,6 +82,7 @@ class GroupResult:
     n_fields: int
     schema_hash: str
     kind: int
+    schema_json: str = ""
 
 
 @dataclass
@@ -306,7 +307,8 @@ def ingest_batch(events: DataFrame, cfg: CdcConfig, batch_id: int | None = None,
                 df = decode_group(keyed, g, cfg, batch_time_ms)
                 path = group_path(cfg, dest, batch_time_ms)
                 n = write_group(df, path, cfg, g.rows)
-                out.append(GroupResult(dest, path, n, len(df.columns), _schema_hash(g.struct), g.kind))
+                out.append(GroupResult(dest, path, n, len(df.columns), _schema_hash(g.struct), g.kind,
+                                       df.schema.json()))
             return out
 
         if cfg.parallel_writes > 1 and len(by_dest) > 1:
@@ -361,13 +363,14 @@ INGEST_LOG_SCHEMA = T.StructType([
     T.StructField("n_fields", T.IntegerType()),
     T.StructField("schema_hash", T.StringType()),
     T.StructField("kind", T.IntegerType()),
+    T.StructField("schema_json", T.StringType()),
 ])
 
 
 def append_ingest_log(spark, cfg: CdcConfig, result: BatchResult) -> None:
     """One row per written group (bounded by the group count) to ``base/_ingest_log``."""
-    rows = [(result.batch_id, result.batch_time_ms, g.destination, g.path, g.rows, g.n_fields, g.schema_hash, g.kind)
-            for g in result.groups]
+    rows = [(result.batch_id, result.batch_time_ms, g.destination, g.path, g.rows, g.n_fields, g.schema_hash, g.kind,
+             g.schema_json) for g in result.groups]
     spark.createDataFrame(rows, INGEST_LOG_SCHEMA).coalesce(1).write.mode("append").parquet(
         f"{cfg.base_path.rstrip('/')}/{INGEST_LOG_DIR}")
 

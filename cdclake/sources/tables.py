@@ -2,22 +2,98 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Fixed value: name of the provenance column.
 INPUT_FILE = "input_file"
 
+# Numeric widening order used when schema versions disagree.
+_NUMERIC_RANK = {"IntegerType": 1, "LongType": 2, "FloatType": 3, "DoubleType": 4}
+
+
+def widen_types(a: T.DataType, b: T.DataType, path: str = "") -> T.DataType:
+    """Smallest type both versions of a column read into (numeric widening, struct union)."""
+    if a == b:
+        return a
+    if isinstance(a, T.NullType):
+        return b
+    if isinstance(b, T.NullType):
+        return a
+    ra, rb = _NUMERIC_RANK.get(type(a).__name__), _NUMERIC_RANK.get(type(b).__name__)
+    if ra and rb:
+        if {ra, rb} == {2, 3}:  # bigint and float meet in double
+            return T.DoubleType()
+        return a if ra > rb else b
+    if isinstance(a, T.StructType) and isinstance(b, T.StructType):
+        return widen_structs([a, b], path)
+    if isinstance(a, T.ArrayType) and isinstance(b, T.ArrayType):
+        return T.ArrayType(widen_types(a.elementType, b.elementType, path + "[]"), True)
+    if isinstance(a, T.MapType) and isinstance(b, T.MapType):
+        return T.MapType(widen_types(a.keyType, b.keyType, path + "{}"),
+                         widen_types(a.valueType, b.valueType, path + "{}"), True)
+    raise ValueError(f"column {path or '?'}: {a.simpleString()} and {b.simpleString()} cannot be read as one type")
+
+
+def widen_structs(structs: list[T.StructType], path: str = "") -> T.StructType:
+    """Union of struct versions by field name, in first-seen order, types widened."""
+    fields: dict[str, T.DataType] = {}
+    for st in structs:
+        for f in st.fields:
+            name = f"{path}.{f.name}" if path else f.name
+            fields[f.name] = widen_types(fields[f.name], f.dataType, name) if f.name in fields else f.dataType
+    return T.StructType([T.StructField(n, t, True) for n, t in fields.items()])
+
+
+def _types_conflict(structs: list[T.StructType]) -> bool:
+    """True when some column has different types in different versions (nullable-only changes aside)."""
+    seen: dict[str, T.DataType] = {}
+    for st in structs:
+        for f in st.fields:
+            if f.name in seen and seen[f.name] != f.dataType:
+                if isinstance(f.dataType, T.StructType) and isinstance(seen[f.name], T.StructType):
+                    if _types_conflict([seen[f.name], f.dataType]):
+                        return True
+                    continue
+                return True
+            seen.setdefault(f.name, f.dataType)
+    return False
+
+
+def logged_schemas(spark: SparkSession, ingest_log: str, path: str) -> list[T.StructType]:
+    """Distinct written schemas of a table (one per version, from the ingest log)."""
+    root = path.rstrip("/")
+    log = spark.read.option("mergeSchema", "true").parquet(ingest_log)
+    rows = (log.filter((F.col("path") == root) | F.col("path").startswith(root + "/"))
+            .filter(F.col("schema_json").isNotNull())
+            .groupBy("schema_json").agg(F.min("batch_time_ms").alias("first_seen"))
+            .orderBy("first_seen").limit(10_001).collect())
+    if len(rows) > 10_000:
+        raise ValueError(f"more than 10000 schema versions logged for {path}")
+    return [T.StructType.fromJson(json.loads(r["schema_json"])) for r in rows]
+
 
 def read_table(spark: SparkSession, path: str, *, save_format: str = "parquet", merge_schema: bool = True,
-               provenance: bool = True) -> DataFrame:
+               provenance: bool = True, ingest_log: str | None = None) -> DataFrame:
     """Scan a landed table directory.
 
     Files written under different schema versions are merged by name (new
     columns appear, missing ones are null). Reading the table root (not
     ``root/*``) keeps ``dt=`` directories as a prunable ``dt`` column.
-    ``input_file`` carries each row's source file.
+    ``input_file`` carries each row's source file. When versions disagree on
+    a column's type (e.g. ``int`` then ``bigint``) Spark's merge fails; with
+    ``ingest_log`` given, the widened schema of all logged versions is used
+    instead and the Parquet reader widens the older files on read.
     """
+    if ingest_log is not None and merge_schema:
+        versions = logged_schemas(spark, ingest_log, path)
+        if _types_conflict(versions):
+            # Spark's footer merge would fail; read once with the widened schema instead.
+            df = spark.read.format(save_format).schema(widen_structs(versions)).load(path)
+            return df.withColumn(INPUT_FILE, F.col("_metadata.file_path")) if provenance else df
     reader = spark.read.format(save_format)
     if save_format in ("parquet", "orc"):
         reader = reader.option("mergeSchema", str(merge_schema).lower())

@@ -375,6 +375,30 @@ def q_write_read_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return t.select(*ORDER_COLS, "o_comment", "__op", "__source_ts_ms", epoch_s())
 
 
+@register("read_widened", f"""
+SELECT o_orderkey, o_custkey, CAST(CAST(o_totalprice AS FLOAT) AS DOUBLE) AS o_totalprice,
+       {op_sql('o_orderkey')} AS __op FROM orders""")
+def q_read_widened(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S4 + evolution: one table written as int32 then int64 keys, read back widened."""
+    o = table(spark, sf_dir, "orders")
+    k = F.col("o_orderkey")
+    narrow = o.filter(k % 2 == 0).withColumn("o_custkey", F.col("o_custkey").cast("int")) \
+        .withColumn("o_totalprice", F.col("o_totalprice").cast("float"))
+    wide = o.filter(k % 2 == 1)
+    cols = ["o_orderkey", "o_custkey", "o_totalprice"]
+    base = scratch_path(spark, "read_widened")
+    cfg = CdcConfig(base_path=base)
+    for part, i in ((narrow, 0), (wide, 1)):
+        kk = F.col("o_orderkey")
+        ev = encode_events(part.select(*cols), ORDERS, op=op_rule(kk), lsn=kk, source_ts_ms=kk)
+        ingest_batch(ev, cfg, batch_id=i, batch_time_ms=BATCH_TIME_MS + i)
+    t = read_table(spark, f"{base}/{ORDERS}", ingest_log=f"{base}/_ingest_log")
+    # Rows written as float32 widen exactly to double; rows written as float64 are compared at float32
+    # precision so both halves meet the same oracle expression.
+    return t.select("o_orderkey", "o_custkey",
+                    F.col("o_totalprice").cast("float").cast("double").alias("o_totalprice"), "__op")
+
+
 @register("append_twice", f"""
 SELECT o_orderkey, {op_sql('o_orderkey')} AS __op FROM orders
 UNION ALL SELECT o_orderkey, {op_sql('o_orderkey')} AS __op FROM orders""")

@@ -47,10 +47,12 @@ def _row_struct(df: DataFrame, cols: Sequence[str]) -> tuple[Column, list[dict]]
     return F.struct(*values), nodes
 
 
-def _value_text(schema: dict | None, payload: Column) -> Column:
+def _value_text(schema: dict | None | str, payload: Column) -> Column:
     body = F.to_json(payload, JSON_OPTS)
     if schema is None:
         return body
+    if schema == "null":
+        return F.concat(F.lit('{"schema":null,"payload":'), body, F.lit("}"))
     text = json.dumps(schema, separators=(",", ":"))
     return F.concat(F.lit('{"schema":' + text + ',"payload":'), body, F.lit("}"))
 
@@ -108,7 +110,7 @@ def encode_events(
     lsn: Column | None = None,
     versions: Sequence[tuple[Column | None, Sequence[str]]] | None = None,
     before_overrides: dict[str, Column] | None = None,
-    with_schema: bool = True,
+    with_schema: bool | str = True,
     connector: str | Column = "postgresql",
     server: str = "testc",
     db: str = "inventory",
@@ -169,7 +171,7 @@ def encode_events(
                                  {"type": "int64", "optional": True, "field": "ts_ms"}]}
         else:
             raise ValueError(f"unknown style {style!r}")
-        return _value_text(schema if with_schema else None, payload)
+        return _value_text(schema if with_schema is True else ("null" if with_schema == "null" else None), payload)
 
     def by_connector(cols: Sequence[str], with_ts: bool) -> Column:
         if isinstance(connector, Column):

@@ -19,7 +19,7 @@ from .config import CdcConfig, scratch_path
 from .functions.columns import epoch_days, epoch_micros, long_div, partition_date, target_path, write_id
 from .operators.decode import decode_key
 from .operators.envelope import drop_tombstones, include_tables, split_malformed
-from .operators.reports import batch_sizes, batch_utilisation, lag_report, progress_report
+from .operators.reports import batch_sizes, batch_utilisation, lag_report, progress_by_interval, progress_report
 from .operators.transform import normalize_source
 from .plans.compact import compact_partition
 from .plans.ingest import decode_events, discover_groups, ingest_batch, key_events
@@ -153,6 +153,23 @@ def q_decode_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
     return df.select(*[c for c in df.columns if c != "__source_ts"], epoch_s())
 
 
+@register("decode_null_schema", f"""
+SELECT s_suppkey, s_name, CAST(s_nationkey AS BIGINT) AS s_nationkey, s_acctbal,
+       {op_sql('s_suppkey')} AS __op, 'supplier' AS __table, s_suppkey AS __lsn,
+       1700000000000 + s_suppkey AS __source_ts_ms,
+       CASE WHEN s_suppkey % 10 = 0 THEN 'true' ELSE 'false' END AS __deleted,
+       (1700000000000 + s_suppkey) // 1000 AS source_ts_epoch_s
+FROM supplier""")
+def q_decode_null_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S3 on ``{"schema":null,"payload":...}`` envelopes: payload schema inferred."""
+    s = table(spark, sf_dir, "supplier")
+    k = F.col("s_suppkey")
+    ev = encode_events(s, SUPPLIER, key=["s_suppkey"], op=op_rule(k),
+                       source_ts_ms=F.lit(1_700_000_000_000).cast("bigint") + k, lsn=k, with_schema="null")
+    df = decoded(ev)
+    return df.select(*[c for c in df.columns if c != "__source_ts"], epoch_s())
+
+
 @register("key_extract", "SELECT 'testc.inventory.orders' AS destination, o_orderkey FROM orders")
 def q_key_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Key payload decoded with the key schema."""
@@ -542,6 +559,21 @@ def q_progress_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return progress_report(log)
 
 
+@register("progress_interval", """
+SELECT event_type AS destination,
+       (epoch_us(ts) // 1000000 // 3600) * 3600 AS interval_start_s,
+       CAST(count(*) AS BIGINT) AS rows
+FROM events GROUP BY 1, 2""")
+def q_progress_interval(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A4: rows landed per destination per fixed interval (here one hour)."""
+    e = table(spark, sf_dir, "events")
+    log = e.groupBy(F.col("event_type").alias("destination"),
+                    long_div(epoch_micros("ts"), 1000).alias("batch_time_ms")).agg(F.count(F.lit(1)).alias("rows"))
+    out = progress_by_interval(log, interval="1 hour")
+    return out.select("destination", F.unix_seconds(F.col("interval.start")).alias("interval_start_s"),
+                      F.col("rows").cast("bigint").alias("rows"))
+
+
 @register("compact_partition", """
 SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax,
        l_returnflag, l_linestatus, epoch_us(l_shipdate) AS l_shipdate

@@ -1,0 +1,65 @@
+import datetime as dt
+import json
+import os
+
+from pyspark.sql import functions as F
+
+from cdclake import CdcConfig, encode_events, ingest_batch, read_table
+from cdclake.plans.ingest import decode_events
+
+
+def frame(spark):
+    return spark.createDataFrame(
+        [(1, "a", None, dt.date(2020, 1, 2), dt.datetime(2020, 1, 2, 3, 4, 5, 600000)),
+         (2, None, 2.5, None, None)],
+        "id bigint, name string, amount double, d date, ts timestamp_ntz")
+
+
+def test_flat_encoding_keeps_nulls_and_wire_types(spark):
+    ev = encode_events(frame(spark), "s.db.t", key=["id"], op=F.lit("c"), source_ts_ms=F.lit(5), lsn=F.col("id"))
+    rows = sorted(ev.collect(), key=lambda r: r["key"])
+    v = json.loads(rows[0]["value"])
+    assert v["payload"]["amount"] is None and "amount" in v["payload"]
+    assert v["payload"]["d"] == 18263 and v["payload"]["ts"] == 1577934245600000
+    assert [f["type"] for f in v["schema"]["fields"][:5]] == ["int64", "string", "float64", "int32", "int64"]
+    assert v["schema"]["fields"][3]["name"] == "io.debezium.time.Date"
+    assert v["payload"]["__table"] == "t" and v["payload"]["__deleted"] == "false"
+    assert json.loads(rows[0]["key"]) == {"schema": json.loads(rows[0]["key"])["schema"], "payload": {"id": 1}}
+
+
+def test_tombstones_versions_and_malformed(spark):
+    df = spark.range(10).select(F.col("id"), (F.col("id") * 2).alias("x"))
+    op = F.when(F.col("id") % 5 == 0, "d").otherwise("c")
+    ev = encode_events(df, "s.db.t", op=op, tombstones=True, versions=[(F.col("id") > 4, ["id", "x"]), (None, ["id"])],
+                       malformed=F.col("id") == 9)
+    assert ev.count() == 12 and ev.filter("value is null").count() == 2
+    good = ev.filter("value is not null and value like '%}'")
+    schemas = {len(json.loads(r["value"])["schema"]["fields"]) for r in good.collect()}
+    assert schemas == {5, 6}  # 1 or 2 row fields + __op, __table, __lsn, __deleted
+    groups = decode_events(ev.filter(F.col("value").isNull() | F.col("value").endswith("}")))
+    assert sorted(g.rows for g, _ in groups) == [4, 5]
+
+
+def test_envelope_dialects_and_schemaless(spark):
+    df = spark.range(4).select("id")
+    conn = F.when(F.col("id") % 2 == 0, "postgresql").otherwise("mysql")
+    op = F.when(F.col("id") == 0, "d").when(F.col("id") == 1, "u").otherwise("r")
+    ev = encode_events(df, "s.db.t", style="envelope", op=op, connector=conn, source_ts_ms=F.lit(1000), lsn=F.col("id"))
+    vals = {json.loads(r["value"])["payload"]["source"]["connector"]: json.loads(r["value"]) for r in ev.collect()}
+    assert set(vals) == {"postgresql", "mysql"}
+    assert "lsn" in vals["postgresql"]["payload"]["source"] and "pos" in vals["mysql"]["payload"]["source"]
+    by_op = {json.loads(r["value"])["payload"]["op"]: json.loads(r["value"])["payload"] for r in ev.collect()}
+    assert by_op["d"]["after"] is None and by_op["d"]["before"] == {"id": 0}
+    assert by_op["r"]["before"] is None and by_op["r"]["source"]["snapshot"] in (True, "true")
+    plain = encode_events(df, "s.db.t", with_schema=False).first()["value"]
+    assert "schema" not in json.loads(plain)
+    nulls = encode_events(df, "s.db.t", with_schema="null").first()["value"]
+    assert json.loads(nulls)["schema"] is None
+
+
+def test_write_options_compression(spark, lake):
+    ev = encode_events(spark.range(50).select("id"), "s.db.t")
+    res = ingest_batch(ev, CdcConfig(base_path=lake, write_options={"compression": "zstd"}), batch_id=0)
+    files = [f for f in os.listdir(res.groups[0].path) if f.endswith(".parquet")]
+    assert files and all(".zstd." in f for f in files)
+    assert read_table(spark, res.groups[0].path).count() == 50

@@ -42,12 +42,18 @@ class TriggerPolicy:
     ``DynamicBatchSizeWait``: kept for name compatibility; behaves like
     ``MaxBatchSizeWait`` for admission, and its utilisation bands are a report
     (:func:`cdclake.operators.reports.batch_utilisation`).
+
+    Each micro-batch is cached while its groups are written, so a stream that
+    may meet a large backlog (a snapshot, a restart after downtime) should
+    bound admission with ``max_files_per_trigger``/``max_bytes_per_trigger``
+    (files) or ``max_batch_size`` (Kafka offsets).
     """
 
     name: str = "NoBatchSizeWait"
     max_batch_size: int | None = None
     max_wait_ms: int = 300_000
     max_files_per_trigger: int | None = None
+    max_bytes_per_trigger: int | None = None  # bytes; file sources only
     available_now: bool = False
 
     def trigger_kwargs(self) -> dict[str, Any]:
@@ -59,6 +65,8 @@ class TriggerPolicy:
 
     def source_options(self, source_format: str) -> dict[str, str]:
         opts: dict[str, str] = {}
+        if source_format != "kafka" and self.max_bytes_per_trigger:
+            opts["maxBytesPerTrigger"] = str(int(self.max_bytes_per_trigger))
         if self.name == "NoBatchSizeWait":
             if self.max_files_per_trigger and source_format != "kafka":
                 opts["maxFilesPerTrigger"] = str(self.max_files_per_trigger)

@@ -80,10 +80,6 @@ def augment_schema(struct: T.StructType) -> T.StructType:
     return out
 
 
-# Keys of a Connect schema node that do not change the Spark type.
-_TYPE_NEUTRAL_KEYS = ("optional", "name", "version", "doc", "default", "parameters")
-
-
 def canonical_schema(schema: Any) -> str | None:
     """Canonical text of a schema: the Spark type it compiles to.
 

@@ -26,6 +26,7 @@ from collections import OrderedDict
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -34,7 +35,7 @@ from ..config import CdcConfig, default_parallelism, shared_dir
 from ..functions.columns import partition_date_text, target_path_text
 from ..functions.schema import SOURCE_TS_MS, canonical_schema, connect_schema_to_struct
 from ..operators.decode import decode_payload, infer_payload_schema
-from ..operators.envelope import (KIND_DECLARED, KIND_ENVELOPED_NO_SCHEMA, KIND_MALFORMED, KIND_PLAIN,
+from ..operators.envelope import (KIND_DECLARED, KIND_ENVELOPED_NO_SCHEMA, KIND_MALFORMED,
                                   drop_tombstones, event_kind, include_tables, malformed_flag, schema_text)
 from ..operators.transform import add_source_ts, cast_deleted, snapshot_as_insert, unwrap
 
@@ -284,7 +285,7 @@ def ingest_batch(events: DataFrame, cfg: CdcConfig, batch_id: int | None = None,
         ev = include_tables(ev, cfg.include_tables)
     ev = spread(ev, cfg.min_partitions)
     keyed = (key_events(ev, check_malformed=cfg.on_malformed == "quarantine")
-             .sortWithinPartitions("gid", "destination").persist())
+             .sortWithinPartitions("gid", "destination").persist(StorageLevel.MEMORY_AND_DISK))
     result = BatchResult(batch_id, batch_time_ms)
     try:
         groups = discover_groups(keyed, cfg.max_groups)
@@ -376,4 +377,4 @@ def append_ingest_log(spark, cfg: CdcConfig, result: BatchResult) -> None:
 
 
 __all__ = ["BatchResult", "GroupResult", "SchemaGroup", "append_ingest_log", "decode_events", "decode_group", "discover_groups",
-           "group_path", "ingest_batch", "key_events", "write_group", "KIND_PLAIN"]
+           "group_path", "ingest_batch", "key_events", "spread", "write_group"]

@@ -15,7 +15,7 @@ from typing import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .config import CdcConfig, scratch_path
+from .config import CdcConfig, TriggerPolicy, scratch_path
 from .functions.columns import epoch_days, epoch_micros, long_div, partition_date, target_path, write_id
 from .operators.decode import decode_key
 from .operators.envelope import drop_tombstones, include_tables, split_malformed
@@ -26,7 +26,6 @@ from .plans.ingest import decode_events, discover_groups, ingest_batch, key_even
 from .sources.encode import encode_events
 from .sources.events import read_event_stream, write_events
 from .sources.tables import COMMIT_FILES, commit_files, read_table
-from .config import TriggerPolicy
 from .streaming.stream import start_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -449,6 +448,27 @@ def q_stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
                       .agg(F.count(F.lit(1)).alias("rows")) for d in (ORDERS, CUSTOMER)])
 
 
+@register("stream_progress", """
+SELECT 'testc.inventory.orders' AS destination, CAST(3 AS BIGINT) AS batches, count(*) AS total_rows FROM orders
+UNION ALL SELECT 'testc.inventory.customer' AS destination, CAST(3 AS BIGINT) AS batches, count(*) AS total_rows
+FROM customer""")
+def q_stream_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A4 on the stream's own ingest log: running totals batch by batch."""
+    src = scratch_path(spark, "progress_src")
+    base = scratch_path(spark, "progress_lake")
+    write_events(union_all([orders_events(spark, sf_dir), customer_events(spark, sf_dir)]), src, files=3)
+    policy = TriggerPolicy(max_files_per_trigger=1, available_now=True)
+    q = start_stream(read_event_stream(spark, src, policy=policy), CdcConfig(base_path=base),
+                     scratch_path(spark, "progress_ckpt"), policy=policy, batch_time_ms=lambda i: BATCH_TIME_MS + i)
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    log = spark.read.parquet(f"{base}/_ingest_log").groupBy("destination", "batch_id").agg(F.sum("rows").alias("rows"))
+    run = progress_report(log)
+    return run.groupBy("destination").agg(F.count(F.lit(1)).alias("batches"),
+                                          F.max("running_total").alias("total_rows"))
+
+
 FORMAT_SQL = f"""
 SELECT o_orderkey, o_totalprice, o_orderstatus, epoch_us(o_orderdate) AS o_orderdate,
        {op_sql('o_orderkey')} AS __op, {DELETED_SQL} AS __deleted

@@ -197,3 +197,12 @@ def test_null_destination_path_fails(spark):
         df.select(target_path("d", "s3a://b")).collect()
     with pytest.raises(ValueError):
         target_path_text(None, "s3a://b")
+
+
+def test_inferred_conflicting_types_become_strings(spark):
+    df = events(spark, [("t", None, '{"a":1,"b":{"x":1},"c":[1,2]}'), ("t", None, '{"a":"x","b":5,"c":["y"]}')])
+    (g, out), = decode_events(df)
+    types = dict(out.dtypes)
+    assert types["a"] == "string" and types["b"] == "string"
+    got = sorted(r["a"] for r in out.collect())
+    assert got == ["1", "x"]

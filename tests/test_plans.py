@@ -1,0 +1,66 @@
+"""Physical-plan properties the design relies on at scale (checked with explain())."""
+
+import contextlib
+import io
+import re
+
+from pyspark.sql import functions as F
+
+from cdclake import CdcConfig, encode_events, ingest_batch, read_table
+from cdclake.plans.ingest import decode_group, discover_groups, key_events
+from helpers import events, flat, fld
+
+
+def plan(df) -> str:
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain(mode="formatted")
+    return buf.getvalue()
+
+
+def tree(df) -> str:
+    return plan(df).split("\n\n")[0]
+
+
+F1 = [fld("id", "int64"), fld("name", "string")]
+
+
+def cached_batch(spark):
+    ev = events(spark, [(d, None, flat(F1, {"id": i, "name": "x"})) for d in ("a", "b") for i in range(20)])
+    return key_events(ev).sortWithinPartitions("gid", "destination").persist()
+
+
+def test_group_decode_is_shuffle_free(spark):
+    keyed = cached_batch(spark)
+    groups = discover_groups(keyed, 10)
+    df = decode_group(keyed, groups[0], CdcConfig(base_path=""), 0)
+    t = tree(df)
+    assert "InMemoryTableScan" in t and "Exchange" not in t
+    assert re.search(r"Arguments: \[gid#\d+L, value#\d+\], \[\(gid#\d+L = ", plan(df))  # filter reaches the cache scan
+    keyed.unpersist()
+
+
+def test_discovery_combines_map_side_without_resorting(spark):
+    keyed = cached_batch(spark)
+    agg = keyed.groupBy("gid", "destination").agg(F.count(F.lit(1)), F.any_value("value"))
+    t = tree(agg)
+    below_exchange = t.split("Exchange")[1]
+    assert "Aggregate" in below_exchange  # partial aggregate before the shuffle
+    assert not re.search(r"[+-] \* ?Sort \(|[+-] Sort \(", below_exchange.split("InMemoryRelation")[0])  # cache order reused
+    keyed.unpersist()
+
+
+def test_read_back_prunes_partitions_and_pushes_filters(spark, lake):
+    ev = events(spark, [("t", None, flat(F1, {"id": i, "name": "x"}, op="d" if i % 2 else "c")) for i in range(10)])
+    ingest_batch(ev, CdcConfig(base_path=lake, partition=True), batch_id=0, batch_time_ms=1_700_000_000_000)
+    df = read_table(spark, f"{lake}/t").filter("dt = '2023-11-14' and __op = 'd'").select("id")
+    p = plan(df)
+    assert "PartitionFilters: [isnotnull(dt" in p and "EqualTo(__op,d)" in p
+    assert re.search(r"ReadSchema: struct<id:bigint,__op:string", p)
+    assert df.count() == 5
+
+
+def test_encoding_is_a_narrow_projection(spark):
+    df = spark.range(100).select("id", (F.col("id") * 2).alias("x"))
+    t = tree(encode_events(df, "s.db.t", key=["id"]))
+    assert "Exchange" not in t

@@ -27,7 +27,7 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -137,38 +137,71 @@ def spread(events: DataFrame, min_partitions: int | None) -> DataFrame:
     return events
 
 
+SCHEMA_HEAD = '{"schema":'
+
+
+def schema_sample(value: str = "value") -> Column:
+    """``{"schema":<schema text>`` of an event, without its payload.
+
+    Standard events give their raw text up to ``,"payload":`` (no parse);
+    others their parsed schema text. Discovery aggregates this instead of the
+    event itself, so a group's sample stays the size of its schema however
+    large the payloads are (long texts, wide rows).
+    """
+    v = F.col(value)
+    return F.when(v.startswith(ENVELOPE_HEAD), F.substring_index(v, PAYLOAD_KEY, 1)).otherwise(
+        F.concat(F.lit(SCHEMA_HEAD), schema_text(value)))
+
+
+def _sample_schema(sample: str):
+    """The schema object of a :func:`schema_sample` text (raises ``ValueError`` if it is not one JSON value)."""
+    return json.loads(sample[len(SCHEMA_HEAD):])
+
+
 def _prefix_is_schema(sample: str) -> bool:
     """True when the text between the head and the first ``,"payload":`` is one whole JSON value."""
-    head = sample.split(PAYLOAD_KEY, 1)[0][len('{"schema":'):]
     try:
-        json.loads(head)
+        _sample_schema(sample.split(PAYLOAD_KEY, 1)[0])
         return True
     except ValueError:
         return False
 
 
 def _exact_subgroups(keyed: DataFrame, gid: int, max_groups: int) -> list[tuple[int, int, str]]:
+    exact = schema_text("value")
     sub = (keyed.filter(F.col("gid") == gid)
-           .groupBy(F.xxhash64(schema_text("value")).alias("h"))
-           .agg(F.count(F.lit(1)).alias("rows"), F.any_value("value").alias("sample"))
+           .groupBy(F.xxhash64(exact).alias("h"))
+           .agg(F.count(F.lit(1)).alias("rows"),
+                F.any_value(F.concat(F.lit(SCHEMA_HEAD), exact)).alias("sample"))
            .limit(max_groups + 1).collect())
     if len(sub) > max_groups:
         raise ValueError(f"more than {max_groups} schema versions behind one key")
     return [(r["h"], r["rows"], r["sample"]) for r in sub]
 
 
-def discover_groups(keyed: DataFrame, max_groups: int) -> list[SchemaGroup]:
-    """Distinct (destination, gid) with row counts and one sample event each.
+def group_counts(keyed: DataFrame) -> DataFrame:
+    """One row per (gid, destination): row count, kind and a schema sample.
 
     The aggregation combines map-side, so its shuffle carries one row per
-    group per partition. Groups whose schemas compile to the same Spark type
-    are merged (they differ only in names, versions or optional flags).
+    group per partition, and that row holds the schema text only (see
+    :func:`schema_sample`), never a payload.
     """
     # Grouped in the cache's sort order (gid, destination): the partial
     # aggregate then needs no sort of its own, even with a string sample.
-    agg = (keyed.groupBy("gid", "destination")
-           .agg(F.count(F.lit(1)).alias("rows"), F.first("kind").alias("kind"), F.any_value("value").alias("sample")))
-    found = agg.limit(max_groups + 1).collect()
+    # ``any_value`` evaluates the sample only for the first row of each group.
+    return (keyed.groupBy("gid", "destination")
+            .agg(F.count(F.lit(1)).alias("rows"), F.first("kind").alias("kind"),
+                 F.any_value(schema_sample("value")).alias("sample")))
+
+
+def discover_groups(keyed: DataFrame, max_groups: int) -> list[SchemaGroup]:
+    """Distinct (destination, schema) groups of a keyed batch (:func:`group_counts`).
+
+    Only one row per group reaches the driver, and at most ``max_groups + 1``.
+    Groups whose schemas compile to the same Spark type are merged (they
+    differ only in names, versions or optional flags).
+    """
+    found = group_counts(keyed).limit(max_groups + 1).collect()
     if len(found) > max_groups:
         raise ValueError(f"batch has more than {max_groups} (destination, schema) groups; raise max_groups or "
                          "shorten the trigger")
@@ -178,7 +211,7 @@ def discover_groups(keyed: DataFrame, max_groups: int) -> list[SchemaGroup]:
         text = struct = canon = None
         if kind == KIND_DECLARED:
             try:
-                text = json.dumps(json.loads(sample)["schema"], separators=(",", ":"))
+                text = json.dumps(_sample_schema(sample), separators=(",", ":"))
             except ValueError as e:
                 raise ValueError(f"malformed change event for destination {dest!r}: {e}") from e
             struct = connect_schema_to_struct(text)
@@ -376,5 +409,5 @@ def append_ingest_log(spark, cfg: CdcConfig, result: BatchResult) -> None:
         f"{cfg.base_path.rstrip('/')}/{INGEST_LOG_DIR}")
 
 
-__all__ = ["BatchResult", "GroupResult", "SchemaGroup", "append_ingest_log", "decode_events", "decode_group", "discover_groups",
+__all__ = ["BatchResult", "GroupResult", "SchemaGroup", "append_ingest_log", "schema_sample", "decode_events", "decode_group", "discover_groups", "group_counts",
            "group_path", "ingest_batch", "key_events", "spread", "write_group"]

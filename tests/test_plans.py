@@ -7,7 +7,7 @@ import re
 from pyspark.sql import functions as F
 
 from cdclake import CdcConfig, encode_events, ingest_batch, read_table
-from cdclake.plans.ingest import decode_group, discover_groups, key_events
+from cdclake.plans.ingest import decode_group, discover_groups, group_counts, key_events
 from helpers import events, flat, fld
 
 
@@ -42,7 +42,7 @@ def test_group_decode_is_shuffle_free(spark):
 
 def test_discovery_combines_map_side_without_resorting(spark):
     keyed = cached_batch(spark)
-    agg = keyed.groupBy("gid", "destination").agg(F.count(F.lit(1)), F.any_value("value"))
+    agg = group_counts(keyed)
     t = tree(agg)
     below_exchange = t.split("Exchange")[1]
     assert "Aggregate" in below_exchange  # partial aggregate before the shuffle
@@ -64,3 +64,17 @@ def test_encoding_is_a_narrow_projection(spark):
     df = spark.range(100).select("id", (F.col("id") * 2).alias("x"))
     t = tree(encode_events(df, "s.db.t", key=["id"]))
     assert "Exchange" not in t
+
+
+def test_discovery_ships_schema_text_not_payloads(spark):
+    big = "w" * 50_000
+    ev = events(spark, [("a", None, flat(F1, {"id": i, "name": big})) for i in range(8)]
+                + [("b", None, '{"payload":{"id":1,"name":"' + big + '"},"schema":' + __import__("json").dumps(
+                    {"type": "struct", "fields": F1}) + '}')])
+    keyed = key_events(ev).sortWithinPartitions("gid", "destination").persist()
+    samples = [r["sample"] for r in group_counts(keyed).collect()]
+    assert len(samples) == 2 and all(len(s) < 1000 and big not in s for s in samples)
+    groups = discover_groups(keyed, 10)
+    assert sorted((g.destination, g.rows, g.struct.fieldNames()[:2] == ["id", "name"]) for g in groups) == [
+        ("a", 8, True), ("b", 1, True)]
+    keyed.unpersist()

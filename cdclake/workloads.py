@@ -496,6 +496,75 @@ def q_write_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _format_roundtrip(spark, sf_dir, "orc")
 
 
+# --- whole texts and vectors ---------------------------------------------------
+
+# The text tables landed together (table, key columns, text column, tag column).
+TEXT_TABLES = (
+    ("documents", ("doc_id",), "text", "lang"),
+    ("conversations", ("conv_id", "turn"), "text", "role"),
+    ("pages", ("page_id",), "html", "url"),
+    ("benchmark", ("item_id",), "text", None),
+)
+CORPUS = "testc.corpus"
+
+
+def text_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row of the text tables as change events, one destination per table."""
+    frames = []
+    for name, keys, _, _ in TEXT_TABLES:
+        k = F.col(keys[0])
+        frames.append(encode_events(table(spark, sf_dir, name), f"{CORPUS}.{name}", key=list(keys), op=op_rule(k),
+                                    lsn=k, source_ts_ms=F.lit(1_700_000_000_000).cast("bigint") + k))
+    return union_all(frames)
+
+
+def _texts_sql() -> str:
+    parts = []
+    for name, keys, text, tag in TEXT_TABLES:
+        sub = keys[1] if len(keys) > 1 else "CAST(NULL AS BIGINT)"
+        tg = tag if tag else "CAST(NULL AS VARCHAR)"
+        parts.append(f"SELECT '{name}' AS tbl, {keys[0]} AS id, {sub} AS sub, {op_sql(keys[0])} AS __op, "
+                     f"length({text}) AS chars, md5({text}) AS text_md5, {tg} AS tag FROM {name}")
+    return "\nUNION ALL ".join(parts)
+
+
+@register("land_texts", _texts_sql())
+def q_land_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K1 P4 S2 on whole texts: four text tables (long multilingual documents with
+    control characters, chat turns, raw HTML) landed in one batch and read back;
+    every text must come back whole (length and MD5 of the full text)."""
+    base = scratch_path(spark, "land_texts")
+    ingest_batch(text_events(spark, sf_dir), CdcConfig(base_path=base), batch_id=0, batch_time_ms=BATCH_TIME_MS)
+    out = []
+    for name, keys, text, tag in TEXT_TABLES:
+        t = read_table(spark, f"{base}/{CORPUS}.{name}", provenance=False)
+        out.append(t.select(
+            F.lit(name).alias("tbl"), F.col(keys[0]).alias("id"),
+            (F.col(keys[1]) if len(keys) > 1 else F.lit(None).cast("bigint")).alias("sub"), "__op",
+            F.length(text).cast("bigint").alias("chars"), F.md5(F.col(text)).alias("text_md5"),
+            (F.col(tag) if tag else F.lit(None).cast("string")).alias("tag")))
+    return union_all(out)
+
+
+@register("land_vectors", f"""
+SELECT vec_id, label, __op, CAST(pos AS BIGINT) AS pos, CAST(val AS DOUBLE) AS val
+FROM (SELECT vec_id, label, {op_sql('vec_id')} AS __op, unnest(range(len(embedding))) AS pos,
+             unnest(embedding) AS val
+      FROM embeddings)""")
+def q_land_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C1 (array) K1: float32 embedding vectors as Connect ``array`` fields, landed as
+    ``array<float>`` and read back element by element."""
+    e = table(spark, sf_dir, "embeddings")
+    k = F.col("vec_id")
+    ev = encode_events(e, f"{CORPUS}.embeddings", key=["vec_id"], op=op_rule(k), lsn=k)
+    base = scratch_path(spark, "land_vectors")
+    res = ingest_batch(ev, CdcConfig(base_path=base), batch_id=0, batch_time_ms=BATCH_TIME_MS)
+    t = read_table(spark, res.groups[0].path, provenance=False)
+    return (t.select("vec_id", "label", "__op", F.posexplode("embedding").alias("pos", "val"))
+            .select("vec_id", "label", "__op", F.col("pos").cast("bigint").alias("pos"),
+                    F.col("val").cast("double").alias("val")))
+
+
 # --- reports and maintenance -------------------------------------------------
 
 @register("file_batch_sizes", """

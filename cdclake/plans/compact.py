@@ -6,9 +6,12 @@ import math
 import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+# Fixed value: default size of a compacted file.
+TARGET_FILE_BYTES = 512 * 1024 * 1024
+
 
 @dataclass
 class CompactResult:
@@ -19,42 +22,77 @@ class CompactResult:
     files_after: int
 
 
-def _fingerprint(df: DataFrame) -> tuple[int, int]:
-    """(row count, order-free content checksum) in one aggregation job."""
+def _fingerprint_cols(df: DataFrame) -> list[Column]:
+    """Row count and an order-free content checksum (sum of row hashes)."""
     h = F.xxhash64(*[F.col(c) for c in df.columns]).cast("decimal(38,0)")
-    r = df.select(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(h), F.lit(0)).alias("h")).first()
+    return [F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(h), F.lit(0)).alias("h")]
+
+
+def _fingerprint(df: DataFrame) -> tuple[int, int]:
+    r = df.select(*_fingerprint_cols(df)).first()
     return int(r["n"]), int(r["h"])
 
 
-def _file_count(spark: SparkSession, path: str, save_format: str) -> int:
-    # File listing only (driver-side index), no scan.
-    return len(spark.read.format(save_format).load(path).inputFiles())
+def _listing(spark: SparkSession, path: str) -> tuple[int, int]:
+    """(data files, bytes) under ``path``: one recursive listing on the driver, no scan.
+
+    Names starting with ``_`` or ``.`` (commit markers, summaries, checksums)
+    are not data, as for Spark's file index.
+    """
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    base = root.toUri().getPath().rstrip("/")
+    it = fs.listFiles(root, True)
+    files = size = 0
+    while it.hasNext():
+        st = it.next()
+        rel = st.getPath().toUri().getPath()[len(base):].strip("/")
+        if any(part.startswith(("_", ".")) for part in rel.split("/")):
+            continue
+        files += 1
+        size += int(st.getLen())
+    return files, size
 
 
 def compact_partition(spark: SparkSession, path: str, *, save_format: str = "parquet", files: int | None = None,
-                      rows_per_file: int | None = None, target_path: str | None = None,
-                      verify: bool = True) -> CompactResult:
+                      rows_per_file: int | None = None, target_file_bytes: int = TARGET_FILE_BYTES,
+                      target_path: str | None = None, verify: bool = True) -> CompactResult:
     """Rewrite the files under ``path`` into fewer, larger files at ``target_path``.
 
+    The number of output files is ``files`` if given, else derived from
+    ``rows_per_file`` (row count), else from the bytes on storage divided by
+    ``target_file_bytes``; so a large partition still gets many writer tasks.
+    Input partitions of small files are already packed by the scan
+    (``spark.sql.files.maxPartitionBytes``); ``coalesce`` merges them into the
+    output count without a shuffle.
+
     The source is never overwritten in place: the result goes to a new path
-    (default: a sibling ``<path>.compacted-<id>``) and is verified by row count
-    and content checksum before it is returned; swapping it in is the caller's
-    step. Input partitions of small files are already packed by the scan
-    (``spark.sql.files.maxPartitionBytes``); ``coalesce`` then merges them
-    into ``files`` outputs without a shuffle.
+    (default: a sibling ``<path>.compacted-<id>``). With ``verify`` the row
+    count and content checksum of the source are observed during the write
+    itself (one scan), then compared with one scan of the result; swapping
+    the result in is the caller's step.
     """
     src = spark.read.format(save_format).option("mergeSchema", "true").load(path)
-    before = _fingerprint(src) if verify else None
-    n_rows = before[0] if before else src.count()
+    files_before, bytes_before = _listing(spark, path)
     if files is None:
-        files = max(1, math.ceil(n_rows / rows_per_file)) if rows_per_file else max(1, src.rdd.getNumPartitions())
+        if rows_per_file:
+            files = max(1, math.ceil(src.count() / rows_per_file))
+        else:
+            files = max(1, math.ceil(bytes_before / target_file_bytes))
     out = target_path or f"{path.rstrip('/')}.compacted-{uuid.uuid4().hex[:8]}"
-    writer = src.coalesce(files).write.mode("errorifexists").format(save_format)
+    obs = Observation(f"compact_{uuid.uuid4().hex}")
+    data = src.observe(obs, *_fingerprint_cols(src))
+    if files < src.rdd.getNumPartitions():
+        data = data.coalesce(files)
+    writer = data.write.mode("errorifexists").format(save_format)
     if rows_per_file:
         writer = writer.option("maxRecordsPerFile", str(rows_per_file))
     writer.save(out)
+    seen = obs.get
+    before = (int(seen["n"]), int(seen["h"]))
     if verify:
         after = _fingerprint(spark.read.format(save_format).option("mergeSchema", "true").load(out))
         if after != before:
             raise RuntimeError(f"compaction changed the data of {path}: {before} -> {after}")
-    return CompactResult(path, out, n_rows, _file_count(spark, path, save_format), _file_count(spark, out, save_format))
+    return CompactResult(path, out, before[0], files_before, _listing(spark, out)[0])

@@ -46,3 +46,16 @@ def test_compaction_keeps_rows_and_reduces_files(spark, lake):
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
     with pytest.raises(Exception):
         compact_partition(spark, src, files=1, target_path=out.target_path)
+
+
+def test_compaction_sizes_output_by_bytes(spark, lake):
+    from cdclake.plans.compact import _listing
+
+    f = [fld("id", "int64"), fld("v", "string")]
+    ev = events(spark, [("t", None, flat(f, {"id": i, "v": "x" * 200})) for i in range(400)]).repartition(8)
+    src = ingest_batch(ev, CdcConfig(base_path=lake), batch_id=0).groups[0].path
+    n_files, n_bytes = _listing(spark, src)
+    assert n_files == 8
+    out = compact_partition(spark, src, target_file_bytes=n_bytes // 3 + 1)
+    assert out.files_after == 3 and out.rows == 400
+    assert compact_partition(spark, src).files_after == 1  # default target: one file for a small partition

@@ -19,6 +19,7 @@ from pyspark.sql import SparkSession
 SINK_PREFIX = "debezium.sink.sparkbatch."
 BATCH_PREFIX = "debezium.sink.batch."
 SOURCE_PREFIX = "debezium.source."
+HEADERS_KEY = "debezium.transforms.unwrap.add.headers"
 
 
 def config_subset(props: Mapping[str, Any], prefix: str) -> dict[str, str]:
@@ -118,6 +119,7 @@ class CdcConfig:
     ingest_log: bool = True
     min_partitions: int | None = None  # default: the session's default parallelism
     trigger: TriggerPolicy = field(default_factory=TriggerPolicy)
+    header_fields: tuple[str, ...] = ()  # as ``add.headers``: ``db`` lands header ``__db`` as column ``__db``
 
     def with_(self, **kw: Any) -> "CdcConfig":
         return replace(self, **kw)
@@ -150,6 +152,7 @@ class CdcConfig:
             dest_regexp=batch.get("destination-regexp", ""),
             dest_replace=batch.get("destination-regexp-replace", ""),
             trigger=policy,
+            header_fields=tuple(h.strip() for h in str(props.get(HEADERS_KEY, "")).split(",") if h.strip()),
         )
 
 

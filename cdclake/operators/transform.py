@@ -125,3 +125,33 @@ def normalize_source(df: DataFrame, source: str = "source", out: str = "source_p
         else:
             parts.append(F.col(source).getField(src).cast(typ).alias(name))
     return df.withColumn(out, F.struct(*parts)).drop(source)
+
+
+HEADERS = "headers"
+
+
+def header_value(headers: Column, dt: T.DataType, key: str) -> Column:
+    """Text of header ``key``: a map lookup, or for the Kafka shape
+    (``array<struct<key, value>>``) the last header with that key."""
+    if isinstance(dt, T.MapType):
+        return headers.getItem(key).cast("string")
+    match = F.filter(headers, lambda h: h.getField("key") == F.lit(key))
+    return F.try_element_at(match, F.lit(-1)).getField("value").cast("string")
+
+
+def add_headers(df: DataFrame, fields: Sequence[str], *, headers: str = HEADERS) -> DataFrame:
+    """Copy header fields into columns and drop the header column.
+
+    ``fields`` are given like the flattening transform's ``add.headers``
+    (``db`` is carried as header ``__db`` and lands as column ``__db``). A
+    payload field of the same name wins; without a header column the fields
+    are null, so the landed schema does not depend on the source.
+    """
+    dt = df.schema[headers].dataType if headers in df.columns else None
+    for spec in fields:
+        name = added_field_name(spec)
+        if name in df.columns:
+            continue
+        value = header_value(F.col(headers), dt, name) if dt is not None else F.lit(None).cast("string")
+        df = df.withColumn(name, value)
+    return df.drop(headers) if dt is not None else df

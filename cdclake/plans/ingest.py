@@ -37,7 +37,7 @@ from ..functions.schema import SOURCE_TS_MS, canonical_schema, connect_schema_to
 from ..operators.decode import decode_payload, infer_payload_schema
 from ..operators.envelope import (KIND_DECLARED, KIND_ENVELOPED_NO_SCHEMA, KIND_MALFORMED,
                                   drop_tombstones, event_kind, include_tables, malformed_flag, schema_text)
-from ..operators.transform import add_source_ts, cast_deleted, snapshot_as_insert, unwrap
+from ..operators.transform import HEADERS, add_headers, add_source_ts, cast_deleted, snapshot_as_insert, unwrap
 
 # Serialise writes per target path across threads and concurrent batches.
 _PATH_LOCKS: dict[str, threading.Lock] = {}
@@ -118,7 +118,8 @@ def key_events(events: DataFrame, check_malformed: bool = False) -> DataFrame:
     kind = F.when(fast, F.lit(KIND_DECLARED)).otherwise(event_kind("value"))
     if check_malformed:
         kind = F.when(malformed_flag("value"), F.lit(KIND_MALFORMED)).otherwise(kind)
-    return (events.select("destination", "key", "value", key_text.alias("__key_text"), kind.alias("kind"))
+    extra = [HEADERS] if HEADERS in events.columns else []
+    return (events.select("destination", "key", "value", *extra, key_text.alias("__key_text"), kind.alias("kind"))
             .withColumn("gid", F.xxhash64("destination", "__key_text", "kind"))
             .drop("__key_text"))
 
@@ -242,8 +243,9 @@ def decode_group(keyed: DataFrame, group: SchemaGroup, cfg: CdcConfig, batch_tim
     """Typed, enriched rows of one group (``only_group``: the frame holds nothing else)."""
     rows = keyed if only_group else keyed.filter(group.condition())
     failfast = cfg.on_malformed == "fail"
+    hkeep = (HEADERS,) if cfg.header_fields and HEADERS in rows.columns else ()
     if group.kind == KIND_DECLARED:
-        df = decode_payload(rows, group.struct, failfast=failfast)
+        df = decode_payload(rows, group.struct, failfast=failfast, keep=hkeep)
         present = None
     else:
         enveloped = group.kind == KIND_ENVELOPED_NO_SCHEMA
@@ -252,10 +254,10 @@ def decode_group(keyed: DataFrame, group: SchemaGroup, cfg: CdcConfig, batch_tim
         payload = F.get_json_object("value", "$.payload") if enveloped else F.col("value")
         present_col = F.array_contains(F.json_object_keys(payload), SOURCE_TS_MS)
         df = decode_payload(rows.withColumn("__present", present_col), struct, enveloped=enveloped,
-                            failfast=failfast, keep=("__present",))
+                            failfast=failfast, keep=("__present",) + hkeep)
         present = F.col("__present") if SOURCE_TS_MS in struct.fieldNames() else None
     if cfg.unwrap and {"op", "source"} <= set(df.columns) and ({"after", "before"} & set(df.columns)):
-        keep = ("__present",) if "__present" in df.columns else ()
+        keep = tuple(c for c in ("__present", HEADERS) if c in df.columns)
         df = unwrap(df, keep=keep)
     if cfg.snapshot_as_insert and "__op" in df.columns:
         df = snapshot_as_insert(df)
@@ -264,6 +266,8 @@ def decode_group(keyed: DataFrame, group: SchemaGroup, cfg: CdcConfig, batch_tim
         df = df.drop("__present")
     if cfg.cast_deleted_field:
         df = cast_deleted(df)
+    if cfg.header_fields:
+        df = add_headers(df, cfg.header_fields)
     return df
 
 

@@ -117,6 +117,7 @@ def encode_events(
     table: str | None = None,
     tombstones: bool = False,
     malformed: Column | None = None,
+    headers: dict[str, Column] | None = None,
 ) -> DataFrame:
     """Encode each row of ``df`` as one change event ``(destination, key, value)``.
 
@@ -127,7 +128,8 @@ def encode_events(
     ``versions``: list of ``(condition, columns[, with_source_ts])``; the first
     matching condition (``None`` = always) picks the row's column set and thus
     its schema version (``with_source_ts=False`` leaves ``__source_ts_ms`` out,
-    like heartbeat events). ``connector`` may be a column of ``'postgresql'`` /
+    like heartbeat events). ``headers`` adds a ``headers`` map column (record
+    headers, e.g. ``{"__db": ...}``). ``connector`` may be a column of ``'postgresql'`` /
     ``'mysql'`` to mix source dialects. ``tombstones`` adds a null-value event
     after every delete; ``malformed`` truncates the JSON text where true.
     """
@@ -194,9 +196,16 @@ def encode_events(
         kschema = {"type": "struct", "optional": False, "name": f"{server}.{db}.{tbl_name or 'table'}.Key", "fields": knodes}
         key_col = _value_text(kschema if with_schema else None, krow)
 
-    out = df.select(dest.alias("destination"), key_col.alias("key"), value.alias("value"), op.alias("__op_tmp"))
+    cols = list(EVENT_COLUMNS)
+    hdr = []
+    if headers:
+        pairs = [x for k, v in headers.items() for x in (F.lit(k), v.cast("string"))]
+        hdr = [F.create_map(*pairs).alias("headers")]
+        cols.append("headers")
+    out = df.select(dest.alias("destination"), key_col.alias("key"), value.alias("value"), *hdr,
+                    op.alias("__op_tmp"))
     if tombstones:
-        out = out.select("destination", "key", F.explode(
+        out = out.select("destination", "key", *cols[3:], F.explode(
             F.when(F.col("__op_tmp") == "d", F.array(F.col("value"), F.lit(None).cast("string")))
             .otherwise(F.array(F.col("value")))).alias("value"))
-    return out.select(*EVENT_COLUMNS)
+    return out.select(*cols)

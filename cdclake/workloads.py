@@ -24,7 +24,7 @@ from .operators.transform import normalize_source
 from .plans.compact import compact_partition
 from .plans.ingest import decode_events, discover_groups, ingest_batch, key_events
 from .sources.encode import encode_events
-from .sources.events import read_event_stream, write_events
+from .sources.events import read_event_stream, read_events, write_events
 from .sources.tables import COMMIT_FILES, commit_files, read_table
 from .streaming.stream import start_stream
 
@@ -496,6 +496,20 @@ def q_write_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _format_roundtrip(spark, sf_dir, "orc")
 
 
+@register("header_fields", f"""
+SELECT o_orderkey, 'inventory' AS __db, CAST(o_custkey AS VARCHAR) AS __customer, {op_sql('o_orderkey')} AS __op
+FROM orders""")
+def q_header_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """U8: header fields (``add.headers``) carried from record headers into landed rows."""
+    headers = {"__db": F.lit("inventory"), "__customer": F.col("o_custkey")}
+    src = scratch_path(spark, "header_src")
+    write_events(orders_events(spark, sf_dir, headers=headers), src)
+    base = scratch_path(spark, "header_lake")
+    cfg = CdcConfig(base_path=base, header_fields=("db", "customer"))
+    res = ingest_batch(read_events(spark, src, headers=True), cfg, batch_id=0, batch_time_ms=BATCH_TIME_MS)
+    return read_table(spark, res.groups[0].path, provenance=False).select("o_orderkey", "__db", "__customer", "__op")
+
+
 # --- whole texts and vectors ---------------------------------------------------
 
 # The text tables landed together (table, key columns, text column, tag column).

@@ -206,3 +206,25 @@ def test_inferred_conflicting_types_become_strings(spark):
     assert types["a"] == "string" and types["b"] == "string"
     got = sorted(r["a"] for r in out.collect())
     assert got == ["1", "x"]
+
+
+def test_add_headers_map_and_kafka_shapes(spark):
+    from cdclake.operators.transform import add_headers
+
+    m = spark.createDataFrame([(1, {"__db": "inv"}), (2, None)], "id int, headers map<string,string>")
+    assert [tuple(r) for r in add_headers(m, ["db", "tx"]).orderBy("id").collect()] == [(1, "inv", None),
+                                                                                       (2, None, None)]
+    k = spark.createDataFrame([(1, [("__db", b"a"), ("__db", b"b")]), (2, [])],
+                              "id int, headers array<struct<key:string, value:binary>>")
+    out = add_headers(k.select("id", F.transform("headers", lambda h: F.struct(
+        h["key"].alias("key"), h["value"].cast("string").alias("value"))).alias("headers")), ["db"])
+    assert out.columns == ["id", "__db"] and [r["__db"] for r in out.orderBy("id").collect()] == ["b", None]
+    p = spark.createDataFrame([(1, "payload", {"__db": "hdr"})], "id int, __db string, headers map<string,string>")
+    assert add_headers(p, ["db"]).first()["__db"] == "payload"  # a payload field wins
+
+
+def test_config_reads_add_headers():
+    from cdclake import CdcConfig
+
+    cfg = CdcConfig.from_properties({"debezium.transforms.unwrap.add.headers": "db, table"}, base_path="/x")
+    assert cfg.header_fields == ("db", "table")

@@ -170,14 +170,18 @@ def default_parallelism(spark: SparkSession) -> int:
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared scratch folder: the session's ``spark.checkpoint.dir``.
 
-    When it is unset (unit tests, a bare local session) a fresh folder is
+    When it is unset on a local-mode session (unit tests) a fresh folder is
     created and registered as the checkpoint directory so that later calls and
-    ``DataFrame.checkpoint()`` agree on it.
+    ``DataFrame.checkpoint()`` agree on it. On a cluster a machine-local
+    folder would not be shared by the executors, so an unset folder is an
+    error there.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir is not set; set it to a folder shared by the cluster")
         d = tempfile.mkdtemp(prefix="cdclake-ckpt-")
         spark.sparkContext.setCheckpointDir(d)
         spark.conf.set("spark.checkpoint.dir", d)

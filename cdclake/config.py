@@ -183,8 +183,8 @@ def shared_dir(spark: SparkSession) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("spark.checkpoint.dir is not set; set it to a folder shared by the cluster")
         d = tempfile.mkdtemp(prefix="cdclake-ckpt-")
+        # Core setting, not changeable at runtime; later calls find it through getCheckpointDir().
         spark.sparkContext.setCheckpointDir(d)
-        spark.conf.set("spark.checkpoint.dir", d)
     return d
 
 

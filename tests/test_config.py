@@ -42,3 +42,32 @@ def test_policy_options():
     assert p.source_options("kafka") == {"minOffsetsPerTrigger": "2048", "maxOffsetsPerTrigger": "2048",
                                          "maxTriggerDelay": "5000ms"}
     assert TriggerPolicy(max_files_per_trigger=3).source_options("json") == {"maxFilesPerTrigger": "3"}
+
+
+class _FakeContext:
+    def __init__(self, master):
+        self.master, self.dir = master, None
+
+    def getCheckpointDir(self):
+        return self.dir
+
+    def setCheckpointDir(self, d):
+        self.dir = d
+
+
+class _FakeSession:
+    def __init__(self, master):
+        self.sparkContext = _FakeContext(master)
+        self.conf = type("Conf", (), {"get": staticmethod(lambda k, default=None: default)})()
+
+
+def test_shared_dir_fallback_only_in_local_mode():
+    import pytest
+
+    from cdclake.config import shared_dir
+
+    local = _FakeSession("local[4]")
+    d = shared_dir(local)
+    assert d and local.sparkContext.dir == d and shared_dir(local) == d  # registered once, then reused
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_dir(_FakeSession("yarn"))

@@ -119,6 +119,7 @@ class CdcConfig:
     ingest_log: bool = True
     min_partitions: int | None = None  # default: the session's default parallelism
     trigger: TriggerPolicy = field(default_factory=TriggerPolicy)
+    idempotent: bool = False  # replayed batch ids replace their own output instead of appending again
     header_fields: tuple[str, ...] = ()  # as ``add.headers``: ``db`` lands header ``__db`` as column ``__db``
 
     def with_(self, **kw: Any) -> "CdcConfig":

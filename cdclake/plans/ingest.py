@@ -45,6 +45,7 @@ _PATH_LOCKS_GUARD = threading.Lock()
 
 QUARANTINE_DIR = "_quarantine"
 INGEST_LOG_DIR = "_ingest_log"
+BATCH_TIMES_DIR = "_batch_times"
 
 
 def _path_lock(path: str) -> threading.Lock:
@@ -300,6 +301,44 @@ def write_group(df: DataFrame, path: str, cfg: CdcConfig, expected_rows: int | N
     return int(obs.get.get("rows", 0))
 
 
+def replay_dir(path: str, batch_id: int, group: SchemaGroup) -> str:
+    """Directory of one (batch, schema group) under ``path`` in idempotent mode.
+
+    Derived from the batch id and the group's schema hash only, so a replay of
+    the same batch id (same offsets, same events) writes to the same place.
+    The ``g`` prefix keeps the hex text from being read back as a number.
+    """
+    tag = f"g{group.gids[0] & 0xFFFFFFFFFFFFFFFF:016x}"
+    if group.exact_hashes:
+        tag += f"-{group.exact_hashes[0] & 0xFFFFFFFFFFFFFFFF:016x}"
+    return f"{path}/batch_id={batch_id}/group={tag}"
+
+
+def stable_batch_time(spark, base_path: str, batch_id: int, proposed_ms: int) -> int:
+    """The batch time recorded by the first attempt of ``batch_id``, else ``proposed_ms`` (recorded now).
+
+    Keeps ``dt=`` folders and default source times of a replayed batch equal
+    to those of the first attempt. One small file per batch id on the lake's
+    file system; no Spark job.
+    """
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(f"{base_path.rstrip('/')}/{BATCH_TIMES_DIR}/{batch_id}")
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        try:
+            out = fs.create(p, False)
+            out.writeBytes(str(int(proposed_ms)))
+            out.close()
+            return int(proposed_ms)
+        except Exception:  # noqa: BLE001 - created concurrently: read the winner's value
+            pass
+    reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(fs.open(p), "UTF-8"))
+    try:
+        return int(reader.readLine())
+    finally:
+        reader.close()
+
+
 def _schema_hash(struct: T.StructType | None) -> str:
     import hashlib
 
@@ -314,9 +353,18 @@ def ingest_batch(events: DataFrame, cfg: CdcConfig, batch_id: int | None = None,
     across destinations (``cfg.parallel_writes`` threads, each a Spark job).
     The batch is acknowledged by the caller only after this returns, so a
     failure replays the whole batch: at-least-once, like the reference.
+    With ``cfg.idempotent`` every (batch, schema group) is written with
+    overwrite to its own :func:`replay_dir` and the batch time of the first
+    attempt is reused, so a replayed batch id replaces its output: the
+    landed rows are exactly-once.
     """
     spark = events.sparkSession
     batch_time_ms = int(batch_time_ms if batch_time_ms is not None else time.time() * 1000)
+    if cfg.idempotent:
+        if batch_id is None:
+            raise ValueError("idempotent writes need a batch id")
+        batch_time_ms = stable_batch_time(spark, cfg.base_path, batch_id, batch_time_ms)
+    wcfg = cfg.with_(save_mode="overwrite") if cfg.idempotent else cfg
     ev = drop_tombstones(events)
     if cfg.include_tables is not None:
         ev = include_tables(ev, cfg.include_tables)
@@ -337,14 +385,18 @@ def ingest_batch(events: DataFrame, cfg: CdcConfig, batch_id: int | None = None,
                     if cfg.on_malformed == "fail":
                         raise ValueError(f"{g.rows} malformed events for destination {dest!r}")
                     path = f"{cfg.base_path.rstrip('/')}/{QUARANTINE_DIR}/{dest}"
+                    if cfg.idempotent:
+                        path = replay_dir(path, batch_id, g)
                     bad = keyed.filter(g.condition()).select(
                         "destination", "key", "value", F.lit(batch_time_ms).cast("bigint").alias("batch_time_ms"))
-                    n = write_group(bad, path, cfg.with_(save_format="json", rows_per_file=None))
+                    n = write_group(bad, path, wcfg.with_(save_format="json", rows_per_file=None))
                     out.append(GroupResult(dest, path, n, 0, "", g.kind))
                     continue
                 df = decode_group(keyed, g, cfg, batch_time_ms)
                 path = group_path(cfg, dest, batch_time_ms)
-                n = write_group(df, path, cfg, g.rows)
+                if cfg.idempotent:
+                    path = replay_dir(path, batch_id, g)
+                n = write_group(df, path, wcfg, g.rows)
                 out.append(GroupResult(dest, path, n, len(df.columns), _schema_hash(g.struct), g.kind,
                                        df.schema.json()))
             return out
@@ -409,9 +461,14 @@ def append_ingest_log(spark, cfg: CdcConfig, result: BatchResult) -> None:
     """One row per written group (bounded by the group count) to ``base/_ingest_log``."""
     rows = [(result.batch_id, result.batch_time_ms, g.destination, g.path, g.rows, g.n_fields, g.schema_hash, g.kind,
              g.schema_json) for g in result.groups]
-    spark.createDataFrame(rows, INGEST_LOG_SCHEMA).coalesce(1).write.mode("append").parquet(
-        f"{cfg.base_path.rstrip('/')}/{INGEST_LOG_DIR}")
+    log = f"{cfg.base_path.rstrip('/')}/{INGEST_LOG_DIR}"
+    out = spark.createDataFrame(rows, INGEST_LOG_SCHEMA).coalesce(1).write
+    if cfg.idempotent:
+        # One folder per batch id, replaced by a replay; read back as a ``log_batch`` column.
+        out.mode("overwrite").parquet(f"{log}/log_batch={result.batch_id}")
+    else:
+        out.mode("append").parquet(log)
 
 
 __all__ = ["BatchResult", "GroupResult", "SchemaGroup", "append_ingest_log", "schema_sample", "decode_events", "decode_group", "discover_groups", "group_counts",
-           "group_path", "ingest_batch", "key_events", "spread", "write_group"]
+           "group_path", "ingest_batch", "key_events", "replay_dir", "stable_batch_time", "spread", "write_group"]

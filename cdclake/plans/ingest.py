@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..config import CdcConfig, default_parallelism, shared_dir
+from ..config import CdcConfig, default_parallelism, scratch_path
 from ..functions.columns import partition_date_text, target_path_text
 from ..functions.schema import SOURCE_TS_MS, canonical_schema, connect_schema_to_struct
 from ..operators.decode import decode_payload, infer_payload_schema
@@ -420,10 +420,13 @@ def decode_events(events: DataFrame, cfg: CdcConfig | None = None, batch_time_ms
     """Decode a frame of events without writing: one typed frame per schema group.
 
     Discovery runs one aggregation job. With more than one group and
-    ``materialize``, the keyed events are checkpointed once (reliably, to the
-    session's checkpoint folder, sorted by group) so that the group frames do
-    not each recompute the whole input; lineage is cut there, which also
-    keeps executor loss cheap. Each returned frame is lazy.
+    ``materialize``, the keyed events are written once to a table in the
+    shared scratch folder (``spark.checkpoint.dir``), partitioned by group id
+    without a shuffle (each task writes its own rows, so a hot group stays
+    spread). Each group frame then reads only its own folder (partition
+    pruning) instead of recomputing the input; lineage is cut there, which
+    also keeps executor loss cheap. Each returned frame is lazy; the table
+    stays in the scratch folder.
     """
     cfg = cfg or CdcConfig(base_path="")
     ev = drop_tombstones(events)
@@ -432,8 +435,10 @@ def decode_events(events: DataFrame, cfg: CdcConfig | None = None, batch_time_ms
     keyed = key_events(spread(ev, cfg.min_partitions), check_malformed=cfg.on_malformed == "quarantine")
     groups = discover_groups(keyed, cfg.max_groups)
     if materialize and len(groups) > 1:
-        shared_dir(keyed.sparkSession)
-        keyed = keyed.sortWithinPartitions("gid", "destination").checkpoint(eager=True)
+        spark = keyed.sparkSession
+        path = scratch_path(spark, "decode_events")
+        keyed.sortWithinPartitions("gid").write.partitionBy("gid").parquet(path)
+        keyed = spark.read.schema(keyed.schema).parquet(path)
     out = []
     for g in groups:
         if g.kind == KIND_MALFORMED:

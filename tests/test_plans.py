@@ -78,3 +78,24 @@ def test_discovery_ships_schema_text_not_payloads(spark):
     assert sorted((g.destination, g.rows, g.struct.fieldNames()[:2] == ["id", "name"]) for g in groups) == [
         ("a", 8, True), ("b", 1, True)]
     keyed.unpersist()
+
+
+def test_hot_table_is_written_from_every_partition(spark, lake):
+    # One table holds 80 % of the batch: its decode-and-write job must keep the batch's
+    # partitioning (one task and file per input partition), not gather the table in one task.
+    rows = [("hot", None, flat(F1, {"id": i, "name": "h"})) for i in range(80)]
+    rows += [(d, None, flat(F1, {"id": i, "name": d})) for d in ("a", "b") for i in range(10)]
+    ev = events(spark, rows).repartition(4)
+    res = ingest_batch(ev, CdcConfig(base_path=lake, min_partitions=4), batch_id=0, batch_time_ms=1)
+    hot = read_table(spark, f"{lake}/hot")
+    assert hot.count() == 80 and hot.select("input_file").distinct().count() == 4
+
+
+def test_decode_events_reads_one_folder_per_group(spark):
+    from cdclake.plans.ingest import decode_events
+
+    ev = events(spark, [(d, None, flat(F1, {"id": i, "name": d})) for d in ("a", "b", "c") for i in range(5)])
+    groups = decode_events(ev)
+    assert sorted((g.destination, df.count()) for g, df in groups) == [("a", 5), ("b", 5), ("c", 5)]
+    p = plan(groups[0][1])
+    assert "PartitionFilters: [isnotnull(gid" in p or "PartitionFilters: [gid" in p

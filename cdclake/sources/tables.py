@@ -48,25 +48,15 @@ def widen_structs(structs: list[T.StructType], path: str = "") -> T.StructType:
     return T.StructType([T.StructField(n, t, True) for n, t in fields.items()])
 
 
-def _types_conflict(structs: list[T.StructType]) -> bool:
-    """True when some column has different types in different versions (nullable-only changes aside)."""
-    seen: dict[str, T.DataType] = {}
-    for st in structs:
-        for f in st.fields:
-            if f.name in seen and seen[f.name] != f.dataType:
-                if isinstance(f.dataType, T.StructType) and isinstance(seen[f.name], T.StructType):
-                    if _types_conflict([seen[f.name], f.dataType]):
-                        return True
-                    continue
-                return True
-            seen.setdefault(f.name, f.dataType)
-    return False
+def logged_schemas(spark: SparkSession, ingest_log: str, path: str) -> list[T.StructType]:
+    """Distinct written schemas of a table (one per version, from the ingest log).
 
+    The log has a fixed schema, so it is read without opening its footers.
+    """
+    from ..plans.ingest import INGEST_LOG_SCHEMA
 
-def logged_schemas(spark: SparkSession, ingest_log: str, path: str) -> list[T.StructType]:
-    """Distinct written schemas of a table (one per version, from the ingest log)."""
     root = path.rstrip("/")
-    log = spark.read.option("mergeSchema", "true").parquet(ingest_log)
+    log = spark.read.schema(INGEST_LOG_SCHEMA).parquet(ingest_log)
     rows = (log.filter((F.col("path") == root) | F.col("path").startswith(root + "/"))
             .filter(F.col("schema_json").isNotNull())
             .groupBy("schema_json").agg(F.min("batch_time_ms").alias("first_seen"))
@@ -83,15 +73,19 @@ def read_table(spark: SparkSession, path: str, *, save_format: str = "parquet",
     Files written under different schema versions are merged by name (new
     columns appear, missing ones are null). Reading the table root (not
     ``root/*``) keeps ``dt=`` directories as a prunable ``dt`` column.
-    ``input_file`` carries each row's source file. When versions disagree on
-    a column's type (e.g. ``int`` then ``bigint``) Spark's merge fails; with
-    ``ingest_log`` given, the widened schema of all logged versions is used
-    instead and the Parquet reader widens the older files on read.
+    ``input_file`` carries each row's source file.
+
+    Without ``ingest_log`` the merge reads every file's footer (Parquet/ORC),
+    or infers the schema from all the data (JSON): a job that grows with the
+    table. With ``ingest_log`` the schema is the union of the versions logged
+    for this table (one row per version), so no footer or data is read to
+    plan the scan. The same path also reads versions that disagree on a
+    column's type (``int`` then ``bigint``), where Spark's merge fails: the
+    union is widened and the reader widens the older files.
     """
     if ingest_log is not None and merge_schema:
         versions = logged_schemas(spark, ingest_log, path)
-        if _types_conflict(versions):
-            # Spark's footer merge would fail; read once with the widened schema instead.
+        if versions:
             df = spark.read.format(save_format).schema(widen_structs(versions)).load(path)
             return df.withColumn(INPUT_FILE, F.col("_metadata.file_path")) if provenance else df
     reader = spark.read.format(save_format)

@@ -118,6 +118,10 @@ class CdcConfig:
     parallel_writes: int = 4
     ingest_log: bool = True
     min_partitions: int | None = None  # default: the session's default parallelism
+    # Small groups (rows <= small_group_rows) are staged once, partitioned by group, when
+    # (small groups x batch partitions) would exceed max_group_tasks scan tasks.
+    small_group_rows: int = 100_000
+    max_group_tasks: int = 20_000
     trigger: TriggerPolicy = field(default_factory=TriggerPolicy)
     idempotent: bool = False  # replayed batch ids replace their own output instead of appending again
     header_fields: tuple[str, ...] = ()  # as ``add.headers``: ``db`` lands header ``__db`` as column ``__db``

@@ -92,6 +92,7 @@ class BatchResult:
     batch_id: int | None
     batch_time_ms: int
     groups: list[GroupResult] = field(default_factory=list)
+    staged_groups: int = 0  # small groups read from the staged table (see stage_small_groups)
 
     @property
     def rows(self) -> int:
@@ -339,6 +340,38 @@ def stable_batch_time(spark, base_path: str, batch_id: int, proposed_ms: int) ->
         reader.close()
 
 
+def small_groups(groups: list[SchemaGroup], partitions: int, cfg: CdcConfig) -> list[SchemaGroup]:
+    """Groups worth staging: small ones, when together they would launch too many tasks.
+
+    Each group's job scans the cached batch with one task per partition, so
+    G groups cost G x P tasks even when most groups hold a few rows (the
+    usual CDC batch: a few hot tables, many quiet ones).
+    """
+    small = [g for g in groups if g.kind != KIND_MALFORMED and g.rows <= cfg.small_group_rows]
+    return small if len(small) > 1 and len(small) * partitions > cfg.max_group_tasks else []
+
+
+def stage_small_groups(keyed: DataFrame, small: list[SchemaGroup]) -> tuple[DataFrame, str]:
+    """Write the rows of ``small`` once, partitioned by group id, to the shared scratch folder.
+
+    One job with one task per cached partition and no shuffle (the batch is
+    already sorted by ``gid`` within partitions); afterwards each small
+    group's scan prunes to its own folder and needs only a few tasks. The
+    staged rows live on shared storage, so they also survive executor loss.
+    """
+    spark = keyed.sparkSession
+    path = scratch_path(spark, "ingest_small_groups")
+    gids = sorted({x for g in small for x in g.gids})
+    keyed.filter(F.col("gid").isin(gids)).write.partitionBy("gid").parquet(path)
+    return spark.read.schema(keyed.schema).parquet(path), path
+
+
+def _delete(spark, path: str) -> None:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def _schema_hash(struct: T.StructType | None) -> str:
     import hashlib
 
@@ -372,8 +405,15 @@ def ingest_batch(events: DataFrame, cfg: CdcConfig, batch_id: int | None = None,
     keyed = (key_events(ev, check_malformed=cfg.on_malformed == "quarantine")
              .sortWithinPartitions("gid", "destination").persist(StorageLevel.MEMORY_AND_DISK))
     result = BatchResult(batch_id, batch_time_ms)
+    staged_path = None
     try:
         groups = discover_groups(keyed, cfg.max_groups)
+        small = small_groups(groups, keyed.rdd.getNumPartitions(), cfg)
+        staged = None
+        if small:
+            staged, staged_path = stage_small_groups(keyed, small)
+            result.staged_groups = len(small)
+        small_ids = {id(g) for g in small}
         by_dest: "OrderedDict[str, list[SchemaGroup]]" = OrderedDict()
         for g in groups:
             by_dest.setdefault(g.destination, []).append(g)
@@ -392,7 +432,7 @@ def ingest_batch(events: DataFrame, cfg: CdcConfig, batch_id: int | None = None,
                     n = write_group(bad, path, wcfg.with_(save_format="json", rows_per_file=None))
                     out.append(GroupResult(dest, path, n, 0, "", g.kind))
                     continue
-                df = decode_group(keyed, g, cfg, batch_time_ms)
+                df = decode_group(staged if id(g) in small_ids else keyed, g, cfg, batch_time_ms)
                 path = group_path(cfg, dest, batch_time_ms)
                 if cfg.idempotent:
                     path = replay_dir(path, batch_id, g)
@@ -410,6 +450,8 @@ def ingest_batch(events: DataFrame, cfg: CdcConfig, batch_id: int | None = None,
                 result.groups.extend(land(dest))
     finally:
         keyed.unpersist()
+        if staged_path is not None:
+            _delete(spark, staged_path)
     if cfg.ingest_log and result.groups:
         append_ingest_log(spark, cfg, result)
     return result
@@ -476,4 +518,4 @@ def append_ingest_log(spark, cfg: CdcConfig, result: BatchResult) -> None:
 
 
 __all__ = ["BatchResult", "GroupResult", "SchemaGroup", "append_ingest_log", "schema_sample", "decode_events", "decode_group", "discover_groups", "group_counts",
-           "group_path", "ingest_batch", "key_events", "replay_dir", "stable_batch_time", "spread", "write_group"]
+           "group_path", "ingest_batch", "key_events", "replay_dir", "small_groups", "stable_batch_time", "stage_small_groups", "spread", "write_group"]

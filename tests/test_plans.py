@@ -99,3 +99,18 @@ def test_decode_events_reads_one_folder_per_group(spark):
     assert sorted((g.destination, df.count()) for g, df in groups) == [("a", 5), ("b", 5), ("c", 5)]
     p = plan(groups[0][1])
     assert "PartitionFilters: [isnotnull(gid" in p or "PartitionFilters: [gid" in p
+
+
+def test_small_groups_are_staged_once_and_pruned(spark, lake):
+    rows = [("hot", None, flat(F1, {"id": i, "name": "h"})) for i in range(60)]
+    rows += [(d, None, flat(F1, {"id": i, "name": d})) for d in ("a", "b", "c") for i in range(3)]
+    ev = events(spark, rows).repartition(4)
+    cfg = CdcConfig(base_path=lake, min_partitions=4, small_group_rows=10, max_group_tasks=4)
+    res = ingest_batch(ev, cfg, batch_id=0, batch_time_ms=1)
+    assert res.staged_groups == 3 and res.rows == 69
+    for d, n in (("hot", 60), ("a", 3), ("b", 3), ("c", 3)):
+        t = read_table(spark, f"{lake}/{d}")
+        assert t.count() == n and t.filter(F.col("name") != ("h" if d == "hot" else d)).count() == 0
+    assert read_table(spark, f"{lake}/hot").select("input_file").distinct().count() == 4  # hot group not staged
+    default = ingest_batch(ev, CdcConfig(base_path=lake + "2", min_partitions=4), batch_id=0, batch_time_ms=1)
+    assert default.staged_groups == 0  # 4 partitions x 3 small groups: far below the default task budget

@@ -115,9 +115,10 @@ class CdcConfig:
     rows_per_file: int | None = None
     summary_metadata: bool = False
     max_groups: int = 2000
-    parallel_writes: int = 4
+    parallel_writes: int = 8  # destinations written concurrently (each a Spark job)
     ingest_log: bool = True
     min_partitions: int | None = None  # default: the session's default parallelism
+    rebalance: str = "auto"  # round-robin the batch: "auto" (narrow inputs), "always" (skewed sources), "never"
     # Small groups (rows <= small_group_rows) are staged once, partitioned by group, when
     # (small groups x batch partitions) would exceed max_group_tasks scan tasks.
     small_group_rows: int = 100_000

@@ -126,18 +126,26 @@ def key_events(events: DataFrame, check_malformed: bool = False) -> DataFrame:
             .drop("__key_text"))
 
 
-def spread(events: DataFrame, min_partitions: int | None) -> DataFrame:
-    """Round-robin a batch that arrives in fewer partitions than task slots.
+def spread(events: DataFrame, min_partitions: int | None, rebalance: str = "auto") -> DataFrame:
+    """Round-robin a batch over the task slots before decoding.
 
     Decoding is CPU-bound; a Kafka topic with few partitions or a few large
     files would otherwise decode on a handful of cores. Round-robin keeps
     every partition the same size whatever the table mix (no hot keys) and
-    is deterministic on retry. Wide inputs are left as they are.
+    is deterministic on retry. ``auto`` spreads only inputs with fewer
+    partitions than slots; ``always`` also evens out a wide but skewed input
+    (a hot topic partition) at the price of one shuffle of the batch;
+    ``never`` keeps the input partitioning.
     """
+    if rebalance not in ("auto", "always", "never"):
+        raise ValueError(f"rebalance must be auto, always or never, not {rebalance!r}")
+    if rebalance == "never":
+        return events
     n = min_partitions or default_parallelism(events.sparkSession)
-    if events.rdd.getNumPartitions() < n:
-        return events.repartition(n)
-    return events
+    p = events.rdd.getNumPartitions()
+    if rebalance == "always":
+        return events.repartition(max(n, p))
+    return events.repartition(n) if p < n else events
 
 
 SCHEMA_HEAD = '{"schema":'
@@ -401,7 +409,7 @@ def ingest_batch(events: DataFrame, cfg: CdcConfig, batch_id: int | None = None,
     ev = drop_tombstones(events)
     if cfg.include_tables is not None:
         ev = include_tables(ev, cfg.include_tables)
-    ev = spread(ev, cfg.min_partitions)
+    ev = spread(ev, cfg.min_partitions, cfg.rebalance)
     keyed = (key_events(ev, check_malformed=cfg.on_malformed == "quarantine")
              .sortWithinPartitions("gid", "destination").persist(StorageLevel.MEMORY_AND_DISK))
     result = BatchResult(batch_id, batch_time_ms)
@@ -474,7 +482,7 @@ def decode_events(events: DataFrame, cfg: CdcConfig | None = None, batch_time_ms
     ev = drop_tombstones(events)
     if cfg.include_tables is not None:
         ev = include_tables(ev, cfg.include_tables)
-    keyed = key_events(spread(ev, cfg.min_partitions), check_malformed=cfg.on_malformed == "quarantine")
+    keyed = key_events(spread(ev, cfg.min_partitions, cfg.rebalance), check_malformed=cfg.on_malformed == "quarantine")
     groups = discover_groups(keyed, cfg.max_groups)
     if materialize and len(groups) > 1:
         spark = keyed.sparkSession

@@ -15,7 +15,7 @@ from typing import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .config import CdcConfig, TriggerPolicy, scratch_path
+from .config import CdcConfig, TriggerPolicy, default_parallelism, scratch_path
 from .functions.columns import epoch_days, epoch_micros, long_div, partition_date, target_path, write_id
 from .operators.decode import decode_key
 from .operators.envelope import drop_tombstones, include_tables, split_malformed
@@ -58,6 +58,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def source_rows(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """Rows of a table as a change source would deliver them: spread over the task slots.
+
+    A small Parquet file is one scan split, and its rows grow many times over
+    when encoded as JSON events; dealing the raw rows round-robin first
+    (a cheap, narrow-row shuffle) keeps that encoding off a single task,
+    as a byte-split file source or a multi-partition topic would.
+    """
+    df = table(spark, sf_dir, name)
+    n = default_parallelism(spark)
+    return df.repartition(n) if df.rdd.getNumPartitions() < n else df
+
+
 def op_rule(k: Column) -> Column:
     return F.when(k % 10 == 0, "d").when(k % 10 <= 2, "u").when(k % 10 == 3, "r").otherwise("c")
 
@@ -81,7 +94,7 @@ FROM orders"""
 
 
 def orders_events(spark: SparkSession, sf_dir: str, *, style: str = "flat", **kw) -> DataFrame:
-    o = table(spark, sf_dir, "orders")
+    o = source_rows(spark, sf_dir, "orders")
     k = F.col("o_orderkey")
     return encode_events(o, ORDERS, key=["o_orderkey"], style=style, op=op_rule(k), source_ts_ms=orders_ts(),
                          lsn=k * 16, **kw)
@@ -89,28 +102,28 @@ def orders_events(spark: SparkSession, sf_dir: str, *, style: str = "flat", **kw
 
 def orders_v1_v2(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders events in two schema versions: odd keys carry an added ``o_comment``."""
-    o = table(spark, sf_dir, "orders").withColumn("o_comment", F.concat(F.lit("c"), F.col("o_custkey")))
+    o = source_rows(spark, sf_dir, "orders").withColumn("o_comment", F.concat(F.lit("c"), F.col("o_custkey")))
     k = F.col("o_orderkey")
     return encode_events(o, ORDERS, key=["o_orderkey"], op=op_rule(k), source_ts_ms=orders_ts(), lsn=k * 16,
                          versions=[(k % 2 == 1, ORDER_COLS + ["o_comment"]), (None, ORDER_COLS)])
 
 
 def customer_events(spark: SparkSession, sf_dir: str, **kw) -> DataFrame:
-    c = table(spark, sf_dir, "customer")
+    c = source_rows(spark, sf_dir, "customer")
     k = F.col("c_custkey")
     return encode_events(c, CUSTOMER, key=["c_custkey"], op=op_rule(k),
                          source_ts_ms=F.lit(1_700_000_000_000).cast("bigint") + k, lsn=k, **kw)
 
 
 def supplier_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = table(spark, sf_dir, "supplier")
+    s = source_rows(spark, sf_dir, "supplier")
     k = F.col("s_suppkey")
     return encode_events(s, SUPPLIER, key=["s_suppkey"], op=op_rule(k),
                          source_ts_ms=F.lit(1_700_000_000_000).cast("bigint") + k, lsn=k)
 
 
 def app_events(spark: SparkSession, sf_dir: str, destination: Column | str = EVENTS) -> DataFrame:
-    e = table(spark, sf_dir, "events")
+    e = source_rows(spark, sf_dir, "events")
     k = F.col("event_id")
     return encode_events(e, destination, key=["event_id"], op=op_rule(k),
                          source_ts_ms=long_div(epoch_micros("ts"), 1000), lsn=k, table="events")
@@ -161,7 +174,7 @@ SELECT s_suppkey, s_name, CAST(s_nationkey AS BIGINT) AS s_nationkey, s_acctbal,
 FROM supplier""")
 def q_decode_null_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S3 on ``{"schema":null,"payload":...}`` envelopes: payload schema inferred."""
-    s = table(spark, sf_dir, "supplier")
+    s = source_rows(spark, sf_dir, "supplier")
     k = F.col("s_suppkey")
     ev = encode_events(s, SUPPLIER, key=["s_suppkey"], op=op_rule(k),
                        source_ts_ms=F.lit(1_700_000_000_000).cast("bigint") + k, lsn=k, with_schema="null")
@@ -184,7 +197,7 @@ SELECT p_partkey, CAST(p_size AS INTEGER) AS p_size_i8, CAST(p_size AS INTEGER)
 FROM part""")
 def q_type_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """int8/16/32/64, float32/64, boolean, bytes, array, map and string fields."""
-    p = table(spark, sf_dir, "part").select(
+    p = source_rows(spark, sf_dir, "part").select(
         "p_partkey", F.col("p_size").cast("tinyint").alias("p_size_i8"),
         F.col("p_size").cast("smallint").alias("p_size_i16"), "p_size", "p_retailprice",
         F.col("p_retailprice").cast("float").alias("p_retailprice_f32"), (F.col("p_size") > 25).alias("p_big"),
@@ -249,7 +262,7 @@ SELECT 'testc.inventory.orders' AS destination, count(*) AS n FROM orders
 UNION ALL SELECT 'testc.inventory.customer' AS destination, count(*) AS n FROM customer""")
 def q_include_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Only listed tables are landed."""
-    n = table(spark, sf_dir, "nation")
+    n = source_rows(spark, sf_dir, "nation")
     ev = union_all([orders_events(spark, sf_dir), customer_events(spark, sf_dir), supplier_events(spark, sf_dir),
                     encode_events(n, NATION, key=["n_nationkey"], op=op_rule(F.col("n_nationkey")))])
     kept = include_tables(ev, [ORDERS, CUSTOMER])
@@ -301,7 +314,7 @@ SELECT o_orderkey,
 FROM orders""")
 def q_source_ts_default(spark: SparkSession, sf_dir: str) -> DataFrame:
     """events without ``__source_ts_ms`` get the batch time in both fields."""
-    o = table(spark, sf_dir, "orders")
+    o = source_rows(spark, sf_dir, "orders")
     k = F.col("o_orderkey")
     ev = encode_events(o, ORDERS, key=["o_orderkey"], op=op_rule(k), source_ts_ms=orders_ts(), lsn=k * 16,
                        versions=[(k % 2 == 1, ORDER_COLS, False), (None, ORDER_COLS, True)])
@@ -322,7 +335,7 @@ SELECT 's3a://bucket/cdc/' || regexp_replace('testc.inventory.orders_' || lower(
 FROM orders GROUP BY 1""")
 def q_map_destination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Destination -> regex rewrite -> prefix -> table path."""
-    o = table(spark, sf_dir, "orders")
+    o = source_rows(spark, sf_dir, "orders")
     dest = F.concat(F.lit("testc.inventory.orders_"), F.lower("o_orderstatus"))
     ev = encode_events(o, dest, key=["o_orderkey"], op=op_rule(F.col("o_orderkey")), source_ts_ms=orders_ts())
     path = target_path("destination", "s3a://bucket", "cdc/", r"^testc\.inventory\.(.*)$", "lake_$1")
@@ -396,7 +409,7 @@ SELECT o_orderkey, o_custkey, CAST(CAST(o_totalprice AS FLOAT) AS DOUBLE) AS o_t
        {op_sql('o_orderkey')} AS __op FROM orders""")
 def q_read_widened(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S4 + evolution: one table written as int32 then int64 keys, read back widened."""
-    o = table(spark, sf_dir, "orders")
+    o = source_rows(spark, sf_dir, "orders")
     k = F.col("o_orderkey")
     narrow = o.filter(k % 2 == 0).withColumn("o_custkey", F.col("o_custkey").cast("int")) \
         .withColumn("o_totalprice", F.col("o_totalprice").cast("float"))
@@ -539,7 +552,7 @@ def text_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     frames = []
     for name, keys, _, _ in TEXT_TABLES:
         k = F.col(keys[0])
-        frames.append(encode_events(table(spark, sf_dir, name), f"{CORPUS}.{name}", key=list(keys), op=op_rule(k),
+        frames.append(encode_events(source_rows(spark, sf_dir, name), f"{CORPUS}.{name}", key=list(keys), op=op_rule(k),
                                     lsn=k, source_ts_ms=F.lit(1_700_000_000_000).cast("bigint") + k))
     return union_all(frames)
 
@@ -580,7 +593,7 @@ FROM (SELECT vec_id, label, {op_sql('vec_id')} AS __op, unnest(range(len(embeddi
 def q_land_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """C1 (array) K1: float32 embedding vectors as Connect ``array`` fields, landed as
     ``array<float>`` and read back element by element."""
-    e = table(spark, sf_dir, "embeddings")
+    e = source_rows(spark, sf_dir, "embeddings")
     k = F.col("vec_id")
     ev = encode_events(e, f"{CORPUS}.embeddings", key=["vec_id"], op=op_rule(k), lsn=k)
     base = scratch_path(spark, "land_vectors")
@@ -591,6 +604,63 @@ def q_land_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("val").cast("double").alias("val")))
 
 
+# Every given table as one source database (table, key columns, a text column or None).
+DB_TABLES = (
+    ("region", ("r_regionkey",), "r_name"),
+    ("nation", ("n_nationkey",), "n_name"),
+    ("customer", ("c_custkey",), "c_name"),
+    ("supplier", ("s_suppkey",), "s_name"),
+    ("part", ("p_partkey",), "p_name"),
+    ("orders", ("o_orderkey",), "o_orderpriority"),
+    ("lineitem", ("l_orderkey", "l_linenumber"), "l_returnflag"),
+    ("events", ("event_id",), "props"),
+    ("documents", ("doc_id",), "text"),
+    ("embeddings", ("vec_id",), None),
+    ("pages", ("page_id",), "html"),
+    ("benchmark", ("item_id",), "text"),
+    ("labels", ("doc_id",), None),
+    ("conversations", ("conv_id", "turn"), "text"),
+)
+DB = "testc.db"
+
+
+def database_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A snapshot-plus-changes stream of the whole database: every row of every table."""
+    frames = []
+    for name, keys, _ in DB_TABLES:
+        k = F.col(keys[0])
+        frames.append(encode_events(source_rows(spark, sf_dir, name), f"{DB}.{name}", key=list(keys), op=op_rule(k),
+                                    lsn=k, source_ts_ms=F.lit(1_700_000_000_000).cast("bigint") + k))
+    return union_all(frames)
+
+
+def _database_sql() -> str:
+    parts = []
+    for name, keys, text in DB_TABLES:
+        chars = f"CAST(sum(length({text})) AS BIGINT)" if text else "CAST(NULL AS BIGINT)"
+        parts.append(f"SELECT '{DB}.{name}' AS destination, count(*) AS rows, CAST(sum({keys[0]}) AS BIGINT) AS key_sum, "
+                     f"{chars} AS text_chars FROM {name}")
+    return "\nUNION ALL ".join(parts)
+
+
+@register("land_database", _database_sql())
+def q_land_database(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A1 A2 K1 K2 on a whole database in one batch: 14 tables of very different sizes and
+    types; the small tables are staged together, the big ones decoded in place."""
+    base = scratch_path(spark, "land_database")
+    cfg = CdcConfig(base_path=base, partition=True, small_group_rows=50_000, max_group_tasks=1)
+    res = ingest_batch(database_events(spark, sf_dir), cfg, batch_id=0, batch_time_ms=BATCH_TIME_MS)
+    if len(res.groups) != len(DB_TABLES):
+        raise RuntimeError(f"expected one group per table, got {len(res.groups)}")
+    out = []
+    for name, keys, text in DB_TABLES:
+        t = read_table(spark, f"{base}/{DB}.{name}", provenance=False, ingest_log=f"{base}/_ingest_log")
+        chars = F.sum(F.length(text)).cast("bigint") if text else F.lit(None).cast("bigint")
+        out.append(t.agg(F.count(F.lit(1)).alias("rows"), F.sum(keys[0]).cast("bigint").alias("key_sum"),
+                         chars.alias("text_chars")).select(F.lit(f"{DB}.{name}").alias("destination"), "*"))
+    return union_all(out)
+
+
 # --- reports and maintenance -------------------------------------------------
 
 @register("file_batch_sizes", """
@@ -598,7 +668,7 @@ SELECT count(*) AS total_rows, CAST(0 AS BIGINT) AS over_limit_files, CAST(1 AS
 FROM lineitem""")
 def q_file_batch_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows per file and per write job of a landed table."""
-    li = table(spark, sf_dir, "lineitem")
+    li = source_rows(spark, sf_dir, "lineitem")
     k = F.col("l_orderkey") * 8 + F.col("l_linenumber")
     ev = encode_events(li, "testc.inventory.lineitem", key=["l_orderkey", "l_linenumber"], op=op_rule(k), lsn=k)
     base = scratch_path(spark, "file_batch_sizes")
@@ -695,7 +765,7 @@ SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedpri
 FROM lineitem""")
 def q_compact_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
     """T4: many small files rewritten into few, rows unchanged."""
-    li = table(spark, sf_dir, "lineitem")
+    li = source_rows(spark, sf_dir, "lineitem")
     k = F.col("l_orderkey") * 8 + F.col("l_linenumber")
     ev = encode_events(li, "testc.inventory.lineitem", op=op_rule(k), lsn=k)
     base = scratch_path(spark, "compact")

@@ -4,6 +4,7 @@ import contextlib
 import io
 import re
 
+import pytest
 from pyspark.sql import functions as F
 
 from cdclake import CdcConfig, encode_events, ingest_batch, read_table
@@ -114,3 +115,16 @@ def test_small_groups_are_staged_once_and_pruned(spark, lake):
     assert read_table(spark, f"{lake}/hot").select("input_file").distinct().count() == 4  # hot group not staged
     default = ingest_batch(ev, CdcConfig(base_path=lake + "2", min_partitions=4), batch_id=0, batch_time_ms=1)
     assert default.staged_groups == 0  # 4 partitions x 3 small groups: far below the default task budget
+
+
+def test_rebalance_always_evens_a_skewed_input(spark):
+    from cdclake.plans.ingest import spread
+
+    skewed = events(spark, [("t", None, "{}")] * 40).coalesce(1).union(events(spark, [("t", None, "{}")] * 3))
+    p = skewed.rdd.getNumPartitions()
+    assert spread(skewed, 2).rdd.getNumPartitions() == p  # auto: wide enough, left alone
+    even = spread(skewed, 2, "always")
+    sizes = even.rdd.glom().map(len).collect()
+    assert len(sizes) == max(2, p) and max(sizes) - min(sizes) <= p  # each input starts at its own offset
+    with pytest.raises(ValueError):
+        spread(skewed, 2, "sometimes")

@@ -291,14 +291,19 @@ def write_group(df: DataFrame, path: str, cfg: CdcConfig, expected_rows: int | N
     obs = Observation(f"rows_{uuid.uuid4().hex}")
     out = df.observe(obs, F.count(F.lit(1)).alias("rows"))
     if cfg.rows_per_file and expected_rows:
-        # Files of ``rows_per_file`` rows: merge partitions without a shuffle when
-        # there are more tasks than files; when there are fewer, deal the rows
-        # round-robin into exactly that many tasks so every file is full.
+        # Files of ``rows_per_file`` rows (``maxRecordsPerFile`` caps every file;
+        # each task leaves at most one partial file):
+        # - more tasks than files: merge partitions without a shuffle;
+        # - a few more files than tasks (n <= 2p): most files would be partial,
+        #   so deal the rows round-robin into exactly n tasks; this shuffle is
+        #   bounded by 2 x partitions x rows_per_file rows;
+        # - many more files than tasks: each task writes its own rows in full
+        #   files, no shuffle (a partial file per task is at most 1/3 of files).
         n = max(1, math.ceil(expected_rows / cfg.rows_per_file))
         p = out.rdd.getNumPartitions()
         if n < p:
             out = out.coalesce(n)
-        elif n > p:
+        elif p < n <= 2 * p:
             out = out.repartition(n)
     writer = out.write.mode(cfg.save_mode).format(cfg.save_format).options(**dict(cfg.write_options))
     if cfg.rows_per_file:

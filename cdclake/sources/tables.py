@@ -67,7 +67,8 @@ def logged_schemas(spark: SparkSession, ingest_log: str, path: str) -> list[T.St
 
 
 def read_table(spark: SparkSession, path: str, *, save_format: str = "parquet", merge_schema: bool = True,
-               provenance: bool = True, ingest_log: str | None = None) -> DataFrame:
+               provenance: bool = True, ingest_log: str | None = None,
+               options: dict[str, str] | None = None) -> DataFrame:
     """Scan a landed table directory.
 
     Files written under different schema versions are merged by name (new
@@ -81,14 +82,16 @@ def read_table(spark: SparkSession, path: str, *, save_format: str = "parquet",
     for this table (one row per version), so no footer or data is read to
     plan the scan. The same path also reads versions that disagree on a
     column's type (``int`` then ``bigint``), where Spark's merge fails: the
-    union is widened and the reader widens the older files.
+    union is widened and the reader widens the older files. ``options`` go to
+    the reader (e.g. ``header`` for CSV).
     """
+    opts = dict(options or {})
     if ingest_log is not None and merge_schema:
         versions = logged_schemas(spark, ingest_log, path)
         if versions:
-            df = spark.read.format(save_format).schema(widen_structs(versions)).load(path)
+            df = spark.read.format(save_format).options(**opts).schema(widen_structs(versions)).load(path)
             return df.withColumn(INPUT_FILE, F.col("_metadata.file_path")) if provenance else df
-    reader = spark.read.format(save_format)
+    reader = spark.read.format(save_format).options(**opts)
     if save_format in ("parquet", "orc"):
         reader = reader.option("mergeSchema", str(merge_schema).lower())
     df = reader.load(path)

@@ -521,6 +521,20 @@ def q_write_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _format_roundtrip(spark, sf_dir, "orc")
 
 
+@register("write_csv", f"""
+SELECT o_orderkey, o_totalprice, o_orderstatus, epoch_us(o_orderdate) AS o_orderdate,
+       {op_sql('o_orderkey')} AS __op, {DELETED_SQL} = 'true' AS __deleted, {TS_SQL} // 1000 AS source_ts_epoch_s
+FROM orders""")
+def q_write_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K1: CSV table files (no types in the files), read back typed from the ingest log's schema."""
+    base = scratch_path(spark, "write_csv")
+    cfg = CdcConfig(base_path=base, save_format="csv", cast_deleted_field=True, write_options={"header": "true"})
+    res = ingest_batch(orders_events(spark, sf_dir), cfg, batch_id=0, batch_time_ms=BATCH_TIME_MS)
+    t = read_table(spark, res.groups[0].path, save_format="csv", provenance=False,
+                   ingest_log=f"{base}/_ingest_log", options={"header": "true"})
+    return t.select("o_orderkey", "o_totalprice", "o_orderstatus", "o_orderdate", "__op", "__deleted", epoch_s())
+
+
 @register("header_fields", f"""
 SELECT o_orderkey, 'inventory' AS __db, CAST(o_custkey AS VARCHAR) AS __customer, {op_sql('o_orderkey')} AS __op
 FROM orders""")

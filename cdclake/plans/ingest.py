@@ -5,7 +5,7 @@ Plan of one batch::
 
     events ─ drop_tombstones ─ include_tables ─ key (gid = hash(destination, schema text, kind))
            ─ sortWithinPartitions(gid, destination) ─ persist           (no shuffle)
-           ─ groupBy(gid, destination).agg(count, any_value(value))    (partial agg; one row per group)
+           ─ groupBy(gid, destination, kind, schema text).count()     (hash agg, map-side; one row per group)
            ─ per group: filter(gid) ─ from_json(T) ─ enrich ─ observe(count) ─ write
 
 ``from_json`` needs a constant schema, so a loop over the distinct schema
@@ -72,7 +72,8 @@ class SchemaGroup:
     def condition(self):
         cond = F.col("gid").isin(self.gids)
         if self.exact_hashes is not None:
-            cond = cond & F.xxhash64(schema_text("value")).isin(self.exact_hashes)
+            cond = (cond & (F.col("destination") == F.lit(self.destination))
+                    & F.xxhash64(schema_text("value")).isin(self.exact_hashes))
         return cond
 
 
@@ -102,6 +103,7 @@ class BatchResult:
 # How a standard enveloped event starts, and what ends its schema.
 ENVELOPE_HEAD = '{"schema":{'
 PAYLOAD_KEY = ',"payload":'
+SCHEMA_COL = "__schema"
 
 
 def key_events(events: DataFrame, check_malformed: bool = False) -> DataFrame:
@@ -113,17 +115,21 @@ def key_events(events: DataFrame, check_malformed: bool = False) -> DataFrame:
     is exactly the schema. Other events are keyed by their parsed schema text.
     ``check_malformed`` validates every event as a whole JSON object first
     (one full parse per row), so broken events get their own kind.
+    The parsed schema text of non-standard events is kept as ``__schema``
+    (null for standard ones, so it costs nothing there) so that discovery
+    does not parse them again.
     """
     v = F.col("value")
     fast = v.startswith(ENVELOPE_HEAD)
-    key_text = F.when(fast, F.substring_index(v, PAYLOAD_KEY, 1)).otherwise(schema_text("value"))
-    kind = F.when(fast, F.lit(KIND_DECLARED)).otherwise(event_kind("value"))
+    kind = F.when(fast, F.lit(KIND_DECLARED)).otherwise(event_kind("value", F.col(SCHEMA_COL)))
     if check_malformed:
         kind = F.when(malformed_flag("value"), F.lit(KIND_MALFORMED)).otherwise(kind)
     extra = [HEADERS] if HEADERS in events.columns else []
-    return (events.select("destination", "key", "value", *extra, key_text.alias("__key_text"), kind.alias("kind"))
-            .withColumn("gid", F.xxhash64("destination", "__key_text", "kind"))
-            .drop("__key_text"))
+    key_text = F.when(fast, F.substring_index(v, PAYLOAD_KEY, 1)).otherwise(F.col(SCHEMA_COL))
+    return (events.select("destination", "key", "value", *extra,
+                          F.when(fast, F.lit(None).cast("string")).otherwise(schema_text("value")).alias(SCHEMA_COL))
+            .select("*", kind.alias("kind"))
+            .withColumn("gid", F.xxhash64("destination", key_text, "kind")))
 
 
 def spread(events: DataFrame, min_partitions: int | None, rebalance: str = "auto") -> DataFrame:
@@ -151,17 +157,19 @@ def spread(events: DataFrame, min_partitions: int | None, rebalance: str = "auto
 SCHEMA_HEAD = '{"schema":'
 
 
-def schema_sample(value: str = "value") -> Column:
+def schema_sample(value: str = "value", schema: str | None = SCHEMA_COL) -> Column:
     """``{"schema":<schema text>`` of an event, without its payload.
 
     Standard events give their raw text up to ``,"payload":`` (no parse);
-    others their parsed schema text. Discovery aggregates this instead of the
-    event itself, so a group's sample stays the size of its schema however
-    large the payloads are (long texts, wide rows).
+    others their parsed schema text (the ``schema`` column of
+    :func:`key_events`, or parsed here when ``None``). Discovery groups by
+    this text instead of carrying the event, so a group's sample stays the
+    size of its schema however large the payloads are (long texts, wide rows).
     """
     v = F.col(value)
+    parsed = F.col(schema) if schema else schema_text(value)
     return F.when(v.startswith(ENVELOPE_HEAD), F.substring_index(v, PAYLOAD_KEY, 1)).otherwise(
-        F.concat(F.lit(SCHEMA_HEAD), schema_text(value)))
+        F.concat(F.lit(SCHEMA_HEAD), parsed))
 
 
 def _sample_schema(sample: str):
@@ -178,31 +186,31 @@ def _prefix_is_schema(sample: str) -> bool:
         return False
 
 
-def _exact_subgroups(keyed: DataFrame, gid: int, max_groups: int) -> list[tuple[int, int, str]]:
-    exact = schema_text("value")
+def _exact_subgroups(keyed: DataFrame, gid: int, max_groups: int) -> list[tuple[str, int, int, str]]:
+    """(destination, exact schema hash, rows, sample) of the events behind one ambiguous key."""
+    sample = F.concat(F.lit(SCHEMA_HEAD), schema_text("value"))
     sub = (keyed.filter(F.col("gid") == gid)
-           .groupBy(F.xxhash64(exact).alias("h"))
-           .agg(F.count(F.lit(1)).alias("rows"),
-                F.any_value(F.concat(F.lit(SCHEMA_HEAD), exact)).alias("sample"))
+           .groupBy("destination", F.xxhash64(schema_text("value")).alias("h"), sample.alias("sample"))
+           .agg(F.count(F.lit(1)).alias("rows"))
            .limit(max_groups + 1).collect())
     if len(sub) > max_groups:
         raise ValueError(f"more than {max_groups} schema versions behind one key")
-    return [(r["h"], r["rows"], r["sample"]) for r in sub]
+    return [(r["destination"], r["h"], r["rows"], r["sample"]) for r in sub]
 
 
 def group_counts(keyed: DataFrame) -> DataFrame:
-    """One row per (gid, destination): row count, kind and a schema sample.
-
-    The aggregation combines map-side, so its shuffle carries one row per
-    group per partition, and that row holds the schema text only (see
-    :func:`schema_sample`), never a payload.
+    """One row per (gid, destination, kind, schema sample) with its row count.
+
+    The sample text is the same for every row of a gid (it is what the gid
+    hashes), so it can be a grouping key: the only aggregation buffer left is
+    a count, which lets Spark use a hash aggregate that combines map-side and
+    needs no sort of the batch, whatever the cache's known ordering. The
+    shuffle carries one row per group per partition holding the schema text
+    only (see :func:`schema_sample`), never a payload.
     """
-    # Grouped in the cache's sort order (gid, destination): the partial
-    # aggregate then needs no sort of its own, even with a string sample.
-    # ``any_value`` evaluates the sample only for the first row of each group.
-    return (keyed.groupBy("gid", "destination")
-            .agg(F.count(F.lit(1)).alias("rows"), F.first("kind").alias("kind"),
-                 F.any_value(schema_sample("value")).alias("sample")))
+    schema = SCHEMA_COL if SCHEMA_COL in keyed.columns else None
+    return (keyed.groupBy("gid", "destination", "kind", schema_sample("value", schema).alias("sample"))
+            .agg(F.count(F.lit(1)).alias("rows")))
 
 
 def discover_groups(keyed: DataFrame, max_groups: int) -> list[SchemaGroup]:
@@ -213,6 +221,9 @@ def discover_groups(keyed: DataFrame, max_groups: int) -> list[SchemaGroup]:
     differ only in names, versions or optional flags).
     """
     found = group_counts(keyed).limit(max_groups + 1).collect()
+    by_gid: dict[int, int] = {}
+    for r in found:
+        by_gid[r["gid"]] = by_gid.get(r["gid"], 0) + 1
     if len(found) > max_groups:
         raise ValueError(f"batch has more than {max_groups} (destination, schema) groups; raise max_groups or "
                          "shorten the trigger")
@@ -236,13 +247,17 @@ def discover_groups(keyed: DataFrame, max_groups: int) -> list[SchemaGroup]:
         else:
             merged[k] = SchemaGroup(dest, kind, [gid], rows, struct, text)
 
-    for r in sorted(found, key=lambda r: (r["destination"] or "", r["gid"])):
+    split: set[int] = set()
+    for r in sorted(found, key=lambda r: (r["destination"] or "", r["gid"], r["sample"] or "")):
         if r["destination"] is None:
             raise ValueError("destination cannot be null")
         sample = r["sample"]
-        if r["kind"] == KIND_DECLARED and sample.startswith(ENVELOPE_HEAD) and not _prefix_is_schema(sample):
-            for h, rows, sub_sample in _exact_subgroups(keyed, r["gid"], max_groups):
-                add(r["destination"], r["kind"], r["gid"], rows, sub_sample, h)
+        # A prefix that is not one JSON value, or two schemas behind one 64-bit key: split exactly.
+        if r["kind"] == KIND_DECLARED and (by_gid[r["gid"]] > 1 or not _prefix_is_schema(sample)):
+            if r["gid"] not in split:
+                split.add(r["gid"])
+                for dest, h, rows, sub_sample in _exact_subgroups(keyed, r["gid"], max_groups):
+                    add(dest, r["kind"], r["gid"], rows, sub_sample, h)
         else:
             add(r["destination"], r["kind"], r["gid"], r["rows"], sample, None)
     return list(merged.values())

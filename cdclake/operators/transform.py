@@ -93,37 +93,44 @@ def cast_deleted(df: DataFrame, column: str = DELETED) -> DataFrame:
     return df.withColumn(column, deleted_as_bool(F.col(column)))
 
 
-# The common source-position struct, field -> (type, per-dialect source field).
+# The common source-position struct of the bundled connectors
+# (Postgres, MySQL, SQL Server, MongoDB): output field, type, and the source
+# fields that carry it (the first one present wins).
 SOURCE_POSITION_FIELDS = (
-    ("connector", "string", "connector"),
-    ("db", "string", "db"),
-    ("schema", "string", "schema"),
-    ("table", "string", "table"),
-    ("ts_ms", "bigint", "ts_ms"),
-    ("snapshot", "string", "snapshot"),
-    ("tx_id", "bigint", "txId"),
-    ("lsn", "bigint", "lsn"),
-    ("binlog_file", "string", "file"),
-    ("binlog_pos", "bigint", "pos"),
-    ("binlog_row", "int", "row"),
-    ("gtid", "string", "gtid"),
-    ("server_id", "bigint", "server_id"),
+    ("connector", "string", ("connector",)),
+    ("db", "string", ("db",)),
+    ("schema", "string", ("schema",)),
+    ("table", "string", ("table", "collection")),
+    ("ts_ms", "bigint", ("ts_ms",)),
+    ("snapshot", "string", ("snapshot",)),
+    ("tx_id", "bigint", ("txId", "txnNumber")),
+    ("lsn", "bigint", ("lsn",)),
+    ("binlog_file", "string", ("file",)),
+    ("binlog_pos", "bigint", ("pos",)),
+    ("binlog_row", "int", ("row",)),
+    ("gtid", "string", ("gtid",)),
+    ("server_id", "bigint", ("server_id",)),
+    ("change_lsn", "string", ("change_lsn",)),
+    ("commit_lsn", "string", ("commit_lsn",)),
+    ("event_serial_no", "bigint", ("event_serial_no",)),
+    ("replica_set", "string", ("rs",)),
+    ("oplog_ord", "int", ("ord",)),
 )
 
 
 def normalize_source(df: DataFrame, source: str = "source", out: str = "source_position") -> DataFrame:
     """Replace the dialect-specific ``source`` struct by one common position struct.
 
-    Postgres (``txId, lsn, schema``) and MySQL (``file, pos, row, gtid,
-    server_id``) sources map onto the same fields; absent ones are null, so
-    frames from both connectors union by name.
+    Postgres (``txId, lsn, schema``), MySQL (``file, pos, row, gtid,
+    server_id``), SQL Server (``change_lsn, commit_lsn, event_serial_no``) and
+    MongoDB (``rs, collection, ord, txnNumber``) sources map onto the same
+    fields; absent ones are null, so frames from all connectors union by name.
     """
     parts = []
-    for name, typ, src in SOURCE_POSITION_FIELDS:
-        if _field_type(df, [source, src]) is None:
-            parts.append(F.lit(None).cast(typ).alias(name))
-        else:
-            parts.append(F.col(source).getField(src).cast(typ).alias(name))
+    for name, typ, srcs in SOURCE_POSITION_FIELDS:
+        present = [F.col(source).getField(f).cast(typ) for f in srcs if _field_type(df, [source, f]) is not None]
+        value = F.coalesce(*present) if len(present) > 1 else (present[0] if present else F.lit(None).cast(typ))
+        parts.append(value.alias(name))
     return df.withColumn(out, F.struct(*parts)).drop(source)
 
 

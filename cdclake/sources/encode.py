@@ -21,6 +21,7 @@ from ..functions.schema import spark_type_to_connect
 # Event stream column names and source-metadata constants.
 EVENT_COLUMNS = ("destination", "key", "value")
 CONNECTOR_VERSION = "1.9.7.Final"
+CONNECTORS = ("postgresql", "mysql", "sqlserver", "mongodb")
 JSON_OPTS = {"ignoreNullFields": "false"}
 
 
@@ -90,12 +91,36 @@ def _source_struct(connector: str, server: str, db: str, table: str | Column, ts
             (F.lit(7).cast("bigint"), "thread", {"type": "int64"}),
             (F.lit(None).cast("string"), "query", {"type": "string"}),
         ]
+    elif connector == "sqlserver":
+        lsn_text = position.cast("bigint").cast("string")
+        rest = [
+            (F.when(snapshot, F.lit("true")).otherwise(F.lit("false")), "snapshot", {"type": "string", "name": "io.debezium.data.Enum", "parameters": {"allowed": "true,last,false"}}),
+            (F.lit(db), "db", {"type": "string"}),
+            (F.lit(None).cast("string"), "sequence", {"type": "string"}),
+            (F.lit("dbo"), "schema", {"type": "string"}),
+            (tbl, "table", {"type": "string"}),
+            (lsn_text, "change_lsn", {"type": "string"}),
+            (lsn_text, "commit_lsn", {"type": "string"}),
+            (F.lit(1).cast("bigint"), "event_serial_no", {"type": "int64"}),
+        ]
+    elif connector == "mongodb":
+        rest = [
+            (F.when(snapshot, F.lit("true")).otherwise(F.lit("false")), "snapshot", {"type": "string", "name": "io.debezium.data.Enum", "parameters": {"allowed": "true,last,false"}}),
+            (F.lit(db), "db", {"type": "string"}),
+            (F.lit(None).cast("string"), "sequence", {"type": "string"}),
+            (F.lit("rs0"), "rs", {"type": "string"}),
+            (tbl, "collection", {"type": "string"}),
+            (F.lit(1), "ord", {"type": "int32"}),
+            (F.lit(None).cast("string"), "lsid", {"type": "string"}),
+            (F.lit(None).cast("bigint"), "txnNumber", {"type": "int64"}),
+        ]
     else:
         raise ValueError(f"unsupported connector {connector!r}")
     cols, nodes = [], []
     for col, name, node in common + rest:
         cols.append(col.alias(name))
-        nodes.append({**node, "field": name, "optional": name not in ("version", "connector", "name", "ts_ms", "db", "table")})
+        nodes.append({**node, "field": name,
+                      "optional": name not in ("version", "connector", "name", "ts_ms", "db", "table", "rs", "collection", "ord")})
     return F.struct(*cols), {"type": "struct", "name": "io.debezium.connector.%s.Source" % connector, "optional": False, "field": "source", "fields": nodes}
 
 
@@ -177,8 +202,10 @@ def encode_events(
 
     def by_connector(cols: Sequence[str], with_ts: bool) -> Column:
         if isinstance(connector, Column):
-            return F.when(connector == "mysql", one_version(cols, "mysql", with_ts)).otherwise(
-                one_version(cols, "postgresql", with_ts))
+            out = one_version(cols, "postgresql", with_ts)
+            for other in CONNECTORS[1:]:
+                out = F.when(connector == other, one_version(cols, other, with_ts)).otherwise(out)
+            return out
         return one_version(cols, connector, with_ts)
 
     value = None

@@ -293,7 +293,44 @@ def q_normalize_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     for _, df in decode_events(ev):
         frames.append(normalize_source(df).select(
             F.coalesce(F.col("after.o_orderkey"), F.col("before.o_orderkey")).alias("o_orderkey"),
-            "source_position.*"))
+            *[F.col(f"source_position.{c}") for c in PG_MYSQL_POSITION]))
+    return union_all(frames)
+
+
+PG_MYSQL_POSITION = ("connector", "db", "schema", "table", "ts_ms", "snapshot", "tx_id", "lsn", "binlog_file",
+                     "binlog_pos", "binlog_row", "gtid", "server_id")
+
+
+@register("normalize_source_all", f"""
+SELECT o_orderkey,
+       CASE o_orderkey % 4 WHEN 0 THEN 'postgresql' WHEN 1 THEN 'mysql' WHEN 2 THEN 'sqlserver' ELSE 'mongodb' END
+           AS connector,
+       'inventory' AS db,
+       CASE o_orderkey % 4 WHEN 0 THEN 'public' WHEN 2 THEN 'dbo' END AS schema, 'orders' AS "table",
+       {TS_SQL} AS ts_ms, CASE WHEN o_orderkey % 10 = 3 THEN 'true' ELSE 'false' END AS snapshot,
+       CASE WHEN o_orderkey % 4 = 0 THEN o_orderkey END AS tx_id,
+       CASE WHEN o_orderkey % 4 = 0 THEN o_orderkey * 16 END AS lsn,
+       CASE WHEN o_orderkey % 4 = 1 THEN 'mysql-bin.000003' END AS binlog_file,
+       CASE WHEN o_orderkey % 4 = 1 THEN o_orderkey * 16 END AS binlog_pos,
+       CAST(CASE WHEN o_orderkey % 4 = 1 THEN 0 END AS INTEGER) AS binlog_row,
+       CAST(NULL AS VARCHAR) AS gtid,
+       CAST(CASE WHEN o_orderkey % 4 = 1 THEN 223344 END AS BIGINT) AS server_id,
+       CASE WHEN o_orderkey % 4 = 2 THEN CAST(o_orderkey * 16 AS VARCHAR) END AS change_lsn,
+       CASE WHEN o_orderkey % 4 = 2 THEN CAST(o_orderkey * 16 AS VARCHAR) END AS commit_lsn,
+       CAST(CASE WHEN o_orderkey % 4 = 2 THEN 1 END AS BIGINT) AS event_serial_no,
+       CASE WHEN o_orderkey % 4 = 3 THEN 'rs0' END AS replica_set,
+       CAST(CASE WHEN o_orderkey % 4 = 3 THEN 1 END AS INTEGER) AS oplog_ord
+FROM orders""")
+def q_normalize_source_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S6 for every bundled connector: Postgres, MySQL, SQL Server and MongoDB source
+    blocks in one batch (four schema groups), mapped onto one position struct."""
+    k = F.col("o_orderkey")
+    dialect = (F.when(k % 4 == 0, "postgresql").when(k % 4 == 1, "mysql").when(k % 4 == 2, "sqlserver")
+               .otherwise("mongodb"))
+    ev = orders_events(spark, sf_dir, style="envelope", connector=dialect)
+    frames = [normalize_source(df).select(
+        F.coalesce(F.col("after.o_orderkey"), F.col("before.o_orderkey")).alias("o_orderkey"), "source_position.*")
+        for _, df in decode_events(ev)]
     return union_all(frames)
 
 

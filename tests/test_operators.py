@@ -228,3 +228,25 @@ def test_config_reads_add_headers():
 
     cfg = CdcConfig.from_properties({"debezium.transforms.unwrap.add.headers": "db, table"}, base_path="/x")
     assert cfg.header_fields == ("db", "table")
+
+
+def test_normalize_source_four_connectors(spark):
+    from cdclake.sources.encode import encode_events
+
+    df = spark.range(1, 9).select(F.col("id").alias("k"))
+    dialect = F.element_at(F.array(*[F.lit(c) for c in ("postgresql", "mysql", "sqlserver", "mongodb")]),
+                           (F.col("k") % 4 + 1).cast("int"))
+    groups = decode_events(encode_events(df, "s.db.t", style="envelope", connector=dialect, lsn=F.col("k")))
+    assert len(groups) == 4
+    rows = {r["connector"]: r for r in union_rows([normalize_source(d).select("source_position.*") for _, d in groups])}
+    assert set(rows) == {"postgresql", "mysql", "sqlserver", "mongodb"}
+    assert rows["sqlserver"]["change_lsn"] is not None and rows["sqlserver"]["schema"] == "dbo"
+    assert rows["mongodb"]["replica_set"] == "rs0" and rows["mongodb"]["table"] == "t"
+    assert rows["mysql"]["binlog_file"] is not None and rows["postgresql"]["lsn"] is not None
+
+
+def union_rows(frames):
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out.collect()

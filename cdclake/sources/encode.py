@@ -154,7 +154,10 @@ def encode_events(
     matching condition (``None`` = always) picks the row's column set and thus
     its schema version (``with_source_ts=False`` leaves ``__source_ts_ms`` out,
     like heartbeat events). ``headers`` adds a ``headers`` map column (record
-    headers, e.g. ``{"__db": ...}``). ``connector`` may be a column of ``'postgresql'`` /
+    headers, e.g. ``{"__db": ...}``). ``connector`` (``postgresql``, ``mysql``,
+    ``sqlserver``, ``mongodb``) shapes the ``source`` block; the row images stay
+    structs for all of them (a real MongoDB connector sends ``after`` as JSON
+    text). ``connector`` may be a column of ``'postgresql'`` /
     ``'mysql'`` to mix source dialects. ``tombstones`` adds a null-value event
     after every delete; ``malformed`` truncates the JSON text where true.
     """

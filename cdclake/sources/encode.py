@@ -157,8 +157,8 @@ def encode_events(
     headers, e.g. ``{"__db": ...}``). ``connector`` (``postgresql``, ``mysql``,
     ``sqlserver``, ``mongodb``) shapes the ``source`` block; the row images stay
     structs for all of them (a real MongoDB connector sends ``after`` as JSON
-    text). ``connector`` may be a column of ``'postgresql'`` /
-    ``'mysql'`` to mix source dialects. ``tombstones`` adds a null-value event
+    text); it may also be a column of these names, to mix dialects in one
+    stream. ``tombstones`` adds a null-value event
     after every delete; ``malformed`` truncates the JSON text where true.
     """
     op = op if op is not None else F.lit("c")

@@ -34,10 +34,16 @@ def _fingerprint(df: DataFrame) -> tuple[int, int]:
 
 
 def _listing(spark: SparkSession, path: str) -> tuple[int, int]:
-    """(data files, bytes) under ``path``: one recursive listing on the driver, no scan.
+    files, size, _ = _listing_with_partitions(spark, path)
+    return files, size
+
+
+def _listing_with_partitions(spark: SparkSession, path: str) -> tuple[int, int, list[str]]:
+    """(data files, bytes, partition columns) under ``path``: one recursive listing on the driver, no scan.
 
     Names starting with ``_`` or ``.`` (commit markers, summaries, checksums)
-    are not data, as for Spark's file index.
+    are not data, as for Spark's file index. Partition columns are the
+    ``name=value`` folder levels between ``path`` and the files (e.g. ``dt``).
     """
     jvm = spark.sparkContext._jvm
     root = jvm.org.apache.hadoop.fs.Path(path)
@@ -45,6 +51,7 @@ def _listing(spark: SparkSession, path: str) -> tuple[int, int]:
     base = root.toUri().getPath().rstrip("/")
     it = fs.listFiles(root, True)
     files = size = 0
+    partitions: list[str] = []
     while it.hasNext():
         st = it.next()
         rel = st.getPath().toUri().getPath()[len(base):].strip("/")
@@ -52,7 +59,9 @@ def _listing(spark: SparkSession, path: str) -> tuple[int, int]:
             continue
         files += 1
         size += int(st.getLen())
-    return files, size
+        if files == 1:
+            partitions = [d.split("=", 1)[0] for d in rel.split("/")[:-1] if "=" in d]
+    return files, size, partitions
 
 
 def compact_partition(spark: SparkSession, path: str, *, save_format: str = "parquet", files: int | None = None,
@@ -65,7 +74,8 @@ def compact_partition(spark: SparkSession, path: str, *, save_format: str = "par
     ``target_file_bytes``; so a large partition still gets many writer tasks.
     Input partitions of small files are already packed by the scan
     (``spark.sql.files.maxPartitionBytes``); ``coalesce`` merges them into the
-    output count without a shuffle.
+    output count without a shuffle. A table root with ``name=value`` folders
+    (``dt=``) is rewritten with the same folders.
 
     The source is never overwritten in place: the result goes to a new path
     (default: a sibling ``<path>.compacted-<id>``). With ``verify`` the row
@@ -74,7 +84,7 @@ def compact_partition(spark: SparkSession, path: str, *, save_format: str = "par
     the result in is the caller's step.
     """
     src = spark.read.format(save_format).option("mergeSchema", "true").load(path)
-    files_before, bytes_before = _listing(spark, path)
+    files_before, bytes_before, partition_cols = _listing_with_partitions(spark, path)
     if files is None:
         if rows_per_file:
             files = max(1, math.ceil(src.count() / rows_per_file))
@@ -86,6 +96,9 @@ def compact_partition(spark: SparkSession, path: str, *, save_format: str = "par
     if files < src.rdd.getNumPartitions():
         data = data.coalesce(files)
     writer = data.write.mode("errorifexists").format(save_format)
+    if partition_cols:
+        # A table root with ``dt=`` (or other) folders keeps its layout.
+        writer = writer.partitionBy(*partition_cols)
     if rows_per_file:
         writer = writer.option("maxRecordsPerFile", str(rows_per_file))
     writer.save(out)

@@ -59,3 +59,17 @@ def test_compaction_sizes_output_by_bytes(spark, lake):
     out = compact_partition(spark, src, target_file_bytes=n_bytes // 3 + 1)
     assert out.files_after == 3 and out.rows == 400
     assert compact_partition(spark, src).files_after == 1  # default target: one file for a small partition
+
+
+def test_compaction_of_a_partitioned_root_keeps_its_folders(spark, lake):
+    f = [fld("id", "int64"), fld("v", "string")]
+    cfg = CdcConfig(base_path=lake, partition=True)
+    for day in range(2):
+        ev = events(spark, [("t", None, flat(f, {"id": day * 100 + i, "v": "x"})) for i in range(50)]).repartition(4)
+        ingest_batch(ev, cfg, batch_id=day, batch_time_ms=1_700_000_000_000 + day * 86_400_000)
+    out = compact_partition(spark, f"{lake}/t", files=1)
+    assert out.files_before == 8 and out.rows == 100
+    t = read_table(spark, out.target_path)
+    assert sorted(r["dt"].isoformat() for r in t.select("dt").distinct().collect()) == ["2023-11-14", "2023-11-15"]
+    assert t.filter("dt = '2023-11-15'").count() == 50 and "dt" not in spark.read.parquet(
+        f"{out.target_path}/dt=2023-11-15").columns

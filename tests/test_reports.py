@@ -1,5 +1,4 @@
 import pytest
-from pyspark.sql import functions as F
 
 from cdclake import (CdcConfig, batch_utilisation, compact_partition, ingest_batch, lag_report, progress_by_interval,
                      progress_report, read_table)

@@ -123,6 +123,10 @@ class CdcConfig:
     # (small groups x batch partitions) would exceed max_group_tasks scan tasks.
     small_group_rows: int = 100_000
     max_group_tasks: int = 20_000
+    # Where the keyed batch lives while its groups are written: "cache" (memory and local
+    # disk; micro-batches) or "table" (one write to the shared scratch folder, partitioned
+    # by group; backfills larger than the cluster's memory, no recompute on executor loss).
+    batch_storage: str = "cache"
     trigger: TriggerPolicy = field(default_factory=TriggerPolicy)
     idempotent: bool = False  # replayed batch ids replace their own output instead of appending again
     header_fields: tuple[str, ...] = ()  # as ``add.headers``: ``db`` lands header ``__db`` as column ``__db``

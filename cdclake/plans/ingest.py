@@ -104,6 +104,7 @@ class BatchResult:
 ENVELOPE_HEAD = '{"schema":{'
 PAYLOAD_KEY = ',"payload":'
 SCHEMA_COL = "__schema"
+SAMPLE_COL = "__sample"
 
 
 def key_events(events: DataFrame, check_malformed: bool = False) -> DataFrame:
@@ -208,8 +209,11 @@ def group_counts(keyed: DataFrame) -> DataFrame:
     shuffle carries one row per group per partition holding the schema text
     only (see :func:`schema_sample`), never a payload.
     """
-    schema = SCHEMA_COL if SCHEMA_COL in keyed.columns else None
-    return (keyed.groupBy("gid", "destination", "kind", schema_sample("value", schema).alias("sample"))
+    if SAMPLE_COL in keyed.columns:  # stored with a staged batch: no event text is read
+        sample = F.col(SAMPLE_COL)
+    else:
+        sample = schema_sample("value", SCHEMA_COL if SCHEMA_COL in keyed.columns else None)
+    return (keyed.groupBy("gid", "destination", "kind", sample.alias("sample"))
             .agg(F.count(F.lit(1)).alias("rows")))
 
 
@@ -394,6 +398,23 @@ def stage_small_groups(keyed: DataFrame, small: list[SchemaGroup]) -> tuple[Data
     return spark.read.schema(keyed.schema).parquet(path), path
 
 
+def stage_batch(keyed: DataFrame) -> tuple[DataFrame, str]:
+    """Write a keyed batch once to the shared scratch folder, partitioned by group id.
+
+    One job, no shuffle: each task writes one file per group it holds, so a
+    hot group stays spread over all tasks. Each row also stores its schema
+    sample; within a file it is one repeated value, which Parquet's
+    dictionary encoding stores almost for free, so discovery reads only small
+    columns. Every group then prunes to its own folder.
+    """
+    spark = keyed.sparkSession
+    path = scratch_path(spark, "ingest_batch")
+    schema = SCHEMA_COL if SCHEMA_COL in keyed.columns else None
+    staged = keyed.withColumn(SAMPLE_COL, schema_sample("value", schema))
+    staged.sortWithinPartitions("gid").write.partitionBy("gid").parquet(path)
+    return spark.read.schema(staged.schema).parquet(path), path
+
+
 def _delete(spark, path: str) -> None:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
@@ -430,13 +451,19 @@ def ingest_batch(events: DataFrame, cfg: CdcConfig, batch_id: int | None = None,
     if cfg.include_tables is not None:
         ev = include_tables(ev, cfg.include_tables)
     ev = spread(ev, cfg.min_partitions, cfg.rebalance)
-    keyed = (key_events(ev, check_malformed=cfg.on_malformed == "quarantine")
-             .sortWithinPartitions("gid", "destination").persist(StorageLevel.MEMORY_AND_DISK))
+    if cfg.batch_storage not in ("cache", "table"):
+        raise ValueError(f"batch_storage must be cache or table, not {cfg.batch_storage!r}")
+    keyed = key_events(ev, check_malformed=cfg.on_malformed == "quarantine")
+    batch_path = None
+    if cfg.batch_storage == "table":
+        keyed, batch_path = stage_batch(keyed)
+    else:
+        keyed = keyed.sortWithinPartitions("gid", "destination").persist(StorageLevel.MEMORY_AND_DISK)
     result = BatchResult(batch_id, batch_time_ms)
     staged_path = None
     try:
         groups = discover_groups(keyed, cfg.max_groups)
-        small = small_groups(groups, keyed.rdd.getNumPartitions(), cfg)
+        small = small_groups(groups, keyed.rdd.getNumPartitions(), cfg) if batch_path is None else []
         staged = None
         if small:
             staged, staged_path = stage_small_groups(keyed, small)
@@ -477,7 +504,10 @@ def ingest_batch(events: DataFrame, cfg: CdcConfig, batch_id: int | None = None,
             for dest in by_dest:
                 result.groups.extend(land(dest))
     finally:
-        keyed.unpersist()
+        if batch_path is None:
+            keyed.unpersist()
+        else:
+            _delete(spark, batch_path)
         if staged_path is not None:
             _delete(spark, staged_path)
     if cfg.ingest_log and result.groups:
@@ -546,4 +576,4 @@ def append_ingest_log(spark, cfg: CdcConfig, result: BatchResult) -> None:
 
 
 __all__ = ["BatchResult", "GroupResult", "SchemaGroup", "append_ingest_log", "schema_sample", "decode_events", "decode_group", "discover_groups", "group_counts",
-           "group_path", "ingest_batch", "key_events", "replay_dir", "small_groups", "stable_batch_time", "stage_small_groups", "spread", "write_group"]
+           "group_path", "ingest_batch", "key_events", "replay_dir", "small_groups", "stable_batch_time", "stage_batch", "stage_small_groups", "spread", "write_group"]

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from cdclake import CdcConfig, encode_events, ingest_batch, read_table
 from cdclake.plans.ingest import decode_group, discover_groups, group_counts, key_events
-from helpers import events, flat, fld
+from helpers import events, flat, fld, value
 
 
 def plan(df) -> str:
@@ -131,3 +131,28 @@ def test_rebalance_always_evens_a_skewed_input(spark):
     assert len(sizes) == max(2, p) and max(sizes) - min(sizes) <= p  # each input starts at its own offset
     with pytest.raises(ValueError):
         spread(skewed, 2, "sometimes")
+
+
+def test_table_storage_lands_like_the_cache_and_discovers_without_event_text(spark, lake):
+    import os
+
+    from cdclake.config import local_path, shared_dir
+    from cdclake.plans.ingest import stage_batch
+
+    amb = [fld("a", "int32", parameters={"x": "1", "payload": "p"}), fld("b", "int32")]
+    rows = [(d, None, flat(F1, {"id": i, "name": d})) for d in ("a", "b") for i in range(30)]
+    rows += [("c", None, value(amb, {"a": 1, "b": 2}))]  # ambiguous prefix: split exactly in both modes
+    ev = events(spark, rows).repartition(3)
+    scratch = local_path(shared_dir(spark).rstrip("/") + "/cdclake")
+    os.makedirs(scratch, exist_ok=True)
+    before = set(os.listdir(scratch))
+    got = {}
+    for mode in ("cache", "table"):
+        base = f"{lake}/{mode}"
+        res = ingest_batch(ev, CdcConfig(base_path=base, batch_storage=mode), batch_id=0, batch_time_ms=1)
+        got[mode] = sorted((g.destination, g.rows) for g in res.groups)
+        assert sorted(r["id"] for r in read_table(spark, f"{base}/a").collect()) == list(range(30))
+    assert got["cache"] == got["table"] == [("a", 30), ("b", 30), ("c", 1)]
+    assert not [d for d in set(os.listdir(scratch)) - before if d.startswith("ingest_batch")]  # staged table removed
+    staged, _ = stage_batch(key_events(ev))
+    assert re.search(r"ReadSchema: struct<destination:string,kind:int,__sample:string>", plan(group_counts(staged)))

@@ -712,6 +712,34 @@ def q_land_database(spark: SparkSession, sf_dir: str) -> DataFrame:
     return union_all(out)
 
 
+@register("land_backfill", """
+SELECT 'testc.db.lineitem' AS destination, count(*) AS rows, CAST(sum(l_orderkey) AS BIGINT) AS key_sum,
+       CAST(sum(l_linenumber) AS BIGINT) AS line_sum FROM lineitem
+UNION ALL
+SELECT 'testc.db.orders' AS destination, count(*) AS rows, CAST(sum(o_orderkey) AS BIGINT) AS key_sum,
+       CAST(NULL AS BIGINT) AS line_sum FROM orders""")
+def q_land_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K1 A1 A2 in backfill mode: the keyed batch is staged on shared storage partitioned by
+    group (``batch_storage="table"``) instead of cached, then each table is decoded from its folder."""
+    base = scratch_path(spark, "land_backfill")
+    frames = []
+    for name, keys, _ in DB_TABLES:
+        if name in ("lineitem", "orders"):
+            k = F.col(keys[0])
+            frames.append(encode_events(source_rows(spark, sf_dir, name), f"{DB}.{name}", key=list(keys),
+                                        op=op_rule(k), lsn=k))
+    cfg = CdcConfig(base_path=base, partition=True, batch_storage="table")
+    ingest_batch(union_all(frames), cfg, batch_id=0, batch_time_ms=BATCH_TIME_MS)
+    li = read_table(spark, f"{base}/{DB}.lineitem", provenance=False).agg(
+        F.count(F.lit(1)).alias("rows"), F.sum("l_orderkey").cast("bigint").alias("key_sum"),
+        F.sum("l_linenumber").cast("bigint").alias("line_sum"))
+    o = read_table(spark, f"{base}/{DB}.orders", provenance=False).agg(
+        F.count(F.lit(1)).alias("rows"), F.sum("o_orderkey").cast("bigint").alias("key_sum"),
+        F.lit(None).cast("bigint").alias("line_sum"))
+    return (li.select(F.lit(f"{DB}.lineitem").alias("destination"), "*")
+            .unionByName(o.select(F.lit(f"{DB}.orders").alias("destination"), "*")))
+
+
 # --- reports and maintenance -------------------------------------------------
 
 @register("file_batch_sizes", """

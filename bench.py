@@ -69,7 +69,7 @@ def main() -> None:
     timed("land_event_files", land_files)
     for name in ("ingest_roundtrip", "decode_declared", "unwrap_rewrite", "decode_inferred", "normalize_source",
                  "write_read_merge", "stream_ingest", "quarantine_ingest", "compact_partition", "lag_report",
-                 "batch_utilisation", "land_texts", "land_vectors", "land_database"):
+                 "batch_utilisation", "land_texts", "land_vectors", "land_database", "land_backfill"):
         timed(name, lambda n=name: QUERIES[n](spark, sf_dir).write.format("noop").mode("overwrite").save())
     total = round(sum(timings.values()), 3)
     m = re.search(r"sf([0-9.]+)", sf_dir)

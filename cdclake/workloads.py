@@ -856,9 +856,13 @@ def q_compact_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(out.target_path).select(*LINEITEM_COLS)
 
 
-@register("summary_metadata")
+@register("summary_metadata", """
+SELECT 'data' AS kind, count(*) > 0 AS present FROM orders
+UNION ALL SELECT '_SUCCESS' AS kind, true AS present
+UNION ALL SELECT '_metadata' AS kind, true AS present
+UNION ALL SELECT '_common_metadata' AS kind, true AS present""")
 def q_summary_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """K6 K7: Parquet summary files next to the data files (rows-only check)."""
+    """K6 K7: Parquet summary files and the commit marker next to the data files."""
     base = scratch_path(spark, "summary")
     res = ingest_batch(orders_events(spark, sf_dir), CdcConfig(base_path=base, summary_metadata=True),
                        batch_id=0, batch_time_ms=BATCH_TIME_MS)

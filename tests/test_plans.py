@@ -156,3 +156,17 @@ def test_table_storage_lands_like_the_cache_and_discovers_without_event_text(spa
     assert not [d for d in set(os.listdir(scratch)) - before if d.startswith("ingest_batch")]  # staged table removed
     staged, _ = stage_batch(key_events(ev))
     assert re.search(r"ReadSchema: struct<destination:string,kind:int,__sample:string>", plan(group_counts(staged)))
+
+
+def test_staged_small_group_scan_prunes_to_its_folder(spark):
+    from cdclake.plans.ingest import stage_small_groups
+
+    ev = events(spark, [(d, None, flat(F1, {"id": i, "name": d})) for d in ("a", "b", "c") for i in range(4)])
+    keyed = key_events(ev).sortWithinPartitions("gid", "destination").persist()
+    groups = discover_groups(keyed, 10)
+    staged, _ = stage_small_groups(keyed, groups)
+    df = decode_group(staged, groups[1], CdcConfig(base_path=""), 0)
+    p = plan(df)
+    assert re.search(r"PartitionFilters: \[.*gid#\d+L IN \(", p) or re.search(r"PartitionFilters: \[.*gid#\d+L = ", p)
+    assert "Exchange" not in tree(df) and df.count() == 4
+    keyed.unpersist()

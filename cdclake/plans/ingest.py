@@ -519,26 +519,24 @@ def decode_events(events: DataFrame, cfg: CdcConfig | None = None, batch_time_ms
                   materialize: bool = True) -> list[tuple[SchemaGroup, DataFrame]]:
     """Decode a frame of events without writing: one typed frame per schema group.
 
-    Discovery runs one aggregation job. With more than one group and
-    ``materialize``, the keyed events are written once to a table in the
-    shared scratch folder (``spark.checkpoint.dir``), partitioned by group id
-    without a shuffle (each task writes its own rows, so a hot group stays
-    spread). Each group frame then reads only its own folder (partition
-    pruning) instead of recomputing the input; lineage is cut there, which
-    also keeps executor loss cheap. Each returned frame is lazy; the table
-    stays in the scratch folder.
+    With ``materialize`` the keyed events are first written once to a table
+    in the shared scratch folder (``spark.checkpoint.dir``), partitioned by
+    group id without a shuffle (each task writes its own rows, so a hot group
+    stays spread; see :func:`stage_batch`). Discovery then reads only the
+    stored schema samples, and each group frame reads only its own folder
+    (partition pruning): the input is read and keyed once, and lineage is
+    cut there, which also keeps executor loss cheap. Without it, discovery
+    and every group frame recompute the input. Each returned frame is lazy;
+    the table stays in the scratch folder.
     """
     cfg = cfg or CdcConfig(base_path="")
     ev = drop_tombstones(events)
     if cfg.include_tables is not None:
         ev = include_tables(ev, cfg.include_tables)
     keyed = key_events(spread(ev, cfg.min_partitions, cfg.rebalance), check_malformed=cfg.on_malformed == "quarantine")
+    if materialize:
+        keyed, _ = stage_batch(keyed)
     groups = discover_groups(keyed, cfg.max_groups)
-    if materialize and len(groups) > 1:
-        spark = keyed.sparkSession
-        path = scratch_path(spark, "decode_events")
-        keyed.sortWithinPartitions("gid").write.partitionBy("gid").parquet(path)
-        keyed = spark.read.schema(keyed.schema).parquet(path)
     out = []
     for g in groups:
         if g.kind == KIND_MALFORMED:

@@ -42,9 +42,9 @@ def main() -> None:
     from cdclake import CdcConfig, ingest_batch, read_events, scratch_path
     from cdclake.sources.encode import encode_events
     from cdclake.sources.events import write_events
-    from cdclake.workloads import QUERIES, op_rule, orders_events
+    from cdclake.workloads import QUERIES, op_rule, orders_events, source_rows
 
-    li = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    li = source_rows(spark, sf_dir, "lineitem")
     k = F.col("l_orderkey") * 8 + F.col("l_linenumber")
     li_events = encode_events(li, "testc.inventory.lineitem", key=["l_orderkey", "l_linenumber"], op=op_rule(k),
                               lsn=k)

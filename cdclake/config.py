@@ -95,7 +95,27 @@ def select_trigger_policy(name: str, **kwargs: Any) -> TriggerPolicy:
 
 @dataclass(frozen=True)
 class CdcConfig:
-    """Options of the lake sink."""
+    """Options of the lake sink.
+
+    Reference options: ``base_path`` (bucket), ``save_format``, ``save_mode``,
+    ``cast_deleted_field``, ``partition`` / ``partition_tz`` (``dt=`` folders),
+    ``prefix``, ``dest_regexp`` / ``dest_replace`` (destination -> path) and
+    ``trigger`` (batch-size wait).
+
+    Upstream transforms applied here when the events still carry them:
+    ``unwrap`` (flatten envelopes), ``snapshot_as_insert``, ``include_tables``,
+    ``header_fields``.
+
+    Behaviour: ``on_malformed`` (``fail`` or ``quarantine``), ``legacy_null_ts``,
+    ``idempotent`` (exactly-once replays).
+
+    Output: ``write_options``, ``rows_per_file``, ``summary_metadata``,
+    ``ingest_log``.
+
+    Scale: ``max_groups``, ``parallel_writes``, ``min_partitions``,
+    ``rebalance``, ``small_group_rows`` / ``max_group_tasks``,
+    ``batch_storage`` (see the sizing table in the README).
+    """
 
     base_path: str
     save_format: str = "parquet"

@@ -72,3 +72,16 @@ def test_compaction_of_a_partitioned_root_keeps_its_folders(spark, lake):
     assert sorted(r["dt"].isoformat() for r in t.select("dt").distinct().collect()) == ["2023-11-14", "2023-11-15"]
     assert t.filter("dt = '2023-11-15'").count() == 50 and "dt" not in spark.read.parquet(
         f"{out.target_path}/dt=2023-11-15").columns
+
+
+def test_listing_skips_markers_and_finds_partition_levels(spark, tmp_path):
+    from cdclake.plans.compact import _listing_with_partitions
+
+    root = tmp_path / "t"
+    (root / "dt=2024-01-01" / "batch_id=3").mkdir(parents=True)
+    (root / "dt=2024-01-01" / "batch_id=3" / "part-0.parquet").write_bytes(b"x" * 10)
+    (root / "dt=2024-01-01" / "batch_id=3" / ".part-0.parquet.crc").write_bytes(b"c")
+    (root / "_SUCCESS").write_bytes(b"")
+    (root / "_temporary" / "0").mkdir(parents=True)
+    (root / "_temporary" / "0" / "part-9.parquet").write_bytes(b"y" * 99)
+    assert _listing_with_partitions(spark, str(root)) == (1, 10, ["dt", "batch_id"])

@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..config import scratch_path
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 class Scratch:
     """One operator call's folder; ``drop`` deletes a table that no later result reads."""
@@ -17,7 +19,13 @@ class Scratch:
         self.spark, self.root = spark, scratch_path(spark, name)
 
     def keep(self, df: DataFrame, name: str) -> DataFrame:
-        df.write.parquet(f"{self.root}/{name}")
+        """Write ``df`` and return the written table; the write's shuffle files go when it ends."""
+        before = self.spark.conf.get(CLEANUP, "false")
+        self.spark.conf.set(CLEANUP, "true")
+        try:
+            df.write.option("compression", "zstd").parquet(f"{self.root}/{name}")
+        finally:
+            self.spark.conf.set(CLEANUP, before)
         return self.spark.read.schema(df.schema).parquet(f"{self.root}/{name}")
 
     def drop(self, *names: str) -> None:

@@ -18,7 +18,7 @@ BLANK = np.zeros(256, bool)
 BLANK[[32, 9, 10, 11, 12, 13]] = True
 
 _rng = np.random.default_rng(20240607)
-_BYTE = _rng.integers(1, 2**63, 256, dtype=np.uint64) * U(2) + U(1)
+_BYTE = _rng.integers(0, 2**64, 256, dtype=np.uint64)
 _BASE = U(0x9E3779B97F4A7C15)
 _BASE_INV = U(pow(0x9E3779B97F4A7C15, -1, 2**64))
 _STEP = _rng.integers(1, 2**63, 8, dtype=np.uint64) * U(2) + U(1)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import jaccard, quality
+from . import jaccard, mixing, packing, quality, substrings
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +16,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
+def op2_raked_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "mix.*")
+
+
 def op5_line_cleaning(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = quality.with_quality(table(spark, sf_dir, "documents").select("doc_id", "text"))
     names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
@@ -26,9 +34,16 @@ def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_join(table(spark, sf_dir, "documents"))
 
 
+def op9_suffix_bucket_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.repeated_bytes(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
+    "op1_best_fit_packing": op1_best_fit_packing,
+    "op2_raked_mixture": op2_raked_mixture,
     "op5_line_cleaning": op5_line_cleaning,
     "op6_ngram_jaccard_join": op6_ngram_jaccard_join,
+    "op9_suffix_bucket_dedup": op9_suffix_bucket_dedup,
 }
 
 ORACLES: dict[str, str] = {}

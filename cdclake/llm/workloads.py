@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import jaccard, mixing, packing, quality, substrings
+from . import jaccard, langid, mixing, packing, pivots, quality, substrings
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -24,6 +24,10 @@ def op2_raked_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "mix.*")
 
 
+def op4_language_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(table(spark, sf_dir, "documents"))
+
+
 def op5_line_cleaning(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = quality.with_quality(table(spark, sf_dir, "documents").select("doc_id", "text"))
     names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
@@ -34,6 +38,11 @@ def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_join(table(spark, sf_dir, "documents"))
 
 
+def op7_pivot_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    return pivots.nearest(rows, rows.where("vec_id % 100 = 0"))
+
+
 def op9_suffix_bucket_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.repeated_bytes(table(spark, sf_dir, "documents"))
 
@@ -41,8 +50,10 @@ def op9_suffix_bucket_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_raked_mixture": op2_raked_mixture,
+    "op4_language_codes": op4_language_codes,
     "op5_line_cleaning": op5_line_cleaning,
     "op6_ngram_jaccard_join": op6_ngram_jaccard_join,
+    "op7_pivot_topk": op7_pivot_topk,
     "op9_suffix_bucket_dedup": op9_suffix_bucket_dedup,
 }
 
@@ -104,3 +115,18 @@ links AS (
 SELECT c.doc_id, c.text_class, c.n_copies, g.class_id, CAST(coalesce(l.n_links, 0) AS BIGINT) AS n_links
 FROM class c JOIN (SELECT a AS doc_id, min(b) AS class_id FROM reach GROUP BY a) g USING (doc_id) LEFT JOIN links l USING (doc_id)
 """
+
+# Every query against every row.
+ORACLES["op7_pivot_topk"] = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+         CAST(list_sum(list_transform(list_zip(q.e, c.e), lambda p: p[1] * p[2])) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id AND len(c.e) = len(q.e))
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 10
+"""

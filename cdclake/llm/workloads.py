@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import jaccard, langid, mixing, packing, pivots, quality, substrings
+from . import attribution, jaccard, langid, mixing, packing, pivots, quality, sitetree, substrings
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -43,10 +43,18 @@ def op7_pivot_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pivots.nearest(rows, rows.where("vec_id % 100 = 0"))
 
 
+def op8_token_attribution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return attribution.section_tokens(table(spark, sf_dir, "documents"))
+
+
 def op9_suffix_bucket_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.repeated_bytes(table(spark, sf_dir, "documents"))
 
 
+def op10_site_style_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sitetree.main_text(table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_raked_mixture": op2_raked_mixture,
@@ -54,7 +62,9 @@ QUERIES: dict[str, Query] = {
     "op5_line_cleaning": op5_line_cleaning,
     "op6_ngram_jaccard_join": op6_ngram_jaccard_join,
     "op7_pivot_topk": op7_pivot_topk,
+    "op8_token_attribution": op8_token_attribution,
     "op9_suffix_bucket_dedup": op9_suffix_bucket_dedup,
+    "op10_site_style_tree": op10_site_style_tree,
 }
 
 ORACLES: dict[str, str] = {}

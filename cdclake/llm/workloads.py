@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import attribution, jaccard, langid, mixing, packing, pivots, quality, sitetree, substrings
+from . import attribution, jaccard, langid, mixing, packing, pivots, ppm, quality, sitetree, substrings
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -24,6 +24,10 @@ def op2_raked_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "mix.*")
 
 
+def op3_ppm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ppm.score(table(spark, sf_dir, "documents"))
+
+
 def op4_language_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
 
@@ -58,6 +62,7 @@ def op10_site_style_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_raked_mixture": op2_raked_mixture,
+    "op3_ppm_score": op3_ppm_score,
     "op4_language_codes": op4_language_codes,
     "op5_line_cleaning": op5_line_cleaning,
     "op6_ngram_jaccard_join": op6_ngram_jaccard_join,

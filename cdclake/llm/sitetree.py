@@ -9,6 +9,7 @@ composite importance are cut from every page, as are branches whose markup names
 
 from __future__ import annotations
 
+import hashlib
 import html as entities
 import re
 from collections.abc import Iterator
@@ -21,6 +22,7 @@ from .scratch import Scratch
 
 LEAST_PAGES = 5  # pages that must hold a node before its entropy counts
 THRESHOLD = 0.25  # composite importance below which a branch is cut
+DEPTH = 256  # elements nested deeper count as text of the last, as browsers do at some depth
 OWN = 0.1  # weight of a node's presentation against that of its contents
 
 # HTML elements by their role in a document.
@@ -45,8 +47,13 @@ _PART = re.compile(r"[A-Za-z][a-z]*|[A-Z]+")
 class Node:
     __slots__ = ("tag", "path", "dropped", "main", "above", "children")
 
-    def __init__(self, tag: str, path: str, dropped: bool, main: bool, above: tuple[str, ...]):
-        self.tag, self.path, self.dropped, self.main, self.above, self.children = tag, path, dropped, main, above, []
+    def __init__(self, tag: str, path: int, dropped: bool, main: bool, above: tuple[int, ...]):
+        self.tag, self.path, self.dropped, self.main, self.above, self.children = tag, path, dropped, main, above, set()
+
+
+def _path(parent: int, style: str) -> int:
+    """64 bits that name a style below another."""
+    return int.from_bytes(hashlib.blake2b(f"{parent}>{style}".encode(), digest_size=8).digest(), "big", signed=True)
 
 
 def _style(tag: str, raw: str, inside_article: bool) -> tuple[str, bool]:
@@ -63,13 +70,13 @@ def _style(tag: str, raw: str, inside_article: bool) -> tuple[str, bool]:
     return tag + "".join(sorted(f".{x}" for x in label)) + (f"@{role}" if role else ""), furniture
 
 
-def parse(page: str) -> tuple[list[tuple[str, str, bool]], dict[str, tuple[tuple[str, ...], str]]]:
+def parse(page: str) -> tuple[list[tuple[int, str, bool]], dict[int, tuple[tuple[int, ...], set[str]]]]:
     """Blocks (style path, text, in an article or main element) outside furniture, in page order; and styles: path -> (paths above, child styles)."""
-    stack = [Node("", "", False, False, ())]
-    blocks: list[tuple[str, str, bool]] = []
-    styles: dict[str, tuple[tuple[str, ...], list[str]]] = {}
+    stack = [Node("", 0, False, False, ())]
+    blocks: list[tuple[int, str, bool]] = []
+    styles: dict[int, tuple[tuple[int, ...], set[str]]] = {}
     text: list[str] = []
-    owner = stack[0]
+    owner, deeper = stack[0], 0
 
     def flush() -> None:
         nonlocal text
@@ -85,7 +92,7 @@ def parse(page: str) -> tuple[list[tuple[str, str, bool]], dict[str, tuple[tuple
             flush()
         for node in stack[k:]:
             if not node.dropped:
-                styles.setdefault(node.path, (node.above, []))[1].extend(node.children)
+                styles.setdefault(node.path, (node.above, set()))[1].update(node.children)
         del stack[k:]
         owner = next((n for n in reversed(stack) if n.tag in BLOCKS), stack[0])
 
@@ -107,6 +114,11 @@ def parse(page: str) -> tuple[list[tuple[str, str, bool]], dict[str, tuple[tuple
             if tag == "br":
                 text.append(" ")
                 continue
+            if len(stack) > DEPTH:
+                deeper += tag not in VOID
+                if tag in BLOCKS:
+                    flush()
+                continue
             if tag in ENDS:
                 for k in range(len(stack) - 1, 0, -1):
                     if stack[k].tag in ENDS[tag]:
@@ -124,15 +136,20 @@ def parse(page: str) -> tuple[list[tuple[str, str, bool]], dict[str, tuple[tuple
                 flush()
             up = stack[-1]
             style, furniture = _style(tag, raw, up.main)
-            up.children.append(style)
+            up.children.add(style)
             if tag in VOID:
                 continue
-            node = Node(tag, f"{up.path}>{style}", up.dropped or furniture, up.main or tag in ("article", "main"), (*up.above, up.path) if up.path else ())
+            node = Node(tag, _path(up.path, style), up.dropped or furniture, up.main or tag in ("article", "main"), (*up.above, up.path) if up.path else ())
             stack.append(node)
             if tag in BLOCKS:
                 owner = node
         elif m[1]:
             tag = m[1].lower()
+            if deeper:
+                deeper -= 1
+                if tag in BLOCKS:
+                    flush()
+                continue
             if tag == "p" and not any(n.tag == "p" for n in stack):
                 flush()
             for k in range(len(stack) - 1, 0, -1):
@@ -143,12 +160,12 @@ def parse(page: str) -> tuple[list[tuple[str, str, bool]], dict[str, tuple[tuple
             text.append("<")
     flush()
     close(1)
-    return blocks, {k: (above, " ".join(sorted(set(children)))) for k, (above, children) in styles.items()}
+    return blocks, styles
 
 
 def _parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    block = pa.list_(pa.struct([("path", pa.string()), ("text", pa.string())]))
-    style = pa.list_(pa.struct([("path", pa.string()), ("above", pa.list_(pa.string())), ("children", pa.string())]))
+    block = pa.list_(pa.struct([("path", pa.int64()), ("text", pa.string())]))
+    style = pa.list_(pa.struct([("path", pa.int64()), ("above", pa.list_(pa.int64())), ("children", pa.string())]))
     for batch in batches:
         found, trees = [], []
         for page in batch.column("html"):
@@ -158,7 +175,7 @@ def _parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             found.append([{"path": p, "text": t} for p, t, _ in blocks])
             used = {p for p, _, _ in blocks}
             used |= {a for p in used if p in styles for a in styles[p][0]}
-            trees.append([{"path": p, "above": list(styles[p][0]), "children": styles[p][1]} for p in sorted(used) if p in styles])
+            trees.append([{"path": p, "above": list(styles[p][0]), "children": " ".join(sorted(styles[p][1]))} for p in sorted(used) if p in styles])
         yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), batch.column("host"), pa.array(found, block), pa.array(trees, style)], ["page_id", "url", "host", "blocks", "styles"])
 
 
@@ -189,7 +206,7 @@ def low_branches(pages: DataFrame, *, least_pages: int = LEAST_PAGES, threshold:
 def main_text(pages: DataFrame, **options) -> DataFrame:
     """page_id, url, text, n_chars of every page: its main text, blocks joined by line breaks.
 
-    Whole pages are parsed once; null html is empty text. A page that has article or main elements
+    Whole pages are parsed once, elements deeper than ``DEPTH`` as text of those above; null html is empty text. A page that has article or main elements
     is read inside them. Pages without a host are cleaned by markup
     alone, as are hosts with fewer than ``least_pages`` pages of a style. A host that
     holds a third of all pages is a few rows of sums; pages meet its list of cut
@@ -199,7 +216,7 @@ def main_text(pages: DataFrame, **options) -> DataFrame:
     url = F.col("url").cast("string")
     host = F.regexp_replace(F.lower(F.regexp_extract(url, r"^\s*(?:[A-Za-z][A-Za-z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]+)", 1)), r"^www\.", "")
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), url.alias("url"), F.when(host != "", host).alias("host"), F.col("html").cast("string").alias("html"))
-    parsed = scratch.keep(rows.mapInArrow(_parsed, "page_id bigint, url string, host string, blocks array<struct<path:string,text:string>>, styles array<struct<path:string,above:array<string>,children:string>>"), "parsed")
+    parsed = scratch.keep(rows.mapInArrow(_parsed, "page_id bigint, url string, host string, blocks array<struct<path:bigint,text:string>>, styles array<struct<path:bigint,above:array<bigint>,children:string>>"), "parsed")
     low = scratch.keep(low_branches(parsed, **options), "low")
     kept = F.filter("blocks", lambda b: ~F.coalesce(F.array_contains(F.col("low"), b["path"]), F.lit(False)))
     out = parsed.select("page_id", "url", "host", "blocks").join(low, "host", "left")

@@ -26,12 +26,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .anchors import anchors
+from .anchors import GRAM, anchors
 from .scratch import Scratch
 from .text import U, mix, pieces, prefix_hash, span_hash, utf8
 
 LENGTH = 400  # bytes of a repeated string
-WIDE, NEAR = 256, 128  # most distance between a window's start and its anchor, in the two rounds
+WIDE, NEAR = 16 / 25, 8 / 25  # most distance between a window's start and its anchor in the two rounds, by its length
 EMPTY = hashlib.sha256(b"").hexdigest()
 
 
@@ -130,36 +130,40 @@ def _cut(length: int):
 
 def _removed(docs: DataFrame, length: int, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
     """Copies (key, copies of two or more) and cut texts (key, n_removed, n_spans, kept_sha256, kept_text)."""
+    if int(length * WIDE) + GRAM > length:
+        raise ValueError("length is too short for anchors")
     keyed = docs.select(_key().alias("key"), _text().alias("text"))
     wide = (keyed.select(_short(F.col("key")).alias("key"), "text").where(F.octet_length("text") >= length)
-            .mapInArrow(_first_round(length, WIDE), "bucket bigint, text_key bigint, twice boolean"))
+            .mapInArrow(_first_round(length, int(length * WIDE)), "bucket bigint, text_key bigint, twice boolean"))
     wide = scratch.keep(wide, "wide")
     shared = wide.groupBy("bucket").agg(F.min("text_key").alias("a"), F.max("text_key").alias("b")).where("a <> b").select("bucket")
-    wanted = wide.join(shared, "bucket").select("text_key").unionByName(wide.where("twice").select("text_key")).distinct()
+    shared = scratch.keep(shared, "shared")  # as a table, so that the join may split a bucket that many texts share
+    wanted = wide.join(shared.hint("merge"), "bucket").select("text_key").unionByName(wide.where("twice").select("text_key")).distinct()
     wanted = scratch.keep(wanted, "wanted")
-    scratch.drop("wide")
-    texts = keyed.withColumn("text_key", _short(F.col("key"))).join(wanted, "text_key", "left_semi").groupBy("key").agg(F.first("text").alias("text"))
+    scratch.drop("wide", "shared")
+    texts = keyed.withColumn("text_key", _short(F.col("key"))).join(wanted.hint("merge"), "text_key", "left_semi").groupBy("key").agg(F.first("text").alias("text"))
     texts = scratch.keep(texts, "texts")
 
-    found = scratch.keep(texts.mapInArrow(_second_round(length, NEAR), "bucket bigint, inner bigint, key binary, at int, low int, high int"), "near")
+    found = scratch.keep(texts.mapInArrow(_second_round(length, int(length * NEAR)), "bucket bigint, inner bigint, key binary, at int, low int, high int"), "near")
     groups = found.groupBy("bucket").agg(F.count("*").alias("m"), F.min("inner").alias("a"), F.max("inner").alias("b")).where("m > 1")
-    members = scratch.keep(found.join(groups.select("bucket", (F.col("a") != F.col("b")).alias("mixed")), "bucket"), "members")
-    scratch.drop("near")
+    groups = scratch.keep(groups.select("bucket", (F.col("a") != F.col("b")).alias("mixed")), "groups")
+    members = scratch.keep(found.join(groups.hint("merge"), "bucket"), "members")
+    scratch.drop("near", "groups")
     mixed = members.where("mixed")
     kinds = scratch.keep(mixed.groupBy("bucket", "inner").agg(F.count("*").alias("m"), F.min(F.struct("key", "at", "low", "high")).alias("one")), "kinds")
     edges = kinds.select(F.col("one.key").alias("key"), F.struct("bucket", "inner", "one.at", "one.low", "one.high", (F.col("m") == 1).alias("alone")).alias("edge"))
     windows = (texts.join(edges.groupBy("key").agg(F.collect_list("edge").alias("edges")), "key").select("text", "edges")
                .mapInArrow(_windows(length), "bucket bigint, window bigint, inner bigint, back int, alone boolean"))
     windows = scratch.keep(windows, "windows")
-    hits = windows.groupBy("bucket", "window").count().where("count > 1").select("bucket", "window")
-    single = (windows.where("alone").join(hits, ["bucket", "window"]).select("bucket", "inner", "back")
+    hits = scratch.keep(windows.groupBy("bucket", "window").count().where("count > 1").select("bucket", "window"), "hits")
+    single = (windows.where("alone").join(hits.hint("merge"), ["bucket", "window"]).select("bucket", "inner", "back")
               .join(kinds.where("m = 1").select("bucket", "inner", "one.key", "one.at"), ["bucket", "inner"])
               .select("key", (F.col("at") - F.col("back")).alias("low"), (F.col("at") - F.col("back")).alias("high")))
     whole = members.where("not mixed").select("key", "low", "high")
     agreed = mixed.join(kinds.where("m > 1").select("bucket", "inner"), ["bucket", "inner"]).select("key", "low", "high")
     spans = whole.unionByName(agreed).unionByName(single).groupBy("key").agg(F.collect_list(F.struct("low", "high")).alias("spans"))
     out = scratch.keep(texts.join(spans, "key").mapInArrow(_cut(length), "key binary, n_removed bigint, n_spans bigint, kept_sha256 string, kept_text string"), "cut")
-    scratch.drop("texts", "members", "kinds", "windows", "wanted")
+    scratch.drop("texts", "members", "kinds", "windows", "hits", "wanted")
     copies = keyed.where(F.octet_length("text") >= length).groupBy("key").agg(F.count("*").alias("copies")).where("copies > 1")
     return scratch.keep(copies, "copies"), out
 

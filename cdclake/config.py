@@ -15,6 +15,8 @@ from typing import Any, Mapping
 
 from pyspark.sql import SparkSession
 
+# Default fields copied out of the envelope when flattening.
+DEFAULT_ADD_FIELDS = ("op", "table", "lsn", "source.ts_ms")
 # Property prefixes of the sink and of the batching options.
 SINK_PREFIX = "debezium.sink.sparkbatch."
 BATCH_PREFIX = "debezium.sink.batch."
@@ -132,7 +134,7 @@ class CdcConfig:
     on_malformed: str = "fail"  # or "quarantine"
     legacy_null_ts: bool = False
     write_options: Mapping[str, str] = field(default_factory=dict)
-    rows_per_file: int | None = None
+    rows_per_file: int | None = 1_000_000  # None: a file for each group and partition
     summary_metadata: bool = False
     max_groups: int = 2000
     parallel_writes: int = 8  # destinations written concurrently (each a Spark job)
@@ -149,6 +151,8 @@ class CdcConfig:
     batch_storage: str = "cache"
     trigger: TriggerPolicy = field(default_factory=TriggerPolicy)
     idempotent: bool = False  # replayed batch ids replace their own output instead of appending again
+    stream_id: str = ""  # whose batch ids these are, in idempotent mode (default: the streaming query's id)
+    add_fields: tuple[str, ...] = DEFAULT_ADD_FIELDS  # envelope and source fields that ``unwrap`` copies
     header_fields: tuple[str, ...] = ()  # as ``add.headers``: ``db`` lands header ``__db`` as column ``__db``
 
     def with_(self, **kw: Any) -> "CdcConfig":
@@ -182,10 +186,32 @@ class CdcConfig:
             dest_regexp=batch.get("destination-regexp", ""),
             dest_replace=batch.get("destination-regexp-replace", ""),
             trigger=policy,
-            header_fields=tuple(h.strip() for h in str(props.get(HEADERS_KEY, "")).split(",") if h.strip()),
+            header_fields=_names(props.get(HEADERS_KEY)),
+            include_tables=_included(props),
+            **_unwrapping(props),
         )
 
 
+def _names(text: Any) -> tuple[str, ...]:
+    return tuple(x.strip() for x in str(text or "").split(",") if x.strip())
+
+
+def _included(props: Mapping[str, Any]) -> tuple[str, ...] | None:
+    """Destinations of ``debezium.source.table.include.list`` (``<server name>.<table>``)."""
+    tables = _names(props.get(f"{SOURCE_PREFIX}table.include.list"))
+    server = props.get(f"{SOURCE_PREFIX}database.server.name") or props.get(f"{SOURCE_PREFIX}topic.prefix")
+    return tuple(f"{server}.{t}" if server else t for t in tables) or None
+
+
+def _unwrapping(props: Mapping[str, Any]) -> dict[str, Any]:
+    """The flattening transform: on if ``debezium.transforms`` names one, with its added fields."""
+    for name in _names(props.get("debezium.transforms")):
+        if str(props.get(f"debezium.transforms.{name}.type", "")).endswith("ExtractNewRecordState"):
+            fields = _names(props.get(f"debezium.transforms.{name}.add.fields"))
+            return {"unwrap": True, "add_fields": fields}
+    return {}
+
+
 def default_parallelism(spark: SparkSession) -> int:
     """Task slots to spread a batch over (``spark.default.parallelism`` if set)."""
     v = spark.conf.get("spark.default.parallelism", None)

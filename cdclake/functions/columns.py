@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as _dt
 from zoneinfo import ZoneInfo
 
+from pyspark import SparkContext
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -90,24 +91,20 @@ def target_path(dest: Column | str, base_path: str, prefix: str = "", regexp: st
 
 def target_path_text(dest: str, base_path: str, prefix: str = "", regexp: str = "", replace: str = "",
                      dt: str | None = None) -> str:
-    """Driver-side path for one destination (same rule as :func:`target_path`)."""
-    import re
+    """Driver-side path for one destination (same rule as :func:`target_path`).
 
+    The mapping is Java's regex in the driver's JVM, as in :func:`map_destination`.
+    """
     if dest is None:
         raise ValueError("destination cannot be null")
     mapped = dest
     if regexp:
-        mapped = re.sub(regexp, _java_to_py_replacement(replace or ""), dest)
+        jvm = SparkContext._active_spark_context._jvm  # also in threads that have no session
+        mapped = jvm.java.util.regex.Pattern.compile(regexp).matcher(dest).replaceAll(replace or "")
     path = base_path.rstrip("/") + "/" + prefix + mapped
     return path + "/" + dt if dt else path
 
 
-def _java_to_py_replacement(rep: str) -> str:
-    import re
-
-    return re.sub(r"\$(\d+)", r"\\g<\1>", rep)
-
-
 def write_id(file_name: Column | str) -> Column:
     """The per-write UUID embedded in Spark output file names."""
     return F.regexp_extract(_c(file_name), WRITE_ID_PATTERN, 1)

@@ -56,8 +56,13 @@ def split_envelope(df: DataFrame, *, keys: bool = True) -> DataFrame:
 
 
 def drop_tombstones(df: DataFrame, value: str = "value") -> DataFrame:
-    """Remove null-value events (tombstones that follow deletes)."""
-    return df.filter(F.col(value).isNotNull())
+    """Remove tombstones (they follow deletes): null values, and envelopes whose payload is null.
+
+    Only events with the text of a null payload are parsed to tell.
+    """
+    v = F.col(value)
+    null_payload = v.rlike(r'"payload"\s*:\s*null') & F.array_contains(F.json_object_keys(v), "payload") & F.get_json_object(v, "$.payload").isNull()
+    return df.filter(v.isNotNull() & ~F.coalesce(null_payload, F.lit(False)))
 
 
 def include_tables(df: DataFrame, tables: Iterable[str] | None = None, *, pattern: str | None = None,
@@ -72,8 +77,9 @@ def include_tables(df: DataFrame, tables: Iterable[str] | None = None, *, patter
 
 
 def malformed_flag(value: str = "value") -> Column:
-    """True for a non-null value that is not a JSON object."""
-    return F.col(value).isNotNull() & F.json_object_keys(F.col(value)).isNull()
+    """True for a non-null value that is not one JSON object (text after its end included)."""
+    v = F.col(value)
+    return v.isNotNull() & (F.json_object_keys(v).isNull() | ~F.rtrim(v).endswith("}"))
 
 
 def split_malformed(df: DataFrame, value: str = "value") -> tuple[DataFrame, DataFrame]:

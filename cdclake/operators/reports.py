@@ -31,14 +31,19 @@ def batch_sizes(table: DataFrame, by: str = "file", *, file_col: str = "input_fi
     return table.groupBy(key.alias(by)).agg(F.count(F.lit(1)).alias("rows"))
 
 
-def batch_utilisation(log: DataFrame, max_batch_size: int, *, partition: str = "destination",
+def batch_utilisation(log: DataFrame, max_batch_size: int, *, partition: str | None = "destination",
                       order: str = "batch_id", rows: str = "rows") -> DataFrame:
     """Average of the last three batch sizes (history seeded with 1s) vs ``max_batch_size``.
 
+    A log has a row per schema group; a batch's rows are summed first, per
+    ``partition``, or over the whole batch with ``partition=None`` (what the adaptive wait is told).
+
     ``band`` and ``wait_factor`` say what the adaptive wait would do next:
     shrink the wait (0.50/0.65/0.80), hold it, or grow it.
     """
-    w = Window.partitionBy(partition).orderBy(order)
+    names = [partition] if partition else []
+    log = log.groupBy(*names, order).agg(F.sum(rows).cast("bigint").alias(rows))
+    w = Window.partitionBy(*names).orderBy(order)
     n = F.col(rows).cast("double")
     lag1 = F.coalesce(F.lag(F.col(rows), 1).over(w).cast("double"), F.lit(float(HISTORY_SEED)))
     lag2 = F.coalesce(F.lag(F.col(rows), 2).over(w).cast("double"), F.lit(float(HISTORY_SEED)))
@@ -49,7 +54,7 @@ def batch_utilisation(log: DataFrame, max_batch_size: int, *, partition: str = "
     for lower, label, f in reversed(UTILISATION_BANDS):
         band = F.when(util >= lower, F.lit(label)).otherwise(band)
         factor = F.when(util >= lower, F.lit("hold" if f is None else f"{f:.2f}")).otherwise(factor)
-    return log.select(F.col(partition), F.col(order), F.col(rows), avg3.alias("avg3"), util.alias("utilisation"),
+    return log.select(*names, F.col(order), F.col(rows), avg3.alias("avg3"), util.alias("utilisation"),
                       band.alias("band"), factor.alias("wait_factor"))
 
 

@@ -8,12 +8,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..config import DEFAULT_ADD_FIELDS
 from ..functions.columns import deleted_as_bool, long_div, source_ts
 from ..functions.schema import DELETED, SOURCE_TS, SOURCE_TS_MS
 
-# Default fields copied out of the envelope when flattening.
-DEFAULT_ADD_FIELDS = ("op", "table", "lsn", "source.ts_ms")
+# Fields of the envelope itself.
 ENVELOPE_TOP_FIELDS = ("op", "ts_ms")
+# Types of source fields that are not strings, the same for every connector, so that
+# tables which events of several connectors reach keep one schema.
+SOURCE_FIELD_TYPES = {"ts_ms": "bigint", "txId": "bigint", "lsn": "bigint", "xmin": "bigint", "server_id": "bigint", "pos": "bigint",
+                      "row": "int", "thread": "bigint", "event_serial_no": "bigint", "ord": "int", "txnNumber": "bigint"}
 
 
 def _field_type(df: DataFrame, path: Sequence[str]) -> T.DataType | None:
@@ -30,6 +34,11 @@ def added_field_name(spec: str) -> str:
     return "__" + spec.replace(".", "_")
 
 
+def quoted(name: str) -> Column:
+    """A top-level column by its exact name, dots and backticks included."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def unwrap(df: DataFrame, add_fields: Sequence[str] = DEFAULT_ADD_FIELDS, *, rewrite_deletes: bool = True,
            keep: Sequence[str] = ()) -> DataFrame:
     """Flatten a ``{before, after, source, op, ts_ms}`` envelope into the row image.
@@ -38,7 +47,8 @@ def unwrap(df: DataFrame, add_fields: Sequence[str] = DEFAULT_ADD_FIELDS, *, rew
     ``rewrite_deletes``, are marked ``__deleted='true'`` (others ``'false'``).
     ``add_fields`` copies envelope/source fields: ``op`` and ``ts_ms`` from the
     envelope, ``source.x`` or a bare source field name from ``source``. Fields
-    the source does not have (another connector) are null.
+    the source does not have (another connector) are null; their types do not
+    depend on the connector (``SOURCE_FIELD_TYPES``, else string).
     """
     image = F.when(F.col("op") == "d", F.col("before")).otherwise(F.coalesce(F.col("after"), F.col("before")))
     row_type = _field_type(df, ["after"]) or _field_type(df, ["before"])
@@ -48,13 +58,14 @@ def unwrap(df: DataFrame, add_fields: Sequence[str] = DEFAULT_ADD_FIELDS, *, rew
     for spec in add_fields:
         path = spec.split(".") if "." in spec else ([spec] if spec in ENVELOPE_TOP_FIELDS else ["source", spec])
         name = added_field_name(spec)
+        typ = SOURCE_FIELD_TYPES.get(path[-1], "string")
         if _field_type(df, path) is None:
-            cols.append(F.lit(None).cast("string").alias(name))
+            cols.append(F.lit(None).cast(typ).alias(name))
         else:
-            c = F.col(path[0])
+            c = quoted(path[0])
             for p in path[1:]:
                 c = c.getField(p)
-            cols.append(c.alias(name))
+            cols.append((c if isinstance(_field_type(df, path), (T.StructType, T.ArrayType, T.MapType)) else c.cast(typ)).alias(name))
     if rewrite_deletes:
         cols.append(F.when(F.col("op") == "d", F.lit("true")).otherwise(F.lit("false")).alias(DELETED))
     return df.select(*cols)
@@ -80,9 +91,9 @@ def add_source_ts(df: DataFrame, batch_time_ms: int, *, legacy_null_ts: bool = F
         ms = F.col(SOURCE_TS_MS).cast("bigint")
         if present is not None:
             ms = F.when(present, ms).otherwise(batch_ms)
-        return df.select(*[ms.alias(c) if c == SOURCE_TS_MS else F.col(c) for c in cols],
+        return df.select(*[ms.alias(c) if c == SOURCE_TS_MS else quoted(c) for c in cols],
                          source_ts(ms, legacy_null_ts).alias(SOURCE_TS))
-    return df.select(*[F.col(c) for c in cols], F.timestamp_seconds(long_div(batch_ms, 1000)).alias(SOURCE_TS),
+    return df.select(*[quoted(c) for c in cols], F.timestamp_seconds(long_div(batch_ms, 1000)).alias(SOURCE_TS),
                      batch_ms.alias(SOURCE_TS_MS))
 
 

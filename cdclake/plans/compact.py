@@ -8,6 +8,9 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ..operators.transform import quoted
 
 # Fixed value: default size of a compacted file.
 TARGET_FILE_BYTES = 512 * 1024 * 1024
@@ -22,9 +25,22 @@ class CompactResult:
     files_after: int
 
 
+def _hashable(c: Column, t: T.DataType) -> Column:
+    """The column with its maps, at any depth, as entries in key order (maps themselves have no hash)."""
+    if isinstance(t, T.MapType):
+        entry = T.StructType([T.StructField("key", t.keyType), T.StructField("value", t.valueType)])
+        keys = F.sort_array(F.map_keys(c)) if not isinstance(t.keyType, (T.StructType, T.MapType)) else F.map_keys(c)
+        return F.transform(keys, lambda k: _hashable(F.struct(k.alias("key"), F.element_at(c, k).alias("value")), entry))
+    if isinstance(t, T.ArrayType):
+        return F.transform(c, lambda x: _hashable(x, t.elementType))
+    if isinstance(t, T.StructType):
+        return F.when(c.isNotNull(), F.struct(*[_hashable(c.getField(f.name), f.dataType).alias(f.name) for f in t.fields]))
+    return c
+
+
 def _fingerprint_cols(df: DataFrame) -> list[Column]:
     """Row count and an order-free content checksum (sum of row hashes)."""
-    h = F.xxhash64(*[F.col(c) for c in df.columns]).cast("decimal(38,0)")
+    h = F.xxhash64(*[_hashable(quoted(f.name), f.dataType) for f in df.schema.fields]).cast("decimal(38,0)")
     return [F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(h), F.lit(0)).alias("h")]
 
 
@@ -59,11 +75,18 @@ def _listing_with_partitions(spark: SparkSession, path: str) -> tuple[int, int,
             continue
         files += 1
         size += int(st.getLen())
-        if files == 1:
-            partitions = [d.split("=", 1)[0] for d in rel.split("/")[:-1] if "=" in d]
+        names = [d.split("=", 1)[0] for d in rel.split("/")[:-1] if "=" in d]
+        if files > 1 and names != partitions:
+            raise ValueError(f"{path} holds files at different partition levels: {partitions} and {names}")
+        partitions = names
     return files, size, partitions
 
 
+def _hidden(name: str) -> str:
+    """A folder name that reads of its parent skip: with an underscore first and no equals sign."""
+    return "_" + name.lstrip("_").replace("=", "-")
+
+
 def compact_partition(spark: SparkSession, path: str, *, save_format: str = "parquet", files: int | None = None,
                       rows_per_file: int | None = None, target_file_bytes: int = TARGET_FILE_BYTES,
                       target_path: str | None = None, verify: bool = True) -> CompactResult:
@@ -78,22 +101,27 @@ def compact_partition(spark: SparkSession, path: str, *, save_format: str = "par
     (``dt=``) is rewritten with the same folders.
 
     The source is never overwritten in place: the result goes to a new path
-    (default: a sibling ``<path>.compacted-<id>``). With ``verify`` the row
+    (default: a sibling ``_<name>.compacted-<id>``, which reads of the parent
+    folder do not see). With ``verify`` the row
     count and content checksum of the source are observed during the write
-    itself (one scan), then compared with one scan of the result; swapping
-    the result in is the caller's step.
+    itself (one scan), then compared with one scan of the result;
+    :func:`commit_compaction` swaps the result in.
     """
-    src = spark.read.format(save_format).option("mergeSchema", "true").load(path)
     files_before, bytes_before, partition_cols = _listing_with_partitions(spark, path)
+    src = spark.read.format(save_format).option("mergeSchema", "true").load(path)
     if files is None:
         if rows_per_file:
             files = max(1, math.ceil(src.count() / rows_per_file))
         else:
             files = max(1, math.ceil(bytes_before / target_file_bytes))
-    out = target_path or f"{path.rstrip('/')}.compacted-{uuid.uuid4().hex[:8]}"
+    parent, _, name = path.rstrip("/").rpartition("/")
+    out = target_path or f"{parent}/{_hidden(name)}.compacted-{uuid.uuid4().hex[:8]}"
     obs = Observation(f"compact_{uuid.uuid4().hex}")
     data = src.observe(obs, *_fingerprint_cols(src))
-    if files < src.rdd.getNumPartitions():
+    if partition_cols:
+        # By folder, large ones split and small ones merged at run time: no task writes a file into every folder.
+        data = data.hint("rebalance", *partition_cols)
+    elif files < src.rdd.getNumPartitions():
         data = data.coalesce(files)
     writer = data.write.mode("errorifexists").format(save_format)
     if partition_cols:
@@ -109,3 +137,26 @@ def compact_partition(spark: SparkSession, path: str, *, save_format: str = "par
         if after != before:
             raise RuntimeError(f"compaction changed the data of {path}: {before} -> {after}")
     return CompactResult(path, out, before[0], files_before, _listing(spark, out)[0])
+
+
+def commit_compaction(spark: SparkSession, result: CompactResult) -> str:
+    """Put the compacted files in the place of the source; returns where the source went.
+
+    Two renames on the table's file system: the source to a hidden sibling
+    (``_<name>.retired-<id>``), then the result to the source's path. A crash
+    between them leaves the table away but complete in both hidden folders: calling this again
+    finishes the swap. Writers of the path must be stopped meanwhile; deleting the retired
+    folder is left to the caller, once no reader uses it.
+    """
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    parent, _, name = result.source_path.rstrip("/").rpartition("/")
+    tag = result.target_path.rsplit("-", 1)[-1]
+    source, target, retired = (hadoop.Path(x) for x in (result.source_path, result.target_path, f"{parent}/{_hidden(name)}.retired-{tag}"))
+    fs = source.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(target):
+        raise FileNotFoundError(f"{result.target_path} is not there: committed already?")
+    if not fs.exists(retired) and not fs.rename(source, retired):
+        raise OSError(f"cannot move {result.source_path}")
+    if not fs.rename(target, source):
+        raise OSError(f"cannot move {result.target_path}")
+    return retired.toString()

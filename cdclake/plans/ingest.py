@@ -17,14 +17,19 @@ groups, and a group holding most rows is still spread over all partitions.
 
 from __future__ import annotations
 
-import json
+import hashlib
 import math
+import re
 import threading
 import time
 import uuid
-from collections import OrderedDict
+import weakref
+from collections import Counter, OrderedDict
+from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from functools import reduce
+from itertools import groupby
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Observation
@@ -34,13 +39,28 @@ from pyspark.sql import types as T
 from ..config import CdcConfig, default_parallelism, scratch_path
 from ..functions.columns import partition_date_text, target_path_text
 from ..functions.schema import SOURCE_TS_MS, canonical_schema, connect_schema_to_struct
-from ..operators.decode import decode_payload, infer_payload_schema
+from ..operators.decode import CORRUPT, decode_payload, infer_payload_schema
 from ..operators.envelope import (KIND_DECLARED, KIND_ENVELOPED_NO_SCHEMA, KIND_MALFORMED,
                                   drop_tombstones, event_kind, include_tables, malformed_flag, schema_text)
 from ..operators.transform import HEADERS, add_headers, add_source_ts, cast_deleted, snapshot_as_insert, unwrap
 
+
+class _PathLock:
+    """A lock that can be weakly referenced, so that the table of locks holds live ones only."""
+
+    def __init__(self) -> None:
+        self.lock = threading.Lock()
+
+    def __enter__(self) -> "_PathLock":
+        self.lock.acquire()
+        return self
+
+    def __exit__(self, *exc: object) -> None:
+        self.lock.release()
+
+
 # Serialise writes per target path across threads and concurrent batches.
-_PATH_LOCKS: dict[str, threading.Lock] = {}
+_PATH_LOCKS: "weakref.WeakValueDictionary[str, _PathLock]" = weakref.WeakValueDictionary()
 _PATH_LOCKS_GUARD = threading.Lock()
 
 QUARANTINE_DIR = "_quarantine"
@@ -48,9 +68,9 @@ INGEST_LOG_DIR = "_ingest_log"
 BATCH_TIMES_DIR = "_batch_times"
 
 
-def _path_lock(path: str) -> threading.Lock:
+def _path_lock(path: str) -> _PathLock:
     with _PATH_LOCKS_GUARD:
-        return _PATH_LOCKS.setdefault(path, threading.Lock())
+        return _PATH_LOCKS.setdefault(path, _PathLock())
 
 
 @dataclass
@@ -63,7 +83,7 @@ class SchemaGroup:
     rows: int
     struct: T.StructType | None
     schema_text: str | None = None
-    exact_hashes: list[int] | None = None  # set when the fast key was ambiguous
+    exact_texts: list[str | None] | None = None  # set when two schemas share one 64-bit key
 
     @property
     def enveloped(self) -> bool:
@@ -71,9 +91,9 @@ class SchemaGroup:
 
     def condition(self):
         cond = F.col("gid").isin(self.gids)
-        if self.exact_hashes is not None:
-            cond = (cond & (F.col("destination") == F.lit(self.destination))
-                    & F.xxhash64(schema_text("value")).isin(self.exact_hashes))
+        if self.exact_texts is not None:
+            same = [F.col(SCHEMA_COL).eqNullSafe(F.lit(t)) for t in self.exact_texts]
+            cond = cond & (F.col("destination") == F.lit(self.destination)) & (F.col("kind") == self.kind) & reduce(Column.__or__, same)
         return cond
 
 
@@ -100,37 +120,34 @@ class BatchResult:
         return sum(g.rows for g in self.groups if g.kind != KIND_MALFORMED)
 
 
-# How a standard enveloped event starts, and what ends its schema.
-ENVELOPE_HEAD = '{"schema":{'
-PAYLOAD_KEY = ',"payload":'
 SCHEMA_COL = "__schema"
-SAMPLE_COL = "__sample"
 
 
 def key_events(events: DataFrame, check_malformed: bool = False) -> DataFrame:
-    """Add ``kind`` and ``gid`` (64-bit hash of destination, schema text and kind).
-
-    Standard events (``{"schema":{...},"payload":...}``, the JSON converter's
-    output) are keyed by hashing their raw text before ``,"payload":`` without
-    parsing it; :func:`discover_groups` checks once per group that this text
-    is exactly the schema. Other events are keyed by their parsed schema text.
-    ``check_malformed`` validates every event as a whole JSON object first
-    (one full parse per row), so broken events get their own kind.
-    The parsed schema text of non-standard events is kept as ``__schema``
-    (null for standard ones, so it costs nothing there) so that discovery
-    does not parse them again.
+    """Add ``__schema``, ``kind`` and ``gid`` (64-bit hash of destination, schema and kind).
+
+    ``__schema`` is the embedded schema as the JSON parser prints it, so blanks,
+    the order of an event's members and further members do not matter: events of all
+    producers are keyed by one rule. Storing it is cheap, as a group's rows
+    have one value of it (a dictionary entry in the cache and in Parquet).
+    ``check_malformed`` also takes events for malformed that have text after their end.
     """
-    v = F.col("value")
-    fast = v.startswith(ENVELOPE_HEAD)
-    kind = F.when(fast, F.lit(KIND_DECLARED)).otherwise(event_kind("value", F.col(SCHEMA_COL)))
+    kind = event_kind("value", F.col(SCHEMA_COL))
     if check_malformed:
         kind = F.when(malformed_flag("value"), F.lit(KIND_MALFORMED)).otherwise(kind)
     extra = [HEADERS] if HEADERS in events.columns else []
-    key_text = F.when(fast, F.substring_index(v, PAYLOAD_KEY, 1)).otherwise(F.col(SCHEMA_COL))
-    return (events.select("destination", "key", "value", *extra,
-                          F.when(fast, F.lit(None).cast("string")).otherwise(schema_text("value")).alias(SCHEMA_COL))
+    return (events.select("destination", "key", "value", *extra, schema_text("value").alias(SCHEMA_COL))
             .select("*", kind.alias("kind"))
-            .withColumn("gid", F.xxhash64("destination", key_text, "kind")))
+            .withColumn("gid", F.xxhash64("destination", SCHEMA_COL, "kind")))
+
+
+def input_partitions(df: DataFrame) -> int | None:
+    """Partitions of a frame that reads files or topics without a shuffle; None if only a run could tell.
+
+    Asking a frame with a shuffle for its partitions runs the shuffle.
+    """
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return None if "Exchange" in plan else df.rdd.getNumPartitions()
 
 
 def spread(events: DataFrame, min_partitions: int | None, rebalance: str = "auto") -> DataFrame:
@@ -149,150 +166,104 @@ def spread(events: DataFrame, min_partitions: int | None, rebalance: str = "auto
     if rebalance == "never":
         return events
     n = min_partitions or default_parallelism(events.sparkSession)
-    p = events.rdd.getNumPartitions()
+    p = input_partitions(events)
+    if p is None:  # shuffled already: as wide as the session's shuffles, which run-time planning may narrow
+        p = int(events.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     if rebalance == "always":
         return events.repartition(max(n, p))
     return events.repartition(n) if p < n else events
 
 
-SCHEMA_HEAD = '{"schema":'
-
-
-def schema_sample(value: str = "value", schema: str | None = SCHEMA_COL) -> Column:
-    """``{"schema":<schema text>`` of an event, without its payload.
+def group_counts(keyed: DataFrame) -> DataFrame:
+    """One row per (gid, destination, kind, schema) with its row count.
 
-    Standard events give their raw text up to ``,"payload":`` (no parse);
-    others their parsed schema text (the ``schema`` column of
-    :func:`key_events`, or parsed here when ``None``). Discovery groups by
-    this text instead of carrying the event, so a group's sample stays the
-    size of its schema however large the payloads are (long texts, wide rows).
+    The schema text is the same for every row of a gid, so it can be a
+    grouping key: the only aggregation buffer left is a count, which lets
+    Spark use a hash aggregate that combines map-side and needs no sort of
+    the batch. The shuffle carries one row per group per partition holding
+    the schema text only, never a payload.
     """
-    v = F.col(value)
-    parsed = F.col(schema) if schema else schema_text(value)
-    return F.when(v.startswith(ENVELOPE_HEAD), F.substring_index(v, PAYLOAD_KEY, 1)).otherwise(
-        F.concat(F.lit(SCHEMA_HEAD), parsed))
-
-
-def _sample_schema(sample: str):
-    """The schema object of a :func:`schema_sample` text (raises ``ValueError`` if it is not one JSON value)."""
-    return json.loads(sample[len(SCHEMA_HEAD):])
-
-
-def _prefix_is_schema(sample: str) -> bool:
-    """True when the text between the head and the first ``,"payload":`` is one whole JSON value."""
-    try:
-        _sample_schema(sample.split(PAYLOAD_KEY, 1)[0])
-        return True
-    except ValueError:
-        return False
-
+    return (keyed.groupBy("gid", "destination", "kind", F.col(SCHEMA_COL).alias("sample"))
+            .agg(F.count(F.lit(1)).alias("rows")))
 
-def _exact_subgroups(keyed: DataFrame, gid: int, max_groups: int) -> list[tuple[str, int, int, str]]:
-    """(destination, exact schema hash, rows, sample) of the events behind one ambiguous key."""
-    sample = F.concat(F.lit(SCHEMA_HEAD), schema_text("value"))
-    sub = (keyed.filter(F.col("gid") == gid)
-           .groupBy("destination", F.xxhash64(schema_text("value")).alias("h"), sample.alias("sample"))
-           .agg(F.count(F.lit(1)).alias("rows"))
-           .limit(max_groups + 1).collect())
-    if len(sub) > max_groups:
-        raise ValueError(f"more than {max_groups} schema versions behind one key")
-    return [(r["destination"], r["h"], r["rows"], r["sample"]) for r in sub]
 
+def group_rounds(keyed: DataFrame, max_groups: int) -> Iterator[list[SchemaGroup]]:
+    """The (destination, schema) groups of a keyed batch, about ``max_groups`` at a time.
 
-def group_counts(keyed: DataFrame) -> DataFrame:
-    """One row per (gid, destination, kind, schema sample) with its row count.
-
-    The sample text is the same for every row of a gid (it is what the gid
-    hashes), so it can be a grouping key: the only aggregation buffer left is
-    a count, which lets Spark use a hash aggregate that combines map-side and
-    needs no sort of the batch, whatever the cache's known ordering. The
-    shuffle carries one row per group per partition holding the schema text
-    only (see :func:`schema_sample`), never a payload.
+    Group counts are sorted by key and come to the driver partition by
+    partition; a batch with more groups than ``max_groups`` is landed in
+    several rounds. A destination's groups whose schemas compile to the same Spark type are
+    merged (they differ only in names, versions or optional flags).
     """
-    if SAMPLE_COL in keyed.columns:  # stored with a staged batch: no event text is read
-        sample = F.col(SAMPLE_COL)
-    else:
-        sample = schema_sample("value", SCHEMA_COL if SCHEMA_COL in keyed.columns else None)
-    return (keyed.groupBy("gid", "destination", "kind", sample.alias("sample"))
-            .agg(F.count(F.lit(1)).alias("rows")))
+    rows = group_counts(keyed).orderBy("destination", "gid", "kind", "sample").toLocalIterator()
+    held: list = []
+    for _, same in groupby(rows, key=lambda r: (r["destination"], r["gid"])):
+        held += same
+        if len(held) >= max_groups:
+            yield _compiled(held)
+            held = []
+    if held:
+        yield _compiled(held)
 
 
 def discover_groups(keyed: DataFrame, max_groups: int) -> list[SchemaGroup]:
-    """Distinct (destination, schema) groups of a keyed batch (:func:`group_counts`).
+    """All groups of ``group_rounds``."""
+    return [g for groups in group_rounds(keyed, max_groups) for g in groups]
 
-    Only one row per group reaches the driver, and at most ``max_groups + 1``.
-    Groups whose schemas compile to the same Spark type are merged (they
-    differ only in names, versions or optional flags).
-    """
-    found = group_counts(keyed).limit(max_groups + 1).collect()
-    by_gid: dict[int, int] = {}
-    for r in found:
-        by_gid[r["gid"]] = by_gid.get(r["gid"], 0) + 1
-    if len(found) > max_groups:
-        raise ValueError(f"batch has more than {max_groups} (destination, schema) groups; raise max_groups or "
-                         "shorten the trigger")
-    merged: "OrderedDict[tuple, SchemaGroup]" = OrderedDict()
 
-    def add(dest, kind, gid, rows, sample, exact):
-        text = struct = canon = None
+def _compiled(found: list) -> list[SchemaGroup]:
+    """Groups of the rows of :func:`group_counts`; all rows of one key must be among them."""
+    shared = {gid for gid, n in Counter(r["gid"] for r in found).items() if n > 1}
+    merged: "OrderedDict[tuple, SchemaGroup]" = OrderedDict()
+    for r in found:
+        dest, kind, text = r["destination"], r["kind"], r["sample"]
+        if dest is None:
+            raise ValueError("destination cannot be null")
+        struct = canon = None
         if kind == KIND_DECLARED:
             try:
-                text = json.dumps(_sample_schema(sample), separators=(",", ":"))
-            except ValueError as e:
+                struct, canon = connect_schema_to_struct(text), canonical_schema(text)
+            except (ValueError, TypeError, KeyError, AttributeError) as e:
                 raise ValueError(f"malformed change event for destination {dest!r}: {e}") from e
-            struct = connect_schema_to_struct(text)
-            canon = canonical_schema(text)
-        k = (dest, kind, canon, exact is not None)
-        if k in merged and exact is None:
-            merged[k].gids.append(gid)
-            merged[k].rows += rows
-        elif exact is not None:
-            merged[(dest, kind, canon, gid, exact)] = SchemaGroup(dest, kind, [gid], rows, struct, text, [exact])
-        else:
-            merged[k] = SchemaGroup(dest, kind, [gid], rows, struct, text)
-
-    split: set[int] = set()
-    for r in sorted(found, key=lambda r: (r["destination"] or "", r["gid"], r["sample"] or "")):
-        if r["destination"] is None:
-            raise ValueError("destination cannot be null")
-        sample = r["sample"]
-        # A prefix that is not one JSON value, or two schemas behind one 64-bit key: split exactly.
-        if r["kind"] == KIND_DECLARED and (by_gid[r["gid"]] > 1 or not _prefix_is_schema(sample)):
-            if r["gid"] not in split:
-                split.add(r["gid"])
-                for dest, h, rows, sub_sample in _exact_subgroups(keyed, r["gid"], max_groups):
-                    add(dest, r["kind"], r["gid"], rows, sub_sample, h)
+        exact = [text] if r["gid"] in shared else None
+        k = (dest, kind, canon, r["gid"] if exact else None, text if exact else None)
+        if k in merged:
+            merged[k].gids.append(r["gid"])
+            merged[k].rows += r["rows"]
         else:
-            add(r["destination"], r["kind"], r["gid"], r["rows"], sample, None)
+            merged[k] = SchemaGroup(dest, kind, [r["gid"]], r["rows"], struct, text if kind == KIND_DECLARED else None, exact)
     return list(merged.values())
 
 
 def decode_group(keyed: DataFrame, group: SchemaGroup, cfg: CdcConfig, batch_time_ms: int,
                  only_group: bool = False) -> DataFrame:
-    """Typed, enriched rows of one group (``only_group``: the frame holds nothing else)."""
+    """Typed, enriched rows of one group (``only_group``: the frame holds nothing else).
+
+    A field that does not fit its type is null, as in the reference. With
+    ``on_malformed="quarantine"`` such rows are left out here and land in the
+    quarantine (:func:`misfits`).
+    """
     rows = keyed if only_group else keyed.filter(group.condition())
-    failfast = cfg.on_malformed == "fail"
-    hkeep = (HEADERS,) if cfg.header_fields and HEADERS in rows.columns else ()
-    if group.kind == KIND_DECLARED:
-        df = decode_payload(rows, group.struct, failfast=failfast, keep=hkeep)
-        present = None
-    else:
-        enveloped = group.kind == KIND_ENVELOPED_NO_SCHEMA
-        struct = group.struct or infer_payload_schema(rows, enveloped=enveloped)
-        group.struct = struct
-        payload = F.get_json_object("value", "$.payload") if enveloped else F.col("value")
-        present_col = F.array_contains(F.json_object_keys(payload), SOURCE_TS_MS)
-        df = decode_payload(rows.withColumn("__present", present_col), struct, enveloped=enveloped,
-                            failfast=failfast, keep=("__present",) + hkeep)
-        present = F.col("__present") if SOURCE_TS_MS in struct.fieldNames() else None
+    extra = (HEADERS,) if cfg.header_fields and HEADERS in rows.columns else ()
+    strict = cfg.on_malformed == "quarantine"
+    if group.kind != KIND_DECLARED and group.struct is None:
+        group.struct = infer_payload_schema(rows, enveloped=group.enveloped)
+    has_ts = SOURCE_TS_MS in group.struct.fieldNames()
+    if has_ts:  # only rows whose time is null are parsed for whether they have the field
+        payload = F.get_json_object("value", "$.payload") if group.enveloped else F.col("value")
+        rows = rows.withColumn("__payload", payload)
+        extra += ("__payload",)
+    df = decode_payload(rows, group.struct, enveloped=group.enveloped, corrupt=strict, keep=extra)
+    if strict:
+        df = df.filter(~F.col(CORRUPT)).drop(CORRUPT)
+    present = F.col(SOURCE_TS_MS).isNotNull() | F.array_contains(F.json_object_keys("__payload"), SOURCE_TS_MS) if has_ts else None
     if cfg.unwrap and {"op", "source"} <= set(df.columns) and ({"after", "before"} & set(df.columns)):
-        keep = tuple(c for c in ("__present", HEADERS) if c in df.columns)
-        df = unwrap(df, keep=keep)
+        df = unwrap(df, cfg.add_fields, keep=tuple(c for c in extra if c in df.columns))
     if cfg.snapshot_as_insert and "__op" in df.columns:
         df = snapshot_as_insert(df)
     df = add_source_ts(df, batch_time_ms, legacy_null_ts=cfg.legacy_null_ts, present=present)
-    if "__present" in df.columns:
-        df = df.drop("__present")
+    if has_ts:
+        df = df.drop("__payload")
     if cfg.cast_deleted_field:
         df = cast_deleted(df)
     if cfg.header_fields:
@@ -300,6 +271,12 @@ def decode_group(keyed: DataFrame, group: SchemaGroup, cfg: CdcConfig, batch_tim
     return df
 
 
+def misfits(keyed: DataFrame, group: SchemaGroup) -> DataFrame:
+    """The events of a group with a field that does not fit its type, as text."""
+    rows = keyed.filter(group.condition())
+    return decode_payload(rows, group.struct, enveloped=group.enveloped, corrupt=True, keep=("destination", "key", "value")).filter(CORRUPT).select("destination", "key", "value")
+
+
 def group_path(cfg: CdcConfig, destination: str, batch_time_ms: int) -> str:
     dt = partition_date_text(batch_time_ms, cfg.partition_tz) if cfg.partition else None
     return target_path_text(destination, cfg.base_path, cfg.prefix, cfg.dest_regexp, cfg.dest_replace, dt)
@@ -334,37 +311,43 @@ def write_group(df: DataFrame, path: str, cfg: CdcConfig, expected_rows: int | N
     return int(obs.get.get("rows", 0))
 
 
-def replay_dir(path: str, batch_id: int, group: SchemaGroup) -> str:
-    """Directory of one (batch, schema group) under ``path`` in idempotent mode.
+def replay_dir(path: str, stream_id: str, batch_id: int, group: SchemaGroup) -> str:
+    """Directory of one (stream, batch, schema group) under ``path`` in idempotent mode.
 
-    Derived from the batch id and the group's schema hash only, so a replay of
-    the same batch id (same offsets, same events) writes to the same place.
-    The ``g`` prefix keeps the hex text from being read back as a number.
+    Derived from the stream's identity, the batch id and the group's schema
+    hash only, so a replay of the same batch (same offsets, same events) writes to the
+    same place and no other stream does. The letters before the hex texts
+    keep them from being read back as numbers.
     """
     tag = f"g{group.gids[0] & 0xFFFFFFFFFFFFFFFF:016x}"
-    if group.exact_hashes:
-        tag += f"-{group.exact_hashes[0] & 0xFFFFFFFFFFFFFFFF:016x}"
-    return f"{path}/batch_id={batch_id}/group={tag}"
+    if group.exact_texts:
+        tag += "-" + hashlib.sha1(str(group.exact_texts[0]).encode()).hexdigest()[:16]
+    return f"{path}/stream_id=s{stream_id}/batch_id={batch_id}/group={tag}"
 
 
-def stable_batch_time(spark, base_path: str, batch_id: int, proposed_ms: int) -> int:
-    """The batch time recorded by the first attempt of ``batch_id``, else ``proposed_ms`` (recorded now).
+def stable_batch_time(spark, base_path: str, stream_id: str, batch_id: int, proposed_ms: int) -> int:
+    """The batch time recorded by the first attempt of a stream's ``batch_id``, else ``proposed_ms`` (recorded now).
 
     Keeps ``dt=`` folders and default source times of a replayed batch equal
     to those of the first attempt. One small file per batch id on the lake's
-    file system; no Spark job.
+    file system, written under another name and renamed, so a crash leaves no
+    half record; an empty file counts as none. No Spark job.
     """
     jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(f"{base_path.rstrip('/')}/{BATCH_TIMES_DIR}/{batch_id}")
+    hadoop = jvm.org.apache.hadoop.fs
+    folder = f"{base_path.rstrip('/')}/{BATCH_TIMES_DIR}/{stream_id}"
+    p = hadoop.Path(f"{folder}/{batch_id}")
     fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(p):
-        try:
-            out = fs.create(p, False)
-            out.writeBytes(str(int(proposed_ms)))
-            out.close()
+    if not fs.exists(p) or not fs.getFileStatus(p).getLen():
+        draft = hadoop.Path(f"{folder}/.{batch_id}.{uuid.uuid4().hex}")
+        out = fs.create(draft, True)
+        out.writeBytes(str(int(proposed_ms)))
+        out.close()
+        if fs.exists(p) and not fs.getFileStatus(p).getLen():
+            fs.delete(p, False)
+        if fs.rename(draft, p):
             return int(proposed_ms)
-        except Exception:  # noqa: BLE001 - created concurrently: read the winner's value
-            pass
+        fs.delete(draft, False)  # recorded meanwhile: that record holds
     reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(fs.open(p), "UTF-8"))
     try:
         return int(reader.readLine())
@@ -386,33 +369,31 @@ def small_groups(groups: list[SchemaGroup], partitions: int, cfg: CdcConfig) ->
 def stage_small_groups(keyed: DataFrame, small: list[SchemaGroup]) -> tuple[DataFrame, str]:
     """Write the rows of ``small`` once, partitioned by group id, to the shared scratch folder.
 
-    One job with one task per cached partition and no shuffle (the batch is
-    already sorted by ``gid`` within partitions); afterwards each small
+    One job, whose shuffle moves the small groups' rows only; afterwards each small
     group's scan prunes to its own folder and needs only a few tasks. The
     staged rows live on shared storage, so they also survive executor loss.
     """
     spark = keyed.sparkSession
     path = scratch_path(spark, "ingest_small_groups")
     gids = sorted({x for g in small for x in g.gids})
-    keyed.filter(F.col("gid").isin(gids)).write.partitionBy("gid").parquet(path)
+    # Dealt by group, small ones merged and large ones split at run time: files follow rows, not groups x partitions.
+    keyed.filter(F.col("gid").isin(gids)).hint("rebalance", "gid").write.partitionBy("gid").parquet(path)
     return spark.read.schema(keyed.schema).parquet(path), path
 
 
 def stage_batch(keyed: DataFrame) -> tuple[DataFrame, str]:
     """Write a keyed batch once to the shared scratch folder, partitioned by group id.
 
-    One job, no shuffle: each task writes one file per group it holds, so a
-    hot group stays spread over all tasks. Each row also stores its schema
-    sample; within a file it is one repeated value, which Parquet's
+    One job: rows are dealt by group, and run-time planning splits a hot group
+    and merges small ones, so files follow rows, not groups x partitions.
+    Within a file the schema is one repeated value, which Parquet's
     dictionary encoding stores almost for free, so discovery reads only small
     columns. Every group then prunes to its own folder.
     """
     spark = keyed.sparkSession
     path = scratch_path(spark, "ingest_batch")
-    schema = SCHEMA_COL if SCHEMA_COL in keyed.columns else None
-    staged = keyed.withColumn(SAMPLE_COL, schema_sample("value", schema))
-    staged.sortWithinPartitions("gid").write.partitionBy("gid").parquet(path)
-    return spark.read.schema(staged.schema).parquet(path), path
+    keyed.hint("rebalance", "gid").write.partitionBy("gid").parquet(path)
+    return spark.read.schema(keyed.schema).parquet(path), path
 
 
 def _delete(spark, path: str) -> None:
@@ -422,30 +403,33 @@ def _delete(spark, path: str) -> None:
 
 
 def _schema_hash(struct: T.StructType | None) -> str:
-    import hashlib
-
     return hashlib.sha1((struct.json() if struct is not None else "").encode()).hexdigest()[:16]
 
 
 def ingest_batch(events: DataFrame, cfg: CdcConfig, batch_id: int | None = None,
-                 batch_time_ms: int | None = None) -> BatchResult:
+                 batch_time_ms: int | None = None, stream_id: str | None = None) -> BatchResult:
     """Land one batch of change events; returns per-group written row counts.
 
     Writes are serial per destination (schema groups in order) and parallel
     across destinations (``cfg.parallel_writes`` threads, each a Spark job).
     The batch is acknowledged by the caller only after this returns, so a
     failure replays the whole batch: at-least-once, like the reference.
-    With ``cfg.idempotent`` every (batch, schema group) is written with
+    With ``cfg.idempotent`` every (stream, batch, schema group) is written with
     overwrite to its own :func:`replay_dir` and the batch time of the first
     attempt is reused, so a replayed batch id replaces its output: the
-    landed rows are exactly-once.
+    landed rows are exactly-once. ``stream_id`` names whose batch ids these
+    are (``cfg.stream_id`` if not given; a streaming query's own id by default).
+    A batch of more than ``cfg.max_groups`` groups is landed in rounds.
     """
     spark = events.sparkSession
     batch_time_ms = int(batch_time_ms if batch_time_ms is not None else time.time() * 1000)
     if cfg.idempotent:
         if batch_id is None:
             raise ValueError("idempotent writes need a batch id")
-        batch_time_ms = stable_batch_time(spark, cfg.base_path, batch_id, batch_time_ms)
+        stream_id = stream_id or cfg.stream_id
+        if not stream_id or not re.fullmatch(r"[A-Za-z0-9._-]+", stream_id):
+            raise ValueError("idempotent writes need a stream id of letters, digits, dots and dashes: batch ids of two streams are alike")
+        batch_time_ms = stable_batch_time(spark, cfg.base_path, stream_id, batch_id, batch_time_ms)
     wcfg = cfg.with_(save_mode="overwrite") if cfg.idempotent else cfg
     ev = drop_tombstones(events)
     if cfg.include_tables is not None:
@@ -460,42 +444,61 @@ def ingest_batch(events: DataFrame, cfg: CdcConfig, batch_id: int | None = None,
     else:
         keyed = keyed.sortWithinPartitions("gid", "destination").persist(StorageLevel.MEMORY_AND_DISK)
     result = BatchResult(batch_id, batch_time_ms)
-    staged_path = None
     try:
-        groups = discover_groups(keyed, cfg.max_groups)
-        small = small_groups(groups, keyed.rdd.getNumPartitions(), cfg) if batch_path is None else []
-        staged = None
-        if small:
-            staged, staged_path = stage_small_groups(keyed, small)
-            result.staged_groups = len(small)
-        small_ids = {id(g) for g in small}
-        by_dest: "OrderedDict[str, list[SchemaGroup]]" = OrderedDict()
-        for g in groups:
-            by_dest.setdefault(g.destination, []).append(g)
-
-        def land(dest: str) -> list[GroupResult]:
-            out = []
-            for g in by_dest[dest]:
-                if g.kind == KIND_MALFORMED:
-                    if cfg.on_malformed == "fail":
-                        raise ValueError(f"{g.rows} malformed events for destination {dest!r}")
-                    path = f"{cfg.base_path.rstrip('/')}/{QUARANTINE_DIR}/{dest}"
-                    if cfg.idempotent:
-                        path = replay_dir(path, batch_id, g)
-                    bad = keyed.filter(g.condition()).select(
-                        "destination", "key", "value", F.lit(batch_time_ms).cast("bigint").alias("batch_time_ms"))
-                    n = write_group(bad, path, wcfg.with_(save_format="json", rows_per_file=None))
-                    out.append(GroupResult(dest, path, n, 0, "", g.kind))
-                    continue
-                df = decode_group(staged if id(g) in small_ids else keyed, g, cfg, batch_time_ms)
-                path = group_path(cfg, dest, batch_time_ms)
-                if cfg.idempotent:
-                    path = replay_dir(path, batch_id, g)
-                n = write_group(df, path, wcfg, g.rows)
-                out.append(GroupResult(dest, path, n, len(df.columns), _schema_hash(g.struct), g.kind,
-                                       df.schema.json()))
-            return out
+        for groups in group_rounds(keyed, cfg.max_groups):
+            _land_round(keyed, groups, cfg, wcfg, result, stream_id, staged_batch=batch_path is not None)
+    finally:
+        if batch_path is None:
+            keyed.unpersist()
+        else:
+            _delete(spark, batch_path)
+    if cfg.ingest_log and result.groups:
+        append_ingest_log(spark, cfg, result, stream_id)
+    return result
+
+
+def _land_round(keyed: DataFrame, groups: list[SchemaGroup], cfg: CdcConfig, wcfg: CdcConfig, result: BatchResult,
+                stream_id: str | None, staged_batch: bool) -> None:
+    """Decode and write some groups of a keyed batch; their results are added to ``result``."""
+    batch_id, batch_time_ms = result.batch_id, result.batch_time_ms
+    small = [] if staged_batch else small_groups(groups, keyed.rdd.getNumPartitions(), cfg)
+    staged, staged_path = stage_small_groups(keyed, small) if small else (None, None)
+    result.staged_groups += len(small)
+    small_ids = {id(g) for g in small}
+    by_dest: "OrderedDict[str, list[SchemaGroup]]" = OrderedDict()
+    for g in groups:
+        by_dest.setdefault(g.destination, []).append(g)
+
+    def quarantine(bad: DataFrame, g: SchemaGroup) -> GroupResult:
+        path = f"{cfg.base_path.rstrip('/')}/{QUARANTINE_DIR}/{g.destination}"
+        if cfg.idempotent:
+            path = replay_dir(path, stream_id, batch_id, g)
+        rows = bad.select("destination", "key", "value", F.lit(batch_time_ms).cast("bigint").alias("batch_time_ms"))
+        n = write_group(rows, path, wcfg.with_(save_format="json", rows_per_file=None))
+        return GroupResult(g.destination, path, n, 0, "", KIND_MALFORMED)
+
+    def land(dest: str) -> list[GroupResult]:
+        out = []
+        for g in by_dest[dest]:
+            if g.kind == KIND_MALFORMED:
+                if cfg.on_malformed == "fail":
+                    raise ValueError(f"{g.rows} malformed change events for destination {dest!r}")
+                out.append(quarantine(keyed.filter(g.condition()), g))
+                continue
+            source = staged if id(g) in small_ids else keyed
+            df = decode_group(source, g, cfg, batch_time_ms)
+            path = group_path(cfg, dest, batch_time_ms)
+            if cfg.idempotent:
+                path = replay_dir(path, stream_id, batch_id, g)
+            n = write_group(df, path, wcfg, g.rows)
+            out.append(GroupResult(dest, path, n, len(df.columns), _schema_hash(g.struct), g.kind, df.schema.json()))
+            if cfg.on_malformed == "quarantine" and n < g.rows:
+                bad = misfits(source, g)
+                if bad.limit(1).count():
+                    out.append(quarantine(bad, g))
+        return out
 
+    try:
         if cfg.parallel_writes > 1 and len(by_dest) > 1:
             with ThreadPoolExecutor(max_workers=min(cfg.parallel_writes, len(by_dest))) as pool:
                 for res in pool.map(land, list(by_dest)):
@@ -504,15 +507,8 @@ def ingest_batch(events: DataFrame, cfg: CdcConfig, batch_id: int | None = None,
             for dest in by_dest:
                 result.groups.extend(land(dest))
     finally:
-        if batch_path is None:
-            keyed.unpersist()
-        else:
-            _delete(spark, batch_path)
         if staged_path is not None:
-            _delete(spark, staged_path)
-    if cfg.ingest_log and result.groups:
-        append_ingest_log(spark, cfg, result)
-    return result
+            _delete(keyed.sparkSession, staged_path)
 
 
 def decode_events(events: DataFrame, cfg: CdcConfig | None = None, batch_time_ms: int = 0,
@@ -521,8 +517,7 @@ def decode_events(events: DataFrame, cfg: CdcConfig | None = None, batch_time_ms
 
     With ``materialize`` the keyed events are first written once to a table
     in the shared scratch folder (``spark.checkpoint.dir``), partitioned by
-    group id without a shuffle (each task writes its own rows, so a hot group
-    stays spread; see :func:`stage_batch`). Discovery then reads only the
+    group id (see :func:`stage_batch`). Discovery then reads only the
     stored schema samples, and each group frame reads only its own folder
     (partition pruning): the input is read and keyed once, and lineage is
     cut there, which also keeps executor loss cheap. Without it, discovery
@@ -560,18 +555,18 @@ INGEST_LOG_SCHEMA = T.StructType([
 ])
 
 
-def append_ingest_log(spark, cfg: CdcConfig, result: BatchResult) -> None:
+def append_ingest_log(spark, cfg: CdcConfig, result: BatchResult, stream_id: str | None = None) -> None:
     """One row per written group (bounded by the group count) to ``base/_ingest_log``."""
     rows = [(result.batch_id, result.batch_time_ms, g.destination, g.path, g.rows, g.n_fields, g.schema_hash, g.kind,
              g.schema_json) for g in result.groups]
     log = f"{cfg.base_path.rstrip('/')}/{INGEST_LOG_DIR}"
     out = spark.createDataFrame(rows, INGEST_LOG_SCHEMA).coalesce(1).write
     if cfg.idempotent:
-        # One folder per batch id, replaced by a replay; read back as a ``log_batch`` column.
-        out.mode("overwrite").parquet(f"{log}/log_batch={result.batch_id}")
+        # One folder per stream and batch id, replaced by a replay; read back as columns.
+        out.mode("overwrite").parquet(f"{log}/log_stream=s{stream_id}/log_batch={result.batch_id}")
     else:
         out.mode("append").parquet(log)
 
 
-__all__ = ["BatchResult", "GroupResult", "SchemaGroup", "append_ingest_log", "schema_sample", "decode_events", "decode_group", "discover_groups", "group_counts",
-           "group_path", "ingest_batch", "key_events", "replay_dir", "small_groups", "stable_batch_time", "stage_batch", "stage_small_groups", "spread", "write_group"]
+__all__ = ["BatchResult", "GroupResult", "SchemaGroup", "append_ingest_log", "decode_events", "decode_group", "discover_groups", "group_counts",
+           "group_path", "group_rounds", "ingest_batch", "input_partitions", "key_events", "misfits", "replay_dir", "small_groups", "stable_batch_time", "stage_batch", "stage_small_groups", "spread", "write_group"]

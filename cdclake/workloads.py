@@ -21,7 +21,7 @@ from .operators.decode import decode_key
 from .operators.envelope import drop_tombstones, include_tables, split_malformed
 from .operators.reports import batch_sizes, batch_utilisation, lag_report, progress_by_interval, progress_report
 from .operators.transform import normalize_source
-from .plans.compact import compact_partition
+from .plans.compact import commit_compaction, compact_partition
 from .plans.ingest import decode_events, discover_groups, ingest_batch, key_events
 from .sources.encode import encode_events
 from .sources.events import read_event_stream, read_events, write_events
@@ -482,7 +482,7 @@ def q_append_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_replay_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K4 opt-in exactly-once: a replayed batch id replaces its own output (two schema versions)."""
     base = scratch_path(spark, "replay_idempotent")
-    cfg = CdcConfig(base_path=base, idempotent=True, partition=True)
+    cfg = CdcConfig(base_path=base, idempotent=True, partition=True, stream_id="orders")
     ev = orders_v1_v2(spark, sf_dir)
     ingest_batch(ev, cfg, batch_id=7, batch_time_ms=BATCH_TIME_MS)
     ingest_batch(ev, cfg, batch_id=7, batch_time_ms=BATCH_TIME_MS + 86_400_000)  # replay, a day later
@@ -911,3 +911,150 @@ def q_ingest_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     res = ingest_batch(orders_events(spark, sf_dir), cfg, batch_id=0, batch_time_ms=BATCH_TIME_MS)
     t = read_table(spark, res.groups[0].path.rsplit("/", 1)[0])
     return t.groupBy("__op").agg(F.count(F.lit(1)).alias("n"))
+
+
+# --- events of other producers, faithful decoding, safe replays and compaction -------------------------------------
+
+def spaced(value: Column, key: Column) -> Column:
+    """The same event as other JSON writers would put it: blanks after commas and colons at the top, or payload first."""
+    schema = F.substring_index(F.substring(value, 11, 10**8), ',"payload":', 1)
+    payload = F.substring(value, F.length(schema) + 22, F.length(value) - F.length(schema) - 22)
+    style = F.pmod(key, F.lit(4))
+    return (F.when(style == 0, value).when(style == 1, F.concat(F.lit('{"schema": '), schema, F.lit(', "payload": '), payload, F.lit("}")))
+            .when(style == 2, F.concat(F.lit('{"payload":'), payload, F.lit(',"schema":'), schema, F.lit("}")))
+            .otherwise(F.concat(F.lit('\n{ "payload" : '), payload, F.lit(' ,\t"ts":1, "schema" :'), schema, F.lit(" }\n"))))
+
+
+@register("decode_foreign_json", f"SELECT 1 AS n_groups, * FROM ({ORDERS_FLAT_SQL})")
+def q_decode_foreign_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One schema group whatever the blanks and the order of an event's members."""
+    ev = orders_events(spark, sf_dir)
+    ev = ev.withColumn("value", spaced(F.col("value"), F.get_json_object("value", "$.payload.o_orderkey").cast("bigint")))
+    groups = decode_events(ev, None, BATCH_TIME_MS)
+    df = union_all([d for _, d in groups])
+    return df.select(F.lit(len(groups)).alias("n_groups"), *FLAT_ORDER_OUT, epoch_s())
+
+
+@register("two_streams_one_base", """
+SELECT CASE WHEN o_orderkey % 2 = 0 THEN 'seven' ELSE 'eleven' END AS stream, o_orderkey FROM orders""")
+def q_two_streams_one_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K4: two idempotent streams with equal batch ids keep each their own rows, replays included."""
+    base = scratch_path(spark, "two_streams")
+    ev = orders_events(spark, sf_dir).withColumn("even", F.get_json_object("value", "$.payload.o_orderkey").cast("bigint") % 2 == 0)
+    for name, mine in (("seven", F.col("even")), ("eleven", ~F.col("even")), ("eleven", ~F.col("even"))):
+        cfg = CdcConfig(base_path=base, idempotent=True, partition=True, stream_id=name)
+        ingest_batch(ev.where(mine).drop("even"), cfg, batch_id=0, batch_time_ms=BATCH_TIME_MS)
+    t = read_table(spark, f"{base}/{ORDERS}", provenance=False)
+    return t.select(F.substring("stream_id", 2, 20).alias("stream"), "o_orderkey")
+
+
+@register("compact_in_place_read", f"""
+SELECT o_orderkey, CAST(strftime(make_timestamp((1700000000000 + (o_orderkey % 2) * 86400000) * 1000), '%Y-%m-%d') AS DATE) AS dt FROM orders""")
+def q_compact_in_place_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T4: a table root compacted and swapped in reads as before, beside a compaction that is not committed."""
+    base = scratch_path(spark, "compact_in_place")
+    ev = orders_events(spark, sf_dir).withColumn("odd", F.get_json_object("value", "$.payload.o_orderkey").cast("bigint") % 2)
+    cfg = CdcConfig(base_path=base, partition=True, rows_per_file=500)
+    for odd in (0, 1):
+        ingest_batch(ev.where(F.col("odd") == odd).drop("odd"), cfg, batch_id=odd, batch_time_ms=1_700_000_000_000 + odd * 86_400_000)
+    root = f"{base}/{ORDERS}"
+    commit_compaction(spark, compact_partition(spark, root))
+    compact_partition(spark, f"{root}/dt=2023-11-14")
+    return read_table(spark, root, provenance=False).select("o_orderkey", "dt")
+
+
+@register("quarantine_rows", """
+SELECT CASE WHEN o_orderkey % 6 IN (1, 2) THEN 'quarantine' ELSE 'table' END AS location, o_orderkey,
+       CASE WHEN o_orderkey % 6 IN (1, 2) THEN NULL ELSE o_custkey END AS o_custkey
+FROM orders WHERE o_orderkey % 6 <> 3""")
+def q_quarantine_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A field of the wrong type or text after the event goes to quarantine, a null payload is a tombstone."""
+    base = scratch_path(spark, "quarantine_rows")
+    ev = orders_events(spark, sf_dir)
+    k = F.get_json_object("value", "$.payload.o_orderkey").cast("bigint")
+    schema = F.substring_index("value", ',"payload":', 1)
+    bad = (F.when(k % 6 == 1, F.regexp_replace("value", r'"o_custkey":\d+', '"o_custkey":"none"'))
+           .when(k % 6 == 2, F.concat("value", F.lit(" trailing")))
+           .when(k % 6 == 3, F.concat(schema, F.lit(',"payload":null}'))).otherwise(F.col("value")))
+    res = ingest_batch(ev.withColumn("value", bad), CdcConfig(base_path=base, on_malformed="quarantine"), batch_id=0, batch_time_ms=BATCH_TIME_MS)
+    frames = []
+    for path in sorted({g.path for g in res.groups if g.kind == 0}):
+        key = F.regexp_extract("value", r'"o_orderkey":(\d+)', 1).cast("bigint")
+        frames.append(spark.read.json(path).select(F.lit("quarantine").alias("location"), key.alias("o_orderkey"), F.lit(None).cast("bigint").alias("o_custkey")))
+    table = read_table(spark, f"{base}/{ORDERS}").select(F.lit("table").alias("location"), "o_orderkey", "o_custkey")
+    return union_all([table, *frames])
+
+
+@register("source_ts_declared_absent", f"""
+SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN {BATCH_TIME_MS} WHEN o_orderkey % 3 = 1 THEN NULL ELSE {TS_SQL} END AS __source_ts_ms,
+       CASE WHEN o_orderkey % 3 = 0 THEN {BATCH_TIME_MS} // 1000 WHEN o_orderkey % 3 = 1 THEN NULL ELSE {TS_SQL} // 1000 END AS source_ts_epoch_s
+FROM orders""")
+def q_source_ts_declared_absent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F2 under a declared schema: the batch time where the field is absent, null where it is null."""
+    ev = orders_events(spark, sf_dir)
+    k = F.get_json_object("value", "$.payload.o_orderkey").cast("bigint")
+    ts = r',"__source_ts_ms":-?\d+'
+    value = F.when(k % 3 == 0, F.regexp_replace("value", ts, "")).when(k % 3 == 1, F.regexp_replace("value", ts, ',"__source_ts_ms":null')).otherwise(F.col("value"))
+    return decoded(ev.withColumn("value", value)).select("o_orderkey", "__source_ts_ms", epoch_s())
+
+
+@register("land_file_counts", """
+SELECT 'testc.inventory.orders' AS destination, count(*) AS rows, true AS few_files FROM orders
+UNION ALL SELECT 'testc.inventory.customer' AS destination, count(*) AS rows, true AS few_files FROM customer
+UNION ALL SELECT 'testc.inventory.supplier' AS destination, count(*) AS rows, true AS few_files FROM supplier""")
+def q_land_file_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K2: a batch of several tables leaves files by rows, not by tables x partitions."""
+    base = scratch_path(spark, "file_counts")
+    ev = union_all([orders_events(spark, sf_dir), customer_events(spark, sf_dir), supplier_events(spark, sf_dir)])
+    cfg = CdcConfig(base_path=base, rows_per_file=5000)
+    ingest_batch(ev, cfg, batch_id=0, batch_time_ms=BATCH_TIME_MS)
+    out = []
+    for d in (ORDERS, CUSTOMER, SUPPLIER):
+        t = read_table(spark, f"{base}/{d}")
+        out.append(t.agg(F.count("*").alias("rows"), F.countDistinct("input_file").alias("files"))
+                   .select(F.lit(d).alias("destination"), "rows", (F.col("files") <= 2 * F.ceil(F.col("rows") / 5000)).alias("few_files")))
+    return union_all(out)
+
+
+@register("key_extract_mixed", """
+SELECT 'testc.inventory.orders' AS destination, CAST(o_orderkey AS VARCHAR) AS id FROM orders
+UNION ALL SELECT 'testc.inventory.customer' AS destination, CAST(c_custkey + 5000000000 AS VARCHAR) AS id FROM customer
+UNION ALL SELECT 'testc.inventory.part' AS destination, p_brand || '-' || CAST(p_partkey AS VARCHAR) AS id FROM part""")
+def q_key_extract_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys of one field name and three types (int, bigint, string), each decoded with its own schema."""
+    o = source_rows(spark, sf_dir, "orders").select(F.col("o_orderkey").cast("int").alias("id"))
+    c = source_rows(spark, sf_dir, "customer").select((F.col("c_custkey") + 5_000_000_000).alias("id"))
+    p = source_rows(spark, sf_dir, "part").select(F.concat_ws("-", "p_brand", "p_partkey").alias("id"))
+    ev = union_all([encode_events(df, d, key=["id"]) for df, d in ((o, ORDERS), (c, CUSTOMER), (p, "testc.inventory.part"))])
+    return decode_key(ev, keep=("destination",)).select("destination", "key_struct.id")
+
+
+@register("land_add_fields", f"""
+SELECT o_orderkey, {op_sql('o_orderkey')} AS __op, CASE WHEN o_orderkey % 2 = 0 THEN o_orderkey * 16 END AS __source_lsn,
+       CASE WHEN o_orderkey % 2 = 1 THEN 'mysql-bin.000003' END AS __source_file, 'inventory' AS __db
+FROM orders""")
+def q_land_add_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Chosen fields of two connectors' envelopes land in one table with one schema."""
+    base = scratch_path(spark, "add_fields")
+    props = {"debezium.transforms": "unwrap", "debezium.transforms.unwrap.type": "io.debezium.transforms.ExtractNewRecordState",
+             "debezium.transforms.unwrap.add.fields": "op,db,source.lsn,source.file",
+             "debezium.source.table.include.list": "inventory.orders", "debezium.source.database.server.name": "testc"}
+    cfg = CdcConfig.from_properties(props, base_path=base)
+    o = source_rows(spark, sf_dir, "orders")
+    k = F.col("o_orderkey")
+    for half, connector in ((0, "postgresql"), (1, "mysql")):
+        ev = encode_events(o.where(k % 2 == half), ORDERS, style="envelope", op=op_rule(k), source_ts_ms=orders_ts(), lsn=k * 16, connector=connector)
+        ingest_batch(ev.unionByName(supplier_events(spark, sf_dir).select(*ev.columns)), cfg, batch_id=half, batch_time_ms=BATCH_TIME_MS)
+    return read_table(spark, f"{base}/{ORDERS}").select("o_orderkey", "__op", "__source_lsn", "__source_file", "__db")
+
+
+@register("land_regex_paths", """
+SELECT 'raw_orders@inventory$' AS folder, count(*) AS n FROM orders
+UNION ALL SELECT 'raw_supplier@inventory$' AS folder, count(*) AS n FROM supplier""")
+def q_land_regex_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F4 F5 when landing: a Java regex with named groups and an escaped dollar sign."""
+    base = scratch_path(spark, "regex_paths")
+    cfg = CdcConfig(base_path=base, prefix="raw_", dest_regexp=r"^\p{Alpha}+\.(?<schema>\w+)\.(?<table>\w+)$", dest_replace=r"${table}@${schema}\$")
+    ingest_batch(union_all([orders_events(spark, sf_dir), supplier_events(spark, sf_dir)]), cfg, batch_id=0, batch_time_ms=BATCH_TIME_MS)
+    return union_all([read_table(spark, f"{base}/{d}").agg(F.count("*").alias("n")).select(F.lit(d).alias("folder"), "n")
+                      for d in ("raw_orders@inventory$", "raw_supplier@inventory$")])

@@ -90,7 +90,7 @@ def test_hot_table_is_written_from_every_partition(spark, lake):
     rows = [("hot", None, flat(F1, {"id": i, "name": "h"})) for i in range(80)]
     rows += [(d, None, flat(F1, {"id": i, "name": d})) for d in ("a", "b") for i in range(10)]
     ev = events(spark, rows).repartition(4)
-    res = ingest_batch(ev, CdcConfig(base_path=lake, min_partitions=4), batch_id=0, batch_time_ms=1)
+    res = ingest_batch(ev, CdcConfig(base_path=lake, min_partitions=4, rows_per_file=None), batch_id=0, batch_time_ms=1)
     hot = read_table(spark, f"{lake}/hot")
     assert hot.count() == 80 and hot.select("input_file").distinct().count() == 4
 
@@ -109,7 +109,7 @@ def test_small_groups_are_staged_once_and_pruned(spark, lake):
     rows = [("hot", None, flat(F1, {"id": i, "name": "h"})) for i in range(60)]
     rows += [(d, None, flat(F1, {"id": i, "name": d})) for d in ("a", "b", "c") for i in range(3)]
     ev = events(spark, rows).repartition(4)
-    cfg = CdcConfig(base_path=lake, min_partitions=4, small_group_rows=10, max_group_tasks=4)
+    cfg = CdcConfig(base_path=lake, min_partitions=4, small_group_rows=10, max_group_tasks=4, rows_per_file=None)
     res = ingest_batch(ev, cfg, batch_id=0, batch_time_ms=1)
     assert res.staged_groups == 3 and res.rows == 69
     for d, n in (("hot", 60), ("a", 3), ("b", 3), ("c", 3)):
@@ -155,7 +155,7 @@ def test_table_storage_lands_like_the_cache_and_discovers_without_event_text(spa
     assert got["cache"] == got["table"] == [("a", 30), ("b", 30), ("c", 1)]
     assert not [d for d in set(os.listdir(scratch)) - before if d.startswith("ingest_batch")]  # staged table removed
     staged, _ = stage_batch(key_events(ev))
-    assert re.search(r"ReadSchema: struct<destination:string,kind:int,__sample:string>", plan(group_counts(staged)))
+    assert re.search(r"ReadSchema: struct<destination:string,__schema:string,kind:int>", plan(group_counts(staged)))
 
 
 def test_staged_small_group_scan_prunes_to_its_folder(spark):

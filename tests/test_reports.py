@@ -36,7 +36,7 @@ def test_lag_and_progress(spark):
 def test_compaction_keeps_rows_and_reduces_files(spark, lake):
     f = [fld("id", "int64"), fld("v", "string")]
     ev = events(spark, [("t", None, flat(f, {"id": i, "v": str(i)})) for i in range(200)]).repartition(8)
-    res = ingest_batch(ev, CdcConfig(base_path=lake), batch_id=0)
+    res = ingest_batch(ev, CdcConfig(base_path=lake, rows_per_file=None), batch_id=0)
     src = res.groups[0].path
     out = compact_partition(spark, src, files=1)
     assert out.files_before == 8 and out.files_after == 1 and out.rows == 200
@@ -52,7 +52,7 @@ def test_compaction_sizes_output_by_bytes(spark, lake):
 
     f = [fld("id", "int64"), fld("v", "string")]
     ev = events(spark, [("t", None, flat(f, {"id": i, "v": "x" * 200})) for i in range(400)]).repartition(8)
-    src = ingest_batch(ev, CdcConfig(base_path=lake), batch_id=0).groups[0].path
+    src = ingest_batch(ev, CdcConfig(base_path=lake, rows_per_file=None), batch_id=0).groups[0].path
     n_files, n_bytes = _listing(spark, src)
     assert n_files == 8
     out = compact_partition(spark, src, target_file_bytes=n_bytes // 3 + 1)
@@ -62,7 +62,7 @@ def test_compaction_sizes_output_by_bytes(spark, lake):
 
 def test_compaction_of_a_partitioned_root_keeps_its_folders(spark, lake):
     f = [fld("id", "int64"), fld("v", "string")]
-    cfg = CdcConfig(base_path=lake, partition=True)
+    cfg = CdcConfig(base_path=lake, partition=True, rows_per_file=None)
     for day in range(2):
         ev = events(spark, [("t", None, flat(f, {"id": day * 100 + i, "v": "x"})) for i in range(50)]).repartition(4)
         ingest_batch(ev, cfg, batch_id=day, batch_time_ms=1_700_000_000_000 + day * 86_400_000)

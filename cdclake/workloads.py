@@ -1058,3 +1058,58 @@ def q_land_regex_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
     ingest_batch(union_all([orders_events(spark, sf_dir), supplier_events(spark, sf_dir)]), cfg, batch_id=0, batch_time_ms=BATCH_TIME_MS)
     return union_all([read_table(spark, f"{base}/{d}").agg(F.count("*").alias("n")).select(F.lit(d).alias("folder"), "n")
                       for d in ("raw_orders@inventory$", "raw_supplier@inventory$")])
+
+
+@register("ingest_roundtrip_rows", ORDERS_FLAT_SQL)
+def q_ingest_roundtrip_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every landed row read back, all columns."""
+    base = scratch_path(spark, "roundtrip_rows")
+    res = ingest_batch(orders_events(spark, sf_dir), CdcConfig(base_path=base, partition=True), batch_id=0, batch_time_ms=BATCH_TIME_MS)
+    return spark.read.parquet(res.groups[0].path).select(*FLAT_ORDER_OUT, epoch_s())
+
+
+@register("stream_ingest_rows", f"""
+SELECT 'orders' AS source, o_orderkey AS id, {op_sql('o_orderkey')} AS __op FROM orders
+UNION ALL SELECT 'customer' AS source, c_custkey AS id, {op_sql('c_custkey')} AS __op FROM customer""")
+def q_stream_ingest_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each row that a stream landed, in its table."""
+    src, base = scratch_path(spark, "stream_rows_src"), scratch_path(spark, "stream_rows_lake")
+    write_events(union_all([orders_events(spark, sf_dir), customer_events(spark, sf_dir)]), src, files=2)
+    policy = TriggerPolicy(max_files_per_trigger=1, available_now=True)
+    cfg = CdcConfig(base_path=base, idempotent=True)
+    q = start_stream(read_event_stream(spark, src, policy=policy), cfg, scratch_path(spark, "stream_rows_ckpt"), policy=policy)
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    rows = lambda d, key: read_table(spark, f"{base}/{d}").select(F.col("__table").alias("source"), F.col(key).alias("id"), "__op")
+    return rows(ORDERS, "o_orderkey").unionByName(rows(CUSTOMER, "c_custkey"))
+
+
+@register("land_predicates", """
+SELECT o_orderkey, o_totalprice, CAST('2023-11-14' AS DATE) AS dt FROM orders
+WHERE o_orderkey % 10 = 0 AND o_totalprice > 1000 AND o_orderpriority IS NOT NULL""")
+def q_land_predicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicates on a landed table, on its folder date and its columns."""
+    base = scratch_path(spark, "predicates")
+    ingest_batch(orders_events(spark, sf_dir), CdcConfig(base_path=base, partition=True), batch_id=0, batch_time_ms=BATCH_TIME_MS)
+    t = read_table(spark, f"{base}/{ORDERS}")
+    return t.where("dt = DATE'2023-11-14' AND __op = 'd' AND o_totalprice > 1000 AND o_orderpriority IS NOT NULL").select("o_orderkey", "o_totalprice", "dt")
+
+
+@register("land_compressed", "SELECT 'snappy' AS codec, c_custkey, c_name FROM customer UNION ALL SELECT 'zstd' AS codec, c_custkey, c_name FROM customer")
+def q_land_compressed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K8: the writer's compression, told by the file names, and the rows behind it."""
+    out = []
+    for codec in ("snappy", "zstd"):
+        base = scratch_path(spark, f"compressed_{codec}")
+        ingest_batch(customer_events(spark, sf_dir), CdcConfig(base_path=base, write_options={"compression": codec}), batch_id=0, batch_time_ms=BATCH_TIME_MS)
+        name = F.regexp_extract("input_file", r"\.(\w+)\.parquet$", 1)
+        out.append(read_table(spark, f"{base}/{CUSTOMER}").select(name.alias("codec"), "c_custkey", "c_name"))
+    return union_all(out)
+
+
+@register("decimal_as_double", "SELECT l_orderkey, l_linenumber, CAST(CAST(l_extendedprice AS DECIMAL(18, 2)) AS DOUBLE) AS price FROM lineitem")
+def q_decimal_as_double(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A decimal column travels as float64 and lands as double."""
+    li = source_rows(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", F.col("l_extendedprice").cast("decimal(18,2)").alias("price"))
+    return decoded(encode_events(li, "testc.inventory.lineitem")).select("l_orderkey", "l_linenumber", "price")

@@ -37,11 +37,12 @@ ROLES = set("navigation banner contentinfo complementary search alert alertdialo
 MARKS = set(("ad ads adv advert adverts advertisement advertising adsense banner breadcrumb breadcrumbs comment comments consent cookie cookies disclaimer disqus "
              "footer gdpr header login masthead menu menubar modal nav navbar navigation newsletter notice notices notification pager pagination popup "
              "promo promotion related reply respond search share sharing sidebar signup skip social sponsor sponsored subscribe subscription teaser toolbar topbar widget").split())
+LAYOUT = set("fixed has layout no page sticky with without wrapper".split())  # in a name, they say what a whole page looks like
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|</([a-zA-Z][^\s/>]*)[^>]*>|<([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<([a-zA-Z][^\s/>]*)([^>]*)>|([^<]+)|<", re.S)
 _ATTRIBUTE = re.compile(r"([a-zA-Z][\w:.-]*)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
-_PART = re.compile(r"[A-Za-z][a-z]*|[A-Z]+")
+_PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 
 class Node:
@@ -62,7 +63,8 @@ def _style(tag: str, raw: str, inside_article: bool) -> tuple[str, bool]:
     for m in _ATTRIBUTE.finditer(raw):
         found.setdefault(m[1].lower(), m[2] or m[3] or m[4] or "")
     names = f"{found.get('class', '')} {found.get('id', '')}"
-    parts = {x.lower() for x in _PART.findall(names)}
+    named = [{x.lower() for x in _PART.findall(name)} for name in names.split()]
+    parts = {x for name in named if not name & LAYOUT for x in name}
     role = found.get("role", "").lower()
     furniture = (tag in FURNITURE or tag == "header" and not inside_article or bool(parts & MARKS) and tag not in ("html", "body") and not (inside_article and parts & MARKS == {"header"})
                  or role in ROLES or "hidden" in found or found.get("aria-hidden") == "true" or "display:none" in found.get("style", "").replace(" ", "").lower())

@@ -55,6 +55,12 @@ def test_markup_names_furniture_and_characters_are_decoded():
     assert blocks == ["Big & news", "One two éé x <b> &", "Quote inline", "x", "y", "1", "2"]
 
 
+def test_names_of_the_layout_are_no_furniture():
+    page = """<body class="with-sidebar"><div class="page has-sidebar header-fixed" id="nav-wrapper"><div class="leftNav">menu</div>
+    <div class="ADS">buy</div><div class="storyBody"><p>Kept</p></div><div id="cookieNotice">ok?</div></div></body>"""
+    assert [t for _, t, _ in parse(page)[0]] == ["Kept"]
+
+
 def test_broken_and_empty_pages(spark):
     rows = [(1, None, None), (2, "u", ""), (3, None, "just text < 5 & more"), (4, "http://h/", "<p>a<b>b</p>c</b>d</div></p>e"), (5, "http://h/", "<p title='x>y' class=>z</p"), (6, "h", "<" * 500 + "q"),
             (7, "http://h/", "<script>never closed <p>x</p>"), (8, "http://h/", "<div>" * 3000 + "deep"), (8, "http://h/", "<p>one</p>"), (None, "http://h/", "<p>" + "long " * 40000)]

@@ -511,8 +511,28 @@ def _land_round(keyed: DataFrame, groups: list[SchemaGroup], cfg: CdcConfig, wcf
             _delete(keyed.sparkSession, staged_path)
 
 
+class DecodedGroups(list):
+    """(group, typed frame) pairs; as a context manager it deletes their staged table when left."""
+
+    def __init__(self, spark, path: str | None) -> None:
+        super().__init__()
+        self.spark, self.path = spark, path
+
+    def close(self) -> None:
+        """Delete the staged table: the frames can't be read any more."""
+        if self.path is not None:
+            _delete(self.spark, self.path)
+            self.path = None
+
+    def __enter__(self) -> "DecodedGroups":
+        return self
+
+    def __exit__(self, *exc: object) -> None:
+        self.close()
+
+
 def decode_events(events: DataFrame, cfg: CdcConfig | None = None, batch_time_ms: int = 0,
-                  materialize: bool = True) -> list[tuple[SchemaGroup, DataFrame]]:
+                  materialize: bool = True) -> DecodedGroups:
     """Decode a frame of events without writing: one typed frame per schema group.
 
     With ``materialize`` the keyed events are first written once to a table
@@ -522,17 +542,18 @@ def decode_events(events: DataFrame, cfg: CdcConfig | None = None, batch_time_ms
     (partition pruning): the input is read and keyed once, and lineage is
     cut there, which also keeps executor loss cheap. Without it, discovery
     and every group frame recompute the input. Each returned frame is lazy;
-    the table stays in the scratch folder.
+    the table stays in the scratch folder until :meth:`DecodedGroups.close`.
     """
     cfg = cfg or CdcConfig(base_path="")
     ev = drop_tombstones(events)
     if cfg.include_tables is not None:
         ev = include_tables(ev, cfg.include_tables)
     keyed = key_events(spread(ev, cfg.min_partitions, cfg.rebalance), check_malformed=cfg.on_malformed == "quarantine")
+    path = None
     if materialize:
-        keyed, _ = stage_batch(keyed)
+        keyed, path = stage_batch(keyed)
     groups = discover_groups(keyed, cfg.max_groups)
-    out = []
+    out = DecodedGroups(events.sparkSession, path)
     for g in groups:
         if g.kind == KIND_MALFORMED:
             if cfg.on_malformed == "fail":

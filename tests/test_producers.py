@@ -29,6 +29,13 @@ def test_blanks_and_member_order_do_not_split_a_group(spark):
     assert group.rows == 20 and sorted(r["id"] for r in df.collect()) == sorted(list(range(5)) * 4)
 
 
+def test_a_decoded_batch_deletes_its_staged_table(spark):
+    with decode_events(events(spark, [("t", None, flat(FIELDS, {"id": 1, "n": 1}))])) as groups:
+        path = groups.path.removeprefix("file:")
+        assert os.path.isdir(path) and groups[0][1].count() == 1
+    assert not os.path.exists(path) and groups.path is None
+
+
 def test_fields_of_the_wrong_type_are_null_or_quarantined(spark, lake):
     good, null = flat(FIELDS, {"id": 1, "n": 1}), json.loads(flat(FIELDS, {"id": 1, "n": 1})) | {"payload": None}
     bad = flat(FIELDS, {"id": "abc", "n": 7})

@@ -29,7 +29,8 @@ DISCOUNT = 0.35  # of a count that goes to the escape
 LOW = 2  # contexts of up to so many bytes are in a table of 256**3 rows at most, which every task gets
 BLOCK_BYTES = 16 << 20  # text of a block, about: what one task scores against the grams that it needs
 BLOCKS = 16  # least number of blocks
-MODEL_ROWS = 1 << 20  # grams that one task works out, about
+PIECE = 1 << 20  # bytes of text that arrays are made for at a time, about
+MODEL_ROWS = 1 << 20  # rows of blocks that one task answers, about
 END, GAP = 10, 32
 END_WORD = np.int64(-7046029254386353131)  # stands for the end token among word hashes
 
@@ -88,7 +89,7 @@ def _needs(order: int):
         data, off = utf8(table.column("text"))
         held = table.column("held_out").to_numpy(zero_copy_only=False).astype(bool)
         found: list[list[tuple[np.ndarray, np.ndarray]]] = [[], []]
-        for i, j in pieces(off):
+        for i, j in pieces(off, PIECE):
             grams, first, words, first_word = symbols(data[off[i] : off[j]], off[i : j + 1] - off[i], order)
             words = np.r_[words, np.full(j - i, END_WORD)]
             for kind, keys, row in ((0, grams, np.repeat(held[i:j], np.diff(first))), (1, words, np.r_[np.repeat(held[i:j], np.diff(first_word)), held[i:j]])):
@@ -169,42 +170,61 @@ def low_levels(codes: np.ndarray, counts: np.ndarray) -> list[Level]:
     return levels[::-1]
 
 
-def _model(low, order: int):
+def _answers(low, order: int):
+    """What each block asked for, from the rows of all blocks that share a key.
+
+    kind 0: a gram's log probability; kind 1: the training count of a word that
+    several blocks hold (a block knows the others itself); kind 2 (block -1): how many
+    distinct training words this task saw.
+    """
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts = [(b.column("key").to_numpy(), b.column("n").to_numpy()) for b in batches]
-        if parts:
-            keys, counts = _summed(*(np.concatenate(x) for x in zip(*parts)))
-            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(log_probability(keys, counts, low_levels(*low.value), order))], ["key", "value"])
+        parts = [[b.column(x).to_numpy() for x in ("block", "kind", "key", "n")] for b in batches if b.num_rows]
+        if not parts:
+            return
+        block, kind, key, n = (np.concatenate(x) for x in zip(*parts))
+        for k in (0, 1):
+            mine = kind == k
+            keys, at = np.unique(key[mine], return_inverse=True)
+            counts = np.bincount(at, n[mine], len(keys)).astype(np.int64)
+            if k == 0:
+                value, keep = log_probability(keys, counts, low_levels(*low.value), order)[at] if len(keys) else np.empty(0), np.ones(len(at), bool)
+            else:
+                value, keep = counts[at].astype(np.float64), np.bincount(at, minlength=len(keys))[at] > 1
+                yield _answer([-1], 2, [0], [float((counts > 0).sum())])
+            yield _answer(block[mine][keep], k, key[mine][keep], value[keep])
 
     return run
 
 
+def _answer(block, kind: int, key, value) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(block, pa.int32()), pa.array(np.full(len(block), kind, np.int8)), pa.array(key, pa.int64()), pa.array(value, pa.float64())], ["block", "kind", "key", "value"])
+
+
 def _score(order: int, tokens: int, kinds: int):
     floor = np.log10(tokens + 1.0 * (kinds + 1))
 
     def run(key: tuple, docs: pa.Table, model: pa.Table) -> pa.Table:
         data, off = utf8(docs.column("text"))
+        held = docs.column("held_out").to_numpy(zero_copy_only=False).astype(bool)
         known = []
         for kind in (0, 1):
-            part = model.filter(pc.equal(model.column("kind"), kind)).sort_by("key")
-            known.append((part.column("key").to_numpy(), part.column("value").to_numpy()))
-        n_tokens, n_known, base, score = np.zeros(docs.num_rows, np.int64), np.zeros(docs.num_rows, np.int64), np.zeros(docs.num_rows), np.zeros(docs.num_rows)
-        for i, j in pieces(off):
-            grams, first, words, first_word = symbols(data[off[i] : off[j]], off[i : j + 1] - off[i], order)
+            part = model.filter(pc.equal(model.column("kind"), kind))
+            keys = part.column("key").to_numpy()
+            order_by = np.argsort(keys)
+            known.append((keys[order_by], part.column("value").to_numpy()[order_by]))
+        score, words, sizes = np.zeros(docs.num_rows), [], []
+        for i, j in pieces(off, PIECE):
+            grams, first, found, first_word = symbols(data[off[i] : off[j]], off[i : j + 1] - off[i], order)
             score[i:j] = np.add.reduceat(_look(*known[0], grams), first[:-1])
-            ends = _look(*known[1], np.array([END_WORD]))[0]
-            count = np.r_[_look(*known[1], words), 0.0]
-            logs, hits = np.log10(count + 1) - floor, (count > 0).astype(np.int64)
-            n = np.diff(first_word)
-            full = np.flatnonzero(n)
-            n_tokens[i:j] = n + 1
-            base[i:j], n_known[i:j] = np.log10(ends + 1) - floor, int(ends > 0)
-            if len(full):
-                at = first_word[full]
-                base[i + full] += np.add.reduceat(logs[:-1], at)
-                n_known[i + full] += np.add.reduceat(hits[:-1], at)
-        return pa.table({"doc_id": docs.column("doc_id"), "held_out": docs.column("held_out"), "n_tokens": pa.array(n_tokens), "n_known": pa.array(n_known),
-                         "train_tokens": pa.array(np.full(docs.num_rows, tokens)), "base_score": pa.array(base), "score": pa.array(score)})
+            words.append(np.insert(found, first_word[1:], END_WORD))  # each text's words and its end
+            sizes.append(np.diff(first_word) + 1)
+        words, sizes = np.concatenate(words), np.concatenate(sizes)
+        local = _distinct(words[~np.repeat(held, sizes)])
+        count = np.maximum(_look(*known[1], words), _look(*local, words))
+        first = np.cumsum(sizes) - sizes
+        return pa.table({"doc_id": docs.column("doc_id"), "held_out": docs.column("held_out"), "n_tokens": pa.array(sizes), "n_known": pa.array(np.add.reduceat((count > 0).astype(np.int64), first)),
+                         "train_tokens": pa.array(np.full(docs.num_rows, tokens)), "base_score": pa.array(np.add.reduceat(np.log10(count + 1) - floor, first)), "score": pa.array(score)})
 
     return run
 
@@ -220,8 +240,9 @@ def score(docs: DataFrame, *, folds: int = 7, held: int = 2, order: int = ORDER,
 
     Texts are dealt into blocks by hash. A block asks for its distinct grams and
     words only, so what is gathered follows the corpus, and no task holds the
-    model: counts are summed over blocks, log probabilities worked out where contexts
-    with the same last bytes meet, and a join brings each block what it asked for.
+    model. The blocks' rows meet by key, grams by the last bytes of their contexts;
+    there counts are summed, log probabilities worked out, and the answers go
+    back to the blocks that asked.
     """
     if not LOW < order <= 6:
         raise ValueError(f"order must be between {LOW + 1} and 6")
@@ -234,20 +255,18 @@ def score(docs: DataFrame, *, folds: int = 7, held: int = 2, order: int = ORDER,
     blocks = max(BLOCKS, -(-size // block_bytes))
     rows = rows.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int"))
     asked = scratch.keep(rows.groupBy("block").applyInArrow(_needs(order), "block int, kind tinyint, key bigint, n bigint"), "asked")
-    sums = scratch.keep(asked.groupBy("kind", "key").agg(F.sum("n").alias("n")), "sums")
-    words = sums.where("kind = 1")
-    totals = words.agg(F.sum("n"), F.count(F.when(F.col("n") > 0, 1))).first()
-    grams = sums.where("kind = 0")
     tail = lambda n: F.col("key").bitwiseAND(F.lit((1 << 8 * n) - 1)).alias("key")
-    short = grams.where("n > 0").select(tail(LOW + 2)).distinct().groupBy(tail(LOW + 1)).agg(F.count("*").alias("n")).toArrow()
+    short = asked.where("kind = 0 and n > 0").select(tail(LOW + 2)).distinct().groupBy(tail(LOW + 1)).agg(F.count("*").alias("n")).toArrow()
     low = spark.sparkContext.broadcast((short.column("key").to_numpy(), short.column("n").to_numpy()))
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-grams.count() // MODEL_ROWS))
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-asked.count() // MODEL_ROWS))
     suffix = F.shiftright("key", 8).bitwiseAND(F.lit((1 << 8 * (LOW + 1)) - 1))
-    model = grams.select("key", "n").repartition(parts, suffix).mapInArrow(_model(low, order), "key bigint, value double")
-    values = model.select(F.lit(0).cast("tinyint").alias("kind"), "key", "value").unionByName(words.select("kind", "key", F.col("n").cast("double").alias("value")))
-    brought = asked.select("block", "kind", "key").join(values, ["kind", "key"]).select("block", "kind", "key", "value")
+    dealt = asked.repartition(parts, F.when(F.col("kind") == 0, suffix).otherwise(F.col("key")))
+    brought = scratch.keep(dealt.mapInArrow(_answers(low, order), "block int, kind tinyint, key bigint, value double"), "brought")
+    tokens = asked.where("kind = 1").agg(F.sum("n")).first()[0] or 0
+    scratch.drop("asked")
+    kinds = brought.where("kind = 2").agg(F.sum("value")).first()[0] or 0
     result = "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"
-    return rows.groupBy("block").cogroup(brought.groupBy("block")).applyInArrow(_score(order, int(totals[0] or 0), int(totals[1] or 0)), result)
+    return rows.groupBy("block").cogroup(brought.where("kind < 2").groupBy("block")).applyInArrow(_score(order, int(tokens), int(kinds)), result)
 
 
 def adaptive_bits(text: str | None, order: int = ORDER) -> float:

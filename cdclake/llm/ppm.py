@@ -30,6 +30,7 @@ LOW = 2  # contexts of up to so many bytes are in a table of 256**3 rows at most
 BLOCK_BYTES = 16 << 20  # text of a block, about: what one task scores against the grams that it needs
 BLOCKS = 16  # least number of blocks
 PIECE = 1 << 20  # bytes of text that arrays are made for at a time, about
+MERGE = 8  # lists of distinct keys that are held before they are merged
 MODEL_ROWS = 1 << 20  # rows of blocks that one task answers, about
 END, GAP = 10, 32
 END_WORD = np.int64(-7046029254386353131)  # stands for the end token among word hashes
@@ -96,6 +97,8 @@ def _needs(order: int):
                 found[kind].append(_distinct(keys[~row]))
                 other, _ = _distinct(keys[row])
                 found[kind].append((other, np.zeros(len(other), np.int64)))
+                if len(found[kind]) >= MERGE:
+                    found[kind] = [_summed(*(np.concatenate(x) for x in zip(*found[kind])))]
         parts = [_summed(*(np.concatenate(x) for x in zip(*f))) for f in found]
         kind = np.repeat(np.array([0, 1], np.int8), [len(x[0]) for x in parts])
         return pa.table({"block": pa.array(np.full(len(kind), key[0].as_py(), np.int32)), "kind": pa.array(kind), "key": pa.array(np.r_[parts[0][0], parts[1][0]]), "n": pa.array(np.r_[parts[0][1], parts[1][1]].astype(np.int64))})

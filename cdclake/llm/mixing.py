@@ -50,18 +50,19 @@ def _targets(cells: DataFrame, name: str, shares: dict | None, smoothing: float)
 
 def fit(docs: DataFrame, scratch: Scratch, *, targets: dict[str, dict[str, float]] | None = None, smoothing: float = SMOOTHING, kept: float = KEPT,
         tolerance: float = TOLERANCE, sweeps: int = SWEEPS) -> DataFrame:
-    """Cells (__source, __lang, __topic, tokens, weight, probability) of ``described`` docs.
+    """Cells (__source, __lang, __topic, tokens, weight, probability, expected) of ``described`` docs.
 
     Each sweep multiplies the cells' weights, dimension by dimension, by target
     over present share. Only cell tables are read after the one aggregation of
-    the documents; the driver sees three sums a sweep.
+    the documents; the driver sees three sums a sweep. ``expected`` copies of a document are in proportion to
+    its cell's weight, above 1 too, so tokens x expected meet the targets; ``probability`` is cut off at 1.
     """
     names = [f"__{x}" for x in DIMENSIONS]
     cells = docs.groupBy(*names).agg(F.sum("__tokens").alias("tokens")).withColumn("weight", F.lit(1.0))
     cells = scratch.keep(cells, "cells0")
     total = cells.agg(F.sum("tokens")).first()[0]
     if not total:
-        return cells.withColumn("probability", F.lit(1.0))
+        return cells.withColumns({"probability": F.lit(1.0), "expected": F.lit(float(kept))})
     wanted = {x: scratch.keep(_targets(cells, f"__{x}", (targets or {}).get(x), smoothing), f"target_{x}") for x in DIMENSIONS}
 
     def factors(now: DataFrame, x: str) -> DataFrame:
@@ -91,29 +92,36 @@ def fit(docs: DataFrame, scratch: Scratch, *, targets: dict[str, dict[str, float
         if larger <= scale * (1 + 1e-12):
             break
         scale = larger
-    return cells.withColumn("probability", F.least(F.lit(1.0), F.col("weight") * F.lit(scale)))
+    weighted = cells.agg(F.sum(F.col("tokens") * F.col("weight"))).first()[0]
+    return cells.withColumns({"probability": F.least(F.lit(1.0), F.col("weight") * F.lit(scale)), "expected": F.col("weight") * F.lit(aim / weighted if weighted else 0.0)})
 
 
 def mix(docs: DataFrame, **options) -> DataFrame:
-    """docs with the struct column ``mix``: source, lang, topic, n_tokens, weight, probability, sampled.
+    """docs with the struct column ``mix``: source, lang, topic, n_tokens, weight, probability, sampled, expected, copies.
 
     Options are those of ``fit``. Weights are raked so that token shares meet
-    the marginals of source, language and topic; a document is sampled if its
-    draw, a hash of doc_id and text, is below its cell's probability. So the result is the
+    the marginals of source, language and topic. ``copies`` is how often a document is to be in a
+    mixture that meets them and holds ``kept`` of the tokens: the whole part of its cell's ``expected`` copies, and one
+    more if its draw, a hash of doc_id and text, is below the rest. A document is ``sampled`` if its draw is below its cell's
+    probability: once at most, so values that lack tokens stay below their targets. The result is the
     same however often it is computed. Null source, language or topic is a
     value of its own; a null text has one token. Repeated rows share their draw.
     All columns of docs stay.
     """
     scratch = Scratch(docs.sparkSession, "mixing")
     rows = described(docs)
-    cells = scratch.keep(fit(rows, scratch, **options), "fitted").withColumnsRenamed({f"__{x}": f"__cell_{x}" for x in DIMENSIONS} | {"weight": "__weight", "probability": "__probability"}).drop("tokens")
+    cells = scratch.keep(fit(rows, scratch, **options), "fitted").withColumnsRenamed({f"__{x}": f"__cell_{x}" for x in DIMENSIONS} | {"weight": "__weight", "probability": "__probability", "expected": "__expected"}).drop("tokens")
     match = reduce(Column.__and__, (F.col(f"__{x}").eqNullSafe(F.col(f"__cell_{x}")) for x in DIMENSIONS))
     out = rows.join(cells, match).withColumn("mix", F.struct(
         *[F.col(f"__{x}").alias(x) for x in DIMENSIONS], F.col("__tokens").cast("long").alias("n_tokens"), F.col("__weight").alias("weight"),
-        F.col("__probability").alias("probability"), (F.col("__draw") < F.col("__probability")).alias("sampled")))
+        F.col("__probability").alias("probability"), (F.col("__draw") < F.col("__probability")).alias("sampled"),
+        F.col("__expected").alias("expected"), (F.floor("__expected") + (F.col("__draw") < F.col("__expected") - F.floor("__expected")).cast("long")).alias("copies")))
     return out.select(*[F.col(f"`{x}`") for x in docs.columns], "mix")
 
 
-def sample(docs: DataFrame, **options) -> DataFrame:
-    """The sampled rows of ``mix``, with the columns of docs."""
-    return mix(docs, **options).where("mix.sampled").drop("mix")
+def sample(docs: DataFrame, *, repeats: bool = False, **options) -> DataFrame:
+    """The sampled rows of ``mix``, with the columns of docs; with ``repeats``, every row as often as its copies say."""
+    rows = mix(docs, **options)
+    if not repeats:
+        return rows.where("mix.sampled").drop("mix")
+    return rows.select(*[F.col(f"`{x}`") for x in docs.columns], F.explode(F.array_repeat(F.lit(0), F.col("mix.copies").cast("int"))).alias("__copy")).drop("__copy")

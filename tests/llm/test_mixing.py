@@ -1,8 +1,8 @@
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import pytest
 from conftest import SF_SMALL
-from cdclake.llm.mixing import DIMENSIONS, mix, sample
+from cdclake.llm.mixing import DIMENSIONS, KEPT, SMOOTHING, mix, sample
 
 
 def shares(rows, x, weight):
@@ -57,3 +57,19 @@ def test_edge_cases(spark):
     assert mix(df.select("doc_id", "text")).count() == len(rows)
     none = mix(df, targets={"lang": {"fr": 1.0}}).collect()  # a target that no row can meet leaves no weight
     assert len(none) == len(rows)
+
+
+def test_copies_meet_the_targets_at_the_defaults(spark):
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    rows = mix(docs).collect()
+    assert max(r["mix"]["weight"] for r in rows) > 1 / KEPT  # cells that one copy of each document cannot fill
+    for x in DIMENSIONS:
+        raw = {k: v**SMOOTHING for k, v in shares(rows, x, lambda r: 1).items()}
+        target = {k: v / sum(raw.values()) for k, v in raw.items()}
+        got, drawn = shares(rows, x, lambda r: r["mix"]["expected"]), shares(rows, x, lambda r: r["mix"]["copies"])
+        assert all(abs(got[k] - target[k]) <= 2e-4 * target[k] and abs(drawn[k] - target[k]) < 0.05 for k in target)
+    total = sum(r["mix"]["n_tokens"] for r in rows)
+    assert abs(sum(r["mix"]["n_tokens"] * r["mix"]["expected"] for r in rows) - KEPT * total) < 1e-3 * total
+    assert all(abs(r["mix"]["copies"] - r["mix"]["expected"]) < 1 for r in rows)
+    again = Counter(r["doc_id"] for r in sample(docs, repeats=True).collect())
+    assert again == Counter({r["doc_id"]: r["mix"]["copies"] for r in rows if r["mix"]["copies"]}) and max(again.values()) > 1

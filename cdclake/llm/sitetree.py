@@ -184,16 +184,19 @@ def _parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def low_branches(pages: DataFrame, *, least_pages: int = LEAST_PAGES, threshold: float = THRESHOLD) -> DataFrame:
     """(host, low): the style paths of text that lie in a branch of low importance, from parsed pages.
 
-    Per host and path: content importance 1 - mean over texts of log(pages
+    Pages of a host with the same blocks count as one. Per host and path: content importance 1 - mean over texts of log(pages
     with the text) / log(pages with the path), presentation importance the
     entropy of child styles over log(pages). A branch weighs its texts' importance by their number.
     """
-    near = pages.where("host is not null")
-    shown = near.select("host", F.explode("styles").alias("s")).select("host", "s.path", "s.above", F.xxhash64("s.children").alias("kids"))
+    near = pages.where("host is not null").select(
+        "host", F.xxhash64("blocks").alias("page"), F.array_distinct(F.transform("blocks", lambda b: F.struct(b["path"].alias("path"), F.xxhash64(b["text"]).alias("t")))).alias("texts"),
+        F.transform("styles", lambda s: F.struct(s["path"].alias("path"), s["above"].alias("above"), F.xxhash64(s["children"]).alias("kids"))).alias("styles"))
+    near = near.groupBy("host", "page").agg(F.min("texts").alias("texts"), F.min("styles").alias("styles"))  # copies of a page are one
+    shown = near.select("host", F.explode("styles").alias("s")).select("host", "s.*")
     kinds = shown.groupBy("host", "path", "kids").agg(F.count("*").alias("n"), F.first("above").alias("above"))
     nodes = kinds.groupBy("host", "path").agg(F.sum("n").alias("m"), F.sum(F.col("n") * F.log("n")).alias("nlog"), F.first("above").alias("above"))
     nodes = nodes.select("host", "path", "m", "above", F.when(F.col("m") > 1, 1 - F.col("nlog") / (F.col("m") * F.log("m"))).otherwise(F.lit(1.0)).alias("presented"))
-    texts = near.select("host", F.explode(F.array_distinct(F.transform("blocks", lambda b: F.struct(b["path"].alias("path"), F.xxhash64(b["text"]).alias("t"))))).alias("b")).groupBy("host", "b.path", "b.t").agg(F.count("*").alias("n"))
+    texts = near.select("host", F.explode("texts").alias("b")).groupBy("host", "b.path", "b.t").agg(F.count("*").alias("n"))
     texts = texts.groupBy("host", "path").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.log("n")).alias("nlog"))
     leaves = nodes.join(texts, ["host", "path"]).select(
         "host", "path", "above", "n", F.when(F.col("m") >= least_pages, 1 - F.col("nlog") / (F.col("n") * F.log("m"))).otherwise(F.lit(1.0)).alias("content"))
@@ -210,7 +213,7 @@ def main_text(pages: DataFrame, **options) -> DataFrame:
 
     Whole pages are parsed once, elements deeper than ``DEPTH`` as text of those above; null html is empty text. A page that has article or main elements
     is read inside them. Pages without a host are cleaned by markup
-    alone, as are hosts with fewer than ``least_pages`` pages of a style. A host that
+    alone, as are hosts with fewer than ``least_pages`` different pages of a style. A host that
     holds a third of all pages is a few rows of sums; pages meet its list of cut
     styles in a join that may split it. Repeated rows stay repeated.
     """

@@ -45,6 +45,15 @@ def test_copies_of_an_article_are_kept(spark):
     assert all(len(t.split("\n")) == 2 for t in texts(spark, rows).values())
 
 
+def test_copies_are_no_evidence(spark):
+    pages = [f"<h1>{words(4)}</h1><p>{words(30)}</p><p>{words(30)}</p>" for _ in range(14)]
+    rows = [(i, "http://only.example/x", pages[0]) for i in range(8)]
+    rows += [(100 + i, f"http://two.example/{i}", pages[1 + i % 2]) for i in range(20)]
+    rows += [(200 + i, f"http://most.example/{i}", pages[max(3, i - 37)]) for i in range(48)]  # 41 of 48 are one page
+    got = texts(spark, rows)
+    assert got == {i: re.sub("<[^>]*>", "", re.sub("</(h1|p)><", "\n<", page)) for i, _, page in rows}
+
+
 def test_markup_names_furniture_and_characters_are_decoded():
     page = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style></head><body><header>Site</header>
     <nav><ul><li>a<li>b</ul></nav><main><header><h1>Big &amp;  news</h1></header><p>One<br>two &eacute;&#233;&nbsp;x &lt;b&gt; &amp</p>

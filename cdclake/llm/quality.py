@@ -73,7 +73,7 @@ def line_passes(line: Column) -> Column:
     A line must end a sentence and hold few symbols; it must not be a menu
     (``MIN_SEPARATORS`` separators) or hold a phrase of site furniture.
     """
-    ends = F.substring(line, -4, 4).rlike(SENTENCE_END)
+    ends = F.substring(line, -4, 4).rlike(SENTENCE_END) | line.rlike(SENTENCE_END)  # most lines need their last characters only
     marks = _count(line, SYMBOLS + "!") <= MAX_MARKS_SHARE * F.length(line)
     menu = _any(line, SEPARATORS) & (F.size(F.split(line, " [|»›•→] ")) > MIN_SEPARATORS)
     return ends & marks & ~menu & ~let(F.lower(line), lambda x: _any(x, BOILERPLATE))

@@ -46,3 +46,12 @@ def test_lines_that_fail_go_and_documents_that_lose_too_much(spark):
     out = {r["doc_id"]: r for r in clean_documents(df).collect()}
     assert set(out) == {1, 2} and out[1]["text"] == good and out[2]["text"] == good
     assert out[2]["n_chars"] == len(good) and clean_documents(df).columns == df.columns
+
+
+def test_padded_lines_end_sentences_too(spark):
+    pads = ["    ", "\t\t\t\t\t", '.")\r   ', "\"')]»", " " * 500]
+    rows = [(k, "\n".join(x + pad for x in PROSE)) for k, pad in enumerate(pads)] + [(99, "no end" + " " * 9)]
+    df = spark.createDataFrame(rows, "doc_id int, text string")
+    got = {r["doc_id"]: r["quality"] for r in with_quality(df, min_words=1).collect()}
+    assert all(got[k]["kept"] and got[k]["n_failed_lines"] == 0 and got[k]["clean_text"] == text for k, text in rows[:-1])
+    assert got[99]["n_failed_lines"] == 1 and not got[99]["kept"]

@@ -3,8 +3,9 @@
 The pages of a host are merged by style: a node is a path of elements with their
 names and class, id and role marks. A node's content importance falls with the entropy of its
 texts over the host's pages (a text that all pages share says nothing), its
-presentation importance rises with the entropy of its child styles. Branches of low
-composite importance are cut from every page, as are branches whose markup names a menu, footer, advert and so on.
+presentation importance rises with the entropy of its child styles. All of a page is merged; markup that names
+a menu, footer, advert and so on, and a place outside of the page's articles, lower the importance of a text. Texts of
+low composite importance are cut, so a branch goes if all in it are low.
 """
 
 from __future__ import annotations
@@ -21,7 +22,9 @@ from pyspark.sql import functions as F
 from .scratch import Scratch
 
 LEAST_PAGES = 5  # pages that must hold a node before its entropy counts
-THRESHOLD = 0.25  # composite importance below which a branch is cut
+THRESHOLD = 0.25  # composite importance below which a text is cut
+MARKED = 0.2  # weight of texts in markup that names furniture: below the threshold, as menus and adverts may differ on every page
+OUTSIDE = 0.5  # weight of texts outside of article and main elements, on pages that have text in them
 DEPTH = 256  # elements nested deeper count as text of the last, as browsers do at some depth
 OWN = 0.1  # weight of a node's presentation against that of its contents
 
@@ -46,10 +49,10 @@ _PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 
 class Node:
-    __slots__ = ("tag", "path", "dropped", "main", "above", "children")
+    __slots__ = ("tag", "path", "dropped", "main", "children")
 
-    def __init__(self, tag: str, path: int, dropped: bool, main: bool, above: tuple[int, ...]):
-        self.tag, self.path, self.dropped, self.main, self.above, self.children = tag, path, dropped, main, above, set()
+    def __init__(self, tag: str, path: int, dropped: bool, main: bool):
+        self.tag, self.path, self.dropped, self.main, self.children = tag, path, dropped, main, set()
 
 
 def _path(parent: int, style: str) -> int:
@@ -72,29 +75,39 @@ def _style(tag: str, raw: str, inside_article: bool) -> tuple[str, bool]:
     return tag + "".join(sorted(f".{x}" for x in label)) + (f"@{role}" if role else ""), furniture
 
 
-def parse(page: str) -> tuple[list[tuple[int, str, bool]], dict[int, tuple[tuple[int, ...], set[str]]]]:
-    """Blocks (style path, text, in an article or main element) outside furniture, in page order; and styles: path -> (paths above, child styles)."""
-    stack = [Node("", 0, False, False, ())]
-    blocks: list[tuple[int, str, bool]] = []
-    styles: dict[int, tuple[tuple[int, ...], set[str]]] = {}
+def parse(page: str) -> tuple[list[tuple[int, str, bool]], dict[int, set[str]]]:
+    """Blocks (style path, text, in an article or main element) outside furniture, in page order; and styles: path -> child styles."""
+    blocks, styles = parse_all(page)
+    return [(path, text, main) for path, text, main, marked in blocks if not marked], styles
+
+
+def parse_all(page: str) -> tuple[list[tuple[int, str, bool, bool]], dict[int, set[str]]]:
+    """Blocks (style path, text, in an article or main element, in furniture) of the whole page, in page order; and styles: path -> child styles."""
+    stack = [Node("", 0, False, False)]
+    blocks: list[tuple[int, str, bool, bool]] = []
+    styles: dict[int, set[str]] = {}
     text: list[str] = []
+    inline: dict[int, list[str]] = {}  # texts of furniture that stands in a line, by its path
     owner, deeper = stack[0], 0
 
     def flush() -> None:
         nonlocal text
-        if text:
-            joined = " ".join(entities.unescape("".join(text)).split())
-            if joined and not owner.dropped:
-                blocks.append((owner.path, joined, owner.main))
-            text = []
+        for path, parts, marked in [(owner.path, text, owner.dropped), *((k, x, True) for k, x in inline.items())]:
+            joined = " ".join(entities.unescape("".join(parts)).split())
+            if joined:
+                blocks.append((path, joined, owner.main, marked))
+        text = []
+        inline.clear()
+
+    def write(x: str) -> None:
+        (inline.setdefault(stack[-1].path, []) if stack[-1].dropped and not owner.dropped else text).append(x)
 
     def close(k: int) -> None:
         nonlocal owner
         if any(n.tag in BLOCKS for n in stack[k:]):
             flush()
         for node in stack[k:]:
-            if not node.dropped:
-                styles.setdefault(node.path, (node.above, set()))[1].update(node.children)
+            styles.setdefault(node.path, set()).update(node.children)
         del stack[k:]
         owner = next((n for n in reversed(stack) if n.tag in BLOCKS), stack[0])
 
@@ -103,8 +116,7 @@ def parse(page: str) -> tuple[list[tuple[int, str, bool]], dict[int, tuple[tuple
         m = _TOKEN.match(page, at)
         at = m.end()
         if m[6] is not None:
-            if not stack[-1].dropped:
-                text.append(m[6])
+            write(m[6])
             continue
         tag = m[2] or m[4]
         if tag:
@@ -141,7 +153,7 @@ def parse(page: str) -> tuple[list[tuple[int, str, bool]], dict[int, tuple[tuple
             up.children.add(style)
             if tag in VOID:
                 continue
-            node = Node(tag, _path(up.path, style), up.dropped or furniture, up.main or tag in ("article", "main"), (*up.above, up.path) if up.path else ())
+            node = Node(tag, _path(up.path, style), up.dropped or furniture, up.main or tag in ("article", "main"))
             stack.append(node)
             if tag in BLOCKS:
                 owner = node
@@ -158,71 +170,64 @@ def parse(page: str) -> tuple[list[tuple[int, str, bool]], dict[int, tuple[tuple
                 if stack[k].tag == tag:
                     close(k)
                     break
-        elif m[0] == "<" and not stack[-1].dropped:
-            text.append("<")
+        elif m[0] == "<":
+            write("<")
     flush()
     close(1)
     return blocks, styles
 
 
 def _parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    block = pa.list_(pa.struct([("path", pa.int64()), ("text", pa.string())]))
-    style = pa.list_(pa.struct([("path", pa.int64()), ("above", pa.list_(pa.int64())), ("children", pa.string())]))
+    block = pa.list_(pa.struct([("path", pa.int64()), ("text", pa.string()), ("weight", pa.float64())]))
+    style = pa.list_(pa.struct([("path", pa.int64()), ("children", pa.string())]))
     for batch in batches:
         found, trees = [], []
         for page in batch.column("html"):
-            blocks, styles = parse(page.as_py() or "")
-            if any(main for _, _, main in blocks):
-                blocks = [x for x in blocks if x[2]]
-            found.append([{"path": p, "text": t} for p, t, _ in blocks])
-            used = {p for p, _, _ in blocks}
-            used |= {a for p in used if p in styles for a in styles[p][0]}
-            trees.append([{"path": p, "above": list(styles[p][0]), "children": " ".join(sorted(styles[p][1]))} for p in sorted(used) if p in styles])
+            blocks, styles = parse_all(page.as_py() or "")
+            outside = OUTSIDE if any(main and not marked for _, _, main, marked in blocks) else 1.0
+            found.append([{"path": p, "text": t, "weight": MARKED if marked else 1.0 if main else outside} for p, t, main, marked in blocks])
+            trees.append([{"path": p, "children": " ".join(sorted(styles[p]))} for p in sorted({x[0] for x in blocks}) if p in styles])
         yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), batch.column("host"), pa.array(found, block), pa.array(trees, style)], ["page_id", "url", "host", "blocks", "styles"])
 
 
-def low_branches(pages: DataFrame, *, least_pages: int = LEAST_PAGES, threshold: float = THRESHOLD) -> DataFrame:
-    """(host, low): the style paths of text that lie in a branch of low importance, from parsed pages.
+def low_nodes(pages: DataFrame, *, least_pages: int = LEAST_PAGES, below: float = THRESHOLD / OUTSIDE) -> DataFrame:
+    """(host, low): a map of style paths of text to their composite importance, where it is below ``below``, from parsed pages.
 
-    Pages of a host with the same blocks count as one. Per host and path: content importance 1 - mean over texts of log(pages
+    Pages of a host with the same blocks outside furniture count as one. Per host and path: content importance 1 - mean over texts of log(pages
     with the text) / log(pages with the path), presentation importance the
-    entropy of child styles over log(pages). A branch weighs its texts' importance by their number.
+    entropy of child styles over log(pages).
     """
     near = pages.where("host is not null").select(
-        "host", F.xxhash64("blocks").alias("page"), F.array_distinct(F.transform("blocks", lambda b: F.struct(b["path"].alias("path"), F.xxhash64(b["text"]).alias("t")))).alias("texts"),
-        F.transform("styles", lambda s: F.struct(s["path"].alias("path"), s["above"].alias("above"), F.xxhash64(s["children"]).alias("kids"))).alias("styles"))
+        "host", F.xxhash64(F.transform(F.filter("blocks", lambda b: b["weight"] > MARKED), lambda b: F.struct(b["path"], b["text"]))).alias("page"),
+        F.array_distinct(F.transform("blocks", lambda b: F.struct(b["path"].alias("path"), F.xxhash64(b["text"]).alias("t")))).alias("texts"),
+        F.transform("styles", lambda s: F.struct(s["path"].alias("path"), F.xxhash64(s["children"]).alias("kids"))).alias("styles"))
     near = near.groupBy("host", "page").agg(F.min("texts").alias("texts"), F.min("styles").alias("styles"))  # copies of a page are one
     shown = near.select("host", F.explode("styles").alias("s")).select("host", "s.*")
-    kinds = shown.groupBy("host", "path", "kids").agg(F.count("*").alias("n"), F.first("above").alias("above"))
-    nodes = kinds.groupBy("host", "path").agg(F.sum("n").alias("m"), F.sum(F.col("n") * F.log("n")).alias("nlog"), F.first("above").alias("above"))
-    nodes = nodes.select("host", "path", "m", "above", F.when(F.col("m") > 1, 1 - F.col("nlog") / (F.col("m") * F.log("m"))).otherwise(F.lit(1.0)).alias("presented"))
+    kinds = shown.groupBy("host", "path", "kids").agg(F.count("*").alias("n"))
+    nodes = kinds.groupBy("host", "path").agg(F.sum("n").alias("m"), F.sum(F.col("n") * F.log("n")).alias("nlog")).where(F.col("m") >= max(least_pages, 2))
+    nodes = nodes.select("host", "path", "m", (1 - F.col("nlog") / (F.col("m") * F.log("m"))).alias("presented"))
     texts = near.select("host", F.explode("texts").alias("b")).groupBy("host", "b.path", "b.t").agg(F.count("*").alias("n"))
     texts = texts.groupBy("host", "path").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.log("n")).alias("nlog"))
-    leaves = nodes.join(texts, ["host", "path"]).select(
-        "host", "path", "above", "n", F.when(F.col("m") >= least_pages, 1 - F.col("nlog") / (F.col("n") * F.log("m"))).otherwise(F.lit(1.0)).alias("content"))
-    branch = (leaves.select("host", "n", "content", F.explode(F.concat("above", F.array("path"))).alias("path")).groupBy("host", "path")
-              .agg((F.sum(F.col("n") * F.col("content")) / F.sum("n")).alias("content")))
-    poor = (branch.join(nodes, ["host", "path"]).where((F.col("m") >= least_pages) & (OWN * F.col("presented") + (1 - OWN) * F.col("content") < threshold))
-            .select("host", F.col("path").alias("cut")))
-    under = leaves.select("host", "path", F.explode(F.concat("above", F.array("path"))).alias("cut"))
-    return under.join(poor, ["host", "cut"]).groupBy("host").agg(F.collect_set("path").alias("low"))
+    whole = OWN * F.col("presented") + (1 - OWN) * (1 - F.col("nlog") / (F.col("n") * F.log("m")))
+    low = nodes.join(texts, ["host", "path"]).select("host", "path", whole.alias("importance")).where(F.col("importance") < below)
+    return low.groupBy("host").agg(F.map_from_entries(F.collect_list(F.struct("path", "importance"))).alias("low"))
 
 
-def main_text(pages: DataFrame, **options) -> DataFrame:
+def main_text(pages: DataFrame, *, least_pages: int = LEAST_PAGES, threshold: float = THRESHOLD) -> DataFrame:
     """page_id, url, text, n_chars of every page: its main text, blocks joined by line breaks.
 
-    Whole pages are parsed once, elements deeper than ``DEPTH`` as text of those above; null html is empty text. A page that has article or main elements
-    is read inside them. Pages without a host are cleaned by markup
-    alone, as are hosts with fewer than ``least_pages`` different pages of a style. A host that
-    holds a third of all pages is a few rows of sums; pages meet its list of cut
+    Whole pages are parsed once, elements deeper than ``DEPTH`` as text of those above; null html is empty text. A text goes if the
+    importance of its node on the host's pages, times its weight by markup (``MARKED``, ``OUTSIDE`` or 1), is below ``threshold``. Pages without a host are cleaned by markup
+    alone (importance 1), as are hosts with fewer than ``least_pages`` different pages of a style. A host that
+    holds a third of all pages is a few rows of sums; pages meet its map of low
     styles in a join that may split it. Repeated rows stay repeated.
     """
     scratch = Scratch(pages.sparkSession, "sitetree")
     url = F.col("url").cast("string")
     host = F.regexp_replace(F.lower(F.regexp_extract(url, r"^\s*(?:[A-Za-z][A-Za-z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]+)", 1)), r"^www\.", "")
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), url.alias("url"), F.when(host != "", host).alias("host"), F.col("html").cast("string").alias("html"))
-    parsed = scratch.keep(rows.mapInArrow(_parsed, "page_id bigint, url string, host string, blocks array<struct<path:bigint,text:string>>, styles array<struct<path:bigint,above:array<bigint>,children:string>>"), "parsed")
-    low = scratch.keep(low_branches(parsed, **options), "low")
-    kept = F.filter("blocks", lambda b: ~F.coalesce(F.array_contains(F.col("low"), b["path"]), F.lit(False)))
+    parsed = scratch.keep(rows.mapInArrow(_parsed, "page_id bigint, url string, host string, blocks array<struct<path:bigint,text:string,weight:double>>, styles array<struct<path:bigint,children:string>>"), "parsed")
+    low = scratch.keep(low_nodes(parsed, least_pages=least_pages, below=threshold / min(OUTSIDE, MARKED)), "low")
+    kept = F.filter("blocks", lambda b: F.coalesce(F.try_element_at("low", b["path"]), F.lit(1.0)) * b["weight"] >= threshold)
     out = parsed.select("page_id", "url", "host", "blocks").join(low, "host", "left")
     return out.select("page_id", "url", F.array_join(F.transform(kept, lambda b: b["text"]), "\n").alias("text")).withColumn("n_chars", F.length("text").cast("long"))

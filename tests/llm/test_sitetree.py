@@ -3,7 +3,7 @@ import random
 import re
 
 from conftest import SF_SMALL
-from cdclake.llm.sitetree import main_text, parse
+from cdclake.llm.sitetree import main_text, parse, parse_all
 
 RNG = random.Random(8)
 
@@ -54,6 +54,28 @@ def test_copies_are_no_evidence(spark):
     assert got == {i: re.sub("<[^>]*>", "", re.sub("</(h1|p)><", "\n<", page)) for i, _, page in rows}
 
 
+def test_an_article_element_does_not_replace_the_tree(spark):
+    rows, want = [], {}
+    for i in range(12):
+        story, other = [words(40), words(30)], words(9)
+        shared = "".join(f"<div class=row><b>Shop {k}</b></div>" for k in range(30))
+        card = "<article class=card><p>Our best story of the year</p></article>" if i % 2 else f"<article class=card><p>{other}</p></article>"
+        rows.append((i, f"http://a.example/{i}", f"<body>{shared}<div class=story><h1>{story[0]}</h1><p>{story[1]}</p></div>{card}<footer>{words(5)}</footer></body>"))
+        want[i] = "\n".join(story)
+    rows.append((99, "http://small.example/", "<div class=story><p>The story</p></div><article class=card>Promoted</article><nav>Menu</nav>"))
+    got = texts(spark, rows)
+    assert got.pop(99) == "The story\nPromoted"
+    assert all(t.startswith(want[i]) and "Shop" not in t for i, t in got.items())
+
+
+def test_the_tree_sees_furniture_and_markup_is_a_weight(spark):
+    page = "<p>One <button>Share</button> two</p><nav><ul><li>a</ul></nav>"
+    assert [(t, marked) for _, t, _, marked in parse_all(page)[0]] == [("One two", False), ("Share", True), ("a", True)]
+    rows = [(i, f"http://a.example/{i}", f"<p>{words(9)}</p><div class=promo>Buy</div><div class=comments>{words(5)}</div>") for i in range(9)]
+    assert all(len(t.split("\n")) == 1 for t in texts(spark, rows).values())
+    assert all(len(t.split("\n")) == 2 and "Buy" not in t for t in texts(spark, rows, threshold=0.15).values())  # the tree alone cuts what is shared
+
+
 def test_markup_names_furniture_and_characters_are_decoded():
     page = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style></head><body><header>Site</header>
     <nav><ul><li>a<li>b</ul></nav><main><header><h1>Big &amp;  news</h1></header><p>One<br>two &eacute;&#233;&nbsp;x &lt;b&gt; &amp</p>

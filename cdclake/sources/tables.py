@@ -60,12 +60,19 @@ def logged_schemas(spark: SparkSession, ingest_log: str, path: str) -> list[T.St
     rows = (log.filter((F.col("path") == root) | F.col("path").startswith(root + "/"))
             .filter(F.col("schema_json").isNotNull())
             .groupBy("schema_json").agg(F.min("batch_time_ms").alias("first_seen"))
-            .orderBy("first_seen").limit(10_001).collect())
-    if len(rows) > 10_000:
-        raise ValueError(f"more than 10000 schema versions logged for {path}")
+            .orderBy("first_seen").toLocalIterator())
     return [T.StructType.fromJson(json.loads(r["schema_json"])) for r in rows]
 
 
+def logged_rows(spark: SparkSession, ingest_log: str, path: str) -> int:
+    """Rows that the logged batches of a table wrote."""
+    from ..plans.ingest import INGEST_LOG_SCHEMA
+
+    root = path.rstrip("/")
+    log = spark.read.schema(INGEST_LOG_SCHEMA).parquet(ingest_log)
+    return log.filter((F.col("path") == root) | F.col("path").startswith(root + "/")).agg(F.sum("rows")).first()[0] or 0
+
+
 def read_table(spark: SparkSession, path: str, *, save_format: str = "parquet", merge_schema: bool = True,
                provenance: bool = True, ingest_log: str | None = None,
                options: dict[str, str] | None = None) -> DataFrame:
@@ -79,17 +86,25 @@ def read_table(spark: SparkSession, path: str, *, save_format: str = "parquet",
     Without ``ingest_log`` the merge reads every file's footer (Parquet/ORC),
     or infers the schema from all the data (JSON): a job that grows with the
     table. With ``ingest_log`` the schema is the union of the versions logged
-    for this table (one row per version), so no footer or data is read to
-    plan the scan. The same path also reads versions that disagree on a
+    for this table (one row per version). The same path also reads versions that disagree on a
     column's type (``int`` then ``bigint``), where Spark's merge fails: the
-    union is widened and the reader widens the older files. ``options`` go to
-    the reader (e.g. ``header`` for CSV).
+    union is widened and the reader widens the older files. The log must
+    cover the table: its rows are counted (footers in Parquet and ORC, data in
+    other formats) and compared with the logged ones. If they differ, as after a batch
+    landed without the log, the footers' columns are added, and formats without
+    footers raise. ``options`` go to the reader (e.g. ``header`` for CSV).
     """
     opts = dict(options or {})
     if ingest_log is not None and merge_schema:
         versions = logged_schemas(spark, ingest_log, path)
         if versions:
             df = spark.read.format(save_format).options(**opts).schema(widen_structs(versions)).load(path)
+            found, logged = df.count(), logged_rows(spark, ingest_log, path)
+            if found != logged:
+                if save_format not in ("parquet", "orc"):
+                    raise ValueError(f"{path} has {found} rows, its ingest log {logged}: columns that the log lacks would be lost; read without ingest_log")
+                footers = spark.read.format(save_format).options(**opts).option("mergeSchema", "true").load(path).schema
+                df = spark.read.format(save_format).options(**opts).schema(widen_structs([*versions, footers])).load(path)
             return df.withColumn(INPUT_FILE, F.col("_metadata.file_path")) if provenance else df
     reader = spark.read.format(save_format).options(**opts)
     if save_format in ("parquet", "orc"):

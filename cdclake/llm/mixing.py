@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -16,6 +17,7 @@ KEPT = 0.8  # share of all tokens that the sample is to hold
 TOLERANCE = 1e-4  # largest relative error of a marginal that ends the fitting
 SWEEPS = 50  # most sweeps over the dimensions
 SEED = 20240607
+LOG = logging.getLogger(__name__)
 
 
 def topic_of(text: Column) -> Column:
@@ -56,6 +58,8 @@ def fit(docs: DataFrame, scratch: Scratch, *, targets: dict[str, dict[str, float
     over present share. Only cell tables are read after the one aggregation of
     the documents; the driver sees three sums a sweep. ``expected`` copies of a document are in proportion to
     its cell's weight, above 1 too, so tokens x expected meet the targets; ``probability`` is cut off at 1.
+    Marginals that contradict each other are never met: fitting ends after ``sweeps``, the last dimension (topic)
+    is met and the others stay off. The largest relative error of each dimension is then logged as a warning.
     """
     names = [f"__{x}" for x in DIMENSIONS]
     cells = docs.groupBy(*names).agg(F.sum("__tokens").alias("tokens")).withColumn("weight", F.lit(1.0))
@@ -78,9 +82,13 @@ def fit(docs: DataFrame, scratch: Scratch, *, targets: dict[str, dict[str, float
         now = scratch.keep(now, f"cells{sweep}")
         scratch.drop(f"cells{sweep - 1}")
         cells = now
-        errors = reduce(DataFrame.unionByName, [factors(cells, x).select(F.when(F.col("target") > 0, F.col("off") / F.col("target")).otherwise(F.col("off")).alias("off")) for x in DIMENSIONS])
-        if (errors.agg(F.max("off")).first()[0] or 0.0) <= tolerance:
+        errors = reduce(DataFrame.unionByName, [factors(cells, x).select(F.lit(x).alias("dimension"), F.when(F.col("target") > 0, F.col("off") / F.col("target")).otherwise(F.col("off")).alias("off")) for x in DIMENSIONS])
+        off = {r["dimension"]: r["off"] or 0.0 for r in errors.groupBy("dimension").agg(F.max("off").alias("off")).collect()}
+        if max(off.values(), default=0.0) <= tolerance:
             break
+    else:
+        if sweeps > 0:
+            LOG.warning("marginals not met after %d sweeps; largest relative error: %s", sweeps, ", ".join(f"{x} {off.get(x, 0.0):.4g}" for x in DIMENSIONS))
 
     # The scale at which probabilities of at most 1 keep the wanted tokens: cells that reach 1 leave, the others share the rest.
     aim, scale = kept * total, 0.0

@@ -73,3 +73,15 @@ def test_copies_meet_the_targets_at_the_defaults(spark):
     assert all(abs(r["mix"]["copies"] - r["mix"]["expected"]) < 1 for r in rows)
     again = Counter(r["doc_id"] for r in sample(docs, repeats=True).collect())
     assert again == Counter({r["doc_id"]: r["mix"]["copies"] for r in rows if r["mix"]["copies"]}) and max(again.values()) > 1
+
+
+def test_marginals_that_contradict_each_other_are_reported(spark, caplog):
+    rows = [(1, "w " * 49, "a", "de", "t"), (2, "w " * 39, "b", "en", "t"), (3, "w " * 9, "b", "fr", "t")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, source string, lang string, topic string")
+    targets = {"source": {"a": 0.5, "b": 0.5}, "lang": {"de": 0.4, "en": 0.4, "fr": 0.2}}  # only a has de, and a has only de
+    with caplog.at_level("WARNING", "cdclake.llm.mixing"):
+        got = shares(mix(df, targets=targets, sweeps=3).collect(), "lang", lambda r: r["mix"]["weight"])
+    assert got["de"] == pytest.approx(0.4) and "after 3 sweeps" in caplog.text and "source 0.2" in caplog.text
+    caplog.clear()
+    mix(df, targets={"source": targets["source"]}, smoothing=1.0)
+    assert not caplog.text

@@ -13,10 +13,17 @@ CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 class Scratch:
-    """One operator call's folder; ``drop`` deletes a table that no later result reads."""
+    """One operator call's folder; ``drop`` deletes a table that no later result reads.
+
+    Results may read the rest as long as the application runs; when it ends the folder goes.
+    """
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark, self.root = spark, scratch_path(spark, name)
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.root)
+        files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        files.mkdirs(path)
+        files.deleteOnExit(path)
 
     def keep(self, df: DataFrame, name: str) -> DataFrame:
         """Write ``df`` and return the written table; the write's shuffle files go when it ends."""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import attribution, jaccard, langid, mixing, packing, pivots, ppm, quality, sitetree, substrings
+from . import attribution, harmonic, jaccard, langid, merkle, mixing, packing, pivots, ppm, quality, sitetree, spelling, substrings
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -59,6 +59,26 @@ def op10_site_style_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sitetree.main_text(table(spark, sf_dir, "pages"))
 
 
+def op11_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = harmonic.harmonic_pack(table(spark, sf_dir, "documents"))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "sequence_tokens", "class")
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    lowered = F.translate("text", spelling.UPPER, spelling.LOWER)
+    given = F.when(tampered, merkle.leaf_of([lowered if x == "text" else F.col(x) for x in merkle.FIELDS]))
+    rows = merkle.manifest(docs, carry={"given": given})
+    rows = rows.withColumn("folded", merkle.folded(F.coalesce("given", "leaf"), F.col("path")))
+    digests = [merkle.hex_of(F.col(x)).alias(y) for x, y in (("leaf", "leaf"), ("subroot", "subroot"), ("root", "root"), ("folded", "folded_root"))]
+    return rows.select("doc_id", *digests, merkle.proof_of(F.col("path")).alias("proof_sha256"), (F.col("folded") == F.col("root")).alias("verified"))
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"), drop_every=31)
+
+
 QUERIES: dict[str, Query] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_raked_mixture": op2_raked_mixture,
@@ -70,6 +90,9 @@ QUERIES: dict[str, Query] = {
     "op8_token_attribution": op8_token_attribution,
     "op9_suffix_bucket_dedup": op9_suffix_bucket_dedup,
     "op10_site_style_tree": op10_site_style_tree,
+    "op11_harmonic_packing": op11_harmonic_packing,
+    "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_spelling_variants": op13_spelling_variants,
 }
 
 ORACLES: dict[str, str] = {}
@@ -145,3 +168,76 @@ s AS (
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
 FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 10
 """
+
+
+def _crc32(text: str) -> str:
+    """SQL for the unsigned CRC-32 of a text's UTF-8 bytes, bit by bit."""
+    octets = f"list_transform(range(0, strlen({text})), lambda i: CAST('0x' || substr(hex(encode({text})), 2 * i + 1, 2) AS BIGINT))"
+    byte = "list_reduce([xor(a, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, y: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)"
+    return f"xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), {octets}), lambda a, b: {byte}), 4294967295)"
+
+
+def _field(name: str) -> str:
+    return f"CASE WHEN {name} IS NULL THEN '-' ELSE strlen(CAST({name} AS VARCHAR)) || ':' || CAST({name} AS VARCHAR) END"
+
+
+_LEAF = "sha256(" + " || ".join(_field(x) for x in ("doc_id", "source", "lang", "n_chars", "{text}")) + ")"
+
+# Levels of all trees from the leaves up; then each row's siblings, level by level.
+ORACLES["op12_merkle_manifest"] = f"""
+WITH RECURSIVE leaves AS MATERIALIZED (
+  SELECT doc_id, {_LEAF.format(text="text")} AS leaf, CASE WHEN {_crc32("CAST(doc_id AS VARCHAR)")} % 5 = 0 THEN {_LEAF.format(text="translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} END AS given,
+         CASE WHEN source IS NULL THEN '' ELSE '=' || source END AS g
+  FROM documents),
+placed AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY g) AS n FROM leaves),
+up AS (
+  SELECT 0 AS level, g, pos, n, leaf AS digest FROM placed
+  UNION ALL
+  SELECT level + 1, g, pos // 16, (n + 15) // 16, sha256(string_agg(digest, '' ORDER BY pos)) FROM up WHERE n > 1 GROUP BY level, g, pos // 16, n),
+inner_nodes AS MATERIALIZED (SELECT * FROM up),
+tops AS MATERIALIZED (SELECT g, digest AS subroot, row_number() OVER (ORDER BY encode(g)) - 1 AS pos, count(*) OVER () AS n FROM inner_nodes WHERE n = 1),
+outer_up AS (
+  SELECT 0 AS level, pos, n, subroot AS digest FROM tops
+  UNION ALL
+  SELECT level + 1, pos // 16, (n + 15) // 16, sha256(string_agg(digest, '' ORDER BY pos)) FROM outer_up WHERE n > 1 GROUP BY level, pos // 16, n),
+outer_nodes AS MATERIALIZED (SELECT * FROM outer_up),
+root AS (SELECT digest AS root FROM outer_nodes WHERE n = 1),
+steps AS MATERIALIZED (
+  SELECT p.g, p.pos, s.level, coalesce(string_agg(s.digest, '' ORDER BY s.pos) FILTER (s.pos < p.pos // pow(16, s.level)::BIGINT), '') AS l, coalesce(string_agg(s.digest, '' ORDER BY s.pos) FILTER (s.pos > p.pos // pow(16, s.level)::BIGINT), '') AS r
+  FROM placed p JOIN inner_nodes s ON s.g = p.g AND s.n > 1 AND s.pos // 16 = p.pos // pow(16, s.level + 1)::BIGINT GROUP BY p.g, p.pos, s.level
+  UNION ALL
+  SELECT p.g, p.pos, 1000 + s.level, coalesce(string_agg(s.digest, '' ORDER BY s.pos) FILTER (s.pos < t.pos // pow(16, s.level)::BIGINT), ''), coalesce(string_agg(s.digest, '' ORDER BY s.pos) FILTER (s.pos > t.pos // pow(16, s.level)::BIGINT), '')
+  FROM placed p JOIN tops t ON t.g = p.g JOIN outer_nodes s ON s.n > 1 AND s.pos // 16 = t.pos // pow(16, s.level + 1)::BIGINT GROUP BY p.g, p.pos, s.level),
+paths AS MATERIALIZED (
+  SELECT g, pos, sha256(string_agg(l || r, '' ORDER BY level)) AS proof, list({{'l': l, 'r': r}} ORDER BY level) AS path FROM steps GROUP BY g, pos),
+fold AS (
+  SELECT g, pos, coalesce(given, leaf) AS digest, 1 AS k FROM placed
+  UNION ALL
+  SELECT f.g, f.pos, sha256(path[k].l || digest || path[k].r), k + 1 FROM fold f JOIN paths USING (g, pos) WHERE k <= len(path)),
+folded AS (SELECT g, pos, arg_max(digest, k) AS folded_root FROM fold GROUP BY g, pos)
+SELECT p.doc_id, p.leaf, t.subroot, root.root, coalesce(w.proof, sha256('')) AS proof_sha256, f.folded_root, f.folded_root = root.root AS verified
+FROM placed p JOIN tops t ON t.g = p.g JOIN folded f ON f.g = p.g AND f.pos = p.pos LEFT JOIN paths w ON w.g = p.g AND w.pos = p.pos, root
+"""
+
+# Near words share all letters but one: a place in both words, or a letter that only one of them has.
+ORACLES["op13_spelling_variants"] = rf"""
+WITH RECURSIVE runs AS (
+  SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS doc, translate(unnest(regexp_extract_all(text, '[A-Za-z\x{{00C0}}-\x{{00FF}}]+')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run FROM documents),
+sums AS MATERIALIZED (SELECT run, n, {_crc32("doc || ':' || run")} AS h FROM (SELECT doc, run, count(*) AS n FROM runs WHERE length(run) >= 7 GROUP BY doc, run)),
+w AS MATERIALIZED (
+  SELECT word, CAST(sum(n) AS BIGINT) AS n
+  FROM (SELECT CASE WHEN h % 31 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, n FROM sums)
+  WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2),
+holes AS MATERIALIZED (SELECT word, n, i, substr(word, 1, i - 1) AS a, substr(word, i + 1) AS b FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM w)),
+near AS MATERIALIZED (
+  SELECT DISTINCT x.word, x.n, y.word AS v, y.n AS m FROM holes x JOIN holes y ON x.i = y.i AND x.a = y.a AND x.b = y.b AND x.word <> y.word
+  UNION SELECT x.word, x.n, y.word, y.n FROM holes x JOIN w y ON y.word = x.a || x.b
+  UNION SELECT y.word, y.n, x.word, x.n FROM holes x JOIN w y ON y.word = x.a || x.b),
+best AS (SELECT word, n, v, m, row_number() OVER (PARTITION BY word ORDER BY m DESC, encode(v)) AS k, count(*) OVER (PARTITION BY word) AS n_near FROM near),
+forms AS MATERIALIZED (SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN m >= 10 * w.n THEN v END AS form, CASE WHEN m >= 10 * w.n THEN m END AS form_n FROM w LEFT JOIN best ON best.word = w.word AND k = 1),
+way AS (
+  SELECT word, word AS root, 0 AS k FROM forms
+  UNION ALL
+  SELECT way.word, f.form, k + 1 FROM way JOIN forms f ON f.word = way.root WHERE f.form IS NOT NULL)
+SELECT f.*, r.root FROM forms f JOIN (SELECT word, arg_max(root, k) AS root FROM way GROUP BY word) r USING (word)
+"""

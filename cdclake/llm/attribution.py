@@ -16,6 +16,8 @@ from .text import utf8
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 # Fixed value: the pre-tokenisation pattern that belongs to this vocabulary.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+# Fixed value: white space in the pattern's sense, in runs that are too long for the encoder's recursion.
+LONG_BLANKS = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{1000,}")
 SECTIONS = {"lines": rb"\n", "sentences": rb"[.!?]+[\"')\]]*\s+|\n+\s*"}  # a section ends with each match
 RULES = ("start", "end", "largest")  # which section a token belongs to that lies in several
 RESULT = "section int, start_char bigint, end_char bigint, n_tokens bigint, n_crossing bigint, token_share double"
@@ -27,6 +29,21 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in (line.split() for line in lines if line.strip())}
 
 
+def encode_whole(encoding, text: str, pattern: str = PATTERN) -> list[int]:
+    """Token ids of a text with blanks of any length in a row.
+
+    By ``PATTERN`` a run of blanks is one part up to its last blank, which goes with what follows; at the
+    text's end all of it is. So the text can be cut around a long run without a change of its tokens. Texts for other patterns are not cut.
+    """
+    ids, at = [], 0
+    for run in LONG_BLANKS.finditer(text) if pattern == PATTERN else ():
+        stop = run.end() - (run.end() < len(text))
+        ids += encoding.encode_ordinary(text[at : run.start()])
+        ids += encoding._encode_single_piece(text[run.start() : stop])
+        at = stop
+    return ids + encoding.encode_ordinary(text[at:])
+
+
 def spans_of(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Byte spans of consecutive tokens."""
     end = np.cumsum(lengths)
@@ -84,7 +101,7 @@ def _attribute(ranks, pattern: str, rule: str, ends: bytes, others: list[str]):
                 else:
                     breaks = np.array([m.end() for m in section_end.finditer(text)], np.int64)
                     cuts = np.r_[0, breaks[breaks < len(raw)], len(raw)]
-                ids = np.array(encoding.encode_ordinary(text.decode()), np.int64)
+                ids = np.array(encode_whole(encoding, text.decode(), pattern), np.int64)
                 counts = allocate(*spans_of(size[ids]), cuts, rule)
                 chars = np.r_[0, np.cumsum((raw & 0xC0) != 0x80)][cuts]
                 n = len(cuts) - 1

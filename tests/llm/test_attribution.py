@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 import tiktoken
 from conftest import SF_SMALL
-from cdclake.llm.attribution import PATTERN, RULES, VOCABULARY, allocate, field_tokens, read_ranks, section_tokens
+from cdclake.llm.attribution import PATTERN, RULES, VOCABULARY, allocate, encode_whole, field_tokens, read_ranks, section_tokens
 
 
 def plain(start, end, cuts, rule):
@@ -62,3 +62,18 @@ def test_fields_and_edge_cases(spark):
     assert [r["n_crossing"] for r in rows if r["doc_id"] is None] == [1, 1]
     with pytest.raises(ValueError):
         section_tokens(docs, rule="middle")
+
+
+@pytest.mark.parametrize("blank", [" ", "\n", " \t ", "　", "\x85"])
+def test_long_runs_of_blanks_keep_their_tokens(blank):
+    encoding = tiktoken.Encoding("t", pat_str=PATTERN, mergeable_ranks=read_ranks(VOCABULARY), special_tokens={})
+    run = (blank * 5000)[:5000]
+    for text in ("a" + run + "b", run + "7", "!" + run, run, "a" + run[:1500] + "." + run + " 's", run + "\x1c" + run):
+        assert encode_whole(encoding, text) == encoding.encode_ordinary(text)
+
+
+def test_millions_of_equal_characters(spark):
+    texts = [x * 2_000_000 for x in (" ", "\n", "a", "#", "7")] + ["a" + " " * 2_000_000 + "b. c"]
+    rows = section_tokens(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), sections="lines")
+    got = {r["doc_id"]: r for r in rows.groupBy("doc_id").agg({"end_char": "max", "n_tokens": "sum"}).collect()}
+    assert all(got[k]["max(end_char)"] == len(t) and got[k]["sum(n_tokens)"] > 0 for k, t in enumerate(texts))

@@ -104,8 +104,8 @@ def fit(docs: DataFrame, scratch: Scratch, *, targets: dict[str, dict[str, float
     return cells.withColumns({"probability": F.least(F.lit(1.0), F.col("weight") * F.lit(scale)), "expected": F.col("weight") * F.lit(aim / weighted if weighted else 0.0)})
 
 
-def mix(docs: DataFrame, **options) -> DataFrame:
-    """docs with the struct column ``mix``: source, lang, topic, n_tokens, weight, probability, sampled, expected, copies.
+def mix(docs: DataFrame, *, column: str = "mix", **options) -> DataFrame:
+    """docs with a struct column named ``column``: source, lang, topic, n_tokens, weight, probability, sampled, expected, copies.
 
     Options are those of ``fit``. Weights are raked so that token shares meet
     the marginals of source, language and topic. ``copies`` is how often a document is to be in a
@@ -114,22 +114,24 @@ def mix(docs: DataFrame, **options) -> DataFrame:
     probability: once at most, so values that lack tokens stay below their targets. The result is the
     same however often it is computed. Null source, language or topic is a
     value of its own; a null text has one token. Repeated rows share their draw.
-    All columns of docs stay.
+    All columns of docs stay; one named ``column`` already is an error.
     """
+    if column in docs.columns:
+        raise ValueError(f"the rows have a column {column!r} already; name another one for the result")
     scratch = Scratch(docs.sparkSession, "mixing")
     rows = described(docs)
     cells = scratch.keep(fit(rows, scratch, **options), "fitted").withColumnsRenamed({f"__{x}": f"__cell_{x}" for x in DIMENSIONS} | {"weight": "__weight", "probability": "__probability", "expected": "__expected"}).drop("tokens")
     match = reduce(Column.__and__, (F.col(f"__{x}").eqNullSafe(F.col(f"__cell_{x}")) for x in DIMENSIONS))
-    out = rows.join(cells, match).withColumn("mix", F.struct(
+    out = rows.join(cells, match).withColumn(column, F.struct(
         *[F.col(f"__{x}").alias(x) for x in DIMENSIONS], F.col("__tokens").cast("long").alias("n_tokens"), F.col("__weight").alias("weight"),
         F.col("__probability").alias("probability"), (F.col("__draw") < F.col("__probability")).alias("sampled"),
         F.col("__expected").alias("expected"), (F.floor("__expected") + (F.col("__draw") < F.col("__expected") - F.floor("__expected")).cast("long")).alias("copies")))
-    return out.select(*[F.col(f"`{x}`") for x in docs.columns], "mix")
+    return out.select(*[F.col(f"`{x}`") for x in docs.columns], column)
 
 
 def sample(docs: DataFrame, *, repeats: bool = False, **options) -> DataFrame:
     """The sampled rows of ``mix``, with the columns of docs; with ``repeats``, every row as often as its copies say."""
-    rows = mix(docs, **options)
+    rows = mix(docs, column="__mix", **options)
     if not repeats:
-        return rows.where("mix.sampled").drop("mix")
-    return rows.select(*[F.col(f"`{x}`") for x in docs.columns], F.explode(F.array_repeat(F.lit(0), F.col("mix.copies").cast("int"))).alias("__copy")).drop("__copy")
+        return rows.where("__mix.sampled").drop("__mix")
+    return rows.select(*[F.col(f"`{x}`") for x in docs.columns], F.explode(F.array_repeat(F.lit(0), F.col("__mix.copies").cast("int"))).alias("__copy")).drop("__copy")

@@ -79,16 +79,18 @@ def line_passes(line: Column) -> Column:
     return ends & marks & ~menu & ~let(F.lower(line), lambda x: _any(x, BOILERPLATE))
 
 
-def with_quality(docs: DataFrame, *, min_words: int = MIN_WORDS, max_repeat_percent: int = MAX_REPEAT_PERCENT, min_kept_share: float = MIN_KEPT_SHARE) -> DataFrame:
-    """docs with a struct column ``quality``: the counts, the verdict and the cleaned text.
+def with_quality(docs: DataFrame, *, min_words: int = MIN_WORDS, max_repeat_percent: int = MAX_REPEAT_PERCENT, min_kept_share: float = MIN_KEPT_SHARE, column: str = "quality") -> DataFrame:
+    """docs with a struct column named ``column``: the counts, the verdict and the cleaned text.
 
     Fields: n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words (all
     bigint), base_failed, n_lines (lines with a word), n_failed_lines,
     kept_share, kept, clean_text. A null text counts as empty. A text without
     words fails the base rules; its clean_text is empty. Lines equal to an earlier
     line of the text are removed with the failing ones. Repeated rows and
-    ties need no rule: each row is judged alone. All columns of docs stay.
+    ties need no rule: each row is judged alone. All columns of docs stay; one named ``column`` already is an error.
     """
+    if column in docs.columns:
+        raise ValueError(f"the rows have a column {column!r} already; name another one for the result")
     raw = F.coalesce(F.col("text").cast("string"), F.lit(""))
     blankless = lambda t: F.filter(F.split(t, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
     longs = lambda c: c.cast("long")
@@ -106,7 +108,7 @@ def with_quality(docs: DataFrame, *, min_words: int = MIN_WORDS, max_repeat_perc
     q = lambda name: F.col(f"__q.{name}")
     failed = (q("n_words") < min_words) | (100 * q("n_repeat_words") > max_repeat_percent * q("n_words"))
     share = F.when(q("line_chars") > 0, q("good_chars") / q("line_chars")).otherwise(F.lit(0.0))
-    return found.withColumn("quality", F.struct(
+    return found.withColumn(column, F.struct(
         q("n_words").alias("n_words"), q("word_chars").alias("word_chars"), longs(_count(raw, SYMBOLS)).alias("n_symbols"),
         q("n_dup_lines").alias("n_dup_lines"), q("n_repeat_words").alias("n_repeat_words"), failed.alias("base_failed"),
         q("n_lines").alias("n_lines"), q("n_failed_lines").alias("n_failed_lines"), share.alias("kept_share"),
@@ -116,7 +118,7 @@ def with_quality(docs: DataFrame, *, min_words: int = MIN_WORDS, max_repeat_perc
 def clean_documents(docs: DataFrame, **options) -> DataFrame:
     """Kept documents with their failing lines removed; the columns of docs, n_chars following the text."""
     names = docs.columns
-    out = with_quality(docs, **options).where("quality.kept").withColumn("text", F.col("quality.clean_text"))
+    out = with_quality(docs, column="__quality", **options).where("__quality.kept").withColumn("text", F.col("__quality.clean_text"))
     if "n_chars" in names:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return out.select(*[F.col(f"`{x}`") for x in names])

@@ -85,3 +85,12 @@ def test_marginals_that_contradict_each_other_are_reported(spark, caplog):
     caplog.clear()
     mix(df, targets={"source": targets["source"]}, smoothing=1.0)
     assert not caplog.text
+
+
+def test_a_column_named_mix_stays(spark):
+    docs = spark.createDataFrame([(i, f"word {i}", "en", "s", i) for i in range(50)], "doc_id long, text string, lang string, source string, mix int")
+    for out in (sample(docs), sample(docs, repeats=True)):
+        assert out.columns == docs.columns and all(r["mix"] == r["doc_id"] for r in out.collect())
+    with pytest.raises(ValueError):
+        mix(docs)
+    assert mix(docs, column="drawn").select("mix", "drawn.n_tokens").count() == 50

@@ -1,6 +1,7 @@
 import random
 import re
 
+import pytest
 from conftest import SF_SMALL
 from cdclake.llm.quality import clean_documents, with_quality
 
@@ -55,3 +56,12 @@ def test_padded_lines_end_sentences_too(spark):
     got = {r["doc_id"]: r["quality"] for r in with_quality(df, min_words=1).collect()}
     assert all(got[k]["kept"] and got[k]["n_failed_lines"] == 0 and got[k]["clean_text"] == text for k, text in rows[:-1])
     assert got[99]["n_failed_lines"] == 1 and not got[99]["kept"]
+
+
+def test_a_column_named_quality_stays(spark):
+    text = "\n".join(PROSE)
+    docs = spark.createDataFrame([(1, text, 7)], "doc_id long, text string, quality int")
+    assert [tuple(r) for r in clean_documents(docs).collect()] == [(1, text, 7)]
+    with pytest.raises(ValueError):
+        with_quality(docs)
+    assert with_quality(docs, column="judged").select("quality", "judged.kept").first() == (7, True)

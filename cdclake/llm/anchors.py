@@ -1,12 +1,12 @@
-"""Content-defined anchors of byte windows, found for many texts at once."""
+"""Content-defined anchors of windows of bytes or words, found for many texts at once."""
 
 from __future__ import annotations
 
 import numpy as np
 
-from .text import U, prefix_hash, span_hash
+from .text import U, prefix_sums, span_hash
 
-GRAM = 16  # bytes that are hashed at each position to choose anchors
+GRAM = 16  # symbols that are hashed at each position to choose anchors
 
 
 def window_minima(values: np.ndarray, width: int) -> np.ndarray:
@@ -20,21 +20,21 @@ def window_minima(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(behind[: n - width + 1], ahead[width - 1 : n])
 
 
-def anchors(data: np.ndarray, offsets: np.ndarray, length: int, spread: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(row, anchor, low, high, sums) of all ``length``-byte windows of the texts.
+def anchors(values: np.ndarray, offsets: np.ndarray, length: int, spread: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(row, anchor, low, high, sums) of all windows of ``length`` symbols of the texts; values are the symbols' hashes.
 
     Windows that start in [low, high] have the same anchor, at most
     ``spread - 1`` bytes after the start: the last least-hashed gram among their first
     ``spread`` positions. So equal windows have their anchor at the same place,
     whatever surrounds them. sums is the prefix hash, for ``span_hash``.
     """
-    sums = prefix_hash(data)
+    sums = prefix_sums(values)
     empty = np.empty(0, np.int64)
     size = np.diff(offsets)
     if not (size >= length).any():
         return empty, empty, empty, empty, sums
-    at = np.arange(len(data) - GRAM + 1)
-    bits = U(int(len(data)).bit_length())
+    at = np.arange(len(values) - GRAM + 1)
+    bits = U(int(len(values)).bit_length())
     grams = span_hash(sums, at, at + GRAM)
     last = U((1 << int(bits)) - 1)
     least = window_minima((grams >> bits << bits) | (last - at.astype(np.uint64)), spread)

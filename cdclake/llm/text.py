@@ -69,15 +69,24 @@ def pieces(offsets: np.ndarray, most: int = 4 << 20) -> Iterator[tuple[int, int]
         i = j
 
 
-def prefix_hash(data: np.ndarray) -> np.ndarray:
-    """Running hash sums, one more than bytes; ``span_hash`` reads spans from them."""
-    up, _ = powers(len(data) + 1)
-    out = np.empty(len(data) + 1, np.uint64)
+def prefix_sums(values: np.ndarray) -> np.ndarray:
+    """Running hash sums of symbols' hashes, one more than symbols; ``span_hash`` reads spans from them."""
+    up, _ = powers(len(values) + 1)
+    out = np.empty(len(values) + 1, np.uint64)
     out[0] = 0
-    np.cumsum(_BYTE[data] * up[: len(data)], out=out[1:])
+    np.cumsum(values * up[: len(values)], out=out[1:])
     return out
 
 
+def byte_hashes(data: np.ndarray) -> np.ndarray:
+    return _BYTE[data]
+
+
+def prefix_hash(data: np.ndarray) -> np.ndarray:
+    """``prefix_sums`` of bytes."""
+    return prefix_sums(byte_hashes(data))
+
+
 def span_hash(sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """Hashes of the byte strings [start, end): equal strings have equal hashes wherever they stand."""
     _, down = powers(len(sums))

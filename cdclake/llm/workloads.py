@@ -52,7 +52,7 @@ def op8_token_attribution(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_suffix_bucket_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return substrings.repeated_bytes(table(spark, sf_dir, "documents"))
+    return substrings.repeated_bytes(table(spark, sf_dir, "documents"), passage=substrings.PASSAGE)
 
 
 def op10_site_style_tree(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,7 +9,7 @@ import pyarrow as pa
 from cdclake.llm.anchors import anchors, window_minima
 from cdclake.llm.components import connected_components
 from cdclake.llm.scratch import Scratch
-from cdclake.llm.text import pieces, shingles, span_hash, prefix_hash, utf8, word_spans, words
+from cdclake.llm.text import byte_hashes, pieces, shingles, span_hash, prefix_hash, utf8, word_spans, words
 
 TEXTS = ["", None, " ", "one", "a b c d e", "tab\tand\nline\r\x0b\x0cfeed  x", "é ü x  y", "end ", " start", "a b c d e f g h"] * 3
 
@@ -51,7 +51,7 @@ def test_anchors_cover_all_windows_alike():
     texts = ["".join(rng.choice("ab") for _ in range(n)) for n in (10, 64, 200, 0, 90)] + ["a" * 150]
     texts.append(texts[2][50:150])
     data, off = utf8(pa.array(texts))
-    row, at, low, high, _ = anchors(data, off, 64, 30)
+    row, at, low, high, _ = anchors(byte_hashes(data), off, 64, 30)
     place = {}
     seen = 0
     for r, a, lo, hi in zip(row, at, low, high):

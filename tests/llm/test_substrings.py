@@ -1,5 +1,6 @@
 import hashlib
 import random
+import re
 from collections import Counter
 
 import pytest
@@ -20,6 +21,24 @@ def brute(texts, length):
     return out
 
 
+def brute_words(texts, length):
+    """Per text: (rest, maximal runs) without the words of runs of ``length`` words that occur anywhere else too."""
+    words = [list(re.finditer(rb"[^\x20\x09-\x0D]+", (t or "").encode())) for t in texts]
+    runs = lambda w: (tuple(x[0] for x in w[p : p + length]) for p in range(len(w) - length + 1))
+    seen = Counter(r for w in words for r in runs(w))
+    out = []
+    for t, w in zip(texts, words):
+        gone = bytearray(len(w))
+        for p, r in enumerate(runs(w)):
+            if seen[r] > 1:
+                gone[p : p + length] = b"\1" * length
+        raw, spans = (t or "").encode(), [(m.start(), m.end()) for m in re.finditer(b"\1+", bytes(gone))]
+        for a, b in reversed(spans):
+            raw = raw[: w[a].start()] + raw[w[b - 1].end() :]
+        out.append((raw, len(spans)))
+    return out
+
+
 def check(spark, texts, length):
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
     got = {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in repeated_bytes(df, length=length).collect()}
@@ -66,6 +85,26 @@ def test_texts_without_their_repeats(spark):
             assert got[k]["text"] == (rest if x[1] else t)
 
 
+@pytest.mark.parametrize("seed", [5, 6])
+def test_passages_of_words_match_brute_force(spark, seed):
+    rng = random.Random(seed)
+    blank = lambda: rng.choice([" ", " ", "\n", "  ", "\t\r\n"])
+    word = lambda: rng.choice(["a", "é", "of", "the", "€uro", "end."]) + rng.choice("abcd")
+    line = lambda w: "".join(x + blank() for x in w)
+    shared = [[word() for _ in range(rng.choice([50, 51, 52, 60, 200]))] for _ in range(6)]
+    texts = [blank().join(line([word() for _ in range(rng.randrange(80))]) if rng.random() < 0.6 else line(rng.choice(shared)) for _ in range(rng.randrange(5))) for _ in range(60)]
+    texts += [None, "", " \n ", line(shared[0]), line(shared[0]), line(shared[5]) + line(shared[5]), "x " * 51, "x " * 50, "x " * 52, "y " * 51, "y " * 51, "z " * 50, "z " * 50]
+    df = spark.createDataFrame([(k, t, k) for k, t in enumerate(texts)], "doc_id bigint, text string, n_passages int")
+    want = brute_words(texts, 51)
+    assert sum(n > 0 for _, n in want) > 20
+    got = {r.doc_id: r for r in repeated_bytes(df, passage=51).collect()}
+    assert {k: got[k].n_passages for k in got} == {k: n for k, (_, n) in enumerate(want)}
+    assert {k: (got[k].n_removed, got[k].kept_sha256) for k in got} == {k: (x[1], hashlib.sha256(x[3]).hexdigest()) for k, x in enumerate(brute(texts, 400))}
+    left = {r.doc_id: r for r in without_repeats(df, length=51, unit="words").collect()}
+    assert set(left) == {k for k, (rest, n) in enumerate(want) if not n or rest.split()}
+    assert all(left[k].text == (texts[k] if not want[k][1] else want[k][0].decode()) for k in left if texts[k] not in texts[:k] + texts[k + 1 :])
+
+
 def test_empty_table_null_and_repeated_ids(spark):
     df = spark.createDataFrame([(None, "x" * 500), (1, "x" * 500), (1, "x" * 500), (1, "y")], "doc_id bigint, text string")
     assert repeated_bytes(df.limit(0)).count() == 0 and without_repeats(df.limit(0)).count() == 0

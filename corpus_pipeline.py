@@ -9,7 +9,7 @@ from cdclake.llm.mixing import sample
 from cdclake.llm.packing import pack
 from cdclake.llm.quality import clean_documents
 from cdclake.llm.scratch import Scratch
-from cdclake.llm.substrings import without_repeats
+from cdclake.llm.substrings import PASSAGE, without_repeats
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -23,8 +23,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the bytes of 400-byte strings that occur anywhere else too."""
-    return without_repeats(docs)
+    """Texts without passages of over 50 words that occur anywhere else too."""
+    return without_repeats(docs, length=PASSAGE, unit="words")
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

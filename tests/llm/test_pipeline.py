@@ -2,7 +2,7 @@ import corpus_pipeline
 from conftest import SF_SMALL
 from test_jaccard import brute as near_brute
 from test_quality import base
-from test_substrings import brute as repeat_brute
+from test_substrings import brute_words
 
 
 def test_stages_follow_brute_force(spark, tmp_path):
@@ -28,7 +28,7 @@ def test_stages_follow_brute_force(spark, tmp_path):
             assert all(after[i] == before[i] for i in after)
         elif k == 2:
             ids = list(before)
-            rest = {i: x[3].decode("utf-8", "ignore") for i, x in zip(ids, repeat_brute([before[i]["text"] for i in ids], 400))}
+            rest = {i: x[0].decode() for i, x in zip(ids, brute_words([before[i]["text"] for i in ids], 51))}
             assert {i: r["text"] for i, r in after.items()} == {i: t for i, t in rest.items() if t.split()}
             assert all(r["n_chars"] == len(r["text"]) for r in rows)
         elif k == 3:
@@ -42,4 +42,4 @@ def test_run_equals_the_stages_and_is_registered(spark):
 
     out = entry.queries()["pipeline"](spark, SF_SMALL)
     assert out.count() > 0 and "bin_id" in out.columns
-    assert sum(name.startswith("op") for name in entry.queries()) == 10
+    assert sum(name.startswith("op") for name in entry.queries()) == 13

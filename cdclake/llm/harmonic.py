@@ -9,7 +9,12 @@ classes, cut where a sequence is full.
 
 from __future__ import annotations
 
+import json
+import re
+import sys
 from collections.abc import Iterator
+from itertools import chain
+from types import ModuleType
 
 import numpy as np
 import pyarrow as pa
@@ -23,45 +28,99 @@ from .text import pieces
 CAPACITY = 2048  # tokens of a sequence
 VOCABULARY = "/opt/tokenizers/word_bpe_49k.json"
 END = 1  # id that ends each document
-SHARD_TOKENS = 4_000_000  # tokens that one task packs, about
+SHARD_TOKENS = 1_000_000  # tokens that one task packs, about
 LEAST_GAP = 8  # a smaller gap is padded, as no piece should be that short
+PLAIN, LATIN = re.compile("[a-z]+"), re.compile("[a-zß-öø-ÿ]+")  # fixed values: words without capitals or marks
 TOKENS = "doc_id bigint, n_tokens bigint, ids binary"
 PIECES = "doc_id bigint, start bigint, length bigint, ids binary, doc_tokens bigint, sequence_id bigint, offset bigint, sequence_tokens bigint, class int"
 
 
-def encode(tokenizer, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """(ids, offsets, one more than texts) of whole texts, special tokens not added.
+class Encoder:
+    """Ids of whole texts, special tokens not added, for vocabularies whose tokens never hold white space.
 
-    For vocabularies whose tokens never hold white space: a text's ids are those of its parts between
-    ASCII blanks, so each distinct part is encoded once.
+    ``vocabulary`` is the text of a tokenizer file. A text's ids are those of its parts between
+    ASCII blanks. Parts that were met before, up to ``most`` of them, are not encoded again. If the
+    tokenizer lower-cases and takes letters as words, texts are cut before punctuation
+    and lower-cased first, so that more parts are alike, and parts that its rules leave as they are skip these.
     """
-    split = pc.ascii_split_whitespace(pc.fill_null(texts.cast(pa.large_string()), ""))
-    parts = split.flatten().dictionary_encode()
-    known = [x.ids for x in tokenizer.encode_batch_fast(parts.dictionary.to_pylist(), add_special_tokens=False)]
-    size = np.array([len(x) for x in known], np.int64)
-    flat = np.array([i for x in known for i in x], np.int64)
-    word = parts.indices.to_numpy(zero_copy_only=False)
-    n = size[word]
-    first = np.concatenate([[0], np.cumsum(n)])
-    begin = np.cumsum(size) - size
-    at = np.arange(first[-1]) - np.repeat(first[:-1], n) + np.repeat(begin[word], n)
-    return flat[at], first[np.asarray(split.offsets) - split.offsets[0].as_py()]
-
-
-def _tokens(vocabulary, end: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from tokenizers import Tokenizer
 
-        tokenizer = Tokenizer.from_str(vocabulary.value)
+    def __init__(self, vocabulary: str, most: int = 350_000):
+        from tokenizers import Tokenizer, normalizers
+
+        self.tokenizer, self.bare, self.most = Tokenizer.from_str(vocabulary), None, most
+        rules = json.loads(vocabulary)
+        kinds = [[x["type"] for x in (rules.get(part) or {}).get(inner, [])] for part, inner in (("normalizer", "normalizers"), ("pre_tokenizer", "pretokenizers"))]
+        if kinds == [["NFC", "Replace", "Lowercase"], ["Split", "ByteLevel"]]:
+            self.bare = Tokenizer.from_str(json.dumps(rules | {"pre_tokenizer": rules["pre_tokenizer"]["pretokenizers"][1]}))
+            self.bare.normalizer = normalizers.Sequence([])
+        self._forget()
+
+    def _forget(self) -> None:
+        self.row: dict[str, int] = {}
+        self.flat, self.size = np.empty(0, np.int32), np.empty(0, np.int64)
+
+    def _ids(self, parts: list[str]) -> list[list[int]]:
+        if self.bare is None:
+            return [x.ids for x in self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)]
+        tokenize = self.bare.model.tokenize
+        out = [[t.id for t in tokenize(x)] if PLAIN.fullmatch(x) else None for x in parts]
+        rest = [k for k, x in enumerate(out) if x is None]
+        for tokenizer, mine in ((self.bare, True), (self.tokenizer, False)):
+            some = [k for k in rest if (LATIN.fullmatch(parts[k]) is not None) == mine]
+            for k, x in zip(some, tokenizer.encode_batch_fast([parts[k] for k in some], add_special_tokens=False)):
+                out[k] = x.ids
+        return out
+
+    def _learn(self, parts: list[str]) -> None:
+        ids = self._ids(parts)
+        self.row.update(zip(parts, range(len(self.row), len(self.row) + len(parts))))
+        self.flat = np.concatenate([self.flat, np.fromiter(chain.from_iterable(ids), np.int32)])
+        self.size = np.concatenate([self.size, np.fromiter((len(x) for x in ids), np.int64)])
+
+    def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, offsets, one more than texts); null is empty."""
+        texts = pc.fill_null(texts.cast(pa.large_string()), "")
+        if self.bare is not None:
+            texts = pc.replace_substring_regex(texts, r"([A-Za-zÀ-ÖØ-öø-ÿ])([.,;:!?])", r"\1 \2")
+            if not pc.any(pc.match_substring_regex(texts, r"<\||\p{M}")).as_py():  # special tokens, and marks that join small letters only
+                texts = pc.ascii_lower(texts)
+        split = pc.ascii_split_whitespace(texts)
+        parts = split.flatten().dictionary_encode()
+        words = parts.dictionary.to_pylist()
+        new = [x for x in words if x not in self.row]
+        if len(self.row) + len(new) > self.most:
+            self._forget()
+            new = words
+        for i in range(0, len(new), 20_000):
+            self._learn(new[i : i + 20_000])
+        row = np.array([self.row[x] for x in words], np.int64)[parts.indices.to_numpy(zero_copy_only=False)]
+        n = self.size[row]
+        first = np.concatenate([[0], np.cumsum(n)])
+        at = np.repeat(((np.cumsum(self.size) - self.size)[row] - first[:-1]).astype(np.int32), n)
+        at += np.arange(first[-1], dtype=np.int32)
+        return self.flat[at], first[np.asarray(split.offsets) - split.offsets[0].as_py()]
+
+
+def _encoder(vocabulary: str) -> Encoder:
+    """A worker process's encoder, kept from task to task with the parts that it knows."""
+    held = sys.modules.setdefault("_cdclake_encoder", ModuleType("_cdclake_encoder"))
+    if getattr(held, "vocabulary", None) != vocabulary:
+        held.vocabulary, held.encoder = vocabulary, Encoder(vocabulary)
+    return held.encoder
+
+
+def _tokens(vocabulary, end: int, width: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encode = _encoder(vocabulary.value)
         for batch in batches:
             texts = batch.column("text")
             size = np.concatenate([[0], np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))])
-            for i, j in pieces(size, 16 << 20):
-                ids, at = encode(tokenizer, texts.slice(i, j - i))
-                ids = np.insert(ids, at[1:], end).astype("<u4")
-                edge = (at + np.arange(len(at))) * 4
+            for i, j in pieces(size, 2 << 20):
+                ids, at = encode(texts.slice(i, j - i))
+                ids = np.insert(ids, at[1:], end).astype(f"<u{width}")
+                edge = (at + np.arange(len(at))) * width
                 column = pa.Array.from_buffers(pa.large_binary(), j - i, [None, pa.py_buffer(edge.astype(np.int64)), pa.py_buffer(ids)])
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(i, j - i), pa.array(np.diff(edge) // 4), column.cast(pa.binary())], ["doc_id", "n_tokens", "ids"])
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(i, j - i), pa.array(np.diff(edge) // width), column.cast(pa.binary())], ["doc_id", "n_tokens", "ids"])
 
     return run
 
@@ -121,20 +180,17 @@ def plan(sizes: np.ndarray, capacity: int = CAPACITY, least_gap: int = LEAST_GAP
     return dict(zip(("item", "start", "length", "sequence", "offset", "class"), (np.concatenate(x).astype(np.int64) for x in zip(*parts))))
 
 
-def _pack(capacity: int, least_gap: int):
+def _pack(capacity: int, least_gap: int, width: int):
     def run(key: tuple, table: pa.Table) -> pa.Table:
         shard = key[0].as_py()
         table = table.sort_by([("n_tokens", "descending"), ("doc_id", "ascending"), ("row", "ascending")])
         sizes = table.column("n_tokens").to_numpy().astype(np.int64)
         found = plan(sizes, capacity, least_gap)
-        ids = table.column("ids").combine_chunks()
-        ids = (ids if isinstance(ids, pa.Array) else pa.concat_arrays(ids.chunks)).cast(pa.large_binary())
-        data = np.frombuffer(ids.buffers()[2], "<u4")
-        first = np.frombuffer(ids.buffers()[1], np.int64)[ids.offset : ids.offset + len(ids) + 1] // 4
-        start, length = first[found["item"]] + found["start"], found["length"]
-        edge = np.concatenate([[0], np.cumsum(length)])
-        cut = data[np.arange(edge[-1]) + np.repeat(start - edge[:-1], length)]
-        cut = pa.Array.from_buffers(pa.large_binary(), len(length), [None, pa.py_buffer(edge * 4), pa.py_buffer(cut)]).cast(pa.binary())
+        length = found["length"]
+        ids = [memoryview(x.as_buffer()) for chunk in table.column("ids").chunks for x in chunk]
+        cut = b"".join(ids[i][a * width : (a + n) * width] for i, a, n in zip(found["item"].tolist(), found["start"].tolist(), length.tolist()))
+        edge = np.concatenate([[0], np.cumsum(length)]) * 4
+        cut = pa.Array.from_buffers(pa.large_binary(), len(length), [None, pa.py_buffer(edge), pa.py_buffer(np.frombuffer(cut, f"<u{width}").astype("<u4"))]).cast(pa.binary())
         tokens = np.bincount(found["sequence"], length).astype(np.int64)
         item = pa.array(found["item"])
         return pa.table({
@@ -161,14 +217,17 @@ def harmonic_pack(docs: DataFrame, *, capacity: int = CAPACITY, vocabulary: str
     """
     scratch = Scratch(docs.sparkSession, "harmonic")
     with open(vocabulary, encoding="utf-8") as file:
-        held = docs.sparkSession.sparkContext.broadcast(file.read())  # a vocabulary's size doesn't follow the data
+        rules = file.read()
+    largest = max([end, *(x["id"] for x in json.loads(rules).get("added_tokens", [])), *json.loads(rules)["model"]["vocab"].values()])
+    width = 2 if largest < 1 << 16 else 4  # bytes of an id on its way
+    held = docs.sparkSession.sparkContext.broadcast(rules)  # a vocabulary's size doesn't follow the data
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    rows = texts.mapInArrow(_tokens(held, end), TOKENS).withColumn("row", F.monotonically_increasing_id())
+    rows = texts.mapInArrow(_tokens(held, end, width), TOKENS).withColumn("row", F.monotonically_increasing_id())
     rows = scratch.keep(rows, "tokens")
     total = rows.agg(F.sum("n_tokens")).first()[0] or 0
     shards = max(1, -(-total // shard_tokens))
     dealt = rows.withColumn("shard", F.pmod(F.xxhash64("row"), F.lit(shards)))
-    return dealt.groupBy("shard").applyInArrow(_pack(capacity, least_gap), PIECES)
+    return dealt.groupBy("shard").applyInArrow(_pack(capacity, least_gap, width), PIECES)
 
 
 def sequences(packed: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from cdclake.llm.harmonic import VOCABULARY, encode, harmonic_pack, plan, sequences
+from cdclake.llm.harmonic import VOCABULARY, Encoder, harmonic_pack, plan, sequences
 
 SCHEMA = "doc_id bigint, text string, length string, ids string"  # columns with the names of the result's
 tokenizers = pytest.importorskip("tokenizers")
@@ -19,11 +19,18 @@ def tokenizer():
 
 def test_ids_are_those_of_whole_texts(tokenizer):
     r = random.Random(4)
-    signs = [chr(c) for c in range(48)] + list("abXYZ'std09é́　 \x85İΣ\U0001f600") + ["<|endoftext|>", "'s", " ", "\n"]
+    words = ["Word", "word,", "Été", "été!", "naïve", "STRASSE", "straße", "It's", "don't.", "H\u0331", "h\u0331", "J\u030cx", "I\u0307", "<|ENDOFTEXT|>", "a.b", "x;y", "Ørsted", "ÿÿ"]
+    plain = [" ".join(r.choice(words[:9] + words[-4:]) for _ in range(12)) for _ in range(200)]
+    signs = words + [chr(c) for c in range(48)] + list("abXYZ'std09é́　 \x85İΣ\U0001f600") + ["<|endoftext|>", "'s", " ", "\n"]
     texts = ["".join(r.choice(signs) for _ in range(r.randrange(50))) for _ in range(2000)] + ["", None, "x" * 20000, " " * 20000]
-    ids, first = encode(tokenizer, pa.array(texts))
-    for i, text in enumerate(texts):
-        assert ids[first[i] : first[i + 1]].tolist() == tokenizer.encode(text or "", add_special_tokens=False).ids, repr(text)
+    encode = Encoder(open(VOCABULARY).read(), most=2000)
+    encode = Encoder(open(VOCABULARY).read())
+    for x in plain + words:
+        assert encode(pa.array([x]))[0].tolist() == tokenizer.encode(x, add_special_tokens=False).ids
+    for begin in (0, 500, 400):
+        ids, first = encode(pa.array(texts).slice(begin))
+        for i, text in enumerate(texts[begin:]):
+            assert ids[first[i] : first[i + 1]].tolist() == tokenizer.encode(text or "", add_special_tokens=False).ids, repr(text)
 
 
 def test_plan_covers_each_token_once_and_pads_little():

@@ -118,7 +118,9 @@ def with_quality(docs: DataFrame, *, min_words: int = MIN_WORDS, max_repeat_perc
 def clean_documents(docs: DataFrame, **options) -> DataFrame:
     """Kept documents with their failing lines removed; the columns of docs, n_chars following the text."""
     names = docs.columns
-    out = with_quality(docs, column="__quality", **options).where("__quality.kept").withColumn("text", F.col("__quality.clean_text"))
-    if "n_chars" in names:
-        out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return out.select(*[F.col(f"`{x}`") for x in names])
+    # One row out of each kept verdict: a filter on the verdict would be moved below it and judge each text twice.
+    kept = F.explode(F.filter(F.array("__quality"), lambda q: q["kept"]))
+    out = with_quality(docs, column="__quality", **options).select(*[F.col(f"`{x}`") for x in names], kept.alias("__kept"))
+    text = F.col("__kept.clean_text")
+    changed = {"text": text} | ({"n_chars": F.length(text).cast(docs.schema["n_chars"].dataType)} if "n_chars" in names else {})
+    return out.select(*[changed.get(x, F.col(f"`{x}`")).alias(x) for x in names])

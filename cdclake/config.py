@@ -41,7 +41,9 @@ class TriggerPolicy:
     ``MaxBatchSizeWait``: wait until ``max_batch_size`` events are queued or
     ``max_wait_ms`` elapsed; expressed as source admission options
     (``minOffsetsPerTrigger``/``maxTriggerDelay``/``maxOffsetsPerTrigger`` for
-    Kafka, ``maxFilesPerTrigger`` plus a processing-time trigger for files).
+    Kafka, ``maxFilesPerTrigger`` plus a processing-time trigger for files;
+    JSON-lines files read with the query's checkpoint location end batches at exactly
+    ``max_batch_size`` rows, and do not wait while a snapshot runs).
     ``DynamicBatchSizeWait``: kept for name compatibility; behaves like
     ``MaxBatchSizeWait`` for admission, and its utilisation bands are a report
     (:func:`cdclake.operators.reports.batch_utilisation`).
@@ -59,10 +61,15 @@ class TriggerPolicy:
     max_bytes_per_trigger: int | None = None  # bytes; file sources only
     available_now: bool = False
 
-    def trigger_kwargs(self) -> dict[str, Any]:
+    def by_rows(self, source_format: str) -> bool:
+        """Whether batches of files end at ``max_batch_size`` rows."""
+        return source_format == "json" and self.name != "NoBatchSizeWait" and bool(self.max_batch_size) and not self.available_now
+
+    def trigger_kwargs(self, by_rows: bool = False) -> dict[str, Any]:
+        """Trigger of the query; ``by_rows``: the source itself waits, so it is asked again at once."""
         if self.available_now:
             return {"availableNow": True}
-        if self.name == "NoBatchSizeWait":
+        if self.name == "NoBatchSizeWait" or by_rows:
             return {"processingTime": "0 seconds"}
         return {"processingTime": f"{max(self.max_wait_ms // 10, 1)} milliseconds"}
 

@@ -9,6 +9,7 @@ Event rule shared by all queries (key ``k``): ``op`` is ``d`` when ``k % 10 =
 
 from __future__ import annotations
 
+import time
 from functools import reduce
 from typing import Callable
 
@@ -1113,3 +1114,42 @@ def q_decimal_as_double(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A decimal column travels as float64 and lands as double."""
     li = source_rows(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", F.col("l_extendedprice").cast("decimal(18,2)").alias("price"))
     return decoded(encode_events(li, "testc.inventory.lineitem")).select("l_orderkey", "l_linenumber", "price")
+
+
+STREAM_ROWS = 2000  # events of a batch in the queries that end batches by rows
+
+
+def _stream_by_rows(spark: SparkSession, sf_dir: str, name: str) -> tuple[str, list]:
+    """Orders in four files, landed in batches of ``STREAM_ROWS`` events; (lake, batch results)."""
+    src, base, ckpt = (scratch_path(spark, f"{name}_{x}") for x in ("src", "lake", "ckpt"))
+    events = orders_events(spark, sf_dir)
+    rows = events.count()
+    write_events(events, src, files=4)
+    policy = TriggerPolicy("MaxBatchSizeWait", max_batch_size=STREAM_ROWS, max_wait_ms=2000)
+    results: list = []
+    stream = read_event_stream(spark, src, policy=policy, checkpoint_location=ckpt)
+    q = start_stream(stream, CdcConfig(base_path=base), ckpt, policy=policy, batch_time_ms=lambda i: BATCH_TIME_MS + i, on_batch=results.append)
+    end = time.time() + 600
+    while sum(r.rows for r in results) < rows and q.isActive and time.time() < end:
+        time.sleep(0.2)
+    q.stop()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    return base, results
+
+
+@register("stream_batch_rows", f"""
+SELECT CAST(i AS BIGINT) AS batch_id, CAST(least({STREAM_ROWS}, n - i * {STREAM_ROWS}) AS BIGINT) AS rows
+FROM (SELECT n, unnest(range(0, (n + {STREAM_ROWS - 1}) // {STREAM_ROWS})) AS i FROM (SELECT count(*) AS n FROM orders))""")
+def q_stream_batch_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every batch of a file stream holds exactly N events, but the last, which ends by its wait."""
+    base, _ = _stream_by_rows(spark, sf_dir, "batch_rows")
+    return spark.read.parquet(f"{base}/_ingest_log").groupBy("batch_id").agg(F.sum("rows").alias("rows"))
+
+
+@register("stream_by_rows_rows", FORMAT_SQL)
+def q_stream_by_rows_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows landed by batches that end inside files, each of them once."""
+    base, _ = _stream_by_rows(spark, sf_dir, "by_rows")
+    t = read_table(spark, f"{base}/{ORDERS}", provenance=False)
+    return t.select("o_orderkey", "o_totalprice", "o_orderstatus", "o_orderdate", "__op", "__deleted")

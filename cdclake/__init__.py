@@ -12,6 +12,6 @@ from .functions import *  # noqa: F401,F403
 from .operators import *  # noqa: F401,F403
 from .plans import compact_partition, decode_group, discover_groups, ingest_batch, key_events, write_group
 from .sources import encode_events, read_event_stream, read_events, read_table, write_events
-from .streaming import start_stream
+from .streaming import ProgressLog, start_stream
 
 __version__ = "0.1.0"

@@ -115,11 +115,13 @@ class CdcConfig:
     ``unwrap`` (flatten envelopes), ``snapshot_as_insert``, ``include_tables``,
     ``header_fields``.
 
+    Types: ``logical_types``, ``schema_store``.
+
     Behaviour: ``on_malformed`` (``fail`` or ``quarantine``), ``legacy_null_ts``,
-    ``idempotent`` (exactly-once replays).
+    ``idempotent`` (exactly-once replays), ``manifest`` (batches visible at once).
 
     Output: ``write_options``, ``rows_per_file``, ``summary_metadata``,
-    ``ingest_log``.
+    ``ingest_log``, ``shared_writes``.
 
     Scale: ``max_groups``, ``parallel_writes``, ``min_partitions``,
     ``rebalance``, ``small_group_rows`` / ``max_group_tasks``,
@@ -158,6 +160,15 @@ class CdcConfig:
     batch_storage: str = "cache"
     trigger: TriggerPolicy = field(default_factory=TriggerPolicy)
     idempotent: bool = False  # replayed batch ids replace their own output instead of appending again
+    # Write a file manifest: a batch's rows become visible to readers that go by it all at once, and a
+    # batch id that is published already is not landed again (Parquet and ORC; see sources/manifest.py).
+    manifest: bool = False
+    # Tables as folders ``destination=<name>`` of one root, so that all destinations with one schema are
+    # decoded and written by one job, whatever their number.
+    shared_writes: bool = False
+    logical_types: bool = False  # decimals, dates and timestamps as such, not as what carries them
+    # Keep the schema of events without one per table under ``_schemas``; each batch's inferred schema widens it.
+    schema_store: bool = False
     stream_id: str = ""  # whose batch ids these are, in idempotent mode (default: the streaming query's id)
     add_fields: tuple[str, ...] = DEFAULT_ADD_FIELDS  # envelope and source fields that ``unwrap`` copies
     header_fields: tuple[str, ...] = ()  # as ``add.headers``: ``db`` lands header ``__db`` as column ``__db``

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 # Epoch literal and the file-name pattern carrying the write id.
 _EPOCH_NTZ = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
-WRITE_ID_PATTERN = r"part-\d+-([0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12})"
+WRITE_ID_PATTERN = r"-\d+-([0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12})"
 
 
 def _c(c: Column | str) -> Column:

@@ -83,3 +83,26 @@ def progress_by_interval(log: DataFrame, *, time_ms: str = "batch_time_ms", inte
     """Rows landed per destination per fixed interval (the periodic progress line)."""
     t = F.timestamp_millis(F.col(time_ms).cast("bigint"))
     return log.groupBy(F.window(t, interval).alias("interval"), F.col(partition)).agg(F.sum(rows).alias("rows"))
+
+
+def snapshot_state(changes: DataFrame, *, destination: str = "destination", batch: str = "batch_id", order: str = "__lsn", op: str = "__op") -> DataFrame:
+    """Each destination's snapshots: snapshot (from 1), first_batch, last_batch, rows and state (``completed`` or ``running``).
+
+    A snapshot is a run of snapshot reads (``op`` ``r``) over successive batches. It is completed once a change of another
+    kind comes after its last read, in ``order`` within a batch or in a later batch, else it runs; so the
+    next read begins another. The changes are summed per batch first, map-side,
+    so a destination's window holds a row per batch, however many changes it has. Null ``order`` counts as the first.
+    """
+    read = F.col(op).eqNullSafe("r")
+    at = F.coalesce(F.col(order).cast("bigint"), F.lit(-(2**63)).cast("bigint"))
+    batches = changes.groupBy(F.col(destination).alias("destination"), F.col(batch).alias("batch")).agg(
+        F.count_if(read).alias("reads"), F.max(F.when(read, at)).alias("last_read"), F.max(F.when(~read, at)).alias("last_other"))
+    ends = F.coalesce(F.col("reads") == 0, F.lit(False)) | F.coalesce(F.col("last_other") > F.col("last_read"), F.lit(False))
+    w = Window.partitionBy("destination").orderBy("batch")
+    marked = batches.withColumn("ends", ends).withColumn("before", F.coalesce(F.lag("ends").over(w), F.lit(True)))
+    runs = marked.withColumn("run", F.sum(F.col("before").cast("int")).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    found = runs.groupBy("destination", "run").agg(
+        F.min(F.when(F.col("reads") > 0, F.col("batch"))).alias("first_batch"), F.max(F.when(F.col("reads") > 0, F.col("batch"))).alias("last_batch"),
+        F.sum("reads").alias("rows"), F.bool_or("ends").alias("ended")).where("rows > 0")
+    number = F.row_number().over(Window.partitionBy("destination").orderBy("run"))
+    return found.select("destination", number.alias("snapshot"), "first_batch", "last_batch", "rows", F.when(F.col("ended"), F.lit("completed")).otherwise(F.lit("running")).alias("state"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import math
 import uuid
 from dataclasses import dataclass
@@ -11,6 +12,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.transform import quoted
+from ..sources.manifest import BASENAME, Written, active_files, publish, relative_to
+from ..sources.tables import widen_structs
 
 # Fixed value: default size of a compacted file.
 TARGET_FILE_BYTES = 512 * 1024 * 1024
@@ -160,3 +163,71 @@ def commit_compaction(spark: SparkSession, result: CompactResult) -> str:
     if not fs.rename(target, source):
         raise OSError(f"cannot move {result.target_path}")
     return retired.toString()
+
+
+def bins_of(sizes: dict[str, int], target_file_bytes: int) -> list[list[str]]:
+    """Small files of one folder packed into outputs of at most ``target_file_bytes``: each into the first that has room, the largest first."""
+    bins: list[tuple[int, list[str]]] = []
+    for name, size in sorted(sizes.items(), key=lambda x: (-x[1], x[0])):
+        for k, (used, names) in enumerate(bins):
+            if used + size <= target_file_bytes:
+                bins[k] = (used + size, names + [name])
+                break
+        else:
+            bins.append((size, [name]))
+    return [names for _, names in bins if len(names) > 1]
+
+
+@dataclass
+class CompactPlan:
+    """What :func:`compact_published` did: files that went, files that came, files left as they are, rows rewritten."""
+
+    removed: int
+    added: int
+    untouched: int
+    rows: int
+
+
+def compact_published(spark: SparkSession, base_path: str, table_path: str, *, target_file_bytes: int = TARGET_FILE_BYTES,
+                      small_file_bytes: int | None = None, save_format: str = "parquet") -> CompactPlan:
+    """Rewrite the small files of a published table, over all its folders, by one job; large files stay.
+
+    Files under ``small_file_bytes`` (half the target by default) are packed, folder by
+    folder, into outputs of at most ``target_file_bytes``; an output of a single file is left alone. The sizes
+    come from the manifest, whose rows are all that the driver holds. The new files are
+    written beside the old ones; one published batch then adds the new and removes the old,
+    so readers by the manifest see the table before or after, at any time. If the rows that were
+    written differ from those logged, nothing is published. :func:`cdclake.sources.manifest.delete_removed` deletes old files.
+    """
+    small_file_bytes = small_file_bytes or target_file_bytes // 2
+    active = active_files(spark, base_path, table_path).persist()
+    try:
+        folders: dict[str, dict[str, int]] = {}
+        files = 0
+        for r in active.select("file", "bytes").toLocalIterator():
+            files += 1
+            if r["bytes"] < small_file_bytes:
+                folders.setdefault(r["file"].rpartition("/")[0], {})[r["file"]] = r["bytes"]
+        packed = [names for folder in sorted(folders) for names in bins_of(folders[folder], target_file_bytes)]
+        if not packed:
+            return CompactPlan(0, 0, files, 0)
+        root = table_path.rstrip("/")
+        chosen = spark.createDataFrame([(name, k) for k, names in enumerate(packed) for name in names], "file string, bin int")
+        old = active.join(chosen.select("file"), "file", "left_semi")
+        schema = widen_structs([T.StructType.fromJson(json.loads(r[0])) for r in old.groupBy("schema_json").agg(F.min("min_ts_ms").alias("ts")).orderBy("ts").select("schema_json").toLocalIterator()])
+        partition_cols = [part.split("=", 1)[0] for part in packed[0][0].split("/")[:-1] if "=" in part]
+        rows = spark.read.format(save_format).schema(schema).option("basePath", root).load([f"{root}/{name}" for names in packed for name in names])
+        name = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1)
+        bins = chosen.select(F.element_at(F.split("file", "/"), -1).alias("__name"), F.col("bin").alias("__bin"))
+        dealt = rows.withColumn("__name", name).join(bins, "__name").drop("__name").repartitionById(len(packed), F.col("__bin")).drop("__bin")
+        tag, obs = f"c{uuid.uuid4().hex[:12]}", Observation(f"compact_{uuid.uuid4().hex}")
+        writer = dealt.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("append").format(save_format).option(BASENAME, tag)
+        (writer.partitionBy(*partition_cols) if partition_cols else writer).save(root)
+        wanted, found = old.agg(F.sum("rows")).first()[0], int(obs.get["rows"])
+        if wanted != found:
+            raise RuntimeError(f"compaction of {root} wrote {found} rows of {wanted}; nothing was published")
+        new = publish(spark, base_path, f"compact-{tag}", [Written(relative_to(root, base_path), root, schema.json(), tag)], save_format=save_format, removed=old)
+        removed = sum(len(names) for names in packed)
+        return CompactPlan(removed, new.where("not removed").count(), files - removed, found)
+    finally:
+        active.unpersist()

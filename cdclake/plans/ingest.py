@@ -31,17 +31,21 @@ from dataclasses import dataclass, field
 from functools import reduce
 from itertools import groupby
 
-from pyspark import StorageLevel
+from pyspark import SparkContext, StorageLevel
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..config import CdcConfig, default_parallelism, scratch_path
-from ..functions.columns import partition_date_text, target_path_text
+from ..functions.columns import map_destination, partition_date_text, target_path_text
 from ..functions.schema import SOURCE_TS_MS, canonical_schema, connect_schema_to_struct
 from ..operators.decode import CORRUPT, decode_payload, infer_payload_schema
 from ..operators.envelope import (KIND_DECLARED, KIND_ENVELOPED_NO_SCHEMA, KIND_MALFORMED,
                                   drop_tombstones, event_kind, include_tables, malformed_flag, schema_text)
+from ..functions.logical import logical_signature, with_logical_types
+from ..operators.mongo import decode_documents
+from ..sources.schemas import ROWS, VERSION, join_schema
+from ..sources.manifest import BASENAME, Written, is_published, publish, read_manifest, relative_to
 from ..operators.transform import HEADERS, add_headers, add_source_ts, cast_deleted, snapshot_as_insert, unwrap
 
 
@@ -114,6 +118,8 @@ class BatchResult:
     batch_time_ms: int
     groups: list[GroupResult] = field(default_factory=list)
     staged_groups: int = 0  # small groups read from the staged table (see stage_small_groups)
+    tag: str | None = None  # what the names of the batch's files begin with, if it is published by a manifest
+    written: list[Written] = field(default_factory=list)
 
     @property
     def rows(self) -> int:
@@ -187,31 +193,31 @@ def group_counts(keyed: DataFrame) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("rows")))
 
 
-def group_rounds(keyed: DataFrame, max_groups: int) -> Iterator[list[SchemaGroup]]:
+def group_rounds(keyed: DataFrame, max_groups: int, logical: bool = False) -> Iterator[list[SchemaGroup]]:
     """The (destination, schema) groups of a keyed batch, about ``max_groups`` at a time.
 
     Group counts are sorted by key and come to the driver partition by
     partition; a batch with more groups than ``max_groups`` is landed in
     several rounds. A destination's groups whose schemas compile to the same Spark type are
-    merged (they differ only in names, versions or optional flags).
+    merged (they differ only in names, versions or optional flags); with ``logical``, if their logical types are the same too.
     """
     rows = group_counts(keyed).orderBy("destination", "gid", "kind", "sample").toLocalIterator()
     held: list = []
     for _, same in groupby(rows, key=lambda r: (r["destination"], r["gid"])):
         held += same
         if len(held) >= max_groups:
-            yield _compiled(held)
+            yield _compiled(held, logical)
             held = []
     if held:
-        yield _compiled(held)
+        yield _compiled(held, logical)
 
 
-def discover_groups(keyed: DataFrame, max_groups: int) -> list[SchemaGroup]:
+def discover_groups(keyed: DataFrame, max_groups: int, logical: bool = False) -> list[SchemaGroup]:
     """All groups of ``group_rounds``."""
-    return [g for groups in group_rounds(keyed, max_groups) for g in groups]
+    return [g for groups in group_rounds(keyed, max_groups, logical) for g in groups]
 
 
-def _compiled(found: list) -> list[SchemaGroup]:
+def _compiled(found: list, logical: bool = False) -> list[SchemaGroup]:
     """Groups of the rows of :func:`group_counts`; all rows of one key must be among them."""
     shared = {gid for gid, n in Counter(r["gid"] for r in found).items() if n > 1}
     merged: "OrderedDict[tuple, SchemaGroup]" = OrderedDict()
@@ -223,6 +229,7 @@ def _compiled(found: list) -> list[SchemaGroup]:
         if kind == KIND_DECLARED:
             try:
                 struct, canon = connect_schema_to_struct(text), canonical_schema(text)
+                canon = (canon, logical_signature(text)) if logical else canon
             except (ValueError, TypeError, KeyError, AttributeError) as e:
                 raise ValueError(f"malformed change event for destination {dest!r}: {e}") from e
         exact = [text] if r["gid"] in shared else None
@@ -235,19 +242,29 @@ def _compiled(found: list) -> list[SchemaGroup]:
     return list(merged.values())
 
 
+DESTINATION = "__destination"
+
+
 def decode_group(keyed: DataFrame, group: SchemaGroup, cfg: CdcConfig, batch_time_ms: int,
-                 only_group: bool = False) -> DataFrame:
+                 only_group: bool = False, with_destination: bool = False) -> DataFrame:
     """Typed, enriched rows of one group (``only_group``: the frame holds nothing else).
 
+    ``with_destination`` keeps each row's destination as ``__destination``.
+
     A field that does not fit its type is null, as in the reference. With
     ``on_malformed="quarantine"`` such rows are left out here and land in the
     quarantine (:func:`misfits`).
     """
     rows = keyed if only_group else keyed.filter(group.condition())
     extra = (HEADERS,) if cfg.header_fields and HEADERS in rows.columns else ()
+    if with_destination:
+        rows = rows.withColumn(DESTINATION, F.col("destination"))
+        extra += (DESTINATION,)
     strict = cfg.on_malformed == "quarantine"
     if group.kind != KIND_DECLARED and group.struct is None:
         group.struct = infer_payload_schema(rows, enveloped=group.enveloped)
+        if cfg.schema_store and cfg.base_path:
+            _, group.struct = join_schema(rows.sparkSession, cfg.base_path, table_name(cfg, group.destination), group.struct)
     has_ts = SOURCE_TS_MS in group.struct.fieldNames()
     if has_ts:  # only rows whose time is null are parsed for whether they have the field
         payload = F.get_json_object("value", "$.payload") if group.enveloped else F.col("value")
@@ -256,8 +273,12 @@ def decode_group(keyed: DataFrame, group: SchemaGroup, cfg: CdcConfig, batch_tim
     df = decode_payload(rows, group.struct, enveloped=group.enveloped, corrupt=strict, keep=extra)
     if strict:
         df = df.filter(~F.col(CORRUPT)).drop(CORRUPT)
+    if cfg.logical_types and group.schema_text is not None:
+        df = with_logical_types(df, group.schema_text)
     present = F.col(SOURCE_TS_MS).isNotNull() | F.array_contains(F.json_object_keys("__payload"), SOURCE_TS_MS) if has_ts else None
     if cfg.unwrap and {"op", "source"} <= set(df.columns) and ({"after", "before"} & set(df.columns)):
+        if isinstance(df.schema["after" if "after" in df.columns else "before"].dataType, T.StringType):
+            df = decode_documents(df)  # images as JSON text
         df = unwrap(df, cfg.add_fields, keep=tuple(c for c in extra if c in df.columns))
     if cfg.snapshot_as_insert and "__op" in df.columns:
         df = snapshot_as_insert(df)
@@ -277,13 +298,60 @@ def misfits(keyed: DataFrame, group: SchemaGroup) -> DataFrame:
     return decode_payload(rows, group.struct, enveloped=group.enveloped, corrupt=True, keep=("destination", "key", "value")).filter(CORRUPT).select("destination", "key", "value")
 
 
+SHARED_COLUMN = "destination"  # folder level of the tables of shared writes
+
+
 def group_path(cfg: CdcConfig, destination: str, batch_time_ms: int) -> str:
     dt = partition_date_text(batch_time_ms, cfg.partition_tz) if cfg.partition else None
+    if cfg.shared_writes:
+        base, name = cfg.base_path.rstrip("/"), target_path_text(destination, "", cfg.prefix, cfg.dest_regexp, cfg.dest_replace)[1:]
+        escape = SparkContext._active_spark_context._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+        return f"{base}/{SHARED_COLUMN}={escape(name)}" + (f"/{dt}" if dt else "")
     return target_path_text(destination, cfg.base_path, cfg.prefix, cfg.dest_regexp, cfg.dest_replace, dt)
 
 
-def write_group(df: DataFrame, path: str, cfg: CdcConfig, expected_rows: int | None = None) -> int:
-    """Append ``df`` to ``path``; the row count is observed during the write itself."""
+def shared_groups(groups: list[SchemaGroup], logical: bool = False) -> list[list[SchemaGroup]]:
+    """Groups that one job can decode and write: those with one declared schema, whatever their destinations."""
+    found: "OrderedDict[object, list[SchemaGroup]]" = OrderedDict()
+    for k, g in enumerate(groups):
+        alike = g.kind == KIND_DECLARED and g.exact_texts is None
+        found.setdefault((g.kind, g.struct.json(), logical_signature(g.schema_text) if logical else None) if alike else k, []).append(g)
+    return list(found.values())
+
+
+def table_name(cfg: CdcConfig, destination: str) -> str:
+    """A destination's table, relative to the lake's base path."""
+    return relative_to(group_path(cfg.with_(partition=False), destination, 0), cfg.base_path)
+
+
+def write_shared(df: DataFrame, cfg: CdcConfig, batch_time_ms: int, basename: str | None = None) -> int:
+    """Append rows of many destinations (``__destination``) to ``base/destination=<name>[/dt=...]`` by one job.
+
+    Rows are dealt by destination: run-time planning splits a hot one and merges small ones, so files
+    follow rows, not destinations x tasks.
+    """
+    folders = [SHARED_COLUMN] + (["dt"] if cfg.partition else [])
+    if clash := sorted(set(folders) & set(df.columns)):
+        raise ValueError(f"shared writes need the names {folders} for folders, but rows have {clash}")
+    if cfg.save_mode != "append":
+        raise ValueError("shared writes append: any other mode would act on all tables of the lake")
+    obs = Observation(f"rows_{uuid.uuid4().hex}")
+    name = F.concat(F.lit(cfg.prefix), map_destination(DESTINATION, cfg.dest_regexp, cfg.dest_replace))
+    out = df.observe(obs, F.count(F.lit(1)).alias("rows")).withColumn(SHARED_COLUMN, name).drop(DESTINATION)
+    if cfg.partition:
+        out = out.withColumn("dt", F.lit(partition_date_text(batch_time_ms, cfg.partition_tz).split("=", 1)[1]))
+    writer = out.hint("rebalance", SHARED_COLUMN).write.mode("append").format(cfg.save_format).options(**dict(cfg.write_options)).partitionBy(*folders)
+    if cfg.rows_per_file:
+        writer = writer.option("maxRecordsPerFile", str(cfg.rows_per_file))
+    if basename:
+        writer = writer.option(BASENAME, basename)
+    with _path_lock(cfg.base_path.rstrip("/")):
+        writer.save(cfg.base_path)
+    return int(obs.get.get("rows", 0))
+
+
+def write_group(df: DataFrame, path: str, cfg: CdcConfig, expected_rows: int | None = None, basename: str | None = None) -> int:
+    """Append ``df`` to ``path``; the row count is observed during the write itself. Names of its files begin with ``basename``."""
     obs = Observation(f"rows_{uuid.uuid4().hex}")
     out = df.observe(obs, F.count(F.lit(1)).alias("rows"))
     if cfg.rows_per_file and expected_rows:
@@ -306,6 +374,8 @@ def write_group(df: DataFrame, path: str, cfg: CdcConfig, expected_rows: int | N
         writer = writer.option("maxRecordsPerFile", str(cfg.rows_per_file))
     if cfg.summary_metadata and cfg.save_format == "parquet":
         writer = writer.option("parquet.summary.metadata.level", "ALL")
+    if basename:
+        writer = writer.option(BASENAME, basename)
     with _path_lock(path):
         writer.save(path)
     return int(obs.get.get("rows", 0))
@@ -420,6 +490,9 @@ def ingest_batch(events: DataFrame, cfg: CdcConfig, batch_id: int | None = None,
     landed rows are exactly-once. ``stream_id`` names whose batch ids these
     are (``cfg.stream_id`` if not given; a streaming query's own id by default).
     A batch of more than ``cfg.max_groups`` groups is landed in rounds.
+    With ``cfg.manifest`` all tables' files are published together once the last of them is written; a
+    batch that fails before shows none of its rows to readers by the manifest, and one that is published already is not landed again.
+    With ``cfg.shared_writes`` destinations with one schema are decoded and written by one job.
     """
     spark = events.sparkSession
     batch_time_ms = int(batch_time_ms if batch_time_ms is not None else time.time() * 1000)
@@ -430,7 +503,23 @@ def ingest_batch(events: DataFrame, cfg: CdcConfig, batch_id: int | None = None,
         if not stream_id or not re.fullmatch(r"[A-Za-z0-9._-]+", stream_id):
             raise ValueError("idempotent writes need a stream id of letters, digits, dots and dashes: batch ids of two streams are alike")
         batch_time_ms = stable_batch_time(spark, cfg.base_path, stream_id, batch_id, batch_time_ms)
+    if cfg.idempotent and (cfg.manifest or cfg.shared_writes):
+        raise ValueError("idempotent folders exclude a manifest, which lands each batch once too, and shared writes")
+    if cfg.schema_store and cfg.shared_writes:
+        raise ValueError("a schema store keeps each table's versions in folders of their own, which shared writes don't")
     wcfg = cfg.with_(save_mode="overwrite") if cfg.idempotent else cfg
+    result = BatchResult(batch_id, batch_time_ms)
+    key = None
+    if cfg.manifest:
+        if cfg.save_format not in ("parquet", "orc"):
+            raise ValueError("a manifest needs Parquet or ORC tables")
+        stream_id = stream_id or cfg.stream_id
+        if batch_id is not None and not re.fullmatch(r"[A-Za-z0-9._-]+", stream_id or ""):
+            raise ValueError("published batches need a stream id of letters, digits, dots and dashes: batch ids of two streams are alike")
+        key = f"{stream_id}-{batch_id}" if batch_id is not None else uuid.uuid4().hex
+        if is_published(spark, cfg.base_path, key):
+            return _published_result(spark, cfg, key, result)
+        result.tag = f"b{uuid.uuid4().hex[:12]}"
     ev = drop_tombstones(events)
     if cfg.include_tables is not None:
         ev = include_tables(ev, cfg.include_tables)
@@ -443,25 +532,34 @@ def ingest_batch(events: DataFrame, cfg: CdcConfig, batch_id: int | None = None,
         keyed, batch_path = stage_batch(keyed)
     else:
         keyed = keyed.sortWithinPartitions("gid", "destination").persist(StorageLevel.MEMORY_AND_DISK)
-    result = BatchResult(batch_id, batch_time_ms)
     try:
-        for groups in group_rounds(keyed, cfg.max_groups):
+        for groups in group_rounds(keyed, cfg.max_groups, cfg.logical_types):
             _land_round(keyed, groups, cfg, wcfg, result, stream_id, staged_batch=batch_path is not None)
     finally:
         if batch_path is None:
             keyed.unpersist()
         else:
             _delete(spark, batch_path)
+    if key is not None:
+        publish(spark, cfg.base_path, key, result.written, save_format=cfg.save_format)
     if cfg.ingest_log and result.groups:
         append_ingest_log(spark, cfg, result, stream_id)
     return result
 
 
+def _published_result(spark, cfg: CdcConfig, key: str, result: BatchResult) -> BatchResult:
+    """What a batch that is published already landed, per table."""
+    rows = read_manifest(spark, cfg.base_path).where(F.col("batch") == key).groupBy("table").agg(F.sum("rows").alias("rows"), F.min("schema_json").alias("schema"))
+    for r in rows.toLocalIterator():
+        result.groups.append(GroupResult(r["table"], f"{cfg.base_path.rstrip('/')}/{r['table']}", r["rows"], 0, "", KIND_DECLARED, r["schema"]))
+    return result
+
+
 def _land_round(keyed: DataFrame, groups: list[SchemaGroup], cfg: CdcConfig, wcfg: CdcConfig, result: BatchResult,
                 stream_id: str | None, staged_batch: bool) -> None:
     """Decode and write some groups of a keyed batch; their results are added to ``result``."""
     batch_id, batch_time_ms = result.batch_id, result.batch_time_ms
-    small = [] if staged_batch else small_groups(groups, keyed.rdd.getNumPartitions(), cfg)
+    small = [] if staged_batch or cfg.shared_writes else small_groups(groups, keyed.rdd.getNumPartitions(), cfg)
     staged, staged_path = stage_small_groups(keyed, small) if small else (None, None)
     result.staged_groups += len(small)
     small_ids = {id(g) for g in small}
@@ -477,6 +575,34 @@ def _land_round(keyed: DataFrame, groups: list[SchemaGroup], cfg: CdcConfig, wcf
         n = write_group(rows, path, wcfg.with_(save_format="json", rows_per_file=None))
         return GroupResult(g.destination, path, n, 0, "", KIND_MALFORMED)
 
+    def next_tag() -> str | None:
+        return None if result.tag is None else f"{result.tag}{uuid.uuid4().hex[:8]}"  # one for each write
+
+    def note(dest: str, path: str, schema_json: str, tag: str | None) -> None:
+        if tag is not None:
+            result.written.append(Written(table_name(cfg, dest), path, schema_json, tag))
+
+    def land_shared(members: list[SchemaGroup]) -> list[GroupResult]:
+        g = SchemaGroup(members[0].destination, members[0].kind, [x for m in members for x in m.gids], sum(m.rows for m in members), members[0].struct, members[0].schema_text, members[0].exact_texts)
+        df = decode_group(keyed, g, cfg, batch_time_ms, with_destination=True)
+        tag = next_tag()
+        total = write_shared(df, cfg, batch_time_ms, tag)
+        schema_json = df.drop(DESTINATION).schema.json()
+        lost: dict[str, int] = {}
+        out = []
+        if cfg.on_malformed == "quarantine" and total < g.rows:
+            bad = misfits(keyed, g)
+            lost = {r["destination"]: r["count"] for r in bad.groupBy("destination").count().toLocalIterator()}
+            out += [quarantine(bad.filter(F.col("destination") == m.destination), m) for m in members if m.destination in lost]
+        rows = Counter()
+        for m in members:
+            rows[m.destination] += m.rows
+        for dest, n in rows.items():
+            path = group_path(cfg, dest, batch_time_ms)
+            out.append(GroupResult(dest, path, n - lost.get(dest, 0), len(df.columns) - 1, _schema_hash(g.struct), g.kind, schema_json))
+            note(dest, path, schema_json, tag)
+        return out
+
     def land(dest: str) -> list[GroupResult]:
         out = []
         for g in by_dest[dest]:
@@ -488,24 +614,34 @@ def _land_round(keyed: DataFrame, groups: list[SchemaGroup], cfg: CdcConfig, wcf
             source = staged if id(g) in small_ids else keyed
             df = decode_group(source, g, cfg, batch_time_ms)
             path = group_path(cfg, dest, batch_time_ms)
+            if cfg.schema_store and g.kind != KIND_DECLARED:
+                version, _ = join_schema(keyed.sparkSession, cfg.base_path, table_name(cfg, dest), df.schema, ROWS)
+                path = f"{path}/{VERSION}={version}"
             if cfg.idempotent:
                 path = replay_dir(path, stream_id, batch_id, g)
-            n = write_group(df, path, wcfg, g.rows)
+            tag = next_tag()
+            n = write_group(df, path, wcfg, g.rows, tag)
             out.append(GroupResult(dest, path, n, len(df.columns), _schema_hash(g.struct), g.kind, df.schema.json()))
+            note(dest, path, df.schema.json(), tag)
             if cfg.on_malformed == "quarantine" and n < g.rows:
                 bad = misfits(source, g)
                 if bad.limit(1).count():
                     out.append(quarantine(bad, g))
         return out
 
+    jobs = [(land, dest) for dest in by_dest]
+    if cfg.shared_writes:
+        good = [g for g in groups if g.kind != KIND_MALFORMED]
+        by_dest = OrderedDict((d, [g for g in gs if g.kind == KIND_MALFORMED]) for d, gs in by_dest.items())
+        jobs = [(land, d) for d, gs in by_dest.items() if gs] + [(land_shared, m) for m in shared_groups(good, cfg.logical_types)]
     try:
-        if cfg.parallel_writes > 1 and len(by_dest) > 1:
-            with ThreadPoolExecutor(max_workers=min(cfg.parallel_writes, len(by_dest))) as pool:
-                for res in pool.map(land, list(by_dest)):
+        if cfg.parallel_writes > 1 and len(jobs) > 1:
+            with ThreadPoolExecutor(max_workers=min(cfg.parallel_writes, len(jobs))) as pool:
+                for res in pool.map(lambda job: job[0](job[1]), jobs):
                     result.groups.extend(res)
         else:
-            for dest in by_dest:
-                result.groups.extend(land(dest))
+            for run, of in jobs:
+                result.groups.extend(run(of))
     finally:
         if staged_path is not None:
             _delete(keyed.sparkSession, staged_path)
@@ -552,7 +688,7 @@ def decode_events(events: DataFrame, cfg: CdcConfig | None = None, batch_time_ms
     path = None
     if materialize:
         keyed, path = stage_batch(keyed)
-    groups = discover_groups(keyed, cfg.max_groups)
+    groups = discover_groups(keyed, cfg.max_groups, cfg.logical_types)
     out = DecodedGroups(events.sparkSession, path)
     for g in groups:
         if g.kind == KIND_MALFORMED:
@@ -590,4 +726,4 @@ def append_ingest_log(spark, cfg: CdcConfig, result: BatchResult, stream_id: str
 
 
 __all__ = ["BatchResult", "GroupResult", "SchemaGroup", "append_ingest_log", "decode_events", "decode_group", "discover_groups", "group_counts",
-           "group_path", "group_rounds", "ingest_batch", "input_partitions", "key_events", "misfits", "replay_dir", "small_groups", "stable_batch_time", "stage_batch", "stage_small_groups", "spread", "write_group"]
+           "group_path", "group_rounds", "ingest_batch", "input_partitions", "key_events", "misfits", "replay_dir", "shared_groups", "small_groups", "stable_batch_time", "stage_batch", "stage_small_groups", "spread", "write_group", "write_shared"]

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -48,6 +49,29 @@ def widen_structs(structs: list[T.StructType], path: str = "") -> T.StructType:
     return T.StructType([T.StructField(n, t, True) for n, t in fields.items()])
 
 
+def as_type(c: Column, have: T.DataType, want: T.DataType) -> Column:
+    """A value of an older version as the widened type: numbers cast, missing fields of structs null."""
+    if have == want:
+        return c
+    if isinstance(have, T.StructType) and isinstance(want, T.StructType):
+        names = have.fieldNames()
+        fields = [(as_type(c.getField(f.name), have[f.name].dataType, f.dataType) if f.name in names else F.lit(None).cast(f.dataType)).alias(f.name) for f in want.fields]
+        return F.when(c.isNotNull(), F.struct(*fields))
+    if isinstance(have, T.ArrayType) and isinstance(want, T.ArrayType):
+        return F.transform(c, lambda x: as_type(x, have.elementType, want.elementType))
+    if isinstance(have, T.MapType) and isinstance(want, T.MapType):
+        return F.transform_values(c, lambda _, x: as_type(x, have.valueType, want.valueType))
+    return c.cast(want)
+
+
+def as_version(df: DataFrame, have: T.StructType, want: T.StructType, kept: Sequence[str | Column] = ()) -> DataFrame:
+    """Rows read with an older version's schema as the widened one's columns, and ``kept`` ones."""
+    names = have.fieldNames()
+    quoted = lambda x: F.col("`" + x.replace("`", "``") + "`")
+    cols = [as_type(quoted(f.name), have[f.name].dataType, f.dataType).alias(f.name) if f.name in names else F.lit(None).cast(f.dataType).alias(f.name) for f in want.fields]
+    return df.select(*cols, *kept)
+
+
 def logged_schemas(spark: SparkSession, ingest_log: str, path: str) -> list[T.StructType]:
     """Distinct written schemas of a table (one per version, from the ingest log).
 
@@ -75,9 +99,15 @@ def logged_rows(spark: SparkSession, ingest_log: str, path: str) -> int:
 
 def read_table(spark: SparkSession, path: str, *, save_format: str = "parquet", merge_schema: bool = True,
                provenance: bool = True, ingest_log: str | None = None,
-               options: dict[str, str] | None = None) -> DataFrame:
+               options: dict[str, str] | None = None, manifest: str | None = None, uncovered: str = "hide",
+               schema_store: str | None = None) -> DataFrame:
     """Scan a landed table directory.
 
+    With ``manifest`` (the lake's base path, of batches landed with ``CdcConfig.manifest``) the scan is
+    planned from the published files alone, see :func:`cdclake.sources.manifest.read_published`.
+    With ``schema_store`` (the lake's base path, of batches landed with ``CdcConfig.schema_store``) a table of
+    events without schemas is read by its stored schema versions: no file is opened to plan, and older files are widened.
+
     Files written under different schema versions are merged by name (new
     columns appear, missing ones are null). Reading the table root (not
     ``root/*``) keeps ``dt=`` directories as a prunable ``dt`` column.
@@ -95,6 +125,14 @@ def read_table(spark: SparkSession, path: str, *, save_format: str = "parquet",
     footers raise. ``options`` go to the reader (e.g. ``header`` for CSV).
     """
     opts = dict(options or {})
+    if manifest is not None:
+        from .manifest import read_published
+
+        return read_published(spark, manifest, path, uncovered=uncovered, save_format=save_format, options=opts, provenance=INPUT_FILE if provenance else None)
+    if schema_store is not None:
+        from .schemas import read_stored
+
+        return read_stored(spark, schema_store, path, save_format=save_format, options=opts, provenance=INPUT_FILE if provenance else None)
     if ingest_log is not None and merge_schema:
         versions = logged_schemas(spark, ingest_log, path)
         if versions:

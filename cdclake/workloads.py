@@ -9,23 +9,27 @@ Event rule shared by all queries (key ``k``): ``op`` is ``d`` when ``k % 10 =
 
 from __future__ import annotations
 
+import json
 import time
 from functools import reduce
 from typing import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .config import CdcConfig, TriggerPolicy, default_parallelism, scratch_path
 from .functions.columns import epoch_days, epoch_micros, long_div, partition_date, target_path, write_id
 from .operators.decode import decode_key
 from .operators.envelope import drop_tombstones, include_tables, split_malformed
-from .operators.reports import batch_sizes, batch_utilisation, lag_report, progress_by_interval, progress_report
+from .operators.mongo import latest_documents
+from .operators.reports import batch_sizes, batch_utilisation, lag_report, progress_by_interval, progress_report, snapshot_state
 from .operators.transform import normalize_source
-from .plans.compact import commit_compaction, compact_partition
+from .plans.compact import commit_compaction, compact_partition, compact_published
 from .plans.ingest import decode_events, discover_groups, ingest_batch, key_events
 from .sources.encode import encode_events
 from .sources.events import read_event_stream, read_events, write_events
+from .sources.manifest import delete_removed, file_system, list_files
 from .sources.tables import COMMIT_FILES, commit_files, read_table
 from .streaming.stream import start_stream
 
@@ -1116,6 +1120,151 @@ def q_decimal_as_double(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decoded(encode_events(li, "testc.inventory.lineitem")).select("l_orderkey", "l_linenumber", "price")
 
 
+@register("read_log_gap", """
+SELECT o_orderkey, o_custkey, CASE WHEN o_orderkey % 3 = 1 THEN o_orderpriority END AS o_orderpriority
+FROM orders WHERE o_orderkey % 3 <> 2""")
+def q_read_log_gap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A read planned from the file manifest, with a batch (and its column) that the manifest lacks and one whose files were deleted."""
+    base = scratch_path(spark, "log_gap")
+    o = source_rows(spark, sf_dir, "orders")
+    k = F.col("o_orderkey")
+    for part, columns in ((0, ["o_orderkey", "o_custkey"]), (2, ["o_orderkey", "o_custkey"]), (1, ["o_orderkey", "o_custkey", "o_orderpriority"])):
+        rows = o.where(k % 3 == part).select(*columns)
+        cfg = CdcConfig(base_path=base, manifest=part != 1)
+        before = set(list_files(spark, f"{base}/{ORDERS}"))
+        ingest_batch(encode_events(rows, ORDERS, key=["o_orderkey"], op=op_rule(k), lsn=k), cfg, batch_time_ms=BATCH_TIME_MS)
+        if part == 2:
+            for name in set(list_files(spark, f"{base}/{ORDERS}")) - before:
+                fs, p = file_system(spark, f"{base}/{ORDERS}/{name}")
+                fs.delete(p, False)
+    t = read_table(spark, f"{base}/{ORDERS}", manifest=base, uncovered="read", provenance=False)
+    return t.select("o_orderkey", "o_custkey", "o_orderpriority")
+
+
+@register("land_published", """
+SELECT o_orderkey AS key, o_orderstatus AS state, 'orders' AS source FROM orders WHERE o_orderkey % 2 = 0
+UNION ALL SELECT c_custkey, c_mktsegment, 'customer' FROM customer WHERE c_custkey % 2 = 0""")
+def q_land_published(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K4: of two batches over two tables the second fails between its tables; readers by the manifest see the first alone."""
+    base = scratch_path(spark, "published")
+    cfg = CdcConfig(base_path=base, manifest=True, stream_id="published", parallel_writes=1)
+    orders = source_rows(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
+    customer = source_rows(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
+    for part in (0, 1):
+        first = encode_events(customer.where(F.col("c_custkey") % 2 == part), CUSTOMER, key=["c_custkey"], op=F.lit("c"), lsn=F.col("c_custkey"))
+        second = encode_events(orders.where(F.col("o_orderkey") % 2 == part), ORDERS, key=["o_orderkey"], op=F.lit("c"), lsn=F.col("o_orderkey"))
+        events = union_all([first, second])
+        if part:  # the orders' events have text that is no JSON among them, and customers come first
+            events = events.withColumn("value", F.when((F.col("destination") == ORDERS) & F.col("key").contains("11"), F.lit("{")).otherwise(F.col("value")))
+        try:
+            ingest_batch(events, cfg, batch_id=part, batch_time_ms=BATCH_TIME_MS)
+        except ValueError:
+            if not part:
+                raise
+    o = read_table(spark, f"{base}/{ORDERS}", manifest=base, provenance=False)
+    c = read_table(spark, f"{base}/{CUSTOMER}", manifest=base, provenance=False)
+    return union_all([o.select(F.col("o_orderkey").alias("key"), F.col("o_orderstatus").alias("state"), F.lit("orders").alias("source")),
+                      c.select(F.col("c_custkey").alias("key"), F.col("c_mktsegment").alias("state"), F.lit("customer").alias("source"))])
+
+
+@register("land_shared", """
+SELECT 'testc.shared.c' || (o_custkey % 200) AS destination, o_orderkey, o_custkey, o_totalprice, o_orderstatus FROM orders""")
+def q_land_shared(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K2: two hundred destinations of one schema landed by one write job, read back as tables of one root."""
+    base = scratch_path(spark, "shared")
+    o = source_rows(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus")
+    dest = F.concat(F.lit("testc.shared.c"), (F.col("o_custkey") % 200).cast("string"))
+    ingest_batch(encode_events(o, dest, key=["o_orderkey"], op=F.lit("c"), lsn=F.col("o_orderkey")), CdcConfig(base_path=base, shared_writes=True, partition=True), batch_time_ms=BATCH_TIME_MS)
+    return read_table(spark, base, provenance=False).select("destination", "o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus")
+
+
+@register("compact_published", f"""
+SELECT o_orderkey, o_custkey, CASE WHEN o_orderkey % 6 = 5 THEN o_orderpriority END AS o_orderpriority FROM orders""")
+def q_compact_published(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T4: small files of two folders and two schema versions packed and swapped by the manifest, rows unchanged."""
+    base = scratch_path(spark, "compact_published")
+    o, k = source_rows(spark, sf_dir, "orders"), F.col("o_orderkey")
+    for part in range(6):
+        rows = o.where(k % 6 == part).select("o_orderkey", "o_custkey", *(["o_orderpriority"] if part == 5 else []))
+        ingest_batch(encode_events(rows, ORDERS, key=["o_orderkey"], op=F.lit("c"), lsn=k), CdcConfig(base_path=base, manifest=True, partition=True), batch_time_ms=BATCH_TIME_MS + part % 2 * 86_400_000)
+    plan = compact_published(spark, base, f"{base}/{ORDERS}")
+    if plan.added != 2 or plan.untouched or delete_removed(spark, base, f"{base}/{ORDERS}") != plan.removed:
+        raise RuntimeError(f"unexpected compaction: {plan}")
+    return read_table(spark, f"{base}/{ORDERS}", provenance=False).select("o_orderkey", "o_custkey", "o_orderpriority")
+
+
+@register("snapshot_state", """
+WITH e AS (SELECT 's' || (o_custkey % 3) AS destination, o_orderkey // 100 AS batch, o_orderkey AS pos, o_orderkey // 100 % 7 < 2 + o_custkey % 3 AS read FROM orders),
+runs AS (SELECT *, row_number() OVER (PARTITION BY destination ORDER BY pos) - row_number() OVER (PARTITION BY destination, read ORDER BY pos) AS run FROM e),
+found AS (SELECT destination, run, min(batch) AS first_batch, max(batch) AS last_batch, count(*) AS rows, max(pos) AS last FROM runs WHERE read GROUP BY destination, run)
+SELECT destination, CAST(row_number() OVER (PARTITION BY destination ORDER BY last) AS INTEGER) AS snapshot, first_batch, last_batch, rows,
+       CASE WHEN last < (SELECT max(pos) FROM e WHERE e.destination = found.destination) THEN 'completed' ELSE 'running' END AS state
+FROM found""")
+def q_snapshot_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The snapshots of three tables, by gaps and islands over their batches' reads."""
+    o, k = source_rows(spark, sf_dir, "orders"), F.col("o_orderkey")
+    read = long_div(k, 100) % 7 < 2 + F.col("o_custkey") % 3
+    events = encode_events(o, F.concat(F.lit("s"), (F.col("o_custkey") % 3).cast("string")), key=["o_orderkey"], op=F.when(read, F.lit("r")).otherwise(F.lit("u")), lsn=k)
+    rows = union_all([df.select(F.lit(g.destination).alias("destination"), "__lsn", "__op") for g, df in decode_events(events)])
+    return snapshot_state(rows.withColumn("batch_id", long_div(F.col("__lsn"), 100)))
+
+
+@register("logical_types", """
+SELECT o_orderkey, CAST(CAST(CASE WHEN o_orderkey % 2 = 0 THEN -o_totalprice ELSE o_totalprice END AS DECIMAL(15, 2)) AS VARCHAR) AS price,
+       CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS day, epoch_us(o_orderdate) AS at_us
+FROM orders""")
+def q_logical_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact decimals from two's complement bytes, dates from days and timestamps from microseconds, landed as such."""
+    base = scratch_path(spark, "logical")
+    o, k = source_rows(spark, sf_dir, "orders"), F.col("o_orderkey")
+    cents = F.round(F.col("o_totalprice") * 100).cast("bigint") * F.when(k % 2 == 0, F.lit(-1)).otherwise(F.lit(1))
+    octets = F.base64(F.unhex(F.lpad(F.hex(cents), 16, "0")))
+    schema = json.dumps({"type": "struct", "fields": [
+        {"field": "o_orderkey", "type": "int64"}, {"field": "price", "type": "bytes", "name": "org.apache.kafka.connect.data.Decimal", "parameters": {"scale": "2", "connect.decimal.precision": "15"}},
+        {"field": "day", "type": "int32", "name": "io.debezium.time.Date"}, {"field": "at", "type": "int64", "name": "io.debezium.time.MicroTimestamp"}]})
+    payload = F.to_json(F.struct("o_orderkey", octets.alias("price"), epoch_days("o_orderdate").alias("day"), epoch_micros("o_orderdate").alias("at")))
+    value = F.concat(F.lit(f'{{"schema": {schema}, "payload": '), payload, F.lit("}"))
+    ingest_batch(o.select(F.lit(ORDERS).alias("destination"), F.lit(None).cast("string").alias("key"), value.alias("value")), CdcConfig(base_path=base, logical_types=True), batch_time_ms=BATCH_TIME_MS)
+    t = read_table(spark, f"{base}/{ORDERS}", provenance=False)
+    return t.select("o_orderkey", F.col("price").cast("string").alias("price"), F.col("day").cast("string").alias("day"), F.unix_micros("at").alias("at_us"))
+
+
+@register("unwrap_mongo", """
+SELECT 'o' || o_orderkey AS id, o_custkey AS n, CASE WHEN o_orderkey % 3 = 0 THEN 'patched' ELSE o_orderstatus END AS state,
+       CASE WHEN o_orderkey % 3 = 0 THEN o_orderkey END AS patch_no, CASE WHEN o_orderkey % 3 <> 0 THEN o_orderpriority END AS note
+FROM orders WHERE o_orderkey % 10 <> 0
+UNION ALL SELECT 'o' || o_orderkey, NULL, 'again', NULL, NULL FROM orders WHERE o_orderkey % 20 = 0""")
+def q_unwrap_mongo(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """MongoDB changes (inserts of extended JSON, patches, deletes, inserts after deletes) folded to the newest documents."""
+    o, k = source_rows(spark, sf_dir, "orders"), F.col("o_orderkey")
+    oid = F.concat(F.lit('{"$oid": "o'), k.cast("string"), F.lit('"}'))
+    doc = F.concat(F.lit('{"_id": '), oid, F.lit(', "n": {"$numberLong": "'), F.col("o_custkey").cast("string"), F.lit('"}, "state": "'), "o_orderstatus", F.lit('", "note": "'), "o_orderpriority", F.lit('"}'))
+    patch = F.concat(F.lit('{"$set": {"state": "patched", "patch_no": {"$numberLong": "'), k.cast("string"), F.lit('"}}, "$unset": {"note": true}}'))
+    again = F.concat(F.lit('{"_id": '), oid, F.lit(', "state": "again"}'))
+    none = F.lit(None).cast("string")
+    change = lambda at, op, after, patch, where: o.where(where).select(F.concat(F.lit("o"), k.cast("string")).alias("id"), F.lit(at).alias("ord"), F.lit(op).alias("op"), after.alias("after"), patch.alias("patch"))
+    changes = union_all([change(1, "c", doc, none, F.lit(True)), change(2, "u", none, patch, k % 3 == 0), change(3, "d", none, none, k % 10 == 0), change(4, "c", again, none, k % 20 == 0)])
+    fields = [{"field": "id", "type": "string"}, {"field": "ord", "type": "int32"}, *[{"field": x, "type": "string"} for x in ("op", "after", "patch")]]
+    schema = json.dumps({"type": "struct", "fields": fields})
+    value = F.concat(F.lit(f'{{"schema": {schema}, "payload": '), F.to_json(F.struct("id", "ord", "op", "after", "patch"), {"ignoreNullFields": "false"}), F.lit("}"))
+    events = changes.select(F.lit("m.orders").alias("destination"), F.lit(None).cast("string").alias("key"), value.alias("value"))
+    struct = T.StructType([T.StructField("n", T.LongType()), T.StructField("state", T.StringType()), T.StructField("patch_no", T.LongType()), T.StructField("note", T.StringType())])
+    return latest_documents(decoded(events), "id", ["ord"], struct=struct).select("id", "n", "state", "patch_no", "note")
+
+
+@register("schemaless_versions", """
+SELECT o_orderkey, CASE WHEN o_orderkey % 2 = 0 THEN o_custkey ELSE o_totalprice END AS amount, CASE WHEN o_orderkey % 2 = 1 THEN o_orderstatus END AS state FROM orders""")
+def q_schemaless_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events without schemas in two batches, whole numbers and then fractions, read as one table by its stored schema versions."""
+    base = scratch_path(spark, "schemaless")
+    o, k = source_rows(spark, sf_dir, "orders"), F.col("o_orderkey")
+    parts = [o.where(k % 2 == 0).select("o_orderkey", F.col("o_custkey").alias("amount")), o.where(k % 2 == 1).select("o_orderkey", (F.col("o_totalprice")).alias("amount"), F.col("o_orderstatus").alias("state"))]
+    for part in parts:
+        events = part.select(F.lit(ORDERS).alias("destination"), F.lit(None).cast("string").alias("key"), F.to_json(F.struct("*")).alias("value"))
+        ingest_batch(events, CdcConfig(base_path=base, schema_store=True, ingest_log=False), batch_time_ms=BATCH_TIME_MS)
+    return read_table(spark, f"{base}/{ORDERS}", schema_store=base, provenance=False).select("o_orderkey", "amount", "state")
+
+
 STREAM_ROWS = 2000  # events of a batch in the queries that end batches by rows
 
 

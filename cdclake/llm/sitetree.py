@@ -13,6 +13,7 @@ from __future__ import annotations
 import hashlib
 import html as entities
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -25,7 +26,7 @@ LEAST_PAGES = 5  # pages that must hold a node before its entropy counts
 THRESHOLD = 0.25  # composite importance below which a text is cut
 MARKED = 0.2  # weight of texts in markup that names furniture: below the threshold, as menus and adverts may differ on every page
 OUTSIDE = 0.5  # weight of texts outside of article and main elements, on pages that have text in them
-DEPTH = 256  # elements nested deeper count as text of the last, as browsers do at some depth
+HINTED = 0.5  # weight of texts in markup whose names have such a word beside words of contents, as social-security has: the pages' tree decides
 OWN = 0.1  # weight of a node's presentation against that of its contents
 
 # HTML elements by their role in a document.
@@ -34,12 +35,16 @@ RAW = set("script style textarea title noscript template iframe xmp noembed nofr
 BLOCKS = set(("address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form "
               "h1 h2 h3 h4 h5 h6 header hr html legend li main menu nav ol optgroup option p pre section summary table tbody td tfoot th thead tr ul").split())
 FURNITURE = set("nav footer aside form head menu button select dialog svg canvas object audio video map datalist".split())
-ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
+CELLS = {"tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}}  # which innermost scope a new row or cell ends
 SCOPES = set("ul ol dl table tbody thead tfoot tr select body article section div main aside nav footer header form td th".split())
 ROLES = set("navigation banner contentinfo complementary search alert alertdialog dialog form menu menubar toolbar".split())
 MARKS = set(("ad ads adv advert adverts advertisement advertising adsense banner breadcrumb breadcrumbs comment comments consent cookie cookies disclaimer disqus "
              "footer gdpr header login masthead menu menubar modal nav navbar navigation newsletter notice notices notification pager pagination popup "
              "promo promotion related reply respond search share sharing sidebar signup skip social sponsor sponsored subscribe subscription teaser toolbar topbar widget").split())
+# Words that go with a mark's word in names of furniture, as in nav-list or ad-slot-2.
+PARTS = set(("area article articles author avatar bar block body bottom box button buttons card cards col column columns container content count date desktop facebook form global google "
+             "group icon icons inline inner input item items label leaderboard left link links list local mail email main meta mobile module network news outer panel post posts primary "
+             "right row section secondary signup site slot small span stories story tab tabs text title top twitter ul unit up user wide widget widgets wrap wrapper zone").split())
 LAYOUT = set("fixed has layout no page sticky with without wrapper".split())  # in a name, they say what a whole page looks like
 
 _TOKEN = re.compile(
@@ -48,11 +53,26 @@ _ATTRIBUTE = re.compile(r"([a-zA-Z][\w:.-]*)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|
 _PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 
+GROUPS = {"p": 0, "li": 1, "dt": 2, "dd": 2, "option": 3}  # elements that a new one of their group ends, within a scope
+
+
 class Node:
-    __slots__ = ("tag", "path", "dropped", "main", "children")
+    """An open element: its style path, how its markup weighs, and where the stack holds what later elements look for.
+
+    scope and block are the stack's indices of the innermost scope and block, itself included; near those of the innermost open
+    paragraph, list item, term and option in its scope. So an element is placed in constant time at any depth.
+    """
+
+    __slots__ = ("tag", "path", "weight", "main", "children", "scope", "block", "near")
 
-    def __init__(self, tag: str, path: int, dropped: bool, main: bool):
-        self.tag, self.path, self.dropped, self.main, self.children = tag, path, dropped, main, set()
+    def __init__(self, tag: str, path: int, weight: float, main: bool, at: int = 0, up: "Node | None" = None):
+        self.tag, self.path, self.weight, self.main, self.children = tag, path, weight, main, set()
+        self.scope = at if tag in SCOPES or up is None else up.scope
+        self.block = at if tag in BLOCKS or up is None else up.block
+        self.near = (-1, -1, -1, -1) if tag in SCOPES or up is None else up.near
+        if tag in GROUPS:
+            k = GROUPS[tag]
+            self.near = (*self.near[:k], at, *self.near[k + 1 :])
 
 
 def _path(parent: int, style: str) -> int:
@@ -60,47 +80,51 @@ def _path(parent: int, style: str) -> int:
     return int.from_bytes(hashlib.blake2b(f"{parent}>{style}".encode(), digest_size=8).digest(), "big", signed=True)
 
 
-def _style(tag: str, raw: str, inside_article: bool) -> tuple[str, bool]:
-    """(style of an element, whether its markup says that it is no main text)."""
+def _style(tag: str, raw: str, inside_article: bool) -> tuple[str, float]:
+    """(style of an element, the weight of its texts by its markup: MARKED, HINTED or 1)."""
     found = {}
     for m in _ATTRIBUTE.finditer(raw):
         found.setdefault(m[1].lower(), m[2] or m[3] or m[4] or "")
     names = f"{found.get('class', '')} {found.get('id', '')}"
     named = [{x.lower() for x in _PART.findall(name)} for name in names.split()]
-    parts = {x for name in named if not name & LAYOUT for x in name}
+    marked = [name for name in named if name & MARKS and not name & LAYOUT and not (inside_article and name & MARKS == {"header"})]
+    if tag in ("html", "body"):
+        marked = []
     role = found.get("role", "").lower()
-    furniture = (tag in FURNITURE or tag == "header" and not inside_article or bool(parts & MARKS) and tag not in ("html", "body") and not (inside_article and parts & MARKS == {"header"})
+    furniture = (tag in FURNITURE or tag == "header" and not inside_article or any(name <= MARKS | PARTS for name in marked)
                  or role in ROLES or "hidden" in found or found.get("aria-hidden") == "true" or "display:none" in found.get("style", "").replace(" ", "").lower())
+    weight = MARKED if furniture else HINTED if marked else 1.0
     label = re.sub(r"\d+", "0", names).split()
-    return tag + "".join(sorted(f".{x}" for x in label)) + (f"@{role}" if role else ""), furniture
+    return tag + "".join(sorted(f".{x}" for x in label)) + (f"@{role}" if role else ""), weight
 
 
 def parse(page: str) -> tuple[list[tuple[int, str, bool]], dict[int, set[str]]]:
     """Blocks (style path, text, in an article or main element) outside furniture, in page order; and styles: path -> child styles."""
     blocks, styles = parse_all(page)
-    return [(path, text, main) for path, text, main, marked in blocks if not marked], styles
+    return [(path, text, main) for path, text, main, weight in blocks if weight > MARKED], styles
 
 
-def parse_all(page: str) -> tuple[list[tuple[int, str, bool, bool]], dict[int, set[str]]]:
-    """Blocks (style path, text, in an article or main element, in furniture) of the whole page, in page order; and styles: path -> child styles."""
-    stack = [Node("", 0, False, False)]
-    blocks: list[tuple[int, str, bool, bool]] = []
+def parse_all(page: str) -> tuple[list[tuple[int, str, bool, float]], dict[int, set[str]]]:
+    """Blocks (style path, text, in an article or main element, weight by markup) of the whole page, in page order; and styles: path -> child styles."""
+    stack = [Node("", 0, 1.0, False)]
+    blocks: list[tuple[int, str, bool, float]] = []
     styles: dict[int, set[str]] = {}
     text: list[str] = []
     inline: dict[int, list[str]] = {}  # texts of furniture that stands in a line, by its path
-    owner, deeper = stack[0], 0
+    owner = stack[0]
+    opened: Counter[str] = Counter()
 
     def flush() -> None:
         nonlocal text
-        for path, parts, marked in [(owner.path, text, owner.dropped), *((k, x, True) for k, x in inline.items())]:
+        for path, parts, weight in [(owner.path, text, owner.weight), *((k, x, MARKED) for k, x in inline.items())]:
             joined = " ".join(entities.unescape("".join(parts)).split())
             if joined:
-                blocks.append((path, joined, owner.main, marked))
+                blocks.append((path, joined, owner.main, weight))
         text = []
         inline.clear()
 
     def write(x: str) -> None:
-        (inline.setdefault(stack[-1].path, []) if stack[-1].dropped and not owner.dropped else text).append(x)
+        (inline.setdefault(stack[-1].path, []) if stack[-1].weight <= MARKED < owner.weight else text).append(x)
 
     def close(k: int) -> None:
         nonlocal owner
@@ -108,8 +132,9 @@ def parse_all(page: str) -> tuple[list[tuple[int, str, bool, bool]], dict[int, s
             flush()
         for node in stack[k:]:
             styles.setdefault(node.path, set()).update(node.children)
+            opened[node.tag] -= 1
         del stack[k:]
-        owner = next((n for n in reversed(stack) if n.tag in BLOCKS), stack[0])
+        owner = stack[stack[-1].block]
 
     at, size = 0, len(page)
     while at < size:
@@ -128,48 +153,30 @@ def parse_all(page: str) -> tuple[list[tuple[int, str, bool, bool]], dict[int, s
             if tag == "br":
                 text.append(" ")
                 continue
-            if len(stack) > DEPTH:
-                deeper += tag not in VOID
-                if tag in BLOCKS:
-                    flush()
-                continue
-            if tag in ENDS:
-                for k in range(len(stack) - 1, 0, -1):
-                    if stack[k].tag in ENDS[tag]:
-                        close(k)
-                        break
-                    if stack[k].tag in SCOPES:
-                        break
+            if tag in GROUPS and tag != "p" and (k := stack[-1].near[GROUPS[tag]]) > 0:
+                close(k)
+            elif tag in CELLS and (k := stack[-1].scope) > 0 and stack[k].tag in CELLS[tag]:
+                close(k)
             if tag in BLOCKS:
-                for k in range(len(stack) - 1, 0, -1):  # a paragraph ends where a block begins
-                    if stack[k].tag == "p":
-                        close(k)
-                        break
-                    if stack[k].tag in SCOPES:
-                        break
+                if (k := stack[-1].near[GROUPS["p"]]) > 0:  # a paragraph ends where a block begins
+                    close(k)
                 flush()
             up = stack[-1]
-            style, furniture = _style(tag, raw, up.main)
+            style, weight = _style(tag, raw, up.main)
             up.children.add(style)
             if tag in VOID:
                 continue
-            node = Node(tag, _path(up.path, style), up.dropped or furniture, up.main or tag in ("article", "main"))
+            node = Node(tag, _path(up.path, style), min(up.weight, weight), up.main or tag in ("article", "main"), len(stack), up)
             stack.append(node)
+            opened[tag] += 1
             if tag in BLOCKS:
                 owner = node
         elif m[1]:
             tag = m[1].lower()
-            if deeper:
-                deeper -= 1
-                if tag in BLOCKS:
-                    flush()
-                continue
-            if tag == "p" and not any(n.tag == "p" for n in stack):
+            if tag == "p" and not opened["p"]:
                 flush()
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k].tag == tag:
-                    close(k)
-                    break
+            if opened[tag]:
+                close(next(k for k in range(len(stack) - 1, 0, -1) if stack[k].tag == tag))
         elif m[0] == "<":
             write("<")
     flush()
@@ -184,8 +191,8 @@ def _parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found, trees = [], []
         for page in batch.column("html"):
             blocks, styles = parse_all(page.as_py() or "")
-            outside = OUTSIDE if any(main and not marked for _, _, main, marked in blocks) else 1.0
-            found.append([{"path": p, "text": t, "weight": MARKED if marked else 1.0 if main else outside} for p, t, main, marked in blocks])
+            outside = OUTSIDE if any(main and weight > MARKED for _, _, main, weight in blocks) else 1.0
+            found.append([{"path": p, "text": t, "weight": weight if main or weight <= MARKED else min(weight, outside)} for p, t, main, weight in blocks])
             trees.append([{"path": p, "children": " ".join(sorted(styles[p]))} for p in sorted({x[0] for x in blocks}) if p in styles])
         yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), batch.column("host"), pa.array(found, block), pa.array(trees, style)], ["page_id", "url", "host", "blocks", "styles"])
 
@@ -216,8 +223,8 @@ def low_nodes(pages: DataFrame, *, least_pages: int = LEAST_PAGES, below: float
 def main_text(pages: DataFrame, *, least_pages: int = LEAST_PAGES, threshold: float = THRESHOLD) -> DataFrame:
     """page_id, url, text, n_chars of every page: its main text, blocks joined by line breaks.
 
-    Whole pages are parsed once, elements deeper than ``DEPTH`` as text of those above; null html is empty text. A text goes if the
-    importance of its node on the host's pages, times its weight by markup (``MARKED``, ``OUTSIDE`` or 1), is below ``threshold``. Pages without a host are cleaned by markup
+    Whole pages are parsed once, elements at any depth; null html is empty text. A text goes if the
+    importance of its node on the host's pages, times its weight by markup (``MARKED``, ``HINTED``, ``OUTSIDE`` or 1), is below ``threshold``. Pages without a host are cleaned by markup
     alone (importance 1), as are hosts with fewer than ``least_pages`` different pages of a style. A host that
     holds a third of all pages is a few rows of sums; pages meet its map of low
     styles in a join that may split it. Repeated rows stay repeated.

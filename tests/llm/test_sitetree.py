@@ -3,7 +3,7 @@ import random
 import re
 
 from conftest import SF_SMALL
-from cdclake.llm.sitetree import main_text, parse, parse_all
+from cdclake.llm.sitetree import MARKED, main_text, parse, parse_all
 
 RNG = random.Random(8)
 
@@ -70,7 +70,7 @@ def test_an_article_element_does_not_replace_the_tree(spark):
 
 def test_the_tree_sees_furniture_and_markup_is_a_weight(spark):
     page = "<p>One <button>Share</button> two</p><nav><ul><li>a</ul></nav>"
-    assert [(t, marked) for _, t, _, marked in parse_all(page)[0]] == [("One two", False), ("Share", True), ("a", True)]
+    assert [(t, weight <= MARKED) for _, t, _, weight in parse_all(page)[0]] == [("One two", False), ("Share", True), ("a", True)]
     rows = [(i, f"http://a.example/{i}", f"<p>{words(9)}</p><div class=promo>Buy</div><div class=comments>{words(5)}</div>") for i in range(9)]
     assert all(len(t.split("\n")) == 1 for t in texts(spark, rows).values())
     assert all(len(t.split("\n")) == 2 and "Buy" not in t for t in texts(spark, rows, threshold=0.15).values())  # the tree alone cuts what is shared
@@ -92,6 +92,26 @@ def test_names_of_the_layout_are_no_furniture():
     assert [t for _, t, _ in parse(page)[0]] == ["Kept"]
 
 
+def test_names_that_hold_a_mark_beside_words_of_contents_are_a_hint(spark):
+    rows, want = [], {}
+    for i in range(12):
+        body = [words(20), words(15)]
+        rows.append((i, f"http://a.example/{i}", f"<div class='social-security'><p>{body[0]}</p></div><div id='search-results'>{body[1]}</div><div class='cookie-recipes'>The same</div><div class='site-footer'>{words(4)}</div><div class='comment-text'>{words(6)}</div>"))
+        want[i] = "\n".join(body)
+    assert texts(spark, rows) == want  # the tree cuts what all pages share, though it is only hinted at
+
+
+def test_furniture_at_any_depth_and_deep_pages_take_linear_time():
+    import time
+
+    deep = "<div>" * 600 + "<p>story</p><nav><a>menu</a></nav><div class=ad>buy</div>"
+    assert [t for _, t, _ in parse(deep)[0]] == ["story"]
+    start = time.time()
+    for page in ("<div>" * 50_000 + "x", "<span>" * 50_000 + "<p>x" * 2000, "<ul>" + "<span>" * 20_000 + "<dt>x</dt>" * 2000, "<b>" * 20_000 + "</i></em>" * 20_000, "<table>" + "<tr><td>x" * 20_000, "<p>" + "<i>" * 20_000 + "<div>y</div>" * 2000):
+        parse(page)
+    assert time.time() - start < 30
+
+
 def test_broken_and_empty_pages(spark):
     rows = [(1, None, None), (2, "u", ""), (3, None, "just text < 5 & more"), (4, "http://h/", "<p>a<b>b</p>c</b>d</div></p>e"), (5, "http://h/", "<p title='x>y' class=>z</p"), (6, "h", "<" * 500 + "q"),
             (7, "http://h/", "<script>never closed <p>x</p>"), (8, "http://h/", "<div>" * 3000 + "deep"), (8, "http://h/", "<p>one</p>"), (None, "http://h/", "<p>" + "long " * 40000)]

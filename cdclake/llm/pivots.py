@@ -92,18 +92,36 @@ def _better(score: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
     return np.lexsort((ids, -score))[:k]
 
 
+def _block(key: tuple, rows: pa.Table) -> pa.Table:
+    """A block's vectors as one row, by distance to their pivot."""
+    rows = rows.sort_by([("distance", "ascending"), ("vec_id", "ascending")])
+    data = {x: rows.column(x).to_numpy().tobytes() for x in ("vec_id", "distance", "norm")}
+    data["vec"] = b"".join(rows.column("vec").to_pylist())
+    names, types = ("dim", "pivot", "block"), [pa.int32()] * 3
+    return pa.table([*[pa.array([k.as_py()], t) for k, t in zip(key, types)], *[pa.array([data[x]], pa.binary()) for x in ("vec_id", "distance", "norm", "vec")]], [*names, "vec_id", "distance", "norm", "vec"])
+
+
 def _search(pivots: dict[int, np.ndarray], k: int):
-    def run(key: tuple, queries: pa.Table, block: pa.Table) -> pa.Table:
+    """The best of a block for each of the queries that a row holds beside it."""
+
+    def run(key: tuple, table: pa.Table) -> pa.Table:
+        out = []
+        for batch in table.to_batches():
+            for i in range(batch.num_rows):
+                row = {x: batch.column(x)[i].as_py() for x in ("dim", "pivot", "vec_id", "distance", "norm", "vec")}
+                asked = batch.column("asked")[i].values
+                out.append(search(row, asked.field("vec_id"), asked.field("vec"), asked.field("least")))
+        return pa.Table.from_batches(out)
+
+    def search(row: dict, q_ids: pa.Array, q_vecs: pa.Array, q_least: pa.Array) -> pa.RecordBatch:
         out_q, out_v, out_s = [], [], []
-        if queries.num_rows and block.num_rows:
-            dim, pivot = key[0].as_py(), key[1].as_py()
-            p = pivots[dim][pivot]
-            order = pc.sort_indices(block, sort_keys=[("distance", "ascending"), ("vec_id", "ascending")])
-            block = block.take(order)
-            x, ids, dist, norms = _matrix(block.column("vec"), dim), block.column("vec_id").to_numpy(), block.column("distance").to_numpy(), block.column("norm").to_numpy()
+        if len(q_ids):
+            dim = row["dim"]
+            p = pivots[dim][row["pivot"]]
+            x, ids, dist, norms = np.frombuffer(row["vec"]).reshape(-1, dim), np.frombuffer(row["vec_id"], np.int64), np.frombuffer(row["distance"]), np.frombuffer(row["norm"])
             cut = np.arange(0, len(ids), RING)
             near, far, longest = dist[cut], dist[np.r_[cut[1:], len(ids)] - 1], np.maximum.reduceat(norms, cut)
-            q, q_ids, least = _matrix(queries.column("vec"), dim), queries.column("vec_id").to_numpy(), queries.column("least").to_numpy(zero_copy_only=False).astype(np.float64)
+            q, q_ids, least = _matrix(q_vecs, dim), q_ids.to_numpy(), q_least.to_numpy(zero_copy_only=False).astype(np.float64)
             gaps = _distances(q, p[None, :])[:, 0]
             for i in range(len(q_ids)):
                 norm = float(np.sqrt((q[i] ** 2).sum()))
@@ -129,7 +147,7 @@ def _search(pivots: dict[int, np.ndarray], k: int):
                 out_v.append(found)
                 out_s.append(score)
         cat = lambda xs, t: np.concatenate(xs).astype(t) if xs else np.empty(0, t)
-        return pa.table({"query_id": cat(out_q, np.int64), "vec_id": cat(out_v, np.int64), "score": cat(out_s, np.int64)})
+        return pa.RecordBatch.from_pydict({"query_id": cat(out_q, np.int64), "vec_id": cat(out_v, np.int64), "score": cat(out_s, np.int64)})
 
     return run
 
@@ -174,6 +192,7 @@ def nearest(table: DataFrame, queries: DataFrame, *, k: int = K, scale: int = SC
     which gives a floor for its k-th score, then those blocks of other
     pivots whose bound reaches the floor; inside a block annuli are
     expanded from the query's own distance until the triangle inequality ends the search.
+    A block travels as one row, once for each of the two searches; queries meet it in turns of about ``QUERY_BLOCK``.
     Pivots come from a sample of about ``sample`` rows; the sample changes the cost, never the result.
     """
     spark = table.sparkSession
@@ -199,14 +218,19 @@ def nearest(table: DataFrame, queries: DataFrame, *, k: int = K, scale: int = SC
     parts = F.create_map(*[F.lit(x) for (d, p), v in cells.items() for x in (f"{d},{p}", v[3])])
     spread = F.element_at(parts, F.concat_ws(",", "dim", "pivot"))
     turns = max(1, -(-wanted.count() // QUERY_BLOCK))
-    blocks = index.withColumns({"block": F.pmod(F.xxhash64("vec_id", F.lit(9)), spread).cast("int"), "turn": F.explode(F.sequence(F.lit(0), F.lit(turns - 1)))})
+    dealt = index.withColumn("block", F.pmod(F.xxhash64("vec_id", F.lit(9)), spread).cast("int"))
+    blocks = dealt.groupBy("dim", "pivot", "block").applyInArrow(_block, "dim int, pivot int, block int, vec_id binary, distance binary, norm binary, vec binary")
+    blocks = scratch.keep(blocks, "blocks")  # about block_rows vectors a row: moved once for all queries
     asked = scratch.keep(wanted.where(F.col("dim").isin(list(sizes))).mapInArrow(_assign(chosen), keyed).select("vec_id", "dim", "vec", "pivot", F.lit(None).cast("double").alias("least")), "asked")
 
     def search(rows: DataFrame, first: bool) -> DataFrame:
         where = "dim int, pivot int, block int, vec_id bigint, vec binary, least double"
-        target = rows.mapInArrow(_targets(chosen, cells, first), where).withColumn("turn", F.pmod(F.xxhash64("vec_id"), F.lit(turns)).cast("int"))
-        keys = ["dim", "pivot", "block", "turn"]
-        return target.groupBy(*keys).cogroup(blocks.groupBy(*keys)).applyInArrow(_search(chosen, k), "query_id bigint, vec_id bigint, score bigint")
+        target = rows.mapInArrow(_targets(chosen, cells, first), where)
+        turn = F.pmod(F.xxhash64("vec_id"), F.lit(turns)).alias("turn")
+        target = target.groupBy("dim", "pivot", "block", turn).agg(F.collect_list(F.struct("vec_id", "vec", "least")).alias("asked"))
+        met = target.join(blocks.hint("merge"), ["dim", "pivot", "block"])
+        # A row at a time; the join has dealt the rows by block, so grouping them moves none.
+        return met.groupBy("dim", "pivot", "block", "turn").applyInArrow(_search(chosen, k), "query_id bigint, vec_id bigint, score bigint")
 
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     home = scratch.keep(search(asked, True), "home")

@@ -299,7 +299,10 @@ def adaptive_bits(text: str | None, order: int = ORDER) -> float:
 
 
 def adaptive_score(docs: DataFrame, *, order: int = ORDER) -> DataFrame:
-    """doc_id, bits: each whole text's own code length, without any training (null counts as empty)."""
+    """doc_id, bits: each whole text's own code length, without any training (null counts as empty).
+
+    A Python loop over each text's bytes, for small inputs; ``score`` is the way for a corpus.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -113,7 +113,7 @@ ln AS (
 good AS (
   SELECT doc_id, n_lines, len(dl) AS n_distinct, list_sum(list_transform(lines, lambda x: length(x))) AS all_chars,
          list_sum(list_transform(list_filter(dl, lambda x:
-             regexp_matches(right(x, 4), '[.!?…。:;]["''”’»)\]]*[\x20\x09-\x0D]*$')
+             regexp_matches(x, '[.!?…。:;]["''”’»)\]]*[\x20\x09-\x0D]*$')
              AND length(regexp_replace(x, '[^#*$%&|<>!]', '', 'g')) <= 0.06 * length(x)
              AND NOT len(string_split_regex(x, ' [|»›•→] ')) > 2
              AND NOT regexp_matches(lower(x), 'lorem ipsum|javascript|cookie|privacy policy|terms of use|terms of service|all rights reserved|released under the|licensed under|click here|skip to content')

@@ -59,3 +59,62 @@ def test_edge_cases(spark):
     assert identify(df).count() == len(rows + odd) and identify(df.limit(0)).count() == 0
     assert {r["lang_pred"] for r in identify(df.selectExpr("doc_id", "text", "CAST(null AS string) AS lang")).collect()} == {"und"}
     assert {r["lang_pred"] for r in identify(df.where("lang = 'de'")).collect()} <= {"de", "und"}
+
+
+def plain_features(text):
+    """Features of one text, n-gram by n-gram."""
+    from cdclake.llm.langid import BUCKETS, ORDERS
+
+    fold = [b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in (text or "").encode()]
+    factors, out = (0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D, 0x27D4EB2F), []
+    for n in ORDERS:
+        for p in range(len(fold) - n + 1):
+            if fold[p] == fold[p + 1] == 32:
+                continue
+            h = n
+            for k in range(n):
+                h = (h ^ fold[p + k]) * factors[k] & 0xFFFFFFFF
+                h ^= h >> 15
+            out.append(h % BUCKETS)
+    return out
+
+
+def test_predictions_match_plain_naive_bayes_and_decoding(spark):
+    import math
+    import random
+    from collections import Counter
+
+    from cdclake.llm.langid import AMBIGUOUS, BUCKETS, CLIP, EVIDENCE
+
+    r = random.Random(12)
+    words = {"aa": "the of and cat dog house".split(), "bb": "der und katze hund haus ist".split(), "cc": "le la chat chien maison été".split()}
+    rows = [(i, " ".join(r.choice(words[x] if r.random() < 0.8 else words["aa"]) for _ in range(r.randrange(0, 25))), x) for i, x in enumerate(r.choice(list(words)) for _ in range(90))]
+    rows += [(500, None, "aa"), (501, "Katze chat cat", None)]
+    got = {x.doc_id: x for x in identify(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    langs = sorted(words)
+    counts = {x: Counter() for x in langs}
+    for i, t, x in rows:
+        if t is not None and x and zlib.crc32(str(i).encode()) % 4 != 2:
+            counts[x].update(plain_features(t))
+    total = {x: sum(c.values()) + 0.5 * BUCKETS for x, c in counts.items()}
+    code = codewords(3).tolist()
+    odds, importance = [{} for _ in code[0]], []
+    for b in range(len(code[0])):
+        mean = lambda f, sign: sum((counts[x][f] + 0.5) / total[x] for k, x in enumerate(langs) if code[k][b] == sign) / sum(code[k][b] == sign for k in range(3))
+        seen = set().union(*counts.values())
+        rest = BUCKETS - len(seen)
+        for f in [*seen, -1]:  # -1: any feature that was never seen
+            odds[b][f] = math.log(mean(f, 1) / mean(f, -1))
+        importance.append(sum((mean(f, 1) - mean(f, -1)) * odds[b][f] * (rest if f == -1 else 1) for f in odds[b]))
+    importance = [x / sum(importance) * len(importance) for x in importance]
+    for i, t, _ in rows:
+        found = plain_features(t)
+        if not any(c.isalpha() for c in t or ""):
+            assert (got[i].lang_pred, got[i].score, got[i].ambiguous) == ("und", 0.0, False)
+            continue
+        margins = [sum(max(-CLIP, min(CLIP, odds[b].get(f, odds[b][-1]))) for f in found) * EVIDENCE / max(len(found), 1) * min(len(found) / EVIDENCE, 1) for b in range(len(code[0]))]
+        loss = [sum(w * math.log1p(math.exp(-m * c)) if -m * c < 500 else w * -m * c for w, m, c in zip(importance, margins, word)) for word in code]
+        order = sorted(loss)
+        assert abs(got[i].score - 1 / sum(math.exp(order[0] - x) for x in loss)) < 1e-4
+        if order[1] - order[0] > 1e-3:
+            assert got[i].lang_pred == langs[loss.index(order[0])] and (abs(order[1] - order[0] - AMBIGUOUS) < 1e-3 or got[i].ambiguous == (order[1] - order[0] < AMBIGUOUS))

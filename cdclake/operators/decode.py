@@ -88,8 +88,8 @@ def decode_key(df: DataFrame, *, key: str = "key", keep: tuple[str, ...] = (), m
     """Decode the event key with its embedded key schema into a ``key_struct`` column.
 
     Distinct key schemas are few (one per table version, at most
-    ``max_schemas``); each is compiled once on the driver, and every row is
-    parsed with the schema of its own text, or with the inferred one if it
+    ``max_schemas``); each is compiled once on the driver, texts that compile to one type share
+    a parse, and every row is parsed with the schema of its own text, or with the inferred one if it
     has none. Key fields of one name in several schemas meet in the widened type,
     or in text if there is none, so no value is lost.
     """
@@ -108,12 +108,15 @@ def decode_key(df: DataFrame, *, key: str = "key", keep: tuple[str, ...] = (), m
     if not types:
         return df.select(*keep, F.lit(None).cast(T.StructType([])).alias("key_struct"))
     parsed = F.lit(None).cast(T.StructType([T.StructField(n, t, True) for n, t in types.items()]))
+    alike: dict[str | None, list[str]] = {}
     for schema, struct in structs.items():
-        enveloped = schema is not None
+        alike.setdefault(None if schema is None else struct.json(), []).append(schema)
+    for members in alike.values():
+        struct, enveloped = structs[members[0]], members[0] is not None
         row = F.from_json(F.col(key), T.StructType([T.StructField("payload", struct, True)]) if enveloped else struct)
         row = row.getField("payload") if enveloped else row
         have = {f.name for f in struct.fields}
         fields = [(row.getField(n) if n in have else F.lit(None)).cast(t).alias(n) for n, t in types.items()]
-        mine = text == F.lit(schema) if enveloped else text.isNull()
+        mine = text.isin(members) if enveloped else text.isNull()
         parsed = F.when(mine & row.isNotNull(), F.struct(*fields)).otherwise(parsed)
     return df.select(*keep, F.when(F.col(key).isNotNull(), parsed).alias("key_struct"))

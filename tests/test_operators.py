@@ -174,21 +174,21 @@ def test_decode_key(spark):
 
 
 def test_column_functions(spark):
-    df = spark.createDataFrame([("testc.inventory.customers", 1_700_000_000_000, "part-00003-123e4567-e89b-12d3-a456-426614174000-c000.snappy.parquet")],
+    df = spark.createDataFrame([("shop.sales.buyers", 1_700_000_000_000, "part-00003-123e4567-e89b-12d3-a456-426614174000-c000.snappy.parquet")],
                                "d string, ms bigint, f string")
-    r = df.select(map_destination("d", r"^testc\.(\w+)\.(\w+)$", "$2_$1").alias("m"),
+    r = df.select(map_destination("d", r"^shop\.(\w+)\.(\w+)$", "$2_$1").alias("m"),
                   map_destination("d").alias("same"),
-                  target_path("d", "s3a://b/", "pre_", r"^testc\.", "").alias("p"),
+                  target_path("d", "s3a://b/", "pre_", r"^shop\.", "").alias("p"),
                   partition_date("ms", "UTC").alias("dt"), partition_date("ms", "Asia/Tokyo").alias("dt_tokyo"),
                   write_id("f").alias("w"), source_ts("ms").alias("ts"), deleted_as_bool(F.lit("TRUE")).alias("b")).first()
-    assert r["m"] == "customers_inventory" and r["same"] == "testc.inventory.customers"
-    assert r["p"] == "s3a://b/pre_inventory.customers"
+    assert r["m"] == "buyers_sales" and r["same"] == "shop.sales.buyers"
+    assert r["p"] == "s3a://b/pre_sales.buyers"
     assert r["dt"] == "dt=2023-11-14" == partition_date_text(1_700_000_000_000, "UTC")
     assert r["dt_tokyo"] == partition_date_text(1_700_000_000_000, "Asia/Tokyo") == "dt=2023-11-15"
     assert r["w"] == "123e4567-e89b-12d3-a456-426614174000"
     assert r["b"] is True
-    assert target_path_text("testc.inventory.customers", "s3a://b", "pre_", r"^testc\.(\w+)\.(\w+)$", "$2",
-                            "dt=2024-01-01") == "s3a://b/pre_customers/dt=2024-01-01"
+    assert target_path_text("shop.sales.buyers", "s3a://b", "pre_", r"^shop\.(\w+)\.(\w+)$", "$2",
+                            "dt=2024-01-01") == "s3a://b/pre_buyers/dt=2024-01-01"
 
 
 def test_null_destination_path_fails(spark):

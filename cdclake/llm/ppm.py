@@ -13,9 +13,10 @@ is a function of the gram: it is worked out once and looked up.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
@@ -133,6 +134,19 @@ def _look(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray) -> np.ndarra
     return np.where(keys[at] == wanted, values[at], 0)
 
 
+def _hashed(keys: np.ndarray, values: np.ndarray) -> Callable[[np.ndarray], np.ndarray]:
+    """``_look`` in distinct keys of any order, by a hash table: for far more lookups than keys."""
+    if not len(keys):
+        return lambda wanted: np.zeros(len(wanted), values.dtype)
+    index = pd.Index(keys)
+
+    def look(wanted: np.ndarray) -> np.ndarray:
+        at = index.get_indexer(wanted)
+        return np.where(at >= 0, values[at], 0)
+
+    return look
+
+
 def log_probability(grams: np.ndarray, counts: np.ndarray, low: list[Level], order: int) -> np.ndarray:
     """log10 probability of each gram's symbol after its context.
 
@@ -213,18 +227,16 @@ def _score(order: int, tokens: int, kinds: int):
         known = []
         for kind in (0, 1):
             part = model.filter(pc.equal(model.column("kind"), kind))
-            keys = part.column("key").to_numpy()
-            order_by = np.argsort(keys)
-            known.append((keys[order_by], part.column("value").to_numpy()[order_by]))
+            known.append(_hashed(part.column("key").to_numpy(), part.column("value").to_numpy()))
         score, words, sizes = np.zeros(docs.num_rows), [], []
         for i, j in pieces(off, PIECE):
             grams, first, found, first_word = symbols(data[off[i] : off[j]], off[i : j + 1] - off[i], order)
-            score[i:j] = np.add.reduceat(_look(*known[0], grams), first[:-1])
+            score[i:j] = np.add.reduceat(known[0](grams), first[:-1])
             words.append(np.insert(found, first_word[1:], END_WORD))  # each text's words and its end
             sizes.append(np.diff(first_word) + 1)
         words, sizes = np.concatenate(words), np.concatenate(sizes)
         local = _distinct(words[~np.repeat(held, sizes)])
-        count = np.maximum(_look(*known[1], words), _look(*local, words))
+        count = np.maximum(known[1](words), _look(*local, words))
         first = np.cumsum(sizes) - sizes
         return pa.table({"doc_id": docs.column("doc_id"), "held_out": docs.column("held_out"), "n_tokens": pa.array(sizes), "n_known": pa.array(np.add.reduceat((count > 0).astype(np.int64), first)),
                          "train_tokens": pa.array(np.full(docs.num_rows, tokens)), "base_score": pa.array(np.add.reduceat(np.log10(count + 1) - floor, first)), "score": pa.array(score)})

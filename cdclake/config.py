@@ -118,7 +118,8 @@ class CdcConfig:
     Types: ``logical_types``, ``schema_store``.
 
     Behaviour: ``on_malformed`` (``fail`` or ``quarantine``), ``legacy_null_ts``,
-    ``idempotent`` (exactly-once replays), ``manifest`` (batches visible at once).
+    ``idempotent`` (exactly-once replays), ``manifest`` (batches visible at once),
+    ``lease_seconds`` (drivers that share paths).
 
     Output: ``write_options``, ``rows_per_file``, ``summary_metadata``,
     ``ingest_log``, ``shared_writes``.
@@ -169,6 +170,9 @@ class CdcConfig:
     logical_types: bool = False  # decimals, dates and timestamps as such, not as what carries them
     # Keep the schema of events without one per table under ``_schemas``; each batch's inferred schema widens it.
     schema_store: bool = False
+    # Several drivers write to one path in turn: a write holds the path's lease, which others take
+    # over after so many seconds without a sign of life (0: no leases; see sources/leases.py).
+    lease_seconds: float = 0
     stream_id: str = ""  # whose batch ids these are, in idempotent mode (default: the streaming query's id)
     add_fields: tuple[str, ...] = DEFAULT_ADD_FIELDS  # envelope and source fields that ``unwrap`` copies
     header_fields: tuple[str, ...] = ()  # as ``add.headers``: ``db`` lands header ``__db`` as column ``__db``

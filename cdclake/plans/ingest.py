@@ -27,6 +27,7 @@ import weakref
 from collections import Counter, OrderedDict
 from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 from functools import reduce
 from itertools import groupby
@@ -44,6 +45,7 @@ from ..operators.envelope import (KIND_DECLARED, KIND_ENVELOPED_NO_SCHEMA, KIND_
                                   drop_tombstones, event_kind, include_tables, malformed_flag, schema_text)
 from ..functions.logical import logical_signature, with_logical_types
 from ..operators.mongo import decode_documents
+from ..sources.leases import PathLease
 from ..sources.schemas import ROWS, VERSION, join_schema
 from ..sources.manifest import BASENAME, Written, is_published, publish, read_manifest, relative_to
 from ..operators.transform import HEADERS, add_headers, add_source_ts, cast_deleted, snapshot_as_insert, unwrap
@@ -77,6 +79,17 @@ def _path_lock(path: str) -> _PathLock:
         return _PATH_LOCKS.setdefault(path, _PathLock())
 
 
+@contextmanager
+def _writing(df: DataFrame, path: str, cfg: CdcConfig) -> Iterator[None]:
+    """Alone on a path: within this process, and with ``cfg.lease_seconds`` between drivers, too."""
+    with _path_lock(path):
+        if not cfg.lease_seconds:
+            yield
+            return
+        with PathLease(df.sparkSession, cfg.base_path, path, seconds=cfg.lease_seconds):
+            yield
+
+
 @dataclass
 class SchemaGroup:
     """Events of one destination that decode with one Spark schema."""
@@ -345,7 +358,7 @@ def write_shared(df: DataFrame, cfg: CdcConfig, batch_time_ms: int, basename: st
         writer = writer.option("maxRecordsPerFile", str(cfg.rows_per_file))
     if basename:
         writer = writer.option(BASENAME, basename)
-    with _path_lock(cfg.base_path.rstrip("/")):
+    with _writing(df, f"{cfg.base_path.rstrip('/')}/{SHARED_COLUMN}", cfg):
         writer.save(cfg.base_path)
     return int(obs.get.get("rows", 0))
 
@@ -376,7 +389,7 @@ def write_group(df: DataFrame, path: str, cfg: CdcConfig, expected_rows: int | N
         writer = writer.option("parquet.summary.metadata.level", "ALL")
     if basename:
         writer = writer.option(BASENAME, basename)
-    with _path_lock(path):
+    with _writing(df, path, cfg):
         writer.save(path)
     return int(obs.get.get("rows", 0))
 
@@ -493,6 +506,7 @@ def ingest_batch(events: DataFrame, cfg: CdcConfig, batch_id: int | None = None,
     With ``cfg.manifest`` all tables' files are published together once the last of them is written; a
     batch that fails before shows none of its rows to readers by the manifest, and one that is published already is not landed again.
     With ``cfg.shared_writes`` destinations with one schema are decoded and written by one job.
+    With ``cfg.lease_seconds`` each write holds the lease of its path; one that lost it to another driver fails the batch.
     """
     spark = events.sparkSession
     batch_time_ms = int(batch_time_ms if batch_time_ms is not None else time.time() * 1000)

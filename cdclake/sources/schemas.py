@@ -9,7 +9,6 @@ is then made again with what that one stored. So versions only ever widen.
 from __future__ import annotations
 
 import json
-import threading
 import time
 from functools import reduce
 
@@ -17,11 +16,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .leases import create_new
 from .manifest import file_system, relative_to
 from .tables import as_version, widen_structs
 
 SCHEMAS_DIR = "_schemas"
-_CREATE = threading.Lock()  # a local folder's create is not atomic, as a distributed file system's is
 VERSION = "schema_version"  # folder level of a version's files
 PAYLOAD, ROWS = "payload", "rows"  # what events hold; what is landed of them
 
@@ -65,17 +64,8 @@ def join_schema(spark: SparkSession, base_path: str, table: str, struct: T.Struc
         joined = widen_structs([known, struct] if known is not None else [struct])
         if joined == known:
             return number, joined
-        fs, p = file_system(spark, f"{_folder(base_path, table, part)}/{number + 1:08d}")
-        with _CREATE:
-            try:
-                out = fs.create(p, False)
-            except Exception as e:  # noqa: BLE001 - the JVM's error, by its name
-                if "AlreadyExists" not in str(e):
-                    raise
-                continue
-        out.write(bytearray(joined.json().encode()))
-        out.close()
-        return number + 1, joined
+        if create_new(spark, f"{_folder(base_path, table, part)}/{number + 1:08d}", joined.json()):
+            return number + 1, joined
 
 
 def stored_versions(spark: SparkSession, base_path: str, table: str, part: str = ROWS) -> list[tuple[int, T.StructType]]:

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import json
 import time
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 from typing import Callable
 
@@ -1188,6 +1189,24 @@ def q_land_published(spark: SparkSession, sf_dir: str) -> DataFrame:
                       c.select(F.col("c_custkey").alias("key"), F.col("c_mktsegment").alias("state"), F.lit("customer").alias("source"))])
 
 
+@register("land_leased", """
+SELECT o_orderkey, o_custkey, o_totalprice, o_orderstatus FROM orders""")
+def q_land_leased(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K3: four writers append to one table at once, each write under the lease of its path."""
+    base = scratch_path(spark, "leased")
+    o = source_rows(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus")
+    ev = encode_events(o, ORDERS, key=["o_orderkey"], op=F.lit("c"), lsn=F.col("o_orderkey"))
+    part = F.pmod(F.xxhash64("key"), F.lit(4))
+
+    def writer(k: int) -> None:
+        cfg = CdcConfig(base_path=base, lease_seconds=60, stream_id=f"w{k}")
+        ingest_batch(ev.where(part == k), cfg, batch_id=0, batch_time_ms=BATCH_TIME_MS)
+
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(writer, range(4)))
+    return read_table(spark, f"{base}/{ORDERS}", provenance=False).select("o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus")
+
+
 @register("land_shared", """
 SELECT 'testc.shared.c' || (o_custkey % 200) AS destination, o_orderkey, o_custkey, o_totalprice, o_orderstatus FROM orders""")
 def q_land_shared(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -32,7 +32,7 @@ BLOCK_BYTES = 16 << 20  # text of a block, about: what one task scores against t
 BLOCKS = 16  # least number of blocks
 PIECE = 1 << 20  # bytes of text that arrays are made for at a time, about
 MERGE = 8  # lists of distinct keys that are held before they are merged
-MODEL_ROWS = 1 << 20  # rows of blocks that one task answers, about
+MODEL_ROWS = 1 << 20  # distinct grams that one task works out, about
 END, GAP = 10, 32
 END_WORD = np.int64(-7046029254386353131)  # stands for the end token among word hashes
 
@@ -187,37 +187,21 @@ def low_levels(codes: np.ndarray, counts: np.ndarray) -> list[Level]:
     return levels[::-1]
 
 
-def _answers(low, order: int):
-    """What each block asked for, from the rows of all blocks that share a key.
-
-    kind 0: a gram's log probability; kind 1: the training count of a word that
-    several blocks hold (a block knows the others itself); kind 2 (block -1): how many
-    distinct training words this task saw.
-    """
+def _chances(low, order: int):
+    """Log probabilities of grams that come with their counts, all grams of a context suffix in one task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts = [[b.column(x).to_numpy() for x in ("block", "kind", "key", "n")] for b in batches if b.num_rows]
+        parts = [[b.column(x).to_numpy() for x in ("key", "n")] for b in batches if b.num_rows]
         if not parts:
             return
-        block, kind, key, n = (np.concatenate(x) for x in zip(*parts))
-        for k in (0, 1):
-            mine = kind == k
-            keys, at = np.unique(key[mine], return_inverse=True)
-            counts = np.bincount(at, n[mine], len(keys)).astype(np.int64)
-            if k == 0:
-                value, keep = log_probability(keys, counts, low_levels(*low.value), order)[at] if len(keys) else np.empty(0), np.ones(len(at), bool)
-            else:
-                value, keep = counts[at].astype(np.float64), np.bincount(at, minlength=len(keys))[at] > 1
-                yield _answer([-1], 2, [0], [float((counts > 0).sum())])
-            yield _answer(block[mine][keep], k, key[mine][keep], value[keep])
+        keys, counts = (np.concatenate(x) for x in zip(*parts))
+        order_of = np.argsort(keys)
+        keys, counts = keys[order_of], counts[order_of]
+        yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(log_probability(keys, counts, low_levels(*low.value), order), pa.float64())], ["key", "value"])
 
     return run
 
 
-def _answer(block, kind: int, key, value) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(block, pa.int32()), pa.array(np.full(len(block), kind, np.int8)), pa.array(key, pa.int64()), pa.array(value, pa.float64())], ["block", "kind", "key", "value"])
-
-
 def _score(order: int, tokens: int, kinds: int):
     floor = np.log10(tokens + 1.0 * (kinds + 1))
 
@@ -255,9 +239,9 @@ def score(docs: DataFrame, *, folds: int = 7, held: int = 2, order: int = ORDER,
 
     Texts are dealt into blocks by hash. A block asks for its distinct grams and
     words only, so what is gathered follows the corpus, and no task holds the
-    model. The blocks' rows meet by key, grams by the last bytes of their contexts;
-    there counts are summed, log probabilities worked out, and the answers go
-    back to the blocks that asked.
+    model. Counts are summed by key, combined before they are shuffled; grams meet by the last bytes of
+    their contexts, once each however many blocks hold them, and a join of any key brings
+    the answers to the blocks that asked.
     """
     if not LOW < order <= 6:
         raise ValueError(f"order must be between {LOW + 1} and 6")
@@ -270,18 +254,21 @@ def score(docs: DataFrame, *, folds: int = 7, held: int = 2, order: int = ORDER,
     blocks = max(BLOCKS, -(-size // block_bytes))
     rows = rows.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int"))
     asked = scratch.keep(rows.groupBy("block").applyInArrow(_needs(order), "block int, kind tinyint, key bigint, n bigint"), "asked")
+    totals = scratch.keep(asked.groupBy("key", "kind").agg(F.sum("n").alias("n"), F.count("*").alias("blocks")), "totals")
     tail = lambda n: F.col("key").bitwiseAND(F.lit((1 << 8 * n) - 1)).alias("key")
-    short = asked.where("kind = 0 and n > 0").select(tail(LOW + 2)).distinct().groupBy(tail(LOW + 1)).agg(F.count("*").alias("n")).toArrow()
+    short = totals.where("kind = 0 and n > 0").select(tail(LOW + 2)).distinct().groupBy(tail(LOW + 1)).agg(F.count("*").alias("n")).toArrow()
     low = spark.sparkContext.broadcast((short.column("key").to_numpy(), short.column("n").to_numpy()))
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-asked.count() // MODEL_ROWS))
+    found = totals.agg(F.count_if(F.col("kind") == 0).alias("grams"), F.sum(F.when(F.col("kind") == 1, F.col("n"))).alias("tokens"), F.count_if((F.col("kind") == 1) & (F.col("n") > 0)).alias("words")).first()
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-found["grams"] // MODEL_ROWS))
     suffix = F.shiftright("key", 8).bitwiseAND(F.lit((1 << 8 * (LOW + 1)) - 1))
-    dealt = asked.repartition(parts, F.when(F.col("kind") == 0, suffix).otherwise(F.col("key")))
-    brought = scratch.keep(dealt.mapInArrow(_answers(low, order), "block int, kind tinyint, key bigint, value double"), "brought")
-    tokens = asked.where("kind = 1").agg(F.sum("n")).first()[0] or 0
-    scratch.drop("asked")
-    kinds = brought.where("kind = 2").agg(F.sum("value")).first()[0] or 0
+    grams = totals.where("kind = 0").select("key", "n").repartition(parts, suffix).mapInArrow(_chances(low, order), "key bigint, value double")
+    words = totals.where("kind = 1 and blocks > 1").select("key", F.lit(1).cast("tinyint").alias("kind"), F.col("n").cast("double").alias("value"))  # a block knows the others itself
+    model = scratch.keep(grams.select("key", F.lit(0).cast("tinyint").alias("kind"), "value").unionByName(words), "model")
+    scratch.drop("totals")
+    brought = scratch.keep(asked.select("block", "kind", "key").join(model, ["key", "kind"]).select("block", "kind", "key", "value"), "brought")
+    scratch.drop("asked", "model")
     result = "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"
-    return rows.groupBy("block").cogroup(brought.where("kind < 2").groupBy("block")).applyInArrow(_score(order, int(tokens), int(kinds)), result)
+    return rows.groupBy("block").cogroup(brought.groupBy("block")).applyInArrow(_score(order, int(found["tokens"] or 0), int(found["words"])), result)
 
 
 def adaptive_bits(text: str | None, order: int = ORDER) -> float:

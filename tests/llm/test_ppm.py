@@ -4,6 +4,7 @@ from collections import Counter
 import numpy as np
 import pytest
 from conftest import SF_SMALL
+from cdclake.llm import ppm
 from cdclake.llm.ppm import DISCOUNT, ORDER, adaptive_bits, adaptive_score, score
 
 
@@ -88,3 +89,23 @@ def test_adaptive_code_length(spark):
     assert adaptive_bits("abcdefgh " * 30) < 0.2 * 8 * len("abcdefgh " * 30)
     rows = adaptive_score(spark.createDataFrame([(1, "a b"), (2, None)], "doc_id bigint, text string")).collect()
     assert {r["doc_id"]: r["bits"] for r in rows} == {1: adaptive_bits("a b"), 2: adaptive_bits("")}
+
+
+def test_grams_are_worked_out_once_however_many_blocks_hold_them(spark, monkeypatch):
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text").limit(80).cache()
+    keep, seen, got = ppm.Scratch.keep, {}, {}
+
+    def count(self, df, name):
+        out = keep(self, df, name)
+        seen[name] = out.count()
+        return out
+
+    monkeypatch.setattr(ppm.Scratch, "keep", count)
+    for blocks in (4, 64):
+        monkeypatch.setattr(ppm, "BLOCKS", blocks)
+        got[blocks] = {r["doc_id"]: tuple(r) for r in score(docs).collect()}, dict(seen)
+    few, many = got[4], got[64]
+    assert few[1]["totals"] == many[1]["totals"] and few[1]["asked"] < many[1]["asked"]  # what tasks work on follows distinct keys
+    assert few[0].keys() == many[0].keys()
+    for k, row in few[0].items():
+        assert row == pytest.approx(many[0][k], rel=1e-9)

@@ -212,18 +212,22 @@ def _score(order: int, tokens: int, kinds: int):
         for kind in (0, 1):
             part = model.filter(pc.equal(model.column("kind"), kind))
             known.append(_hashed(part.column("key").to_numpy(), part.column("value").to_numpy()))
-        score, words, sizes = np.zeros(docs.num_rows), [], []
+        score, base, n_known, n_tokens = (np.zeros(docs.num_rows, x) for x in (np.float64, np.float64, np.int64, np.int64))
+        parts = []
         for i, j in pieces(off, PIECE):
             grams, first, found, first_word = symbols(data[off[i] : off[j]], off[i : j + 1] - off[i], order)
             score[i:j] = np.add.reduceat(known[0](grams), first[:-1])
-            words.append(np.insert(found, first_word[1:], END_WORD))  # each text's words and its end
-            sizes.append(np.diff(first_word) + 1)
-        words, sizes = np.concatenate(words), np.concatenate(sizes)
-        local = _distinct(words[~np.repeat(held, sizes)])
-        count = np.maximum(known[1](words), _look(*local, words))
-        first = np.cumsum(sizes) - sizes
-        return pa.table({"doc_id": docs.column("doc_id"), "held_out": docs.column("held_out"), "n_tokens": pa.array(sizes), "n_known": pa.array(np.add.reduceat((count > 0).astype(np.int64), first)),
-                         "train_tokens": pa.array(np.full(docs.num_rows, tokens)), "base_score": pa.array(np.add.reduceat(np.log10(count + 1) - floor, first)), "score": pa.array(score)})
+            n_tokens[i:j] = np.diff(first_word) + 1
+            parts.append((i, j, np.insert(found, first_word[1:], END_WORD)))  # each text's words and its end
+        local = [_distinct(words[~np.repeat(held[i:j], n_tokens[i:j])]) for i, j, words in parts]
+        local = _summed(*(np.concatenate(x) for x in zip(*local)))
+        for i, j, words in parts:
+            count = np.maximum(known[1](words), _look(*local, words))
+            first = np.cumsum(n_tokens[i:j]) - n_tokens[i:j]
+            n_known[i:j] = np.add.reduceat((count > 0).astype(np.int64), first)
+            base[i:j] = np.add.reduceat(np.log10(count + 1) - floor, first)
+        return pa.table({"doc_id": docs.column("doc_id"), "held_out": docs.column("held_out"), "n_tokens": pa.array(n_tokens), "n_known": pa.array(n_known),
+                         "train_tokens": pa.array(np.full(docs.num_rows, tokens)), "base_score": pa.array(base), "score": pa.array(score)})
 
     return run
 

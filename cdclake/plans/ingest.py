@@ -731,12 +731,13 @@ def append_ingest_log(spark, cfg: CdcConfig, result: BatchResult, stream_id: str
     rows = [(result.batch_id, result.batch_time_ms, g.destination, g.path, g.rows, g.n_fields, g.schema_hash, g.kind,
              g.schema_json) for g in result.groups]
     log = f"{cfg.base_path.rstrip('/')}/{INGEST_LOG_DIR}"
-    out = spark.createDataFrame(rows, INGEST_LOG_SCHEMA).coalesce(1).write
+    df = spark.createDataFrame(rows, INGEST_LOG_SCHEMA).coalesce(1)
     if cfg.idempotent:
         # One folder per stream and batch id, replaced by a replay; read back as columns.
-        out.mode("overwrite").parquet(f"{log}/log_stream=s{stream_id}/log_batch={result.batch_id}")
+        df.write.mode("overwrite").parquet(f"{log}/log_stream=s{stream_id}/log_batch={result.batch_id}")
     else:
-        out.mode("append").parquet(log)
+        with _writing(df, log, cfg):  # a path that all batches of the lake append to
+            df.write.mode("append").parquet(log)
 
 
 __all__ = ["BatchResult", "GroupResult", "SchemaGroup", "append_ingest_log", "decode_events", "decode_group", "discover_groups", "group_counts",

@@ -74,14 +74,17 @@ class PathLease:
         """Write an empty file; returns the time that the file system gave it."""
         fs, p = file_system(self.spark, f"{self.folder}/{name}")
         fs.create(p, True).close()
-        return int(fs.getFileStatus(p).getModificationTime())
+        return int(fs.getFileStatus(p).getModificationTime())  # of a name that no other holder uses
 
     def _files(self) -> dict[str, int]:
         """Names in the lease's folder and their times."""
         fs, p = file_system(self.spark, self.folder)
-        if not fs.exists(p):
-            return {}
-        return {s.getPath().getName(): int(s.getModificationTime()) for s in fs.listStatus(p)}
+        for attempt in range(20):
+            try:
+                return {s.getPath().getName(): int(s.getModificationTime()) for s in fs.listStatus(p)} if fs.exists(p) else {}
+            except Exception as e:  # noqa: BLE001 - the JVM's error, by its name: a local folder's file went while it was listed
+                if "FileNotFound" not in str(e) and "NoSuchFile" not in str(e) or attempt == 19:
+                    raise
 
     @staticmethod
     def _newest(files: dict[str, int]) -> int:

@@ -746,6 +746,57 @@ def q_land_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
             .unionByName(o.select(F.lit(f"{DB}.orders").alias("destination"), "*")))
 
 
+# A text and a number of each table, read back row by row (None: the table has none).
+DB_VALUES = {
+    "region": ("r_name", None), "nation": ("n_name", "n_regionkey"), "customer": ("c_mktsegment", "c_acctbal"), "supplier": ("s_name", "s_acctbal"),
+    "part": ("p_brand", "p_retailprice"), "orders": ("o_orderstatus", "o_totalprice"), "lineitem": ("l_linestatus", "l_extendedprice"), "events": ("event_type", "value"),
+    "documents": ("text", "n_chars"), "embeddings": (None, "label"), "pages": ("html", None), "benchmark": ("text", None), "labels": (None, "quality"), "conversations": ("text", None),
+}
+
+
+def _rows_sql(names: tuple[str, ...]) -> str:
+    keys = {name: k for name, k, _ in DB_TABLES}
+    parts = []
+    for name in names:
+        text, number = DB_VALUES[name]
+        parts.append(f"SELECT '{DB}.{name}' AS destination, CAST({keys[name][0]} AS BIGINT) AS key1, {f'CAST({keys[name][1]} AS BIGINT)' if len(keys[name]) > 1 else 'CAST(NULL AS BIGINT)'} AS key2, "
+                     f"{f'md5({text})' if text else 'CAST(NULL AS VARCHAR)'} AS text_md5, {f'CAST({number} AS DOUBLE)' if number else 'CAST(NULL AS DOUBLE)'} AS number, "
+                     f"{op_sql(keys[name][0])} AS __op FROM {name}")
+    return "\nUNION ALL ".join(parts)
+
+
+def _landed_rows(spark: SparkSession, base: str, names: tuple[str, ...]) -> DataFrame:
+    keys = {name: k for name, k, _ in DB_TABLES}
+    null = lambda t: F.lit(None).cast(t)
+    out = []
+    for name in names:
+        text, number = DB_VALUES[name]
+        t = read_table(spark, f"{base}/{DB}.{name}", provenance=False, ingest_log=f"{base}/_ingest_log")
+        out.append(t.select(F.lit(f"{DB}.{name}").alias("destination"), F.col(keys[name][0]).cast("bigint").alias("key1"),
+                            (F.col(keys[name][1]).cast("bigint") if len(keys[name]) > 1 else null("bigint")).alias("key2"),
+                            (F.md5(F.col(text).cast("binary")) if text else null("string")).alias("text_md5"), (F.col(number).cast("double") if number else null("double")).alias("number"), "__op"))
+    return union_all(out)
+
+
+@register("land_database_rows", _rows_sql(tuple(DB_VALUES)))
+def q_land_database_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A1 A2 K1 K2: every row of a whole database landed in one batch: keys, a whole text, a number and the operation."""
+    base = scratch_path(spark, "land_database_rows")
+    cfg = CdcConfig(base_path=base, partition=True, small_group_rows=50_000, max_group_tasks=1)
+    ingest_batch(database_events(spark, sf_dir), cfg, batch_id=0, batch_time_ms=BATCH_TIME_MS)
+    return _landed_rows(spark, base, tuple(DB_VALUES))
+
+
+@register("land_backfill_rows", _rows_sql(("lineitem", "orders", "events")))
+def q_land_backfill_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K1 A1 A2 in backfill mode, every row: three tables, staged on shared storage, read back by keys and values."""
+    base = scratch_path(spark, "land_backfill_rows")
+    names = ("lineitem", "orders", "events")
+    frames = [encode_events(source_rows(spark, sf_dir, name), f"{DB}.{name}", key=list(keys), op=op_rule(F.col(keys[0])), lsn=F.col(keys[0])) for name, keys, _ in DB_TABLES if name in names]
+    ingest_batch(union_all(frames), CdcConfig(base_path=base, partition=True, batch_storage="table"), batch_id=0, batch_time_ms=BATCH_TIME_MS)
+    return _landed_rows(spark, base, names)
+
+
 # --- reports and maintenance -------------------------------------------------
 
 @register("file_batch_sizes", """

@@ -18,7 +18,7 @@ def main(lake: str, driver: int, batches: int, start: str) -> None:
 
     fields = [{"type": "int64", "field": "id", "optional": True}]
     head = '{"schema":' + json.dumps({"type": "struct", "fields": fields}, separators=(",", ":")) + ',"payload":{"id":'
-    cfg = CdcConfig(base_path=lake, lease_seconds=20, ingest_log=False, rows_per_file=None)
+    cfg = CdcConfig(base_path=lake, lease_seconds=20, rows_per_file=None)
     open(f"{start}-{driver}", "w").close()
     while not all(os.path.exists(f"{start}-{k}") for k in (0, 1)):  # both drivers write at the same time
         time.sleep(0.05)

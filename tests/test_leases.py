@@ -25,6 +25,7 @@ def test_two_drivers_on_one_path_lose_and_double_nothing(spark, tmp_path):
         _, err = run.communicate(timeout=600)
         assert run.returncode == 0, err[-3000:]
     assert sorted(r["id"] for r in read_table(spark, f"{lake}/t").select("id").collect()) == list(range(2 * batches * 100))
+    assert spark.read.parquet(f"{lake}/_ingest_log").groupBy().sum("rows").first()[0] == 2 * batches * 100  # the log is such a path, too
     grants = [x for x in os.listdir(f"{lake}/{LEASES_DIR}/t") if x.isdigit()]
     assert max(int(x) for x in grants) == 2 * batches  # each write had a number of its own
     assert len(grants) <= 2

@@ -17,12 +17,19 @@ MAX_REPEAT_PERCENT = 50  # more words in repeated windows fail the base rule
 MIN_KEPT_SHARE = 0.5  # least share of a document's characters in lines that pass
 MAX_MARKS_SHARE = 0.06  # most symbols and exclamation marks in a line, by its characters
 MIN_SEPARATORS = 2  # menu separators that make a line navigation
+FURNITURE_CHARS = 200  # longest line that a phrase of site furniture makes one: a paragraph may speak of cookies
 
 # Marks that end a sentence and closing marks allowed after them; menu separators;
 # phrases of site furniture and licences, in lower case.
 SENTENCE_END = r'''[.!?…。:;]["'”’»)\]]*[\x20\x09-\x0D]*$'''
 SEPARATORS = [" | ", " » ", " › ", " • ", " → "]
-BOILERPLATE = ["lorem ipsum", "javascript", "cookie", "privacy policy", "terms of use", "terms of service", "all rights reserved", "released under the", "licensed under", "click here", "skip to content"]
+BOILERPLATE = [
+    "lorem ipsum", "privacy policy", "terms of use", "terms of service", "all rights reserved", "released under the", "licensed under", "click here", "skip to content",
+    "use cookies", "uses cookies", "accept cookies", "accept all cookies", "cookie policy", "cookie settings", "cookies policy", "enable javascript", "javascript is disabled", "requires javascript",
+    "alle rechte vorbehalten", "datenschutzerklärung", "nutzungsbedingungen", "impressum", "verwenden cookies", "verwendet cookies", "cookies akzeptieren", "cookie-einstellungen", "javascript aktivieren", "hier klicken", "zum inhalt springen",
+    "tous droits réservés", "politique de confidentialité", "conditions d'utilisation", "mentions légales", "utilise des cookies", "utilisons des cookies", "accepter les cookies", "activer javascript", "cliquez ici", "aller au contenu",
+    "todos los derechos reservados", "política de privacidad", "términos de uso", "condiciones de uso", "aviso legal", "utiliza cookies", "utilizamos cookies", "aceptar cookies", "aceptar las cookies", "activar javascript", "haga clic aquí", "haz clic aquí", "ir al contenido",
+]
 
 
 def let(value: Column, use: Callable[[Column], Column]) -> Column:
@@ -71,12 +78,13 @@ def line_passes(line: Column) -> Column:
     """Punctuation, navigation and boilerplate rules of one non-blank line.
 
     A line must end a sentence and hold few symbols; it must not be a menu
-    (``MIN_SEPARATORS`` separators) or hold a phrase of site furniture.
+    (``MIN_SEPARATORS`` separators) or, with up to ``FURNITURE_CHARS`` characters, hold a phrase of site furniture.
     """
     ends = F.substring(line, -4, 4).rlike(SENTENCE_END) | line.rlike(SENTENCE_END)  # most lines need their last characters only
     marks = _count(line, SYMBOLS + "!") <= MAX_MARKS_SHARE * F.length(line)
     menu = _any(line, SEPARATORS) & (F.size(F.split(line, " [|»›•→] ")) > MIN_SEPARATORS)
-    return ends & marks & ~menu & ~let(F.lower(line), lambda x: _any(x, BOILERPLATE))
+    furniture = (F.length(line) <= FURNITURE_CHARS) & let(F.lower(line), lambda x: _any(x, BOILERPLATE))
+    return ends & marks & ~menu & ~furniture
 
 
 def with_quality(docs: DataFrame, *, min_words: int = MIN_WORDS, max_repeat_percent: int = MAX_REPEAT_PERCENT, min_kept_share: float = MIN_KEPT_SHARE, column: str = "quality") -> DataFrame:

@@ -116,7 +116,7 @@ good AS (
              regexp_matches(x, '[.!?…。:;]["''”’»)\]]*[\x20\x09-\x0D]*$')
              AND length(regexp_replace(x, '[^#*$%&|<>!]', '', 'g')) <= 0.06 * length(x)
              AND NOT len(string_split_regex(x, ' [|»›•→] ')) > 2
-             AND NOT regexp_matches(lower(x), 'lorem ipsum|javascript|cookie|privacy policy|terms of use|terms of service|all rights reserved|released under the|licensed under|click here|skip to content')
+             AND NOT (length(x) <= 200 AND regexp_matches(lower(x), '{phrases}'))
          ), lambda x: length(x))) AS good_chars
   FROM ln)
 SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
@@ -126,7 +126,7 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(
        NOT (len(w) < 50 OR 100 * coalesce(c.n, 0) > 50 * len(w))
          AND coalesce(good_chars, 0) >= 0.5 * all_chars AS kept
 FROM d JOIN good USING (doc_id) LEFT JOIN covered c USING (doc_id)
-"""
+""".replace("{phrases}", "|".join(quality.BOILERPLATE).replace("'", "''"))
 
 # Exact similarities of all pairs that share a run of five words, then the groups that links connect.
 ORACLES["op6_ngram_jaccard_join"] = r"""

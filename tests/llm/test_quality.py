@@ -65,3 +65,12 @@ def test_a_column_named_quality_stays(spark):
     with pytest.raises(ValueError):
         with_quality(docs)
     assert with_quality(docs, column="judged").select("quality", "judged.kept").first() == (7, True)
+
+
+def test_furniture_of_four_languages_goes_and_paragraphs_that_speak_of_it_stay(spark):
+    furniture = ["Alle Rechte vorbehalten.", "Wir verwenden Cookies.", "Tous droits réservés.", "Conditions d'utilisation :", "Haz clic aquí.", "Política de Privacidad.", "Please enable JavaScript!", "We use cookies."]
+    prose = ["She baked a cookie for the guests.", "He wrote the first JavaScript engine.", "Critics said that the privacy policy of the firm, " + "which nobody had read, " * 9 + "was far too long."]
+    text = "\n".join([*PROSE, *furniture, *prose])
+    assert len(prose[2]) > 200
+    q = with_quality(spark.createDataFrame([(1, text)], "doc_id int, text string")).first()["quality"]
+    assert q["n_failed_lines"] == len(furniture) and q["clean_text"] == "\n".join([*PROSE, *prose]) and q["kept"]

@@ -28,9 +28,9 @@ from .text import pieces, prefix_hash, span_hash, utf8, word_spans
 ORDER = 5  # bytes of the longest context
 DISCOUNT = 0.35  # of a count that goes to the escape
 LOW = 2  # contexts of up to so many bytes are in a table of 256**3 rows at most, which every task gets
-BLOCK_BYTES = 16 << 20  # text of a block, about: what one task scores against the grams that it needs
+BLOCK_BYTES = 12 << 20  # text of a block, about: what one task scores against the grams that it needs
 BLOCKS = 16  # least number of blocks
-PIECE = 1 << 20  # bytes of text that arrays are made for at a time, about
+PIECE = 1 << 19  # bytes of text that arrays are made for at a time, about
 MERGE = 8  # lists of distinct keys that are held before they are merged
 MODEL_ROWS = 1 << 20  # distinct grams that one task works out, about
 END, GAP = 10, 32
@@ -100,9 +100,13 @@ def _needs(order: int):
                 found[kind].append((other, np.zeros(len(other), np.int64)))
                 if len(found[kind]) >= MERGE:
                     found[kind] = [_summed(*(np.concatenate(x) for x in zip(*found[kind])))]
-        parts = [_summed(*(np.concatenate(x) for x in zip(*f))) for f in found]
+        parts = []
+        while found:  # each kind's lists go as soon as they are merged
+            parts.append(_summed(*(np.concatenate(x) for x in zip(*found.pop(0)))))
         kind = np.repeat(np.array([0, 1], np.int8), [len(x[0]) for x in parts])
-        return pa.table({"block": pa.array(np.full(len(kind), key[0].as_py(), np.int32)), "kind": pa.array(kind), "key": pa.array(np.r_[parts[0][0], parts[1][0]]), "n": pa.array(np.r_[parts[0][1], parts[1][1]].astype(np.int64))})
+        keys, counts = (np.concatenate([x[i] for x in parts]) for i in (0, 1))
+        del parts
+        return pa.table({"block": pa.array(np.full(len(kind), key[0].as_py(), np.int32)), "kind": pa.array(kind), "key": pa.array(keys), "n": pa.array(counts.astype(np.int64, copy=False))})
 
     return run
 

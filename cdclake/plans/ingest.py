@@ -192,6 +192,19 @@ def input_partitions(df: DataFrame) -> int | None:
     return None if "Exchange" in plan else df.rdd.getNumPartitions()
 
 
+def dealt_partitions(df: DataFrame) -> int:
+    """Partitions that a frame was dealt into by number after its last shuffles; 0 if it wasn't."""
+    dealt, below = 0, None
+    for line in df._jdf.queryExecution().executedPlan().toString().splitlines():
+        depth = len(line) - len(line.lstrip(" :+-"))
+        if below is not None and depth > below:
+            continue
+        below = depth if "Exchange" in line else None
+        if found := re.search(r"Exchange RoundRobinPartitioning\((\d+)\)", line):
+            dealt = max(dealt, int(found[1]))
+    return dealt
+
+
 def spread(events: DataFrame, min_partitions: int | None, rebalance: str = "auto") -> DataFrame:
     """Round-robin a batch over the task slots before decoding.
 
@@ -209,8 +222,8 @@ def spread(events: DataFrame, min_partitions: int | None, rebalance: str = "auto
         return events
     n = min_partitions or default_parallelism(events.sparkSession)
     p = input_partitions(events)
-    if p is None:  # shuffled already: as wide as the session's shuffles, which run-time planning may narrow
-        p = int(events.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if p is None:  # shuffled already: as wide as it was dealt, or as the session's shuffles, which run-time planning may narrow
+        p = max(dealt_partitions(events), int(events.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     if rebalance == "always":
         return events.repartition(max(n, p))
     return events.repartition(n) if p < n else events

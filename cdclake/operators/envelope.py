@@ -61,7 +61,7 @@ def drop_tombstones(df: DataFrame, value: str = "value") -> DataFrame:
     Only events with the text of a null payload are parsed to tell.
     """
     v = F.col(value)
-    null_payload = v.rlike(r'"payload"\s*:\s*null') & F.array_contains(F.json_object_keys(v), "payload") & F.get_json_object(v, "$.payload").isNull()
+    null_payload = v.contains("null") & v.rlike(r'"payload"\s*:\s*null') & F.array_contains(F.json_object_keys(v), "payload") & F.get_json_object(v, "$.payload").isNull()
     return df.filter(v.isNotNull() & ~F.coalesce(null_payload, F.lit(False)))
 
 

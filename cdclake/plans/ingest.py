@@ -165,6 +165,11 @@ def key_events(events: DataFrame, check_malformed: bool = False) -> DataFrame:
             .withColumn("gid", F.xxhash64("destination", SCHEMA_COL, "kind")))
 
 
+def _from_byte(at: Column) -> Column:
+    """The value from a byte on, counted from 1: to cut by characters, Spark would count those of the whole text."""
+    return F.substring(F.col("value").cast("binary"), at, F.lit(2**31 - 1)).cast("string")
+
+
 def bare_values(keyed: DataFrame) -> DataFrame:
     """Keyed events without the schema text in their values: ``__schema`` has it already, once a group.
 
@@ -172,15 +177,13 @@ def bare_values(keyed: DataFrame) -> DataFrame:
     """
     head = F.concat(F.lit('{"schema":'), F.col(SCHEMA_COL), F.lit(',"payload":'))
     bare = F.coalesce((F.col("kind") == KIND_DECLARED) & F.startswith(F.col("value"), head), F.lit(False))
-    rest = F.substring(F.col("value"), F.length(head) + 1, F.length("value"))
-    value = F.when(F.col(BARE), F.concat(F.lit('{"payload":'), rest)).otherwise(F.col("value"))
+    value = F.when(F.col(BARE), F.concat(F.lit('{"payload":'), _from_byte(F.octet_length(SCHEMA_COL) + len('{"schema":,"payload":') + 1))).otherwise(F.col("value"))
     return keyed.withColumn(BARE, bare).withColumn("value", value)
 
 
 def whole_value() -> Column:
     """The value of a row of :func:`bare_values` as it came."""
-    rest = F.substring(F.col("value"), 2, F.length("value"))
-    return F.when(F.col(BARE), F.concat(F.lit('{"schema":'), F.col(SCHEMA_COL), F.lit(","), rest)).otherwise(F.col("value")).alias("value")
+    return F.when(F.col(BARE), F.concat(F.lit('{"schema":'), F.col(SCHEMA_COL), F.lit(","), _from_byte(F.lit(2)))).otherwise(F.col("value")).alias("value")
 
 
 def input_partitions(df: DataFrame) -> int | None:
@@ -760,7 +763,8 @@ def decode_events(events: DataFrame, cfg: CdcConfig | None = None, batch_time_ms
     ev = drop_tombstones(events)
     if cfg.include_tables is not None:
         ev = include_tables(ev, cfg.include_tables)
-    keyed = bare_values(key_events(spread(ev, cfg.min_partitions, cfg.rebalance), check_malformed=cfg.on_malformed == "quarantine"))
+    ev = spread(ev, cfg.min_partitions, cfg.rebalance)
+    keyed = bare_values(key_events(ev, check_malformed=cfg.on_malformed == "quarantine"))
     path = None
     if materialize:
         keyed, path = stage_batch(keyed)

@@ -232,8 +232,10 @@ def encode_events(
         pairs = [x for k, v in headers.items() for x in (F.lit(k), v.cast("string"))]
         hdr = [F.create_map(*pairs).alias("headers")]
         cols.append("headers")
+    # Spark copies a filter on encoded text below the projection and encodes there again for every use of the text;
+    # it leaves filters above a projection with a partition's number.
     out = df.select(dest.alias("destination"), key_col.alias("key"), value.alias("value"), *hdr,
-                    op.alias("__op_tmp"))
+                    op.alias("__op_tmp"), F.spark_partition_id().alias("__part")).where(F.col("__part") >= 0)
     if tombstones:
         out = out.select("destination", "key", *cols[3:], F.explode(
             F.when(F.col("__op_tmp") == "d", F.array(F.col("value"), F.lit(None).cast("string")))

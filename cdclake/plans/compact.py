@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.transform import quoted
-from ..sources.manifest import BASENAME, Written, active_files, publish, relative_to
+from ..sources.manifest import BASENAME, Written, active_files, file_system, publish, relative_to
 from ..sources.tables import widen_structs
 
 # Fixed value: default size of a compacted file.
@@ -58,31 +58,23 @@ def _listing(spark: SparkSession, path: str) -> tuple[int, int]:
 
 
 def _listing_with_partitions(spark: SparkSession, path: str) -> tuple[int, int, list[str]]:
-    """(data files, bytes, partition columns) under ``path``: one recursive listing on the driver, no scan.
+    """(data files, bytes, partition columns) under ``path``: one listing, counted by a job that opens no file.
 
     Names starting with ``_`` or ``.`` (commit markers, summaries, checksums)
     are not data, as for Spark's file index. Partition columns are the
     ``name=value`` folder levels between ``path`` and the files (e.g. ``dt``).
     """
-    jvm = spark.sparkContext._jvm
-    root = jvm.org.apache.hadoop.fs.Path(path)
-    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    base = root.toUri().getPath().rstrip("/")
-    it = fs.listFiles(root, True)
-    files = size = 0
-    partitions: list[str] = []
-    while it.hasNext():
-        st = it.next()
-        rel = st.getPath().toUri().getPath()[len(base):].strip("/")
-        if any(part.startswith(("_", ".")) for part in rel.split("/")):
-            continue
-        files += 1
-        size += int(st.getLen())
-        names = [d.split("=", 1)[0] for d in rel.split("/")[:-1] if "=" in d]
-        if files > 1 and names != partitions:
-            raise ValueError(f"{path} holds files at different partition levels: {partitions} and {names}")
-        partitions = names
-    return files, size, partitions
+    fs, root = file_system(spark, path)
+    base = fs.makeQualified(root).toString().rstrip("/")
+    below = F.expr(f"substring(path, {len(base) + 2})")
+    listed = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select(below.alias("rel"), "length")
+              .where(~F.col("rel").rlike("(^|/)[_.]")))
+    folders = F.filter(F.slice(F.split("rel", "/"), 1, F.size(F.split("rel", "/")) - 1), lambda x: x.contains("="))
+    levels = F.transform(folders, lambda x: F.substring_index(x, "=", 1))
+    found = listed.groupBy(levels.alias("levels")).agg(F.count(F.lit(1)).alias("files"), F.sum("length").alias("size")).limit(2).collect()
+    if len(found) > 1:
+        raise ValueError(f"{path} holds files at different partition levels: {found[0]['levels']} and {found[1]['levels']}")
+    return (found[0]["files"], found[0]["size"], found[0]["levels"]) if found else (0, 0, [])
 
 
 def _hidden(name: str) -> str:

@@ -1,3 +1,4 @@
+import gc
 import os
 import sys
 import tempfile
@@ -25,6 +26,12 @@ def spark():
     yield s
 
 
+@pytest.fixture(autouse=True)
+def no_garbage():
+    """JVM objects that earlier tests left are given back by calls of their own; some tests count calls."""
+    gc.collect()
+
+
 @pytest.fixture()
 def lake(tmp_path):
     return str(tmp_path / "lake")
